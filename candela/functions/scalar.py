@@ -64,3 +64,14 @@ def encode_cyclical(c: str | Column, max_val: float) -> tuple[Column, Column]:
 
 def rnd(c: str | Column, d: int = 6) -> Column:
     return F.round(col(c), d)
+
+
+def sig_round(c: str | Column, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (used to publish compounded multiples, whose last bits
+    depend on multiplication order)."""
+    x = col(c)
+    a = F.abs(x)
+    out = F.when(x.isNull() | (x == 0), x)
+    for k in range(18, -9, -1):
+        out = out.when(a >= F.lit(float(10 ** k)), F.round(x, digits - 1 - k))
+    return out.otherwise(F.round(x, digits + 8))

@@ -22,16 +22,17 @@ def ensure_indexed(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_
     return df if RN in df.columns else index_series(df, keys, order)
 
 
-def rolling(df: DataFrame, columns: dict[str, ColumnFn], back: int, fwd: int = 0,
+def rolling(df: DataFrame, columns: dict[str, ColumnFn] | list[tuple[str, ColumnFn]], back: int, fwd: int = 0,
             keys: Sequence[str] = KEYS) -> DataFrame:
     """Add columns defined over the per-block window ``w`` in one halo stage (one shuffle).
 
-    Later entries may use earlier ones; ``back``/``fwd`` bound the total reach of the chain.
+    Later entries may use (or redefine) earlier ones; ``back``/``fwd`` bound the total reach of the chain.
     """
     df = ensure_indexed(df, keys)
+    steps = list(columns.items()) if isinstance(columns, dict) else list(columns)
 
     def build(x, w):
-        for name, fn in columns.items():
+        for name, fn in steps:
             x = x.withColumn(name, fn(w))
         return x
 
