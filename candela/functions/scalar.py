@@ -62,8 +62,13 @@ def encode_cyclical(c: str | Column, max_val: float) -> tuple[Column, Column]:
     return F.sin(ang), F.cos(ang)
 
 
-def rnd(c: str | Column, d: int = 6) -> Column:
-    return F.round(col(c), d)
+def half_up(c: str | Column, d: int = 6) -> Column:
+    """Round half up as plain double arithmetic, floor(x*10^d + 0.5)/10^d, so that any engine doing
+    the same IEEE operations publishes the same digits."""
+    x = col(c)
+    scale = float(10.0 ** d)
+    return F.when(F.abs(x) * F.lit(scale) < F.lit(1e17),
+                  F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(F.round(x, d))
 
 
 def sig_round(c: str | Column, digits: int = 10) -> Column:
@@ -73,5 +78,5 @@ def sig_round(c: str | Column, digits: int = 10) -> Column:
     a = F.abs(x)
     out = F.when(x.isNull() | (x == 0), x)
     for k in range(18, -9, -1):
-        out = out.when(a >= F.lit(float(10 ** k)), F.round(x, digits - 1 - k))
-    return out.otherwise(F.round(x, digits + 8))
+        out = out.when(a >= F.lit(float(10 ** k)), half_up(x, digits - 1 - k))
+    return out.otherwise(half_up(x, digits + 8))

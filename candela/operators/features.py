@@ -366,3 +366,34 @@ def base_features(df, sma_period=50, vol_period=30, hh_period=50, ll_period=50,
         "DMA": lambda w: div(F.col("MA"), F.lag("MA", 1).over(w)),
         "MAR": lambda w: div(F.col("MA"), F.col("MA2")),
     }, back=back)
+
+
+def calendar_days(bars: DataFrame, ts: str = "bar_ts") -> DataFrame:
+    """Calendar side table (one row per bar day) with a degree column 0..359 (day number mod 360);
+    stands in for the per-day body-position table the reference computes (JON-2, PRJ-9)."""
+    days = bars.select(F.col(ts).alias("bar_ts")).distinct()
+    return days.withColumn("deg", (F.datediff(F.col("bar_ts"), F.lit("1970-01-01")) % 360).cast("long"))
+
+
+def seasonal_decompose(df: DataFrame, period: int = 30, c: str = "close", keys: Sequence[str] = KEYS) -> DataFrame:
+    """WIN-14: additive decomposition. Trend = centred moving average (for an even period the two end
+    points weigh one half); seasonal = mean detrended value per phase (position mod period), centred
+    to mean zero; resid = x - trend - seasonal."""
+    df = ensure_indexed(df, keys)
+    h = period // 2
+
+    def trend(w):
+        if period % 2:
+            fr = w.rowsBetween(-h, h)
+            return F.when(F.count(c).over(fr) == period, F.avg(c).over(fr))
+        inner = F.sum(c).over(w.rowsBetween(-(h - 1), h - 1))
+        ends = lag(c, h, w) + lead(c, h, w)
+        return F.when(lag(c, h, w).isNotNull() & lead(c, h, w).isNotNull(),
+                      (inner + F.lit(0.5) * ends) / F.lit(float(period)))
+
+    d = rolling(df, {"trend": trend}, back=h, fwd=h, keys=keys)
+    d = whole_series(d, {"_r0": F.min(RN)}, keys).withColumn("phase", ((F.col(RN) - F.col("_r0")) % period).cast("int"))
+    ph = d.groupBy(*keys, "phase").agg(F.avg(F.col(c) - F.col("trend")).alias("_pm"))
+    ph = whole_series(ph, {"_pmm": F.avg("_pm")}, keys).select(*keys, "phase", (F.col("_pm") - F.col("_pmm")).alias("seasonal"))
+    d = d.join(ph, [*keys, "phase"], "left")
+    return d.withColumn("resid", F.col(c) - F.col("trend") - F.col("seasonal")).drop("_r0")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.config import PRESETS
-from candela.functions.scalar import sig_round
+from candela.functions.scalar import half_up, sig_round
 from candela.plans import sqlparts as S
 from candela.plans.strategies import final_returns, roc_backtest
 from candela.sources.fixtures import BARS_DAILY_SQL, BARS_HOURLY_SQL, bars_daily, bars_hourly
@@ -23,7 +23,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 def register(name: str, sql: str | None):
     def deco(fn):
-        REGISTRY[name] = (fn, sql)
+        REGISTRY[name] = (fn, S.half_up_sql(sql) if sql else None)
         return fn
     return deco
 
@@ -39,7 +39,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for fld in df.schema.fields:
         if isinstance(fld.dataType, T.DoubleType):
-            c = sig_round(fld.name) if fld.name in COMPOUNDED else F.round(F.col(fld.name), digits)
+            c = sig_round(fld.name) if fld.name in COMPOUNDED else half_up(fld.name, digits)
             out.append(c.alias(fld.name))
         else:
             out.append(F.col(fld.name))

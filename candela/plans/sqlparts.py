@@ -202,3 +202,39 @@ def sig_sql(x: str, digits: int = 10) -> str:
         parts.append(f"WHEN abs({x}) >= {float(10 ** k)!r} THEN round({x}, {digits - 1 - k})")
     parts.append(f"ELSE round({x}, {digits + 8}) END")
     return " ".join(parts)
+
+
+def half_up_sql(sql: str) -> str:
+    """Rewrite every ``round(e, d)`` of an oracle query into the half-up double formula of
+    ``scalar.half_up`` so both engines publish identical digits."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, comma, k = 0, None, j + 5
+        for k in range(j + 5, len(sql)):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                comma = k
+        out.append(sql[i:j])
+        if comma is None:
+            out.append(sql[j:k + 1])
+        else:
+            inner = half_up_sql(sql[j + 6:comma])
+            d = int(sql[comma + 1:k].strip())
+            sc = repr(float(10.0 ** d))
+            out.append(f"(CASE WHEN abs({inner}) * {sc} < 1e17 THEN floor(({inner}) * {sc} + 0.5) / {sc} "
+                       f"ELSE round({inner}, {d}) END)")
+        i = k + 1
