@@ -77,6 +77,11 @@ def sig_round(c: str | Column, digits: int = 10) -> Column:
     x = col(c)
     a = F.abs(x)
     out = F.when(x.isNull() | (x == 0), x)
-    for k in range(18, -9, -1):
-        out = out.when(a >= F.lit(float(10 ** k)), half_up(x, digits - 1 - k))
-    return out.otherwise(half_up(x, digits + 8))
+    for k in range(307, -31, -1):
+        out = out.when(a >= F.lit(float(f"1e{k}")), _scaled_half_up(x, digits - 1 - k))
+    return out.otherwise(_scaled_half_up(x, digits + 30))
+
+
+def _scaled_half_up(x: Column, d: int) -> Column:
+    scale = float(f"1e{d}")
+    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)

@@ -92,14 +92,14 @@ def breakout_position(df: DataFrame, n: int = 5) -> DataFrame:
     return ffill(df, ["_pos"]).withColumnRenamed("_pos", "position")
 
 
-def today_action(df: DataFrame, sig: str = "signal") -> DataFrame:
-    """SIG-10: action on the last bar per symbol from the change between its last two signals:
-    BUY when it turned to Buy, SELL when it turned away from Buy, else HOLD."""
-    df = rolling(ensure_indexed(df), {"_prev": lambda w: lag(sig, 1, w)}, back=1)
-    last = df.groupBy("symbol").agg(F.max_by(F.struct(F.col("bar_ts"), F.col(sig).alias("cur"), F.col("_prev").alias("prev")),
+def today_action(df: DataFrame, action: str = "y_pred_val") -> DataFrame:
+    """SIG-10: from a numeric action column, per symbol: BUY when the last value differs from the
+    previous one and is positive, SELL when it differs and is not positive, else HOLD."""
+    df = rolling(ensure_indexed(df), {"_prev": lambda w: lag(action, 1, w)}, back=1)
+    last = df.groupBy("symbol").agg(F.max_by(F.struct(F.col("bar_ts"), F.col(action).alias("cur"), F.col("_prev").alias("prev")),
                                              F.col(RN)).alias("l")).select("symbol", "l.*")
-    act = (F.when((F.col("cur") == "Buy") & ~F.col("prev").eqNullSafe(F.lit("Buy")), F.lit("BUY"))
-           .when((F.col("cur") != "Buy") & F.col("prev").eqNullSafe(F.lit("Buy")), F.lit("SELL")).otherwise(F.lit("HOLD")))
+    act = (F.when(~F.col("cur").eqNullSafe(F.col("prev")) & (F.col("cur") > 0), F.lit("BUY"))
+           .when(~F.col("cur").eqNullSafe(F.col("prev")), F.lit("SELL")).otherwise(F.lit("HOLD")))
     return last.withColumn("action", act)
 
 
@@ -121,7 +121,8 @@ def signal_text(latest: DataFrame, pair_col: str = "symbol", short: bool = False
         F.lit(" Signal: "), F.col("signal"),
         F.when(F.lit(short) & (F.col("signal") == "Sell"), F.lit(" SHORT")).otherwise(F.lit("")),
         F.when(F.col("new_trade"), F.concat(F.lit(", Open: "), F.col("open").cast("string"))).otherwise(F.lit("")),
-        F.lit(", Total PnL: "), F.col("pnl").cast("string"), F.lit("%"),
+        F.lit(", Total PnL: "), F.coalesce(F.expr("CAST(try_cast(pnl AS DECIMAL(38, 2)) AS STRING)"),
+                                           F.col("pnl").cast("string")), F.lit("%"),
         F.when(F.col("tp"), F.lit(" TAKE PROFIT!")).otherwise(F.lit("")),
         F.when(F.col("sl"), F.lit(" STOP LOSS!")).otherwise(F.lit("")))
     return latest.withColumn("text", txt)

@@ -197,10 +197,13 @@ def pnl_ctes(td: str, cfg: StrategyConfig, name: str = "pnl") -> str:
 
 def sig_sql(x: str, digits: int = 10) -> str:
     """DuckDB twin of ``scalar.sig_round``."""
+    def sc(d):
+        s = repr(float(f"1e{d}"))
+        return f"floor({x} * {s} + 0.5) / {s}"
     parts = [f"CASE WHEN {x} IS NULL OR {x} = 0 THEN {x}"]
-    for k in range(18, -9, -1):
-        parts.append(f"WHEN abs({x}) >= {float(10 ** k)!r} THEN round({x}, {digits - 1 - k})")
-    parts.append(f"ELSE round({x}, {digits + 8}) END")
+    for k in range(307, -31, -1):
+        parts.append(f"WHEN abs({x}) >= {float(f'1e{k}')!r} THEN {sc(digits - 1 - k)}")
+    parts.append(f"ELSE {sc(digits + 30)} END")
     return " ".join(parts)
 
 
