@@ -16,12 +16,9 @@ from candela.functions.scalar import col, div, lag
 from candela.operators.features import ensure_indexed, rolling, whole_series
 from candela.operators.series import RN, index_series, running
 
-ONE = F.lit(1.0)
-
-
 def _prod1(c):
     """pandas ``prod``: NULLs skipped, empty product = 1."""
-    return F.coalesce(F.product(col(c)), ONE)
+    return F.coalesce(F.product(col(c)), F.lit(1.0))
 
 
 def bucket_stats(pnl: DataFrame) -> DataFrame:

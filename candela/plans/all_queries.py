@@ -3,6 +3,7 @@
 from candela.plans import catalog  # noqa: F401
 from candela.plans import q_features  # noqa: F401
 from candela.plans import q_strategy  # noqa: F401
+from candela.plans import q_analytics  # noqa: F401
 
 REGISTRY = catalog.REGISTRY
 flagship = catalog.flagship

@@ -30,8 +30,10 @@ def register(name: str, sql: str | None):
 
 # Compounded multiples are published with 10 significant digits (multiplication order changes the
 # last bits); other doubles with 6 decimals.
-COMPOUNDED = {"CSR", "CMR", "strategy_return", "market_return", "mr", "sr", "SRTotal", "DRTotal", "MR", "SR_total",
-              "account", "growth", "cum_ret"}
+COMPOUNDED = {"CSR", "CMR", "strategy_return", "market_return", "mr", "sr", "SRTotal", "DRTotal", "MR", "SR", "SR_total",
+              "account", "growth", "cum_ret", "total_return_pct", "cond_return", "trailing_return", "value_path",
+              "CSR_r", "CSR_e", "ret", "basket_CSR", "bench_CMR", "realised", "benchmark",
+              "sign_penalty_loss"}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
