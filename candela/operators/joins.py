@@ -73,3 +73,12 @@ def bracket_exit(entries: DataFrame, bars: DataFrame, timeout: int, price: str =
         F.max("_off").alias("_last"), F.max_by("_px", "_off").alias("_last_px"))
     return agg.select("symbol", "entry_rn", F.coalesce("_first_hit", "_last").alias("bars_held"),
                       F.when(F.col("_first_hit").isNotNull(), F.col("_hit_px")).otherwise(F.col("_last_px")).alias("exit_price"))
+
+
+def join_external_series(bars: DataFrame, daily: DataFrame, value: str = "close", ext: str = "trend") -> DataFrame:
+    """JON-9: an external daily series (``daily``: symbol, day, ext) joined to bars on the day, both
+    normalised by their maximum per symbol (aggregate + join, no whole-symbol window)."""
+    j = bars.withColumn("day", F.to_date("bar_ts")).join(daily, ["symbol", "day"]).drop("day")
+    mx = j.groupBy("symbol").agg(F.max(value).alias("_mv"), F.max(ext).alias("_me"))
+    return (j.join(mx, "symbol").withColumn(f"{value}_norm", div(F.col(value), F.col("_mv")))
+            .withColumn(f"{ext}_norm", div(F.col(ext), F.col("_me"))).drop("_mv", "_me"))

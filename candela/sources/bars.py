@@ -47,38 +47,49 @@ def epoch_to_bar_ts(col: str = "time"):
     return F.timestamp_seconds(F.col(col).cast("long")).cast("timestamp_ntz")
 
 
-def bars_from_records(raw: DataFrame, symbol: str) -> DataFrame:
-    """SRC-1: feed A records -> bars (``volumefrom`` renamed to ``volume``; other fields dropped)."""
-    rec = raw.select(F.explode("Data").alias("r")).select("r.*")
-    return rec.select(F.lit(symbol).alias("symbol"), epoch_to_bar_ts("time").alias("bar_ts"),
+def _symbol(symbol: str | None, symbol_col: str | None):
+    return F.col(symbol_col) if symbol_col else F.lit(symbol)
+
+
+def bars_from_records(raw: DataFrame, symbol: str | None = None, symbol_col: str | None = None) -> DataFrame:
+    """SRC-1: feed A records -> bars (``volumefrom`` renamed to ``volume``; other fields dropped).
+    The symbol is a literal or a column of the landed documents."""
+    rec = raw.select(_symbol(symbol, symbol_col).alias("symbol"), F.explode("Data").alias("r")).select("symbol", "r.*")
+    return rec.select("symbol", epoch_to_bar_ts("time").alias("bar_ts"),
                       "open", "high", "low", "close", F.col("volumefrom").alias("volume"))
 
 
-def bars_from_arrays(raw: DataFrame, symbol: str, pair: str) -> DataFrame:
+def bars_from_arrays(raw: DataFrame, pair: str, symbol: str | None = None, symbol_col: str | None = None) -> DataFrame:
     """SRC-2: feed B positional arrays -> bars; vwap and count dropped, text coerced to numbers."""
-    arr = raw.select(F.explode(F.col(f"result.`{pair}`")).alias("a"))
+    arr = raw.select(_symbol(symbol, symbol_col).alias("symbol"), F.explode(F.col(f"result.`{pair}`")).alias("a"))
     num = {name: F.expr(f"try_cast(element_at(a, {i + 1}) AS DOUBLE)") for i, name in enumerate(FEED_B_FIELDS)}
-    return arr.select(F.lit(symbol).alias("symbol"),
+    return arr.select("symbol",
                       F.timestamp_seconds(num["time"].cast("long")).cast("timestamp_ntz").alias("bar_ts"),
                       num["open"].alias("open"), num["high"].alias("high"), num["low"].alias("low"),
                       num["close"].alias("close"), num["volume"].alias("volume"))
 
 
-def read_feed_a(spark: SparkSession, path: str, symbol: str) -> DataFrame:
-    return bars_from_records(spark.read.schema(FEED_A_SCHEMA).option("multiLine", "true").json(path), symbol)
+def read_feed_a(spark: SparkSession, path: str, symbol: str | None = None, multiline: bool = False) -> DataFrame:
+    """Feed A files: one JSON document per line (or one per file with ``multiline``); a ``symbol``
+    partition column of the landed folder is used when no literal symbol is given."""
+    raw = spark.read.schema(T.StructType(FEED_A_SCHEMA.fields + [T.StructField("symbol", T.StringType())])) \
+        .option("multiLine", str(multiline).lower()).json(path)
+    return bars_from_records(raw, symbol, None if symbol else "symbol")
 
 
-def read_feed_b(spark: SparkSession, path: str, symbol: str, pair: str) -> DataFrame:
+def read_feed_b(spark: SparkSession, path: str, pair: str, symbol: str | None = None, multiline: bool = False) -> DataFrame:
     schema = T.StructType([T.StructField("result", T.StructType([
-        T.StructField(pair, T.ArrayType(T.ArrayType(T.StringType())))]))])
-    return bars_from_arrays(spark.read.schema(schema).option("multiLine", "true").json(path), symbol, pair)
+        T.StructField(pair, T.ArrayType(T.ArrayType(T.StringType())))])), T.StructField("symbol", T.StringType())])
+    raw = spark.read.schema(schema).option("multiLine", str(multiline).lower()).json(path)
+    return bars_from_arrays(raw, pair, symbol, None if symbol else "symbol")
 
 
 def read_price_csv(spark: SparkSession, path: str, columns: list[str], names: list[str] | None = None,
-                   date_col: str = "date", date_format: str = "yyyy-MM-dd", symbol: str | None = None) -> DataFrame:
+                   date_col: str = "date", date_format: str = "yyyy-MM-dd", symbol: str | None = None,
+                   text_cols: tuple = ("ticker", "symbol", "time")) -> DataFrame:
     """SRC-8: price CSV with preamble/footer lines. All fields are read as text; a row is kept only
-    when its date parses and every chosen numeric column casts, which removes header, preamble and
-    footer lines without counting them."""
+    when its date parses and every numeric column casts, which removes header, preamble and footer
+    lines without counting them. ``text_cols`` stay text and are not required."""
     raw = spark.read.option("header", "false").option("mode", "PERMISSIVE").csv(path)
     names = names or columns
     cols = raw.columns
@@ -88,12 +99,12 @@ def read_price_csv(spark: SparkSession, path: str, columns: list[str], names: li
     for src, dst in zip(columns, names):
         if src == date_col:
             parsed.append(F.try_to_timestamp(F.trim(F.col(src)), F.lit(date_format)).cast("timestamp_ntz").alias(dst))
-        elif src in ("ticker", "symbol"):
+        elif src in text_cols:
             parsed.append(F.col(src).alias(dst))
         else:
             parsed.append(F.expr(f"try_cast(trim(`{src}`) AS DOUBLE)").alias(dst))
     res = out.select(*parsed)
-    res = res.dropna(subset=[n for s, n in zip(columns, names) if s not in ("ticker", "symbol")])
+    res = res.dropna(subset=[n for s, n in zip(columns, names) if s not in text_cols])
     if symbol is not None:
         res = res.withColumn("symbol", F.lit(symbol))
     return res
