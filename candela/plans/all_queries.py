@@ -5,6 +5,7 @@ from candela.plans import q_features  # noqa: F401
 from candela.plans import q_strategy  # noqa: F401
 from candela.plans import q_analytics  # noqa: F401
 from candela.plans import q_misc  # noqa: F401
+from candela.plans import q_portfolio  # noqa: F401
 
 REGISTRY = catalog.REGISTRY
 flagship = catalog.flagship

@@ -33,7 +33,7 @@ def register(name: str, sql: str | None):
 COMPOUNDED = {"CSR", "CMR", "strategy_return", "market_return", "mr", "sr", "SRTotal", "DRTotal", "MR", "SR", "SR_total",
               "account", "growth", "cum_ret", "total_return_pct", "cond_return", "trailing_return", "value_path",
               "CSR_r", "CSR_e", "ret", "basket_CSR", "bench_CMR", "realised", "benchmark",
-              "sign_penalty_loss"}
+              "sign_penalty_loss", "loss"}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
