@@ -15,7 +15,7 @@ from candela.config import StrategyConfig
 from candela.functions.scalar import div, full, lag, lead, pivot_points, truncate
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.indicators import adx
-from candela.operators.series import RN, running
+from candela.operators.series import RN, from_pos, running
 from candela.session import cut_lineage
 
 
@@ -108,7 +108,7 @@ def fees(cfg: StrategyConfig) -> Column:
     return fee
 
 
-def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True) -> DataFrame:
+def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_adx: bool = True) -> DataFrame:
     """PNL-12: the bar-level P&L frame (columns of the reference's backtest frame plus rn).
 
     Input: a signal frame (symbol, bar_ts, open, high, low, close, signal[, size, y_pred, y_pred_val,
@@ -116,11 +116,22 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True) -> Data
     ADX + warm-up drop -> stage 1 (pivots, stops, take-profit, new trade) -> forward fill of trade
     keys and stop price (after the flags, quirk Q7) -> stage 2 (returns, fees, risk-off, bar end)
     -> running products CSR/CMR.
+
+    ADX is needed for its values only by the risk-off adjustment. Otherwise it only removes its
+    warm-up (the first 2n-1 bars of each series, where ADX is undefined); with ``keep_adx=False``
+    that drop is done by a position flag and the ADX column is not produced. ``checkpoint`` cuts
+    the lineage after the ADX phase (reliable checkpoint in the shared folder).
     """
     td = ensure_indexed(td)
-    bt = adx(td, cfg.adx_period, "ADX").filter(F.col("ADX").isNotNull())
-    if checkpoint:
-        bt = cut_lineage(bt)
+    need_adx = keep_adx or cfg.adjust_signal
+    if need_adx:
+        bt = adx(td, cfg.adx_period, "ADX").filter(F.col("ADX").isNotNull())
+        if checkpoint:
+            bt = cut_lineage(bt)
+    else:
+        warm = 2 * cfg.adx_period - 1
+        bt = rolling(td, {"_ok": lambda w: from_pos(w, warm)}, back=warm).filter(F.col("_ok")).drop("_ok")
+        bt = bt.withColumn("ADX", F.lit(None).cast("double"))
     piv = pivot_points()
     cols = {k: (lambda v: lambda w: v)(v) for k, v in piv.items()}
     cols.update({
@@ -137,8 +148,6 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True) -> Data
           .withColumn("open_price", F.when(F.col("new_trade"), F.col("open")))
           .withColumn("trade_rn", F.when(F.col("new_trade"), F.col(RN))))
     bt = running(bt, [(c, "last", c) for c in ("trade_id", "open_price", "trade_rn", "sl_price")])
-    if checkpoint:
-        bt = cut_lineage(bt)
     bt = (bt.withColumn("close_price", exit_price())
           .withColumn("ctr", trade_return(cfg))
           .withColumn("summargin", margin_sum(cfg))
@@ -167,7 +176,8 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True) -> Data
             F.lit(0), F.lit(0), F.lit(cfg.trade_interval)))),
     ]
     bt = rolling(bt, stage2, back=back, fwd=1)
-    return running(bt, [("SR", "product", "CSR"), ("DR", "product", "CMR")])
+    bt = running(bt, [("SR", "product", "CSR"), ("DR", "product", "CMR")])
+    return bt if need_adx else bt.drop("ADX", "ADX_prev")
 
 
 # --- ledger, intents and valuation --------------------------------------------------------------

@@ -147,7 +147,7 @@ def sweep_results(pnl: DataFrame) -> DataFrame:
 def roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig) -> DataFrame:
     """SWP-1/SWP-3: the ROC rule over a parameter grid; one row per (symbol, parameter set)."""
     td = roc_sweep_signals(bars, grid, cfg)
-    return sweep_results(run_pnl(td, cfg))
+    return sweep_results(run_pnl(td, cfg, keep_adx=False))
 
 
 def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> DataFrame:
@@ -162,7 +162,7 @@ def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> D
     x = rolling(x, {"y_pred_val": lambda w: F.lag(F.when(F.col("ADR") > 1, F.lit(1.0)).otherwise(F.lit(0.0)), 1).over(w)},
                 back=1)
     td = gen_signal(x.drop("_cs", "_cs_prev"), cfg, required=["DR", "ADR"])
-    return sweep_results(run_pnl(td, cfg))
+    return sweep_results(run_pnl(td, cfg, keep_adx=False))
 
 
 def param_grid(**axes: Sequence) -> list[dict]:

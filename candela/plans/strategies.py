@@ -11,10 +11,11 @@ from candela.operators.series import RN
 from candela.operators.signals import roc_signal
 
 
-def roc_backtest(bars: DataFrame, cfg: StrategyConfig | None = None, checkpoint: bool = True) -> DataFrame:
+def roc_backtest(bars: DataFrame, cfg: StrategyConfig | None = None, checkpoint: bool = True,
+                 keep_adx: bool = True) -> DataFrame:
     """Entry 2 of the reference: ROC rule on every symbol -> bar-level P&L frame."""
     cfg = cfg or PRESETS["eth_usd_roc"]
-    return run_pnl(roc_signal(bars, cfg), cfg, checkpoint=checkpoint)
+    return run_pnl(roc_signal(bars, cfg), cfg, checkpoint=checkpoint, keep_adx=keep_adx)
 
 
 def final_returns(pnl: DataFrame) -> DataFrame:
