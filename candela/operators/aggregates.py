@@ -73,12 +73,14 @@ def gen_trades(pnl: DataFrame) -> DataFrame:
 def strategy_summary(pnl: DataFrame, trades: DataFrame, periods: float = 365.0) -> DataFrame:
     """AGG-6: the 15 summary figures per symbol from bars and trades."""
     r = F.col("SR") - 1
+    acc = (F.avg((F.col("y_pred").cast("int") == F.col("Price_Rise")).cast("double")) if "y_pred" in pnl.columns
+           else F.lit(None).cast("double"))
     bars = pnl.groupBy("symbol").agg(
         F.max_by("CSR", RN).alias("strategy_return"), F.max_by("CMR", RN).alias("market_return"),
         F.count(F.lit(1)).alias("n_bars"), F.avg(r).alias("_mean"), F.stddev_pop(r).alias("_std"),
         (F.sum(F.pow(F.greatest(-r, F.lit(0.0)), 2)) / F.count(F.lit(1))).alias("_lpm2"),
         F.avg((F.col("signal") == "Buy").cast("double")).alias("buy_pct"),
-        F.avg((F.col("y_pred").cast("int") == F.col("Price_Rise")).cast("double")).alias("accuracy"),
+        acc.alias("accuracy"),
         F.avg(F.col("sl").cast("double")).alias("sl_freq"), F.avg(F.col("tp").cast("double")).alias("tp_freq"))
     trs = trades.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_trades"), F.avg("duration").alias("bars_in_trade"),

@@ -68,10 +68,10 @@ def bracket_exit(entries: DataFrame, bars: DataFrame, timeout: int, price: str =
     e = entries.withColumn("_off", F.explode(F.sequence(F.lit(0), F.lit(int(timeout)))))
     j = e.join(b, (e.symbol == b.symbol) & (b._r == e.entry_rn + e._off)).drop(b.symbol)
     hit = (F.col("_off") > 0) & ((F.col("_px") > F.col("upper")) | (F.col("_px") < F.col("lower")))
-    agg = j.groupBy("symbol", "entry_rn").agg(
+    agg = j.groupBy("symbol", "entry_rn", "upper", "lower").agg(
         F.min(F.when(hit, F.col("_off"))).alias("_first_hit"), F.min_by("_px", F.when(hit, F.col("_off"))).alias("_hit_px"),
         F.max("_off").alias("_last"), F.max_by("_px", "_off").alias("_last_px"))
-    return agg.select("symbol", "entry_rn", F.coalesce("_first_hit", "_last").alias("bars_held"),
+    return agg.select("symbol", "entry_rn", "upper", "lower", F.coalesce("_first_hit", "_last").alias("bars_held"),
                       F.when(F.col("_first_hit").isNotNull(), F.col("_hit_px")).otherwise(F.col("_last_px")).alias("exit_price"))
 
 

@@ -530,5 +530,5 @@ def q_jon10(spark, sf):
     td = FE.rolling(SG.roc_signal(bars, ROC), {"_nw": lambda w: ~F.col("signal").eqNullSafe(F.lag("signal").over(w))}, back=1)
     entries = td.filter(F.col("_nw") & (F.col("signal") == "Buy")).select(
         "symbol", F.col(RN).alias("entry_rn"), (F.col("close") * 1.2).alias("upper"), (F.col("close") * 0.8).alias("lower"))
-    res = JN.bracket_exit(entries, bars, 12)
+    res = JN.bracket_exit(entries, bars, 12).drop("upper", "lower")
     return rounded(res.withColumn("bars_held", F.col("bars_held").cast("bigint")))
