@@ -64,11 +64,14 @@ def encode_cyclical(c: str | Column, max_val: float) -> tuple[Column, Column]:
 
 def half_up(c: str | Column, d: int = 6) -> Column:
     """Round half up as plain double arithmetic, floor(x*10^d + 0.5)/10^d, so that any engine doing
-    the same IEEE operations publishes the same digits."""
+    the same IEEE operations publishes the same digits. Values are first snapped to the 10^-(d+3)
+    grid, so last-bit differences from summation order cannot decide an exact decimal tie."""
     x = col(c)
-    scale = float(10.0 ** d)
-    return F.when(F.abs(x) * F.lit(scale) < F.lit(1e17),
-                  F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(F.round(x, d))
+    fine, scale = float(10.0 ** (d + 3)), float(10.0 ** d)
+    snapped = F.when(F.abs(x) * F.lit(fine) < F.lit(1e17), F.floor(x * F.lit(fine) + F.lit(0.5)).cast("double") / F.lit(fine)) \
+        .otherwise(x)
+    return F.when(F.abs(snapped) * F.lit(scale) < F.lit(1e17),
+                  F.floor(snapped * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(F.round(x, d))
 
 
 def sig_round(c: str | Column, digits: int = 10) -> Column:
@@ -83,5 +86,6 @@ def sig_round(c: str | Column, digits: int = 10) -> Column:
 
 
 def _scaled_half_up(x: Column, d: int) -> Column:
-    scale = float(f"1e{d}")
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    fine, scale = float(f"1e{d + 3}"), float(f"1e{d}")
+    snapped = F.floor(x * F.lit(fine) + F.lit(0.5)).cast("double") / F.lit(fine)
+    return F.floor(snapped * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)

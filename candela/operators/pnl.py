@@ -108,7 +108,8 @@ def fees(cfg: StrategyConfig) -> Column:
     return fee
 
 
-def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_adx: bool = True) -> DataFrame:
+def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_adx: bool = True,
+            lean: bool = False) -> DataFrame:
     """PNL-12: the bar-level P&L frame (columns of the reference's backtest frame plus rn).
 
     Input: a signal frame (symbol, bar_ts, open, high, low, close, signal[, size, y_pred, y_pred_val,
@@ -120,7 +121,8 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
     ADX is needed for its values only by the risk-off adjustment. Otherwise it only removes its
     warm-up (the first 2n-1 bars of each series, where ADX is undefined); with ``keep_adx=False``
     that drop is done by a position flag and the ADX column is not produced. ``checkpoint`` cuts
-    the lineage after the ADX phase (reliable checkpoint in the shared folder).
+    the lineage after the ADX phase (reliable checkpoint in the shared folder). ``lean`` keeps only
+    the columns the returns need (of the pivots only R2, which the sell stop uses), for sweeps.
     """
     td = ensure_indexed(td)
     need_adx = keep_adx or cfg.adjust_signal
@@ -133,6 +135,8 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
         bt = rolling(td, {"_ok": lambda w: from_pos(w, warm)}, back=warm).filter(F.col("_ok")).drop("_ok")
         bt = bt.withColumn("ADX", F.lit(None).cast("double"))
     piv = pivot_points()
+    if lean:
+        piv = {"R2": piv["R2"]}
     cols = {k: (lambda v: lambda w: v)(v) for k, v in piv.items()}
     cols.update({
         "sl_price": lambda w: stop_price(w, cfg),

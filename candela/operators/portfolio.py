@@ -121,10 +121,22 @@ def lag_by(df: DataFrame, src: DataFrame, value: str, offset_col: str, out: str,
     return j.join(s, [*keys, "_rn_src"], "left").drop("_rn_src")
 
 
-def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig) -> DataFrame:
+SWEEP_COLS = ["symbol", "base_symbol", "param_id", "bar_ts", RN, BLK, "open", "high", "low", "close", "signal",
+              "y_pred", "y_pred_val", "y_pred_id"]
+
+
+def _indexed_once(bars: DataFrame, checkpoint: bool) -> DataFrame:
+    """Index the bars and, for a sweep, materialise them once: every parameter set reads them twice
+    (explode and the look-back join), so recomputing the tick aggregation per branch is avoided."""
+    from candela.session import cut_lineage
+    b = ensure_indexed(bars).select("symbol", "bar_ts", RN, BLK, "open", "high", "low", "close")
+    return cut_lineage(b) if checkpoint else b
+
+
+def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkpoint: bool = True) -> DataFrame:
     """SWP-1 signal stage: for every (symbol, period, threshold, delay): ROC(period), score
     1{ROC > threshold} delayed by delay + 1 bars, then the signal frame with the usual warm-up drop."""
-    bars = ensure_indexed(bars)
+    bars = _indexed_once(bars, checkpoint)
     x = explode_params(bars, grid)
     x = lag_by(x, bars.withColumnRenamed("symbol", "base_symbol"), "close", "period", "_prev", ["base_symbol"])
     x = x.withColumn("ROC", F.when(F.col("_prev").isNull(), F.lit(None).cast("double")).when(F.col("_prev") == 0, F.lit(0.0))
@@ -134,7 +146,7 @@ def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig
     scored = x.select("symbol", RN, "_raw")
     x = lag_by(x, scored, "_raw", "_d", "y_pred_val")
     x = rolling(x, {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
-    return gen_signal(x.drop("_prev", "_raw", "_d"), cfg, required=["DR", "ROC"])
+    return gen_signal(x.drop("_prev", "_raw", "_d"), cfg, required=["DR", "ROC"]).select(*SWEEP_COLS)
 
 
 def sweep_results(pnl: DataFrame) -> DataFrame:
@@ -144,16 +156,16 @@ def sweep_results(pnl: DataFrame) -> DataFrame:
     return r.select(F.col("base_symbol").alias("symbol"), "param_id", "CSR", (-F.col("CSR")).alias("loss"))
 
 
-def roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig) -> DataFrame:
+def roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkpoint: bool = True) -> DataFrame:
     """SWP-1/SWP-3: the ROC rule over a parameter grid; one row per (symbol, parameter set)."""
-    td = roc_sweep_signals(bars, grid, cfg)
-    return sweep_results(run_pnl(td, cfg, keep_adx=False))
+    td = roc_sweep_signals(bars, grid, cfg, checkpoint)
+    return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
 
 
 def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> DataFrame:
     """SWP-2: averaging-period sweep. ADR(n) = mean of DR over the last n bars for a per-row n, from a
     running sum and an equi-join n rows back; signal = 1{ADR > 1} acting on the next bar."""
-    bars = rolling(ensure_indexed(bars), {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
+    bars = rolling(_indexed_once(bars, True), {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
     bars = running(bars, [("DR", "sum", "_cs")])
     x = explode_params(bars, [{"period": int(p)} for p in periods])
     x = lag_by(x, bars.withColumnRenamed("symbol", "base_symbol"), "_cs", "period", "_cs_prev", ["base_symbol"])
@@ -161,8 +173,8 @@ def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> D
                                    (F.col("_cs") - F.coalesce(F.col("_cs_prev"), F.lit(0.0))) / F.col("period")))
     x = rolling(x, {"y_pred_val": lambda w: F.lag(F.when(F.col("ADR") > 1, F.lit(1.0)).otherwise(F.lit(0.0)), 1).over(w)},
                 back=1)
-    td = gen_signal(x.drop("_cs", "_cs_prev"), cfg, required=["DR", "ADR"])
-    return sweep_results(run_pnl(td, cfg, keep_adx=False))
+    td = gen_signal(x.drop("_cs", "_cs_prev"), cfg, required=["DR", "ADR"]).select(*SWEEP_COLS)
+    return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
 
 
 def param_grid(**axes: Sequence) -> list[dict]:

@@ -45,15 +45,19 @@ def index_series(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_ts
     b = block_rows(df)
     secs = setting(df.sparkSession, BUCKET_SECONDS_KEY, 30 * 86400)
     tb = df.withColumn("_tb", F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / F.lit(secs)))
-    tb = tb.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, "_tb").orderBy(order)) - 1)
-    counts = tb.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
+    wb = Window.partitionBy(*keys, "_tb")
+    tb = (tb.withColumn("_lrn", F.row_number().over(wb.orderBy(order)) - 1)
+          .withColumn("_cnt", F.count(F.lit(1)).over(wb)))
+    # the bucket table comes from the same windowed frame, so both branches share one exchange and
+    # the input (often an aggregation of ticks) is evaluated once
+    counts = tb.groupBy(*keys, "_tb").agg(F.max("_cnt").alias("_cnt"))
     offs = counts.select(
         *keys, "_tb",
         F.coalesce(F.sum("_cnt").over(Window.partitionBy(*keys).orderBy("_tb").rowsBetween(_UNB, -1)),
                    F.lit(0)).alias("_off"))
     out = tb.join(offs, on=[*keys, "_tb"], how="inner")
     out = out.withColumn(RN, (F.col("_off") + F.col("_lrn")).cast("long"))
-    return out.withColumn(BLK, F.floor(F.col(RN) / F.lit(b)).cast("long")).drop("_tb", "_lrn", "_off")
+    return out.withColumn(BLK, F.floor(F.col(RN) / F.lit(b)).cast("long")).drop("_tb", "_lrn", "_off", "_cnt")
 
 
 def reindex(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_ts") -> DataFrame:

@@ -198,8 +198,8 @@ def pnl_ctes(td: str, cfg: StrategyConfig, name: str = "pnl") -> str:
 def sig_sql(x: str, digits: int = 10) -> str:
     """DuckDB twin of ``scalar.sig_round``."""
     def sc(d):
-        s = repr(float(f"1e{d}"))
-        return f"floor({x} * {s} + 0.5) / {s}"
+        s, fn = repr(float(f"1e{d}")), repr(float(f"1e{d + 3}"))
+        return f"floor((floor({x} * {fn} + 0.5) / {fn}) * {s} + 0.5) / {s}"
     parts = [f"CASE WHEN {x} IS NULL OR {x} = 0 THEN {x}"]
     for k in range(307, -31, -1):
         parts.append(f"WHEN abs({x}) >= {float(f'1e{k}')!r} THEN {sc(digits - 1 - k)}")
@@ -237,7 +237,8 @@ def half_up_sql(sql: str) -> str:
         else:
             inner = half_up_sql(sql[j + 6:comma])
             d = int(sql[comma + 1:k].strip())
-            sc = repr(float(10.0 ** d))
-            out.append(f"(CASE WHEN abs({inner}) * {sc} < 1e17 THEN floor(({inner}) * {sc} + 0.5) / {sc} "
-                       f"ELSE round({inner}, {d}) END)")
+            sc, fn = repr(float(10.0 ** d)), repr(float(10.0 ** (d + 3)))
+            snap = f"CASE WHEN abs(_x) * {fn} < 1e17 THEN floor(_x * {fn} + 0.5) / {fn} ELSE _x END"
+            fin = f"CASE WHEN abs(_s) * {sc} < 1e17 THEN floor(_s * {sc} + 0.5) / {sc} ELSE round(_s, {d}) END"
+            out.append(f"(list_transform(list_transform([CAST(({inner}) AS DOUBLE)], lambda _x: {snap}), lambda _s: {fin})[1])")
         i = k + 1
