@@ -74,18 +74,24 @@ def half_up(c: str | Column, d: int = 6) -> Column:
                   F.floor(snapped * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(F.round(x, d))
 
 
+# Exact powers of ten 1e-300 .. 1e307 as parsed doubles (index 0 is 1e-300).
+POW10_LO, POW10_HI = -300, 307
+
+
+def _pow10(idx: Column, table: Column) -> Column:
+    return F.element_at(table, (idx - POW10_LO + 1).cast("int"))
+
+
 def sig_round(c: str | Column, digits: int = 10) -> Column:
     """Round to ``digits`` significant digits (used to publish compounded multiples, whose last bits
-    depend on multiplication order)."""
+    depend on multiplication order). The decade k comes from log10 and is corrected against exact
+    powers of ten; the value is snapped to digits+3 significant digits and then rounded half up."""
     x = col(c)
     a = F.abs(x)
-    out = F.when(x.isNull() | (x == 0), x)
-    for k in range(307, -31, -1):
-        out = out.when(a >= F.lit(float(f"1e{k}")), _scaled_half_up(x, digits - 1 - k))
-    return out.otherwise(_scaled_half_up(x, digits + 30))
-
-
-def _scaled_half_up(x: Column, d: int) -> Column:
-    fine, scale = float(f"1e{d + 3}"), float(f"1e{d}")
-    snapped = F.floor(x * F.lit(fine) + F.lit(0.5)).cast("double") / F.lit(fine)
-    return F.floor(snapped * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    table = F.lit([float(f"1e{e}") for e in range(POW10_LO, POW10_HI + 1)])  # one array literal
+    k0 = F.least(F.greatest(F.floor(F.log10(a)).cast("int"), F.lit(-30)), F.lit(POW10_HI - 1))
+    k = (F.when(a < _pow10(k0, table), k0 - 1).when(a >= _pow10(k0 + 1, table), k0 + 1).otherwise(k0))
+    d = F.lit(digits - 1) - k
+    fine, scale = _pow10(d + 3, table), _pow10(d, table)
+    snapped = F.floor(x * fine + F.lit(0.5)).cast("double") / fine
+    return F.when(x.isNull() | (x == 0), x).otherwise(F.floor(snapped * scale + F.lit(0.5)).cast("double") / scale)

@@ -3,7 +3,8 @@
 ``run_pnl`` is the whole bar-level pipeline: ADX warm-up, pivots, stops, take-profit, trade keys,
 fees, margin, strategy/market returns, risk-off adjustment and compounding. It has no state
 feedback (a stop depends on prices and the previous bar only), so it is windows, block scans and
-column arithmetic; phases are separated by reliable checkpoints to keep plans small.
+column arithmetic. Frames that feed a block scan are stored once (``session.materialize``), so no
+branch re-runs the plan above it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from candela.functions.scalar import div, full, lag, lead, pivot_points, truncat
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.indicators import adx
 from candela.operators.series import RN, from_pos, running
-from candela.session import cut_lineage
 
 
 
@@ -120,16 +120,14 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
 
     ADX is needed for its values only by the risk-off adjustment. Otherwise it only removes its
     warm-up (the first 2n-1 bars of each series, where ADX is undefined); with ``keep_adx=False``
-    that drop is done by a position flag and the ADX column is not produced. ``checkpoint`` cuts
-    the lineage after the ADX phase (reliable checkpoint in the shared folder). ``lean`` keeps only
+    that drop is done by a position flag and the ADX column is not produced. (``checkpoint`` is kept
+    for callers; scans store their inputs themselves, see ``session.materialize``.) ``lean`` keeps only
     the columns the returns need (of the pivots only R2, which the sell stop uses), for sweeps.
     """
     td = ensure_indexed(td)
     need_adx = keep_adx or cfg.adjust_signal
     if need_adx:
         bt = adx(td, cfg.adx_period, "ADX").filter(F.col("ADX").isNotNull())
-        if checkpoint:
-            bt = cut_lineage(bt)
     else:
         warm = 2 * cfg.adx_period - 1
         bt = rolling(td, {"_ok": lambda w: from_pos(w, warm)}, back=warm).filter(F.col("_ok")).drop("_ok")

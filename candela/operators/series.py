@@ -22,7 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.session import BLOCK_ROWS_KEY, BUCKET_SECONDS_KEY, setting
+from candela.session import BLOCK_ROWS_KEY, BUCKET_SECONDS_KEY, materialize, setting
 
 RN = "rn"
 BLK = "_blk"
@@ -57,7 +57,8 @@ def index_series(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_ts
                    F.lit(0)).alias("_off"))
     out = tb.join(offs, on=[*keys, "_tb"], how="inner")
     out = out.withColumn(RN, (F.col("_off") + F.col("_lrn")).cast("long"))
-    return out.withColumn(BLK, F.floor(F.col(RN) / F.lit(b)).cast("long")).drop("_tb", "_lrn", "_off", "_cnt")
+    out = out.withColumn(BLK, F.floor(F.col(RN) / F.lit(b)).cast("long")).drop("_tb", "_lrn", "_off", "_cnt")
+    return materialize(out)
 
 
 def reindex(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_ts") -> DataFrame:
@@ -125,9 +126,8 @@ def running(df: DataFrame, specs: Sequence[tuple[str | Column, str, str]], keys:
     for i, (src, op, out) in enumerate(specs):
         c = F.col(src) if isinstance(src, str) else src
         cols.append((f"_rin{i}", c, op, out))
-    x = df
-    for name, c, _, _ in cols:
-        x = x.withColumn(name, c)
+    x = df.withColumns({name: c for name, c, _, _ in cols})
+    x = materialize(x)
     wloc = Window.partitionBy(*keys, BLK).orderBy(RN).rowsBetween(_UNB, 0)
     block_aggs = []
     for name, _, op, _ in cols:
@@ -183,9 +183,8 @@ def affine_scan(df: DataFrame, specs: Sequence[tuple[str | Column, float, str]],
         items.append((f"_c{i}", c, math.log(a), out))
     bs = min(_sub_block(math.exp(la), b) for _, _, la, _ in items)
     hops = max(max(1, math.ceil(690.0 / (bs * -la))) for _, _, la, _ in items)
-    x = df
-    for name, c, _, _ in items:
-        x = x.withColumn(name, F.coalesce(c.cast("double"), F.lit(0.0)))
+    x = df.withColumns({name: F.coalesce(c.cast("double"), F.lit(0.0)) for name, c, _, _ in items})
+    x = materialize(x)
     p = F.col(pos or RN)
     x = x.withColumn("_sb", F.floor(p / F.lit(bs)).cast("long"))
     x = x.withColumn("_j", (p - F.col("_sb") * F.lit(bs)).cast("double"))

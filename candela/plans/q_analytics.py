@@ -388,6 +388,18 @@ def q_rsk05(spark, sf):
     return rounded(RK.var_cvar(RK.bar_returns(bars_hourly(spark, sf)), "r", 0.05))
 
 
+@register("rsk07_price_path", RET_SQL + """,
+p AS (SELECT symbol, bar_ts, 100.0 * (1 + r) AS value, 100.0 * product(1 + r) OVER (PARTITION BY symbol ORDER BY bar_ts
+             ROWS UNBOUNDED PRECEDING) AS value_path FROM r1)
+""" + rsql(["symbol", "bar_ts", "value", "value_path"], ["value", "value_path"], "p"))
+def q_rsk07(spark, sf):
+    """RSK-7: values base*(1+r) as coded (not compounded, Q9) and the compounded path."""
+    r = RK.bar_returns(bars_hourly(spark, sf))
+    a = RK.price_path(r, "r").select("symbol", "bar_ts", "value")
+    b = RK.price_path(r, "r", compound=True).select("symbol", "bar_ts", F.col("value").alias("value_path"))
+    return rounded(a.join(b, ["symbol", "bar_ts"]))
+
+
 _TAUS = list(range(0, 21))
 DD_SQL = RET_SQL + f""",
 v0 AS (SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) AS p, 100.0 * (1 + r) AS value FROM r1

@@ -195,16 +195,21 @@ def pnl_ctes(td: str, cfg: StrategyConfig, name: str = "pnl") -> str:
   FROM {last} WINDOW w AS (PARTITION BY symbol ORDER BY pos))"""
 
 
+POW10_SQL = "[" + ", ".join(repr(float(f"1e{e}")) for e in range(-300, 308)) + "]"
+
+
 def sig_sql(x: str, digits: int = 10) -> str:
-    """DuckDB twin of ``scalar.sig_round``."""
-    def sc(d):
-        s, fn = repr(float(f"1e{d}")), repr(float(f"1e{d + 3}"))
-        return f"floor((floor({x} * {fn} + 0.5) / {fn}) * {s} + 0.5) / {s}"
-    parts = [f"CASE WHEN {x} IS NULL OR {x} = 0 THEN {x}"]
-    for k in range(307, -31, -1):
-        parts.append(f"WHEN abs({x}) >= {float(f'1e{k}')!r} THEN {sc(digits - 1 - k)}")
-    parts.append(f"ELSE {sc(digits + 30)} END")
-    return " ".join(parts)
+    """DuckDB twin of ``scalar.sig_round`` (same decade correction, same literal powers of ten)."""
+    p = f"{POW10_SQL}"
+
+    def pw(i):
+        return f"list_element({p}, CAST(({i}) + 301 AS INTEGER))"
+    body = (f"list_transform([CAST(least(greatest(floor(log10(abs(_x))), -30), 306) AS INTEGER)], lambda _k0: "
+            f"CASE WHEN abs(_x) < {pw('_k0')} THEN _k0 - 1 WHEN abs(_x) >= {pw('_k0 + 1')} THEN _k0 + 1 ELSE _k0 END)[1]")
+    rnd = (f"list_transform([{digits - 1} - ({body})], lambda _d: "
+           f"floor((floor(_x * {pw('_d + 3')} + 0.5) / {pw('_d + 3')}) * {pw('_d')} + 0.5) / {pw('_d')})[1]")
+    return (f"(list_transform([CAST(({x}) AS DOUBLE)], lambda _x: CASE WHEN _x IS NULL OR _x = 0 THEN _x "
+            f"ELSE {rnd} END)[1])")
 
 
 def half_up_sql(sql: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 BLOCK_ROWS_KEY = "spark.candela.blockRows"
 BUCKET_SECONDS_KEY = "spark.candela.bucketSeconds"
 SPLITS_KEY = "spark.candela.rankSplits"
+MATERIALIZE_KEY = "spark.candela.materialize"
 
 
 def get_spark(master: str | None = None, app: str = "candela", shuffle_partitions: int | None = None,
@@ -32,6 +33,7 @@ def get_spark(master: str | None = None, app: str = "candela", shuffle_partition
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CANDELA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -67,5 +69,17 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def materialize(df):
+    """Store a frame that feeds more than one branch (reliable checkpoint in the shared folder).
+
+    Without it every branch of a self-join re-runs the whole upstream plan (column pruning makes the
+    branches differ, so no exchange is reused), and chained scans multiply that work.
+    ``spark.candela.materialize=false`` turns it off.
+    """
+    if df.sparkSession.conf.get(MATERIALIZE_KEY, "true").lower() == "false":
+        return df
+    return cut_lineage(df)
+
+
 def setting(spark: SparkSession, key: str, default) -> int:
     return int(spark.conf.get(key, str(default)))
