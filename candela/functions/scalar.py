@@ -82,16 +82,22 @@ def _pow10(idx: Column, table: Column) -> Column:
     return F.element_at(table, (idx - POW10_LO + 1).cast("int"))
 
 
-def sig_round(c: str | Column, digits: int = 10) -> Column:
-    """Round to ``digits`` significant digits (used to publish compounded multiples, whose last bits
-    depend on multiplication order). The decade k comes from log10 and is corrected against exact
-    powers of ten; the value is snapped to digits+3 significant digits and then rounded half up."""
+def publish(c: str | Column, decimals: int = 6, digits: int = 10) -> Column:
+    """Publication rounding: ``decimals`` decimal places but at most ``digits`` significant digits.
+    The decade k comes from log10 and is corrected against exact powers of ten; the value is snapped
+    to 3 finer places and then rounded half up, all as plain double arithmetic, so engines that
+    compute the same value up to last-bit noise publish the same digits."""
     x = col(c)
     a = F.abs(x)
     table = F.lit([float(f"1e{e}") for e in range(POW10_LO, POW10_HI + 1)])  # one array literal
     k0 = F.least(F.greatest(F.floor(F.log10(a)).cast("int"), F.lit(-30)), F.lit(POW10_HI - 1))
     k = (F.when(a < _pow10(k0, table), k0 - 1).when(a >= _pow10(k0 + 1, table), k0 + 1).otherwise(k0))
-    d = F.lit(digits - 1) - k
+    d = F.least(F.lit(decimals), F.lit(digits - 1) - k)
     fine, scale = _pow10(d + 3, table), _pow10(d, table)
     snapped = F.floor(x * fine + F.lit(0.5)).cast("double") / fine
     return F.when(x.isNull() | (x == 0), x).otherwise(F.floor(snapped * scale + F.lit(0.5)).cast("double") / scale)
+
+
+def sig_round(c: str | Column, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (no decimal cap)."""
+    return publish(c, 400, digits)

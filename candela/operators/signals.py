@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.config import StrategyConfig
-from candela.functions.scalar import col, div, lag, truncate, truncate_id
+from candela.functions.scalar import col, div, half_up, lag, truncate, truncate_id
 from candela.operators.features import e_gross_return, e_roc, ensure_indexed, rolling, whole_series
 from candela.operators.indicators import ffill
 from candela.operators.series import KEYS, RN
@@ -108,7 +108,7 @@ def latest_signal(pnl: DataFrame, cfg: StrategyConfig) -> DataFrame:
     precision (max_by over rn: one partial row per task, no sort of the whole series)."""
     fields = ["bar_ts", "date_to", "new_trade", "signal", "open", "close", "CSR", "sl", "sl_price", "tp", "tp_price"]
     last = pnl.groupBy("symbol").agg(F.max_by(F.struct(*fields), F.col(RN)).alias("l")).select("symbol", "l.*")
-    return (last.withColumn("pnl", F.round(F.lit(100.0) * (F.col("CSR") - 1), 2))
+    return (last.withColumn("pnl", half_up(F.lit(100.0) * (F.col("CSR") - 1), 2))
             .withColumn("sl_price", truncate("sl_price", cfg.price_precision))
             .withColumn("tp_price", truncate("tp_price", cfg.price_precision)))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.config import PRESETS
-from candela.functions.scalar import half_up, sig_round
+from candela.functions.scalar import publish
 from candela.plans import sqlparts as S
 from candela.plans.strategies import final_returns, roc_backtest
 from candela.sources.fixtures import BARS_DAILY_SQL, BARS_HOURLY_SQL, bars_daily, bars_hourly
@@ -28,8 +28,9 @@ def register(name: str, sql: str | None):
     return deco
 
 
-# Compounded multiples are published with 10 significant digits (multiplication order changes the
-# last bits); other doubles with 6 decimals.
+# Every double is published with 6 decimals and at most 10 significant digits (see scalar.publish);
+# compounded multiples (products over many bars, whose last bits depend on multiplication order)
+# with at most 8 significant digits.
 COMPOUNDED = {"CSR", "CMR", "strategy_return", "market_return", "mr", "sr", "SRTotal", "DRTotal", "MR", "SR", "SR_total",
               "account", "growth", "cum_ret", "total_return_pct", "cond_return", "trailing_return", "value_path",
               "CSR_r", "CSR_e", "ret", "basket_CSR", "bench_CMR", "realised", "benchmark",
@@ -41,7 +42,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for fld in df.schema.fields:
         if isinstance(fld.dataType, T.DoubleType):
-            c = sig_round(fld.name) if fld.name in COMPOUNDED else half_up(fld.name, digits)
+            c = publish(fld.name, 6, 8) if fld.name in COMPOUNDED else publish(fld.name)
             out.append(c.alias(fld.name))
         else:
             out.append(F.col(fld.name))
@@ -50,7 +51,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def rsql(cols: list[str], dbl: list[str], src: str, digits: int = 6) -> str:
     """SELECT list with the DOUBLE columns rounded."""
-    parts = [(f"{S.sig_sql(c)} AS {c}" if c in COMPOUNDED else f"round({c}, {digits}) AS {c}") if c in dbl else c
+    parts = [(f"{S.publish_sql(c, 6, 8)} AS {c}" if c in COMPOUNDED else f"{S.publish_sql(c)} AS {c}") if c in dbl else c
              for c in cols]
     return f"SELECT {', '.join(parts)} FROM {src}"
 

@@ -198,20 +198,23 @@ def pnl_ctes(td: str, cfg: StrategyConfig, name: str = "pnl") -> str:
 POW10_SQL = "[" + ", ".join(repr(float(f"1e{e}")) for e in range(-300, 308)) + "]"
 
 
-def sig_sql(x: str, digits: int = 10) -> str:
-    """DuckDB twin of ``scalar.sig_round`` (same decade correction, same literal powers of ten)."""
-    p = f"{POW10_SQL}"
-
+def publish_sql(x: str, decimals: int = 6, digits: int = 10) -> str:
+    """DuckDB twin of ``scalar.publish`` (same decade correction, same literal powers of ten)."""
     def pw(i):
-        return f"list_element({p}, CAST(({i}) + 301 AS INTEGER))"
+        return f"list_element({POW10_SQL}, CAST(({i}) + 301 AS INTEGER))"
     body = (f"list_transform([CAST(least(greatest(floor(log10(abs(_x))), -30), 306) AS INTEGER)], lambda _k0: "
             f"CASE WHEN abs(_x) < {pw('_k0')} THEN _k0 - 1 WHEN abs(_x) >= {pw('_k0 + 1')} THEN _k0 + 1 ELSE _k0 END)[1]")
-    rnd = (f"list_transform([{digits - 1} - ({body})], lambda _d: "
+    rnd = (f"list_transform([least({decimals}, {digits - 1} - ({body}))], lambda _d: "
            f"floor((floor(_x * {pw('_d + 3')} + 0.5) / {pw('_d + 3')}) * {pw('_d')} + 0.5) / {pw('_d')})[1]")
     return (f"(list_transform([CAST(({x}) AS DOUBLE)], lambda _x: CASE WHEN _x IS NULL OR _x = 0 THEN _x "
             f"ELSE {rnd} END)[1])")
 
 
+def sig_sql(x: str, digits: int = 8) -> str:
+    """Compounded multiples: 6 decimals, at most 8 significant digits."""
+    return publish_sql(x, 6, digits)
+
+
 def half_up_sql(sql: str) -> str:
     """Rewrite every ``round(e, d)`` of an oracle query into the half-up double formula of
     ``scalar.half_up`` so both engines publish identical digits."""
@@ -242,6 +245,10 @@ def half_up_sql(sql: str) -> str:
         else:
             inner = half_up_sql(sql[j + 6:comma])
             d = int(sql[comma + 1:k].strip())
+            if d == 6:
+                out.append(publish_sql(inner))
+                i = k + 1
+                continue
             sc, fn = repr(float(10.0 ** d)), repr(float(10.0 ** (d + 3)))
             snap = f"CASE WHEN abs(_x) * {fn} < 1e17 THEN floor(_x * {fn} + 0.5) / {fn} ELSE _x END"
             fin = f"CASE WHEN abs(_s) * {sc} < 1e17 THEN floor(_s * {sc} + 0.5) / {sc} ELSE round(_s, {d}) END"
