@@ -16,7 +16,7 @@ from candela.config import StrategyConfig
 from candela.functions.scalar import div, full, lag, lead, pivot_points, truncate
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.indicators import adx
-from candela.operators.series import RN, from_pos, running
+from candela.operators.series import BLK, RN, from_pos, running
 
 
 
@@ -149,6 +149,10 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
     bt = (bt.withColumn("trade_id", F.when(F.col("new_trade"), F.unix_seconds(F.col("bar_ts").cast("timestamp"))))
           .withColumn("open_price", F.when(F.col("new_trade"), F.col("open")))
           .withColumn("trade_rn", F.when(F.col("new_trade"), F.col(RN))))
+    if lean:  # keep only what the returns need before the stored scans
+        keep = ["symbol", RN, BLK, "bar_ts", "open", "high", "low", "close", "signal", "sl", "tp", "sl_price", "tp_price",
+                "new_trade", "DR", "ADX_prev", "trade_id", "open_price", "trade_rn", "size", "base_symbol", "param_id"]
+        bt = bt.select(*[c for c in keep if c in bt.columns])
     bt = running(bt, [(c, "last", c) for c in ("trade_id", "open_price", "trade_rn", "sl_price")])
     bt = (bt.withColumn("close_price", exit_price())
           .withColumn("ctr", trade_return(cfg))
