@@ -98,6 +98,35 @@ def publish(c: str | Column, decimals: int = 6, digits: int = 10) -> Column:
     return F.when(x.isNull() | (x == 0), x).otherwise(F.floor(snapped * scale + F.lit(0.5)).cast("double") / scale)
 
 
+def publish_frame(df, specs: dict[str, tuple[int, int]]):
+    """``publish`` applied to many columns of ``df`` in staged projections (decade, then places,
+    then the value), so each piece is computed once per value. ``specs``: column -> (decimals, digits)."""
+    table = F.lit([float(f"1e{e}") for e in range(POW10_LO, POW10_HI + 1)])
+    names = list(specs)
+    tmp = {c: f"__p{i}" for i, c in enumerate(names)}
+    x = df.select("*", *[F.abs(F.col(c)).alias(f"{tmp[c]}_a") for c in names])
+    x = x.select("*", *[F.least(F.greatest(F.floor(F.log10(f"{tmp[c]}_a")).cast("int"), F.lit(-30)),
+                                F.lit(POW10_HI - 1)).alias(f"{tmp[c]}_k0") for c in names])
+    x = x.select("*", *[(lambda a, k0: F.when(a < _pow10(k0, table), k0 - 1).when(a >= _pow10(k0 + 1, table), k0 + 1)
+                         .otherwise(k0))(F.col(f"{tmp[c]}_a"), F.col(f"{tmp[c]}_k0")).alias(f"{tmp[c]}_k") for c in names])
+    x = x.select("*", *[F.least(F.lit(specs[c][0]), F.lit(specs[c][1] - 1) - F.col(f"{tmp[c]}_k")).alias(f"{tmp[c]}_d")
+                        for c in names])
+    x = x.select("*", *[_pow10(F.col(f"{tmp[c]}_d") + 3, table).alias(f"{tmp[c]}_f") for c in names],
+                 *[_pow10(F.col(f"{tmp[c]}_d"), table).alias(f"{tmp[c]}_s") for c in names])
+    x = x.select("*", *[(F.floor(F.col(c) * F.col(f"{tmp[c]}_f") + F.lit(0.5)).cast("double") / F.col(f"{tmp[c]}_f"))
+                        .alias(f"{tmp[c]}_n") for c in names])
+    out = []
+    for col_name in df.columns:
+        if col_name in specs:
+            t = tmp[col_name]
+            v = F.col(col_name)
+            out.append(F.when(v.isNull() | (v == 0), v).otherwise(
+                F.floor(F.col(f"{t}_n") * F.col(f"{t}_s") + F.lit(0.5)).cast("double") / F.col(f"{t}_s")).alias(col_name))
+        else:
+            out.append(F.col(col_name))
+    return x.select(*out)
+
+
 def sig_round(c: str | Column, digits: int = 10) -> Column:
     """Round to ``digits`` significant digits (no decimal cap)."""
     return publish(c, 400, digits)

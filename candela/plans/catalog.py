@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.config import PRESETS
-from candela.functions.scalar import publish
+from candela.functions.scalar import publish_frame
 from candela.plans import sqlparts as S
 from candela.plans.strategies import final_returns, roc_backtest
 from candela.sources.fixtures import BARS_DAILY_SQL, BARS_HOURLY_SQL, bars_daily, bars_hourly
@@ -38,15 +38,10 @@ COMPOUNDED = {"CSR", "CMR", "strategy_return", "market_return", "mr", "sr", "SRT
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every DOUBLE column (the oracle SQL rounds the same columns)."""
-    out = []
-    for fld in df.schema.fields:
-        if isinstance(fld.dataType, T.DoubleType):
-            c = publish(fld.name, 6, 8) if fld.name in COMPOUNDED else publish(fld.name)
-            out.append(c.alias(fld.name))
-        else:
-            out.append(F.col(fld.name))
-    return df.select(*out)
+    """Publish every DOUBLE column (the oracle SQL publishes the same columns the same way)."""
+    specs = {f.name: (digits, 8 if f.name in COMPOUNDED else 10) for f in df.schema.fields
+             if isinstance(f.dataType, T.DoubleType)}
+    return publish_frame(df, specs) if specs else df
 
 
 def rsql(cols: list[str], dbl: list[str], src: str, digits: int = 6) -> str:
