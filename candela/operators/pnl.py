@@ -16,7 +16,7 @@ from candela.config import StrategyConfig
 from candela.functions.scalar import div, full, lag, lead, pivot_points, truncate
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.indicators import adx
-from candela.operators.series import BLK, RN, from_pos, running
+from candela.operators.series import BLK, RN, at_pos, from_pos, running
 
 
 
@@ -126,26 +126,47 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
     """
     td = ensure_indexed(td)
     need_adx = keep_adx or cfg.adjust_signal
+    stops = cfg.buy_sl or cfg.sell_sl
+    targets = cfg.buy_tp or (cfg.sell_tp and cfg.short)
+    warm = 2 * cfg.adx_period - 1
+    merged = lean and not need_adx and not stops and not targets
     if need_adx:
         bt = adx(td, cfg.adx_period, "ADX").filter(F.col("ADX").isNotNull())
+    elif merged:
+        bt = td  # the warm-up drop is folded into stage 1 below
     else:
-        warm = 2 * cfg.adx_period - 1
         bt = rolling(td, {"_ok": lambda w: from_pos(w, warm)}, back=warm).filter(F.col("_ok")).drop("_ok")
         bt = bt.withColumn("ADX", F.lit(None).cast("double"))
+    if merged:
+        # stage 1 needs one-bar look-backs only: flag the first kept bar and treat its look-backs as
+        # missing, exactly as if the warm-up bars had been removed first
+        bt = rolling(bt, [
+            ("_ok", lambda w: from_pos(w, warm)), ("_first", lambda w: at_pos(w, warm)),
+            ("sl_price", lambda w: F.lit(None).cast("double")), ("sl", lambda w: F.lit(False)),
+            ("tp_price", lambda w: F.lit(None).cast("double")), ("tp", lambda w: F.lit(False)),
+            ("new_trade", lambda w: F.col("_first") | ~F.col("signal").eqNullSafe(F.lag("signal", 1).over(w))),
+            ("DR", lambda w: F.when(F.col("_first"), F.lit(None).cast("double")).otherwise(div(F.col("close"), lag("close", 1, w)))),
+        ], back=warm + 1).filter(F.col("_ok")).drop("_ok", "_first")
+        bt = bt.withColumn("ADX", F.lit(None).cast("double")).withColumn("ADX_prev", F.lit(None).cast("double"))
     piv = pivot_points()
     if lean:
-        piv = {"R2": piv["R2"]}
+        piv = {"R2": piv["R2"]} if stops else {}
     cols = {k: (lambda v: lambda w: v)(v) for k, v in piv.items()}
+    if lean and not stops:  # a stop can never fire: its price cannot reach the returns
+        cols.update({"sl_price": lambda w: F.lit(None).cast("double"), "sl": lambda w: F.lit(False)})
+    else:
+        cols.update({"sl_price": lambda w: stop_price(w, cfg), "sl": lambda w: stop_hit(cfg)})
+    if lean and not targets:
+        cols.update({"tp_price": lambda w: F.lit(None).cast("double"), "tp": lambda w: F.lit(False)})
+    else:
+        cols.update({"tp_price": lambda w: take_profit_price(cfg), "tp": lambda w: take_profit_hit(cfg)})
     cols.update({
-        "sl_price": lambda w: stop_price(w, cfg),
-        "sl": lambda w: stop_hit(cfg),
-        "tp_price": lambda w: take_profit_price(cfg),
-        "tp": lambda w: take_profit_hit(cfg),
         "new_trade": new_trade,
         "DR": lambda w: div(F.col("close"), lag("close", 1, w)),
         "ADX_prev": lambda w: lag("ADX", 1, w),
     })
-    bt = rolling(bt, cols, back=cfg.stop_sma_period + 1)
+    if not merged:
+        bt = rolling(bt, cols, back=cfg.stop_sma_period + 1 if (stops or not lean) else 1)
     bt = (bt.withColumn("trade_id", F.when(F.col("new_trade"), F.unix_seconds(F.col("bar_ts").cast("timestamp"))))
           .withColumn("open_price", F.when(F.col("new_trade"), F.col("open")))
           .withColumn("trade_rn", F.when(F.col("new_trade"), F.col(RN))))
@@ -153,7 +174,10 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
         keep = ["symbol", RN, BLK, "bar_ts", "open", "high", "low", "close", "signal", "sl", "tp", "sl_price", "tp_price",
                 "new_trade", "DR", "ADX_prev", "trade_id", "open_price", "trade_rn", "size", "base_symbol", "param_id"]
         bt = bt.select(*[c for c in keep if c in bt.columns])
-    bt = running(bt, [(c, "last", c) for c in ("trade_id", "open_price", "trade_rn", "sl_price")])
+    filled = ["trade_id", "open_price", "trade_rn", "sl_price"]
+    if lean:
+        filled = ["trade_id", "open_price"] + (["trade_rn"] if cfg.short else []) + (["sl_price"] if stops else [])
+    bt = running(bt, [(c, "last", c) for c in filled])
     bt = (bt.withColumn("close_price", exit_price())
           .withColumn("ctr", trade_return(cfg))
           .withColumn("summargin", margin_sum(cfg))
@@ -176,12 +200,13 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
             cash_to_one,
         ]
         back = n + 1
-    stage2 += [
-        ("Price_Rise", lambda w: F.when(F.col("DR") > 1, F.lit(1)).otherwise(F.lit(0))),
-        ("date_to", lambda w: F.coalesce(lead("bar_ts", 1, w), F.col("bar_ts") + F.make_dt_interval(
-            F.lit(0), F.lit(0), F.lit(cfg.trade_interval)))),
-    ]
-    bt = rolling(bt, stage2, back=back, fwd=1)
+    if not lean:  # bar end and Price_Rise are report columns; sweeps read only the returns
+        stage2 += [
+            ("Price_Rise", lambda w: F.when(F.col("DR") > 1, F.lit(1)).otherwise(F.lit(0))),
+            ("date_to", lambda w: F.coalesce(lead("bar_ts", 1, w), F.col("bar_ts") + F.make_dt_interval(
+                F.lit(0), F.lit(0), F.lit(cfg.trade_interval)))),
+        ]
+    bt = rolling(bt, stage2, back=back, fwd=0 if lean else 1)
     bt = running(bt, [("SR", "product", "CSR"), ("DR", "product", "CMR")])
     return bt if need_adx else bt.drop("ADX", "ADX_prev")
 

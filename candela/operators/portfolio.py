@@ -133,20 +133,36 @@ def _indexed_once(bars: DataFrame, checkpoint: bool) -> DataFrame:
     return cut_lineage(b) if checkpoint else b
 
 
+def _pick(col_for: dict, key: str):
+    """The column named for this row's value of ``key`` (the grid's values are a fixed list)."""
+    out = None
+    for v, c in col_for.items():
+        out = F.when(F.col(key) == v, F.col(c)) if out is None else out.when(F.col(key) == v, F.col(c))
+    return out
+
+
 def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkpoint: bool = True) -> DataFrame:
     """SWP-1 signal stage: for every (symbol, period, threshold, delay): ROC(period), score
-    1{ROC > threshold} delayed by delay + 1 bars, then the signal frame with the usual warm-up drop."""
+    1{ROC > threshold} delayed by delay + 1 bars, then the signal frame with the usual warm-up drop.
+
+    Work that does not depend on the parameters runs on the bars before the grid is exploded: DR,
+    and the close ``p`` bars back for each distinct period ``p`` of the grid (one column each)."""
     bars = _indexed_once(bars, checkpoint)
-    x = explode_params(bars, grid)
-    x = lag_by(x, bars.withColumnRenamed("symbol", "base_symbol"), "close", "period", "_prev", ["base_symbol"])
+    periods = sorted({int(p["period"]) for p in grid})
+    lags = {p: f"_c{p}" for p in periods}
+    cols = {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}
+    cols.update({c: (lambda p: lambda w: F.lag("close", p).over(w))(p) for p, c in lags.items()})
+    bars = rolling(bars, cols, back=max(periods))
+    x = explode_params(bars, grid).withColumn("_prev", _pick(lags, "period")).drop(*lags.values())
     x = x.withColumn("ROC", F.when(F.col("_prev").isNull(), F.lit(None).cast("double")).when(F.col("_prev") == 0, F.lit(0.0))
                      .otherwise(F.lit(100.0) * (F.col("close") / F.col("_prev") - 1)))
     x = x.withColumn("_raw", F.when(F.col("ROC") > F.col("threshold"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    x = x.withColumn("_d", F.col("delay") + 1)
-    scored = x.select("symbol", RN, "_raw")
-    x = lag_by(x, scored, "_raw", "_d", "y_pred_val")
-    x = rolling(x, {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
-    return gen_signal(x.drop("_prev", "_raw", "_d"), cfg, required=["DR", "ROC"]).select(*SWEEP_COLS)
+    # the score delay + 1 bars back: one lag column per distinct delay of the grid, one halo stage
+    delays = sorted({int(p["delay"]) for p in grid})
+    dl = {d: f"_s{d}" for d in delays}
+    x = rolling(x, {c: (lambda d: lambda w: F.lag("_raw", d + 1).over(w))(d) for d, c in dl.items()}, back=max(delays) + 1)
+    x = x.withColumn("y_pred_val", _pick(dl, "delay")).drop(*dl.values())
+    return gen_signal(x.drop("_prev", "_raw"), cfg, required=["DR", "ROC"]).select(*SWEEP_COLS)
 
 
 def sweep_results(pnl: DataFrame) -> DataFrame:
@@ -164,11 +180,14 @@ def roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkp
 
 def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> DataFrame:
     """SWP-2: averaging-period sweep. ADR(n) = mean of DR over the last n bars for a per-row n, from a
-    running sum and an equi-join n rows back; signal = 1{ADR > 1} acting on the next bar."""
+    running sum and its value n rows back (one lag column per period, on the bars); signal =
+    1{ADR > 1} acting on the next bar."""
     bars = rolling(_indexed_once(bars, True), {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
     bars = running(bars, [("DR", "sum", "_cs")])
+    lags = {int(p): f"_cs{int(p)}" for p in periods}
+    bars = rolling(bars, {c: (lambda p: lambda w: F.lag("_cs", p).over(w))(p) for p, c in lags.items()}, back=max(lags))
     x = explode_params(bars, [{"period": int(p)} for p in periods])
-    x = lag_by(x, bars.withColumnRenamed("symbol", "base_symbol"), "_cs", "period", "_cs_prev", ["base_symbol"])
+    x = x.withColumn("_cs_prev", _pick(lags, "period")).drop(*lags.values())
     x = x.withColumn("ADR", F.when(F.col(RN) >= F.col("period"),
                                    (F.col("_cs") - F.coalesce(F.col("_cs_prev"), F.lit(0.0))) / F.col("period")))
     x = rolling(x, {"y_pred_val": lambda w: F.lag(F.when(F.col("ADR") > 1, F.lit(1.0)).otherwise(F.lit(0.0)), 1).over(w)},

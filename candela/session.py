@@ -34,6 +34,7 @@ def get_spark(master: str | None = None, app: str = "candela", shuffle_partition
         .config("spark.driver.memory", os.environ.get("CANDELA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
