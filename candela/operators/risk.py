@@ -2,8 +2,8 @@
 
 Moments are single-pass aggregates. Value at risk needs an exact order statistic; it is computed
 without sorting a whole group in one task: approximate splitters (a mergeable sketch) cut each
-group into buckets, ties collapse in a partial ``groupBy(value)``, bucket totals locate the rank,
-and only the one bucket holding the rank is ordered. Drawdowns use the running peak (one pass) and
+group into buckets, bucket totals locate the rank, the search narrows to that bucket (twice), ties
+collapse in a partial ``groupBy(value)``, and only the small remainder is ordered. Drawdowns use the running peak (one pass) and
 exact lag-tau minima through an equi-join on row number.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from candela.functions.scalar import div
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.series import RN, running
-from candela.session import SPLITS_KEY, setting
+from candela.session import SPLITS_KEY, materialize, setting
 
 EPS = 1e-15
 
@@ -43,31 +43,43 @@ def moments(df: DataFrame, r: str = "r", m: str | None = "m", threshold: float =
     return df.filter(x.isNotNull()).groupBy(*keys).agg(*aggs)
 
 
-def kth_smallest(df: DataFrame, value: str, k: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+def kth_smallest(df: DataFrame, value: str, k: DataFrame, keys: Sequence[str] = ("symbol",), levels: int = 2) -> DataFrame:
     """Exact k-th smallest value (1-based, ``k`` table: keys + ``k``) and the sum of the k smallest,
-    per key, without a per-key sort. Output: keys, k, kth, sum_k."""
+    per key, without sorting a key in one task. Output: keys, k, kth, sum_k.
+
+    Each level cuts the key's remaining values into ``spark.candela.rankSplits`` buckets with
+    approximate splitters (a mergeable sketch), counts and sums the buckets (partial aggregation,
+    ties included), keeps only the bucket that holds the rank and moves the rank into it. After
+    ``levels`` levels only about n / splits**levels values of a key are left; ties collapse in a
+    ``groupBy(value)`` and that small remainder is ordered to read off the exact value."""
     keys = list(keys)
     splits = max(2, setting(df.sparkSession, SPLITS_KEY, 64))
-    v = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     qs = [i / splits for i in range(1, splits)]
-    cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", qs, 10000).alias("_cuts"))
-    vb = v.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
-    distinct = vb.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    buckets = distinct.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bc"), F.sum(F.col("_v") * F.col("_cnt")).alias("_bs"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (buckets.withColumn("_before", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
-               .withColumn("_before_sum", F.coalesce(F.sum("_bs").over(wb), F.lit(0.0))))
-    target = (buckets.join(k, keys).filter((F.col("_before") < F.col("k")) & (F.col("k") <= F.col("_before") + F.col("_bc")))
-              .select(*keys, "_b", "k", "_before", "_before_sum"))
-    inside = distinct.join(target, [*keys, "_b"])
+    v = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    state = k.select(*keys, F.col("k").alias("_k"), F.col("k"), F.lit(0.0).alias("_acc"))
+    for _ in range(levels):
+        cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", qs, 10000).alias("_cuts"))
+        vb = v.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+        vb = materialize(vb)
+        buckets = vb.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.sum("_v").alias("_bs"))
+        wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        buckets = (buckets.withColumn("_before", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
+                   .withColumn("_before_sum", F.coalesce(F.sum("_bs").over(wb), F.lit(0.0))))
+        target = (buckets.join(state, keys)
+                  .filter((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_before") + F.col("_bc"))))
+        state = target.select(*keys, (F.col("_k") - F.col("_before")).alias("_k"), "k",
+                              (F.col("_acc") + F.col("_before_sum")).alias("_acc"))
+        v = vb.join(target.select(*keys, "_b"), [*keys, "_b"]).select(*keys, "_v")
+    distinct = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    inside = distinct.join(state, keys)
     wv = Window.partitionBy(*keys).orderBy("_v")
-    inside = (inside.withColumn("_cum", F.col("_before") + F.sum("_cnt").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = (inside.withColumn("_cum", F.sum("_cnt").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("_cum_prev", F.col("_cum") - F.col("_cnt"))
               .withColumn("_csum", F.sum(F.col("_v") * F.col("_cnt")).over(wv.rowsBetween(Window.unboundedPreceding, -1))))
-    hit = inside.filter((F.col("_cum_prev") < F.col("k")) & (F.col("k") <= F.col("_cum")))
+    hit = inside.filter((F.col("_cum_prev") < F.col("_k")) & (F.col("_k") <= F.col("_cum")))
     return hit.select(*keys, "k", F.col("_v").alias("kth"),
-                      (F.col("_before_sum") + F.coalesce(F.col("_csum"), F.lit(0.0))
-                       + (F.col("k") - F.col("_cum_prev")) * F.col("_v")).alias("sum_k"))
+                      (F.col("_acc") + F.coalesce(F.col("_csum"), F.lit(0.0))
+                       + (F.col("_k") - F.col("_cum_prev")) * F.col("_v")).alias("sum_k"))
 
 
 def var_cvar(df: DataFrame, r: str = "r", alpha: float = 0.05, keys: Sequence[str] = ("symbol",)) -> DataFrame:

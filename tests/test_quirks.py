@@ -122,3 +122,20 @@ def test_single_bar_symbol_and_zero_price(spark):
     df = bars(spark, [(0, 0, 0, 0), (1, 1, 1, 1)], "Z").unionByName(bars(spark, [(5, 5, 5, 5)], "ONE"))
     out = FE.gross_return(df).orderBy("symbol", "bar_ts").toPandas()
     assert out.DR.isna().sum() == 3                         # first bars and the zero divisor give NULL
+
+
+def test_kth_smallest_matches_sort(spark):
+    rng = np.random.default_rng(5)
+    spark.conf.set("spark.candela.rankSplits", "4")
+    rows, ks = [], []
+    for key, n in (("A", 3000), ("B", 57), ("C", 1)):
+        vals = np.round(rng.normal(size=n), 1)               # many ties
+        rows += [(key, float(v)) for v in vals]
+        for k in sorted({1, n, max(1, n // 3), max(1, n // 2)}):
+            ks.append((key, k, float(np.sort(vals)[k - 1]), float(np.sort(vals)[:k].sum())))
+    df = spark.createDataFrame(rows, "symbol string, r double")
+    for key, k, exp_v, exp_s in ks:
+        kt = spark.createDataFrame([(key, k)], "symbol string, k long")
+        got = RK.kth_smallest(df.filter(F.col("symbol") == key), "r", kt).collect()[0]
+        assert got.kth == pytest.approx(exp_v) and got.sum_k == pytest.approx(exp_s)
+    spark.conf.unset("spark.candela.rankSplits")
