@@ -38,7 +38,7 @@ _BARS_SQL = HOURLY + "\n" + rsql(BARS7, ["open", "high", "low", "close", "volume
 
 # --- SRC ----------------------------------------------------------------------------------------
 
-@register("src01_03_feed_a_records", _BARS_SQL)
+@register("src01_feed_a_records", _BARS_SQL)
 def q_src01(spark, sf):
     """Bars landed as feed-A JSON documents (one document per symbol and day, epoch seconds,
     ``volumefrom``), read back with an explicit schema and normalised."""
