@@ -67,18 +67,45 @@ def latest_bars(spark: SparkSession, out: str) -> DataFrame:
             .select("symbol", "bar_ts", "b.*"))
 
 
+def _read_tail(spark: SparkSession, tail_dir: str, batch_id: int) -> DataFrame | None:
+    """The tail written by the newest batch before ``batch_id`` (None for the first batch)."""
+    from pyspark.errors import AnalysisException
+    if batch_id == 0:
+        return None
+    try:
+        return spark.read.parquet(f"{tail_dir}/batch_id={batch_id - 1}")
+    except AnalysisException:  # a batch without data wrote no tail: fall back to the newest one
+        try:
+            t = spark.read.parquet(tail_dir).filter(F.col("batch_id") < batch_id)
+        except AnalysisException:
+            return None
+        newest = t.agg(F.max("batch_id").alias("_m"))
+        return t.join(newest, t.batch_id == newest._m).drop("_m", "batch_id")
+
+
 def run_signal_stream(spark: SparkSession, source: str, bars_out: str, signals_out: str, checkpoint: str,
                       cfg: StrategyConfig, period: str = "1 hour", watermark: str = "2 hours") -> None:
-    """STR-2: for each micro-batch, store its updated bars, then recompute the ROC signal of every
-    symbol from the last ``roc_period + signal_delay + 3`` stored bars (a bounded look-back) and
-    store the latest signal row per symbol under the batch id."""
+    """STR-2: for each micro-batch, store its updated bars, merge them into a bounded tail (the last
+    ``roc_period + signal_delay + 3`` bars per symbol, versioned by batch id), recompute the ROC
+    signal from that tail and store the latest signal row per symbol under the batch id. Per-batch
+    work is bounded by symbols x look-back plus the batch; a retried batch rewrites its own folders."""
     lookback = cfg.roc_period + cfg.signal_delay + 3
     write_bars = _versioned_writer(bars_out)
+    tail_dir = f"{checkpoint}_tail"
+    cols = ["symbol", "bar_ts", "open", "high", "low", "close", "volume"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         write_bars(batch, batch_id)
-        recent = tail_bars(latest_bars(batch.sparkSession, bars_out), lookback)
-        sig = roc_signal(recent, cfg)
+        s = batch.sparkSession
+        new = s.read.parquet(f"{bars_out}/batch_id={batch_id}").select(*cols).withColumn("_v", F.lit(1))
+        prev = _read_tail(s, tail_dir, batch_id)
+        merged = new if prev is None else prev.select(*cols).withColumn("_v", F.lit(0)).unionByName(new)
+        latest = merged.groupBy("symbol", "bar_ts").agg(F.max_by(F.struct(*cols[2:]), "_v").alias("b")).select(
+            "symbol", "bar_ts", "b.*")
+        tail = tail_bars(latest, lookback)
+        tail.write.mode("overwrite").parquet(f"{tail_dir}/batch_id={batch_id}")
+        tail = s.read.parquet(f"{tail_dir}/batch_id={batch_id}")
+        sig = roc_signal(tail, cfg)
         last = sig.groupBy("symbol").agg(F.max_by(F.struct("bar_ts", "y_pred_val", "signal"), RN).alias("l"))
         (last.select("symbol", "l.*").withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").parquet(f"{signals_out}/batch_id={batch_id}"))

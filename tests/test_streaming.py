@@ -27,3 +27,22 @@ def test_stream_in_several_batches_equals_batch(spark):
     exp = bars_hourly(spark, SF0001)
     cols = ["symbol", "bar_ts", "open", "high", "low", "close", F.round("volume", 6).alias("volume")]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, exp.select(*cols).collect()))
+
+
+def test_signal_stream_with_bounded_tail_matches_batch(spark):
+    from candela.config import PRESETS
+    from candela.operators.series import RN
+    from candela.operators.signals import roc_signal
+    cfg = PRESETS["eth_usd_roc"]
+    root = tempfile.mkdtemp(prefix="candela-sigstream-")
+    land = f"{root}/land"
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    for i, (lo, hi) in enumerate([("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")]):
+        part = ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+        part.coalesce(1).write.mode("overwrite").parquet(f"{land}/chunk={i}")
+    ST.run_signal_stream(spark, f"{land}/*/*.parquet", f"{root}/bars", f"{root}/sig", f"{root}/state", cfg)
+    got = {r.symbol: (r.bar_ts, r.signal) for r in ST.latest_signals(spark, f"{root}/sig").collect()}
+    td = roc_signal(bars_hourly(spark, SF0001), cfg)
+    exp = {r.symbol: (r.l.bar_ts, r.l.signal) for r in
+           td.groupBy("symbol").agg(F.max_by(F.struct("bar_ts", "signal"), RN).alias("l")).collect()}
+    assert got == exp
