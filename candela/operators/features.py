@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import col, div, encode_cyclical, full, lag, lead, pivot_points
-from candela.operators.series import KEYS, RN, halo_stage, index_series
+from candela.operators.series import KEYS, RN, dropna_dense, halo_stage, index_series
 
 ColumnFn = Callable[[Window], Column]
 
@@ -203,8 +203,8 @@ def daily_change(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 # --- FLT ----------------------------------------------------------------------------------------
 
 def drop_warmup(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """FLT-1."""
-    return df.dropna(subset=list(cols))
+    """FLT-1: drop rows where any of ``cols`` is missing (positions stay dense, see dropna_dense)."""
+    return dropna_dense(df, cols)
 
 
 def positive_volume(df: DataFrame, v="volume") -> DataFrame:

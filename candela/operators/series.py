@@ -66,6 +66,23 @@ def reindex(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_ts") ->
     return index_series(df.drop(RN, BLK), keys, order)
 
 
+def dropna_dense(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """Drop rows missing any of ``cols`` and keep positions dense. Scans need positions without gaps:
+    when a row after a symbol's first kept row is dropped (a gap, not a warm-up prefix), the rows are
+    renumbered. The test is one partial aggregate; clean data skips the renumbering."""
+    cols, keys = list(cols), list(keys)
+    if RN not in df.columns:
+        return df.dropna(subset=cols)
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull()
+    chk = df.select(*keys, RN, ok.alias("_ok")).groupBy(*keys).agg(
+        F.min(F.when(F.col("_ok"), F.col(RN))).alias("_first"), F.max(F.when(~F.col("_ok"), F.col(RN))).alias("_last_drop"))
+    gaps = chk.filter(F.col("_last_drop") > F.col("_first")).limit(1).count() > 0
+    kept = df.dropna(subset=cols)
+    return reindex(kept, keys) if gaps else kept
+
+
 def halo_stage(df: DataFrame, build: Callable[[DataFrame, Window], DataFrame], back: int, fwd: int = 0,
                keys: Sequence[str] = KEYS) -> DataFrame:
     """Run ``build(df, w)`` where ``w`` orders rows by ``rn`` inside a block plus halo rows.

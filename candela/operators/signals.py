@@ -11,7 +11,7 @@ from candela.config import StrategyConfig
 from candela.functions.scalar import col, div, half_up, lag, truncate, truncate_id
 from candela.operators.features import e_gross_return, e_roc, ensure_indexed, rolling, whole_series
 from candela.operators.indicators import ffill
-from candela.operators.series import KEYS, RN
+from candela.operators.series import KEYS, RN, dropna_dense
 
 
 def align_scores(df: DataFrame, score: str, delay: int = 1, out: str = "y_pred_val") -> DataFrame:
@@ -34,7 +34,7 @@ def gen_signal(df: DataFrame, cfg: StrategyConfig, score: str = "y_pred_val",
                required: Sequence[str] = ()) -> DataFrame:
     """SIG-2..4: signal frame. Rows missing the score or any ``required`` column are dropped; bucket
     ids in ``ignore_signals`` keep the previous signal (forward fill); ``hold_signals`` -> Cash."""
-    df = df.dropna(subset=[score, *required])
+    df = dropna_dense(df, [score, *required])
     y, sig = threshold_signal(score, cfg.signal_threshold)
     df = df.withColumn("y_pred", y).withColumn("y_pred_id", score_bucket(score, cfg.signal_scale)).withColumn("signal", sig)
     if cfg.ignore_signals:

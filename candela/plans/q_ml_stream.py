@@ -36,7 +36,7 @@ g AS (SELECT *, p < floor(n * 0.8) AS is_train FROM f)"""
 
 
 def _features(spark, sf):
-    d = FE.base_features(bars_hourly(spark, sf)).dropna(subset=[*_FEATS, "DR"])
+    d = FE.drop_warmup(FE.base_features(bars_hourly(spark, sf)), [*_FEATS, "DR"])
     return FE.chrono_split(d, 0.8, 0.2)
 
 

@@ -19,6 +19,7 @@ def ticks_to_bars(ticks: DataFrame, period: str = "hour", symbol: str = "symbol"
     partial row per map task and bar. ``order`` breaks ties of ``ts`` for open/close (default ``ts``).
     """
     unit = PERIOD_UNITS[period]
+    ticks = ticks.filter(F.col(price).isNotNull() & F.col(ts).isNotNull())  # a tick without a price makes no bar
     bar_ts = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
     key = F.struct(*[F.col(c) for c in (order or [ts])])
     return (ticks.groupBy(F.col(symbol).alias("symbol"), bar_ts.alias("bar_ts"))

@@ -139,3 +139,11 @@ def test_kth_smallest_matches_sort(spark):
         got = RK.kth_smallest(df.filter(F.col("symbol") == key), "r", kt).collect()[0]
         assert got.kth == pytest.approx(exp_v) and got.sum_k == pytest.approx(exp_s)
     spark.conf.unset("spark.candela.rankSplits")
+
+
+def test_signal_frame_renumbers_after_a_gap(spark):
+    from candela.operators.signals import gen_signal
+    rows = [("X", T0 + dt.timedelta(days=i), 10.0 + i, None if i == 7 else 0.8) for i in range(12)]
+    df = FE.ensure_indexed(spark.createDataFrame(rows, "symbol string, bar_ts timestamp_ntz, close double, score double"))
+    out = gen_signal(df, StrategyConfig(), score="score").orderBy("bar_ts").toPandas()
+    assert list(out.rn) == list(range(11))                   # the mid-series drop left no gap in rn
