@@ -74,12 +74,14 @@ def half_up(c: str | Column, d: int = 6) -> Column:
                   F.floor(snapped * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(F.round(x, d))
 
 
-# Exact powers of ten 1e-300 .. 1e307 as parsed doubles (index 0 is 1e-300).
+# Decades handled by the publication rounding.
 POW10_LO, POW10_HI = -300, 307
 
 
-def _pow10(idx: Column, table: Column) -> Column:
-    return F.element_at(table, (idx - POW10_LO + 1).cast("int"))
+def _pow10(idx: Column) -> Column:
+    """10**idx as the correctly rounded double of the decimal text '1e<idx>' (the same value a
+    literal 1e<idx> parses to, in any engine)."""
+    return F.concat(F.lit("1e"), idx.cast("int").cast("string")).cast("double")
 
 
 def publish(c: str | Column, decimals: int = 6, digits: int = 10) -> Column:
@@ -89,11 +91,10 @@ def publish(c: str | Column, decimals: int = 6, digits: int = 10) -> Column:
     compute the same value up to last-bit noise publish the same digits."""
     x = col(c)
     a = F.abs(x)
-    table = F.lit([float(f"1e{e}") for e in range(POW10_LO, POW10_HI + 1)])  # one array literal
     k0 = F.least(F.greatest(F.floor(F.log10(a)).cast("int"), F.lit(-30)), F.lit(POW10_HI - 1))
-    k = (F.when(a < _pow10(k0, table), k0 - 1).when(a >= _pow10(k0 + 1, table), k0 + 1).otherwise(k0))
+    k = (F.when(a < _pow10(k0), k0 - 1).when(a >= _pow10(k0 + 1), k0 + 1).otherwise(k0))
     d = F.least(F.lit(decimals), F.lit(digits - 1) - k)
-    fine, scale = _pow10(d + 3, table), _pow10(d, table)
+    fine, scale = _pow10(d + 3), _pow10(d)
     snapped = F.floor(x * fine + F.lit(0.5)).cast("double") / fine
     return F.when(x.isNull() | (x == 0), x).otherwise(F.floor(snapped * scale + F.lit(0.5)).cast("double") / scale)
 
@@ -101,18 +102,17 @@ def publish(c: str | Column, decimals: int = 6, digits: int = 10) -> Column:
 def publish_frame(df, specs: dict[str, tuple[int, int]]):
     """``publish`` applied to many columns of ``df`` in staged projections (decade, then places,
     then the value), so each piece is computed once per value. ``specs``: column -> (decimals, digits)."""
-    table = F.lit([float(f"1e{e}") for e in range(POW10_LO, POW10_HI + 1)])
     names = list(specs)
     tmp = {c: f"__p{i}" for i, c in enumerate(names)}
     x = df.select("*", *[F.abs(F.col(c)).alias(f"{tmp[c]}_a") for c in names])
     x = x.select("*", *[F.least(F.greatest(F.floor(F.log10(f"{tmp[c]}_a")).cast("int"), F.lit(-30)),
                                 F.lit(POW10_HI - 1)).alias(f"{tmp[c]}_k0") for c in names])
-    x = x.select("*", *[(lambda a, k0: F.when(a < _pow10(k0, table), k0 - 1).when(a >= _pow10(k0 + 1, table), k0 + 1)
+    x = x.select("*", *[(lambda a, k0: F.when(a < _pow10(k0), k0 - 1).when(a >= _pow10(k0 + 1), k0 + 1)
                          .otherwise(k0))(F.col(f"{tmp[c]}_a"), F.col(f"{tmp[c]}_k0")).alias(f"{tmp[c]}_k") for c in names])
     x = x.select("*", *[F.least(F.lit(specs[c][0]), F.lit(specs[c][1] - 1) - F.col(f"{tmp[c]}_k")).alias(f"{tmp[c]}_d")
                         for c in names])
-    x = x.select("*", *[_pow10(F.col(f"{tmp[c]}_d") + 3, table).alias(f"{tmp[c]}_f") for c in names],
-                 *[_pow10(F.col(f"{tmp[c]}_d"), table).alias(f"{tmp[c]}_s") for c in names])
+    x = x.select("*", *[_pow10(F.col(f"{tmp[c]}_d") + 3).alias(f"{tmp[c]}_f") for c in names],
+                 *[_pow10(F.col(f"{tmp[c]}_d")).alias(f"{tmp[c]}_s") for c in names])
     x = x.select("*", *[(F.floor(F.col(c) * F.col(f"{tmp[c]}_f") + F.lit(0.5)).cast("double") / F.col(f"{tmp[c]}_f"))
                         .alias(f"{tmp[c]}_n") for c in names])
     out = []

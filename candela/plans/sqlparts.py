@@ -195,13 +195,10 @@ def pnl_ctes(td: str, cfg: StrategyConfig, name: str = "pnl") -> str:
   FROM {last} WINDOW w AS (PARTITION BY symbol ORDER BY pos))"""
 
 
-POW10_SQL = "[" + ", ".join(repr(float(f"1e{e}")) for e in range(-300, 308)) + "]"
-
-
 def publish_sql(x: str, decimals: int = 6, digits: int = 10) -> str:
     """DuckDB twin of ``scalar.publish`` (same decade correction, same literal powers of ten)."""
     def pw(i):
-        return f"list_element({POW10_SQL}, CAST(({i}) + 301 AS INTEGER))"
+        return f"CAST('1e' || CAST(CAST(({i}) AS INTEGER) AS VARCHAR) AS DOUBLE)"
     body = (f"list_transform([CAST(least(greatest(floor(log10(abs(_x))), -30), 306) AS INTEGER)], lambda _k0: "
             f"CASE WHEN abs(_x) < {pw('_k0')} THEN _k0 - 1 WHEN abs(_x) >= {pw('_k0 + 1')} THEN _k0 + 1 ELSE _k0 END)[1]")
     rnd = (f"list_transform([least({decimals}, {digits - 1} - ({body}))], lambda _d: "
