@@ -11,7 +11,7 @@ from candela.config import StrategyConfig
 from candela.functions.scalar import col, div, half_up, lag, truncate, truncate_id
 from candela.operators.features import e_gross_return, e_roc, ensure_indexed, rolling, whole_series
 from candela.operators.indicators import ffill
-from candela.operators.series import KEYS, RN, dropna_dense
+from candela.operators.series import RN, dropna_dense
 
 
 def align_scores(df: DataFrame, score: str, delay: int = 1, out: str = "y_pred_val") -> DataFrame:
