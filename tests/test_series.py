@@ -89,3 +89,25 @@ def test_results_invariant_to_shuffle_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     b = sorted(map(tuple, IN.atr(_hourly(spark), 14).select("symbol", "bar_ts", F.round("ATR", 9)).collect()))
     assert a == b
+
+
+def test_pnl_pipeline_same_with_tiny_blocks(spark):
+    from candela.config import PRESETS
+    from candela.plans.strategies import roc_backtest
+    from candela.sources.fixtures import bars_daily
+    cfg = PRESETS["eth_usd_roc"].with_(adjust_signal=True, adx_lo_threshold=15.0, asr_threshold=0.999, buy_sl=True)
+    cols = ["symbol", "bar_ts", "signal", "new_trade", "trade_id", "ADX", "SR", "CSR", "CMR", "sl_price"]
+
+    def run():
+        df = roc_backtest(bars_daily(spark, SF001), cfg).select(*cols).toPandas()
+        return df.sort_values(["symbol", "bar_ts"]).reset_index(drop=True)
+
+    ref = run()
+    spark.conf.set("spark.candela.blockRows", "64")
+    try:
+        got = run()
+    finally:
+        spark.conf.unset("spark.candela.blockRows")
+    assert len(got) == len(ref) and (got.signal == ref.signal).all() and (got.trade_id == ref.trade_id).all()
+    for c in ("ADX", "SR", "CSR", "CMR", "sl_price"):
+        np.testing.assert_allclose(got[c].astype(float), ref[c].astype(float), rtol=1e-9, equal_nan=True)
