@@ -90,7 +90,7 @@ FROM pnl GROUP BY symbol"""
 
 @register("roc_rule_result_daily", DAILY + "," + S.roc_signal_ctes("bars", ROC) + "," + S.pnl_ctes("td", ROC) + RESULT_SQL)
 def q_roc_result_daily(spark, sf):
-    return rounded(final_returns(roc_backtest(bars_daily(spark, sf), ROC)))
+    return rounded(final_returns(roc_backtest(bars_daily(spark, sf), ROC, keep_adx=False)))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

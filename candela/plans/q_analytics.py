@@ -28,7 +28,7 @@ def out(df, cols):
 
 
 def _pnl_d(spark, sf):
-    return roc_backtest(bars_daily(spark, sf), ROC)
+    return roc_backtest(bars_daily(spark, sf), ROC, keep_adx=False)
 
 
 def one(x):
@@ -502,7 +502,8 @@ k AS (SELECT symbol, bar_ts, product(SR_r) OVER w AS CSR_r, product(SR_e) OVER w
 """ + rsql(["symbol", "bar_ts", "CSR_r", "CSR_e", "CMR"], ["CSR_r", "CSR_e", "CMR"], "k"))
 def q_jon05(spark, sf):
     bars = bars_hourly(spark, sf)
-    return out(JN.compare_runs(roc_backtest(bars, ROC), roc_backtest(bars, ALT)), K + ["CSR_r", "CSR_e", "CMR"])
+    return out(JN.compare_runs(roc_backtest(bars, ROC, keep_adx=False), roc_backtest(bars, ALT, keep_adx=False)),
+               K + ["CSR_r", "CSR_e", "CMR"])
 
 
 @register("jon06_align_assets", DAILY + """,

@@ -210,7 +210,7 @@ PNL_H = HOURLY + "," + S.roc_signal_ctes("bars", ROC) + "," + S.pnl_ctes("td", R
 t AS (SELECT symbol, SR, row_number() OVER (PARTITION BY symbol ORDER BY pos DESC) AS r FROM pnl)
 SELECT symbol, """ + S.sig_sql("coalesce(product(SR), 1.0)") + """ AS trailing_return FROM t WHERE r <= 300 GROUP BY symbol""")
 def q_win19(spark, sf):
-    pnl = roc_backtest(bars_hourly(spark, sf), ROC)
+    pnl = roc_backtest(bars_hourly(spark, sf), ROC, keep_adx=False)
     tail = SB.tail_bars(pnl, 300)
     return rounded(tail.groupBy("symbol").agg(F.coalesce(F.product("SR"), F.lit(1.0)).alias("trailing_return")))
 

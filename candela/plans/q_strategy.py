@@ -156,7 +156,7 @@ SELECT symbol, bar_ts, date_to, new_trade, signal, round(open, 6) AS open, round
        || ', Total PnL: ' || coalesce(CAST(TRY_CAST(pnl AS DECIMAL(38, 2)) AS VARCHAR), CAST(pnl AS VARCHAR)) || '%'
        || CASE WHEN tp THEN ' TAKE PROFIT!' ELSE '' END || CASE WHEN sl THEN ' STOP LOSS!' ELSE '' END AS text FROM m""")
 def q_sig11(spark, sf):
-    pnl = roc_backtest(bars_hourly(spark, sf), ROC)
+    pnl = roc_backtest(bars_hourly(spark, sf), ROC, keep_adx=False)
     return out(SG.signal_text(SG.latest_signal(pnl, ROC)), _LATEST)
 
 
@@ -299,7 +299,7 @@ i AS (SELECT symbol, signal, position, unnest(list_filter([
         {_trunc_sql('1000.0 * 1.0 / close', 2)} AS order_size FROM j)
 SELECT symbol, signal, position, intent, round(order_size, 6) AS order_size FROM i""")
 def q_pnl18(spark, sf):
-    pnl = roc_backtest(bars_hourly(spark, sf), ROC)
+    pnl = roc_backtest(bars_hourly(spark, sf), ROC, keep_adx=False)
     from candela.operators.series import RN
     ls = pnl.groupBy("symbol").agg(*[F.max_by(c, RN).alias(c) for c in ("signal", "new_trade", "sl", "close")])
     bal, lp = _balances(spark, sf)
