@@ -94,7 +94,7 @@ def q_sig07(spark, sf):
         members = td if members is None else members.unionByName(td)
     ens = SG.ensemble_signal(members, ENS, len(MEMBERS))
     td = ens.join(bars, ["symbol", "bar_ts"])
-    return rounded(final_returns(PN.run_pnl(td, ENS)))
+    return rounded(final_returns(PN.run_pnl(td, ENS, keep_adx=False)))
 
 
 ADJ = PRESETS["eth_usd_roc"].with_(adjust_signal=True, adx_lo_threshold=20.0, adx_hi_threshold=60.0,
