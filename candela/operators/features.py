@@ -339,16 +339,31 @@ def bar_end(df, interval_minutes: int = 1440, out="date_to"):
 
 def feature_bank(df, periods: Sequence[int] = (14, 30, 50, 100, 200)) -> DataFrame:
     """WIN-11: for each period n: ma (SMA/close), vol, hh, ll, std, wr - one halo stage for all
-    finite-frame columns (RSI per period is added by ``indicators.rsi``)."""
+    finite-frame columns (RSI per period is added by ``indicators.rsi``). Each rolling aggregate is
+    computed once per period (hh, ll and wr share the rolling max/min) and the features are plain
+    projections of those."""
     cols: dict[str, ColumnFn] = {"pct_1d": lambda w: div(F.col("close"), lag("close", 1, w)) - 1}
     for n in periods:
-        cols[f"ma{n}"] = (lambda n: lambda w: div(full(F.avg, "close", w, n), F.col("close")))(n)
-        cols[f"vol{n}"] = e_ratio_to("volume", F.avg, "volume", n)
-        cols[f"hh{n}"] = e_ratio_to("high", F.max, "high", n)
-        cols[f"ll{n}"] = e_ratio_to("low", F.min, "low", n)
-        cols[f"std{n}"] = (lambda n: lambda w: div(full(F.stddev_samp, "close", w, n), F.col("close")))(n)
-        cols[f"wr{n}"] = e_williams_r(n)
-    return rolling(df, cols, back=max(periods))
+        cols[f"_sma{n}"] = (lambda n: lambda w: full(F.avg, "close", w, n))(n)
+        cols[f"_vma{n}"] = (lambda n: lambda w: full(F.avg, "volume", w, n))(n)
+        cols[f"_hhv{n}"] = (lambda n: lambda w: full(F.max, "high", w, n))(n)
+        cols[f"_llv{n}"] = (lambda n: lambda w: full(F.min, "low", w, n))(n)
+        cols[f"_sd{n}"] = (lambda n: lambda w: full(F.stddev_samp, "close", w, n))(n)
+    out = rolling(df, cols, back=max(periods))
+    helpers = []
+    for n in periods:
+        hh, ll = F.col(f"_hhv{n}"), F.col(f"_llv{n}")
+        out = out.withColumns({
+            f"ma{n}": div(F.col(f"_sma{n}"), F.col("close")),
+            f"vol{n}": div(F.col("volume"), F.col(f"_vma{n}")),
+            f"hh{n}": div(F.col("high"), hh),
+            f"ll{n}": div(F.col("low"), ll),
+            f"std{n}": div(F.col(f"_sd{n}"), F.col("close")),
+            f"wr{n}": F.when(hh.isNull() | ll.isNull(), F.lit(None).cast("double")).when(hh == ll, F.lit(0.0))
+            .otherwise(F.lit(-100.0) * (hh - F.col("close")) / (hh - ll)),
+        })
+        helpers += [f"_sma{n}", f"_vma{n}", f"_hhv{n}", f"_llv{n}", f"_sd{n}"]
+    return out.drop(*helpers)
 
 
 def base_features(df, sma_period=50, vol_period=30, hh_period=50, ll_period=50, std_period=7, wil_period=7):
