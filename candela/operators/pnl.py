@@ -16,7 +16,7 @@ from candela.config import StrategyConfig
 from candela.functions.scalar import div, full, lag, lead, pivot_points, truncate
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.indicators import adx
-from candela.operators.series import BLK, RN, at_pos, from_pos, running
+from candela.operators.series import BLK, RN, at_pos, dropna_dense, from_pos, running
 
 
 
@@ -129,13 +129,17 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
     stops = cfg.buy_sl or cfg.sell_sl
     targets = cfg.buy_tp or (cfg.sell_tp and cfg.short)
     warm = 2 * cfg.adx_period - 1
-    merged = lean and not need_adx and not stops and not targets
+    merged = lean and not need_adx and not stops and not targets and not cfg.ignore_signals
+    # like the reference's dropna over the frame: ADX warm-up rows and rows without a signal (an
+    # ignored score bucket before any signal) leave; ADX itself is computed over all rows first
     if need_adx:
-        bt = adx(td, cfg.adx_period, "ADX").filter(F.col("ADX").isNotNull())
+        bt = dropna_dense(adx(td, cfg.adx_period, "ADX"), ["ADX", "signal", "open", "high", "low", "close"])
     elif merged:
-        bt = td  # the warm-up drop is folded into stage 1 below
+        bt = td  # the warm-up drop is folded into stage 1 below (signals are never missing here)
     else:
-        bt = rolling(td, {"_ok": lambda w: from_pos(w, warm)}, back=warm).filter(F.col("_ok")).drop("_ok")
+        bt = rolling(td, {"_ok": lambda w: from_pos(w, warm)}, back=warm)
+        bt = dropna_dense(bt.withColumn("_ok", F.when(F.col("_ok"), F.lit(1))),
+                          ["_ok", "signal", "open", "high", "low", "close"]).drop("_ok")
         bt = bt.withColumn("ADX", F.lit(None).cast("double"))
     if merged:
         # stage 1 needs one-bar look-backs only: flag the first kept bar and treat its look-backs as

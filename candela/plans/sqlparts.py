@@ -157,7 +157,7 @@ def pnl_ctes(td: str, cfg: StrategyConfig, name: str = "pnl") -> str:
     return f"""
 {adx_ctes(td, cfg.adx_period, "ADX", f"{name}_adx")},
 {name}_b0 AS (SELECT symbol, bar_ts, pos, open, high, low, close, signal, y_pred_id, y_pred, y_pred_val{", size" if cfg.position_sizing else ""}, ADX
-              FROM {name}_adx WHERE ADX IS NOT NULL),
+              FROM {name}_adx WHERE ADX IS NOT NULL AND signal IS NOT NULL),
 {name}_b1 AS (
   SELECT *, (high + low + close) / 3 AS PP FROM {name}_b0),
 {name}_b2 AS (

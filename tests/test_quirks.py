@@ -147,3 +147,18 @@ def test_signal_frame_renumbers_after_a_gap(spark):
     df = FE.ensure_indexed(spark.createDataFrame(rows, "symbol string, bar_ts timestamp_ntz, close double, score double"))
     out = gen_signal(df, StrategyConfig(), score="score").orderBy("bar_ts").toPandas()
     assert list(out.rn) == list(range(11))                   # the mid-series drop left no gap in rn
+
+
+def test_leading_ignored_signals_leave_the_pnl_frame(spark):
+    from candela.operators.signals import gen_signal
+    cfg = StrategyConfig(adx_period=2, adjust_signal=False, signal_scale=10, ignore_signals=(3,))
+    scores = [0.35] * 6 + [0.8, 0.2, 0.35, 0.9, 0.1, 0.7]     # bucket 3 is ignored: no signal before bar 6
+    rows = [("X", T0 + dt.timedelta(days=i), 10.0 + i % 3, 11.0 + i % 3, 9.0 + i % 3, 10.5 + i % 3, 1.0, s)
+            for i, s in enumerate(scores)]
+    df = spark.createDataFrame(rows, "symbol string, bar_ts timestamp_ntz, open double, high double, low double, "
+                                     "close double, volume double, y_pred_val double")
+    td = gen_signal(df, cfg)
+    out = PN.run_pnl(td, cfg, checkpoint=False).orderBy("bar_ts").toPandas()
+    assert out.signal.notna().all()
+    assert out.bar_ts.min() == T0 + dt.timedelta(days=6)    # ADX is ready at bar 3; the first signal is at bar 6
+    assert out[out.bar_ts == T0 + dt.timedelta(days=8)].signal.iloc[0] == "Sell"  # ignored bucket keeps bar 7's signal
