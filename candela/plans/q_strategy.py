@@ -163,19 +163,52 @@ def q_sig11(spark, sf):
 def _state_frame(spark, sf):
     d = FE.base_features(bars_hourly(spark, sf))
     d = FE.rolling(d, {"next_ret": lambda w: F.lead("DR", 1).over(w)}, back=0, fwd=1)
-    d = FE.chrono_split(d.dropna(subset=["MA", "STD", "WR", "VOL", "next_ret"]), 0.8, 0.2)
+    d = FE.chrono_split(FE.drop_warmup(d, ["MA", "STD", "WR", "VOL", "next_ret"]), 0.8, 0.2)
     return SG.state_id(d, ["MA", "STD", "WR", "VOL"], bins=3, train_col="is_train")
 
 
-@register("sig12_state_id", None)
+_SFEATS = ["MA", "STD", "WR", "VOL"]
+
+
+def _state_sql() -> str:
+    wr = (f"CASE WHEN {S.full_agg('max', 'high', 7)} IS NULL OR {S.full_agg('min', 'low', 7)} IS NULL THEN NULL "
+          f"WHEN {S.full_agg('max', 'high', 7)} = {S.full_agg('min', 'low', 7)} THEN 0.0 "
+          f"ELSE -100.0 * ({S.full_agg('max', 'high', 7)} - close) / ({S.full_agg('max', 'high', 7)} - {S.full_agg('min', 'low', 7)}) END")
+    stk = " UNION ALL ".join(f"SELECT symbol, '{f}' AS feature, {f} AS v FROM h WHERE is_train" for f in _SFEATS)
+    digits = ", ".join(f"(SELECT count(*) FROM edges e WHERE e.symbol = h.symbol AND e.feature = '{f}' AND e.v < h.{f}) AS d_{f}"
+                       for f in _SFEATS)
+    sid = "0"
+    for f in _SFEATS:
+        sid = f"({sid}) * 3 + d_{f}"
+    return HOURLY + f""",
+t AS (SELECT symbol, bar_ts, close / nullif(lag(close) OVER w, 0) AS DR, close / nullif({S.full_avg('close', 50)}, 0) AS MA,
+             {S.full_agg('stddev_samp', 'close', 7)} / nullif(close, 0) AS STD, volume / nullif({S.full_avg('volume', 30)}, 0) AS VOL,
+             {wr} AS WR FROM bars {W}),
+t2 AS (SELECT *, lead(DR) OVER w AS next_ret FROM t {W}),
+f AS (SELECT * FROM t2 WHERE MA IS NOT NULL AND STD IS NOT NULL AND WR IS NOT NULL AND VOL IS NOT NULL AND next_ret IS NOT NULL),
+g AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) - 1 AS p, count(*) OVER (PARTITION BY symbol) AS n FROM f),
+h AS (SELECT *, p < floor(n * 0.8) AS is_train FROM g),
+stk AS ({stk}),
+rk AS (SELECT symbol, feature, v, row_number() OVER (PARTITION BY symbol, feature ORDER BY v) AS r,
+              count(*) OVER (PARTITION BY symbol, feature) AS nn FROM stk),
+edges AS (SELECT rk.symbol, rk.feature, ed.edge, rk.v FROM rk JOIN (VALUES (1), (2)) ed(edge)
+          ON rk.r = floor(ed.edge / 3.0 * (rk.nn - 1)) + 1),
+d AS (SELECT h.symbol, h.bar_ts, h.next_ret, {digits} FROM h),
+st AS (SELECT symbol, bar_ts, next_ret, CAST({sid} AS BIGINT) AS state FROM d)"""
+
+
+@register("sig12_state_id", _state_sql() + "\nSELECT symbol, bar_ts, state FROM st")
 def q_sig12(spark, sf):
-    """SIG-12 (rows check: bin edges are approximate percentiles)."""
+    """SIG-12: state ids from three equal-frequency bins of MA, STD, WR and VOL (edges from training rows)."""
     return _state_frame(spark, sf).select("symbol", "bar_ts", "state")
 
 
-@register("sig13_state_reward_table", None)
+@register("sig13_state_reward_table", _state_sql() + """,
+tb AS (SELECT symbol, state, count(*) AS visits, avg(next_ret) AS mean_reward FROM st GROUP BY 1, 2)
+SELECT symbol, state, visits, round(mean_reward, 6) AS mean_reward,
+       round(visits / sum(visits) OVER (PARTITION BY symbol), 6) AS share, visits >= 10 AS confident FROM tb""")
 def q_sig13(spark, sf):
-    """SIG-13 (rows check, built on SIG-12)."""
+    """SIG-13: visits, mean next return, share and confidence per state."""
     return rounded(SG.state_reward_table(_state_frame(spark, sf), "next_ret", 10))
 
 
