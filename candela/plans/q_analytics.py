@@ -320,9 +320,25 @@ def q_agg21(spark, sf):
     return rounded(AG.sign_penalty(j.dropna(subset=["dy", "dhat"]), "dy", "dhat", 100.0))
 
 
-@register("agg22_run_vs_hold", None)
+def _agg22_sql() -> str:
+    from candela.plans.q_strategy import LEDGER_SQL
+    cols = ["run_return", "run_sharpe", "hold_return", "hold_sharpe", "avg_confidence", "return_ratio", "sharpe_ratio_ratio"]
+    return LEDGER_SQL + """,
+lv AS (SELECT l.symbol, l.bar_ts, l.pnl, l.pos, g.close, td.y_pred_val,
+              g.close / nullif(lag(g.close) OVER (PARTITION BY l.symbol ORDER BY l.bar_ts), 0) - 1 AS dr
+       FROM ledger l JOIN g0 g USING (symbol, bar_ts) JOIN td USING (symbol, bar_ts)),
+a AS (SELECT symbol, arg_max(1000.0 + pnl, pos) / nullif(arg_min(1000.0 + pnl, pos), 0) AS run_return,
+             avg(pnl) / nullif(stddev_samp(pnl), 0) AS run_sharpe,
+             arg_max(close, pos) / nullif(arg_min(close, pos), 0) AS hold_return,
+             avg(dr) / nullif(stddev_samp(dr), 0) AS hold_sharpe, avg(abs(y_pred_val - 0.5) * 2) AS avg_confidence
+      FROM lv GROUP BY symbol),
+b AS (SELECT *, run_return / nullif(hold_return, 0) AS return_ratio, run_sharpe / nullif(hold_sharpe, 0) AS sharpe_ratio_ratio FROM a)
+""" + rsql(["symbol"] + cols, cols, "b")
+
+
+@register("agg22_run_vs_hold", _agg22_sql())
 def q_agg22(spark, sf):
-    """AGG-22 (rows check)."""
+    """AGG-22: ledger strategy vs holding: return and Sharpe ratios, mean confidence."""
     from candela.plans.q_strategy import _ledger
     led = _ledger(spark, sf)
     led = FE.rolling(led, {"dr": lambda w: F.try_divide(F.col("close"), F.lag("close").over(w)) - 1}, back=1)

@@ -112,14 +112,20 @@ def q_src07(spark, sf):
     return out(SB.load_bars(spark, path, ["click", "view"]), BARS7)
 
 
-@register("src09_write_results", None)
+def _src09_sql() -> str:
+    from candela.plans.q_analytics import _TR, TRADES_SQL
+    return (HOURLY + "," + S.roc_signal_ctes("bars", ROC) + "," + S.pnl_ctes("td", ROC) + TRADES_SQL + "\n"
+            + rsql(_TR, ["open", "close", "high", "low", "mr", "sr", "CMR", "CSR"], "trades"))
+
+
+@register("src09_write_results", _src09_sql())
 def q_src09(spark, sf):
-    """Result tables (P&L, trades) written as Parquet and read back (rows check)."""
+    """Result tables (P&L, trades) written as Parquet and read back."""
     from candela.operators.aggregates import gen_trades
     path = scratch(spark, "results")
     pnl = roc_backtest(bars_hourly(spark, sf), ROC)
     SB.write_results({"pnl": pnl.drop(RN, "_blk"), "trades": gen_trades(pnl)}, path)
-    return spark.read.parquet(f"{path}/trades")
+    return rounded(spark.read.parquet(f"{path}/trades"))
 
 
 # --- TS / V / TOP / SRT ---------------------------------------------------------------------------
