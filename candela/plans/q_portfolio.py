@@ -116,10 +116,33 @@ def q_prt05(spark, sf):
     return rounded(PF.realised_vs_benchmark(monthly, w, TRIPLE, 1000.0))
 
 
-@register("prt04_features_targets", None)
+def _prt04_sql() -> str:
+    bms = """CASE WHEN isodow(date_trunc('month', {x})) = 6 THEN CAST(date_trunc('month', {x}) AS DATE) + 2
+                  WHEN isodow(date_trunc('month', {x})) = 7 THEN CAST(date_trunc('month', {x}) AS DATE) + 1
+                  ELSE CAST(date_trunc('month', {x}) AS DATE) END"""
+    lng = " UNION ALL ".join(f"SELECT bar_ts, '{x}' AS symbol, r{i} AS r FROM d2" for i, x in enumerate(TRIPLE))
+    piv = ", ".join(f"max(CASE WHEN symbol = '{x}' THEN ewma_prev END) AS \"{x}\"" for x in TRIPLE)
+    cols = ["month"] + [f'"{x}"' for x in TRIPLE] + ["portfolio", "w_0", "w_1", "w_2", "ret", "vol", "sharpe"]
+    rounded_cols = ", ".join(f"round({c}, 6) AS {c}" if c not in ("month", "portfolio") else c for c in cols)
+    return MPT_SQL + f""",
+d2 AS (SELECT * FROM daily WHERE r0 IS NOT NULL AND r1 IS NOT NULL AND r2 IS NOT NULL),
+lg AS ({lng}),
+lp AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) - 1 AS pos FROM lg),
+ew AS (SELECT a.symbol, a.bar_ts, sum(pow(1 - 2 / 31.0, a.pos - b.pos) * b.r) / sum(pow(1 - 2 / 31.0, a.pos - b.pos)) AS ewma
+       FROM lp a JOIN lp b ON a.symbol = b.symbol AND b.pos <= a.pos GROUP BY 1, 2),
+eb AS (SELECT symbol, CASE WHEN CAST(bar_ts AS DATE) < {bms.format(x='bar_ts')} THEN {bms.format(x="(bar_ts - INTERVAL 1 MONTH)")}
+                           ELSE {bms.format(x='bar_ts')} END AS month_start, ewma, bar_ts FROM ew),
+mb AS (SELECT symbol, month_start, arg_min(ewma, bar_ts) AS ewma FROM eb GROUP BY 1, 2),
+sh AS (SELECT symbol, month_start, lag(ewma) OVER (PARTITION BY symbol ORDER BY month_start) AS ewma_prev FROM mb),
+fe AS (SELECT strftime(month_start, '%Y-%m') AS month, {piv} FROM sh WHERE ewma_prev IS NOT NULL GROUP BY 1),
+ft AS (SELECT fe.*, bestw.* EXCLUDE (month) FROM fe JOIN bestw USING (month))
+SELECT {rounded_cols} FROM ft"""
+
+
+@register("prt04_features_targets", _prt04_sql())
 def q_prt04(spark, sf):
-    """PRT-4 (rows check): EWMA(30) of daily returns, first value per business-month bin, shifted one
-    month, joined with that month's best-Sharpe weights."""
+    """PRT-4: EWMA(30) of daily returns, first value per business-month bin, shifted one month,
+    joined with that month's best-Sharpe weights."""
     daily, _, _, pf = _mpt(spark, sf)
     best = PF.best_sharpe(pf, 3)
     lng = daily.select("bar_ts", F.explode(F.array(*[F.struct(F.lit(x).alias("symbol"), F.col(f"`{x}`").alias("r"))
