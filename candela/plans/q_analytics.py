@@ -207,9 +207,30 @@ def q_agg12(spark, sf):
     return rounded(AG.acf(d, "lr", 10))
 
 
-@register("agg13_pacf", None)
+def _pacf_ctes() -> str:
+    """Durbin-Levinson as a recursive CTE over m = 1..10 carrying the coefficient list phi."""
+    lags = ", ".join(f"lag(x, {k}) OVER w AS l{k}" for k in range(1, 11))
+    acfs = " UNION ALL ".join(f"SELECT symbol, {k} AS lag, sum(x * l{k}) / sum(x * x) AS acf FROM v GROUP BY symbol"
+                              for k in range(1, 11))
+    return HOURLY + f""",
+t AS (SELECT symbol, bar_ts, ln(close / nullif(lag(close) OVER w, 0)) AS lr FROM bars {W}),
+u AS (SELECT symbol, bar_ts, lr - avg(lr) OVER (PARTITION BY symbol) AS x FROM t WHERE lr IS NOT NULL),
+v AS (SELECT *, {lags} FROM u {W}),
+ac AS ({acfs}),
+rl AS (SELECT symbol, list(acf ORDER BY lag) AS r FROM ac GROUP BY symbol),
+dl AS (
+  SELECT symbol, 1 AS m, r, [r[1]] AS phi, r[1] AS pacf FROM rl
+  UNION ALL
+  SELECT symbol, m + 1, r, list_concat(list_transform(phi, lambda p, j: p - q.k * phi[m + 1 - j]), [q.k]), q.k
+  FROM dl, LATERAL (SELECT (r[m + 1] - coalesce(list_sum(list_transform(phi, lambda p, j: p * r[m + 1 - j])), 0.0))
+                           / (1.0 - coalesce(list_sum(list_transform(phi, lambda p, j: p * r[j])), 0.0)) AS k) q
+  WHERE m < 10),
+pacf AS (SELECT symbol, CAST(m AS INT) AS lag, pacf FROM dl)"""
+
+
+@register("agg13_pacf", _pacf_ctes() + "\nSELECT symbol, lag, round(pacf, 6) AS pacf FROM pacf")
 def q_agg13(spark, sf):
-    """AGG-13 (rows check: Durbin-Levinson over the ACF table, per-symbol groups of 10 rows)."""
+    """AGG-13: partial autocorrelation by Durbin-Levinson over the ACF table (per-symbol groups of 10 rows)."""
     d = FE.log_return(bars_hourly(spark, sf), out="lr")
     return rounded(AG.pacf(AG.acf(d, "lr", 10)))
 

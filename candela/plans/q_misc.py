@@ -194,9 +194,21 @@ def q_top02(spark, sf):
     return rounded(t.select("symbol", "month_start", "slope", "delta", "rank"))
 
 
-@register("top03_ar_order_scores", None)
+def _top03_sql() -> str:
+    from candela.plans.q_analytics import _pacf_ctes
+    return _pacf_ctes() + """,
+a0 AS (SELECT symbol, count(lr) AS n, var_pop(lr) AS var FROM t WHERE lr IS NOT NULL GROUP BY symbol),
+cs AS (SELECT symbol, lag AS p, sum(ln(1.0 - pacf * pacf)) OVER (PARTITION BY symbol ORDER BY lag ROWS UNBOUNDED PRECEDING) AS lsum
+       FROM pacf),
+sc AS (SELECT cs.symbol, cs.p, n * (ln(var) + lsum) + 2 * (p + 1) AS aic, n * (ln(var) + lsum) + (p + 1) * ln(CAST(n AS DOUBLE)) AS bic
+       FROM cs JOIN a0 USING (symbol)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY aic, p) AS rank FROM sc)
+SELECT symbol, p, round(aic, 6) AS aic, round(bic, 6) AS bic, rank FROM rk WHERE rank <= 10"""
+
+
+@register("top03_ar_order_scores", _top03_sql())
 def q_top03(spark, sf):
-    """TOP-3 (rows check): AR orders 1..10 ranked by AIC, from the PACF of log returns."""
+    """TOP-3: AR orders 1..10 ranked by AIC, from the PACF of log returns."""
     from candela.operators.aggregates import acf, pacf
     lr = FE.log_return(bars_hourly(spark, sf), out="lr")
     a0 = lr.filter(F.col("lr").isNotNull()).groupBy("symbol").agg(F.count("lr").alias("n"), F.var_pop("lr").alias("var"))
