@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candela.llm.bpe import round_trip
+from candela.llm.decontaminate import find_contamination
+from candela.llm import langid, licenses, quality_rules, toxicity
+from candela.llm.simhash import near_duplicates
 from candela.llm.substring_dedup import substring_dedup
+from candela.llm.url_rules import judge
+from candela.llm.warc import page_of, read_warc, write_warc
+
+TOKENIZER = os.environ.get("CANDELA_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
 
 WORD = r"[^ \t\n\x0B\f\r]+"
 
@@ -30,6 +41,124 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
+def held_out(doc_id, folds: int, fold: int):
+    """Is the row kept from learning: crc32 of its id as text modulo ``folds`` is ``fold``. A null id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def toxicity_fold(doc_id):
+    return ~held_out(doc_id, 4, 2)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the recurrent network, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=toxicity_fold)
+    return toxicity.score(docs, weights).select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the sparse logistic regression, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, learn=lambda i: ~held_out(i, 3, 1))
+    return langid.predict(docs, model).select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of three-word shingles and component of fingerprints within two bits, for every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+# fixed values: the rules the task states (host, path, verdict)
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+             ("com", "/de/", "block")]
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every page's url; allowed where no rule fits."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(table(spark, sf_dir, "pages"), rules, default="allow")
+
+
+OP5_SQL = """
+WITH r(rh, rp, v) AS (VALUES """ + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES) + """),
+a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h0 FROM a),
+p AS (SELECT page_id, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(h0) + 1), '^[^?#]*') AS path FROM h),
+m AS (SELECT p.*, rh || rp AS rule, v, row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rh || rp) DESC NULLS LAST, length(rh) DESC, v DESC) AS k
+      FROM p LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
+"""
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and whether the base rules and the learnt decision list keep it."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+                         (~failed & F.col("good")).alias("kept"), F.col("rule"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document under the public tokenizer, as digests."""
+    return round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document: best one, its coverage, and all found with their places."""
+    return licenses.scan(table(spark, sf_dir, "documents")).select("doc_id", "license", "coverage", F.to_json("matches").alias("matches"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document words inside any occurrence of a 10-word window of a benchmark item."""
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("item_ids")
+
+
+OP9_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+t AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS k
+      FROM b, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS u(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM t),
+win AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS k FROM d, sizes, unnest(range(1, len(ws) - n + 2)) AS u(i) WHERE len(ws) >= n),
+m AS (SELECT doc_id, i, win.n, item_id FROM win JOIN t ON win.k = t.k AND win.n = t.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back by byte ranges."""
+    records = read_warc(write_warc(table(spark, sf_dir, "pages")), payloads=False)
+    return records.select(page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          page_of(F.col("refers_to")).alias("refers_to"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS m FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> m THEN m END AS refers_to
+FROM f
+"""
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, OP1_SQL),
+    "op2_toxicity": (op2_toxicity, None),
+    "op3_language_id": (op3_language_id, None),
+    "op4_simhash": (op4_simhash, None),
+    "op5_url_rules": (op5_url_rules, OP5_SQL),
+    "op6_quality_rules": (op6_quality_rules, None),
+    "op7_bpe": (op7_bpe, None),
+    "op8_license_scan": (op8_license_scan, None),
+    "op9_decontamination": (op9_decontamination, OP9_SQL),
+    "op10_warc": (op10_warc, OP10_SQL),
 }

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import bucket_count, pack, pick, read_table, replace_column, stored, stored_by_block, texts_of
+from candela.llm.common import BLOCK_BYTES, bucket_count, pack, pick, read_table, replace_column, stored, stored_by_block, texts_of
 from candela.llm.spans import Spans, covered, sequence_hashes
 
 MESSAGE = "bucket int, block long, keys binary, docs binary"
@@ -213,10 +213,10 @@ def _removed(block: _Block, at, text, first, shard_words: int) -> np.ndarray:
     return gone
 
 
-def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int, shard_words: int, rows, schema: str) -> DataFrame:
+def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int, shard_words: int, block_bytes: int, rows, schema) -> DataFrame:
     if not 1 <= anchor <= window:
         raise ValueError("anchor must lie between 1 and window")
-    blocks = stored_by_block(pack(docs, text_col), "repeats")
+    blocks = stored_by_block(pack(docs, text_col, block_bytes), "repeats")
     spark = docs.sparkSession
     size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = bucket_count(spark, size // 24)  # anchors: about every fourth word of six bytes
@@ -267,7 +267,7 @@ def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int,
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, anchor: int = 7,
-                    shard_words: int = WORDS_PER_SHARD) -> DataFrame:
+                    shard_words: int = WORDS_PER_SHARD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: id, n_words, n_removed, kept_text (kept words joined by one space) and its SHA-256."""
 
     def rows(block: _Block, gone: np.ndarray) -> pa.Table:
@@ -282,12 +282,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "kept_text": pa.array([x[2] for x in out], pa.binary()).cast(pa.string()),
             "kept_sha256": pa.array([hashlib.sha256(x[2]).hexdigest() for x in out], pa.string())})
 
-    return _kept(pick(docs, **{id_col: "long", text_col: "string"}), id_col, text_col, window, anchor, shard_words, rows,
+    return _kept(pick(docs, **{id_col: "long", text_col: "string"}), id_col, text_col, window, anchor, shard_words, block_bytes, rows,
                  f"{id_col} long, n_words long, n_removed long, kept_text string, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, anchor: int = 7,
-                   shard_words: int = WORDS_PER_SHARD) -> DataFrame:
+                   shard_words: int = WORDS_PER_SHARD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with all its columns; a text that loses words becomes its kept words joined by one space, all
     other texts stay as they are (null stays null)."""
     place, text_place = replace_column(docs.columns, id_col), replace_column(docs.columns, text_col)
@@ -304,5 +304,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return block.table.set_column(text_place, f"c{text_place}", pa.array(texts, pa.string()))
 
     schema = plain.schema
-    out = _kept(plain, f"c{place}", f"c{text_place}", window, anchor, shard_words, rows, schema)
+    out = _kept(plain, f"c{place}", f"c{text_place}", window, anchor, shard_words, block_bytes, rows, schema)
     return out.toDF(*docs.columns)
