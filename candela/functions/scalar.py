@@ -12,6 +12,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(c: str) -> Column:
+    """Column by its literal name, which may hold dots, spaces or quotes."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def div(a, b) -> Column:
     """Division that yields NULL for a zero or NULL divisor (ANSI mode raises on x/0)."""
     return F.try_divide(col(a), col(b))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.functions.scalar import col, div, lag
+from candela.functions.scalar import col, div, lag, named
 from candela.operators.features import ensure_indexed, rolling, whole_series
 from candela.operators.series import RN, index_series, running
 
@@ -118,19 +118,22 @@ def extremes(df: DataFrame, stat: str) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """AGG-9: Pearson correlation of every column pair in one aggregate, melted to long form."""
-    pairs = [(a, b) for a in cols for b in cols]
-    agg = df.groupBy(*keys).agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return agg.selectExpr(*keys, f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, corr)")
+    return _melted(df.groupBy(*keys), cols, F.corr, keys, ("feature_a", "feature_b", "corr"))
 
 
 def monthly_covariance(returns_wide: DataFrame, assets: Sequence[str]) -> DataFrame:
     """AGG-10: per month, sample covariance of daily returns for every asset pair (long form)."""
-    pairs = [(a, b) for a in assets for b in assets]
-    agg = returns_wide.groupBy(F.date_format("bar_ts", "yyyy-MM").alias("month")).agg(
-        *[F.covar_samp(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return agg.selectExpr("month", f"stack({len(pairs)}, {stack}) AS (asset_i, asset_j, cov)")
+    return _melted(returns_wide.groupBy(F.date_format("bar_ts", "yyyy-MM").alias("month")), assets, F.covar_samp, ("month",),
+                   ("asset_i", "asset_j", "cov"))
+
+
+def _melted(groups, cols: Sequence[str], measure, keys: Sequence[str], names: tuple[str, str, str]) -> DataFrame:
+    """``measure`` of every column pair in one aggregate, one row per pair; column names may hold dots and quotes."""
+    pairs = [(a, b) for a in cols for b in cols]
+    agg = groups.agg(*[measure(named(a), named(b)).alias(f"_p{i}") for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias(names[0]), F.lit(b).alias(names[1]), F.col(f"_p{i}").alias(names[2]))
+                     for i, (a, b) in enumerate(pairs)])
+    return agg.select(*keys, F.explode(rows).alias("_r")).select(*keys, "_r.*")
 
 
 def return_histogram(df: DataFrame, c: str, bins: int = 50) -> DataFrame:
@@ -145,7 +148,7 @@ def return_histogram(df: DataFrame, c: str, bins: int = 50) -> DataFrame:
 
 
 def acf(df: DataFrame, c: str, nlags: int = 10) -> DataFrame:
-    """AGG-12: autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2, k = 1..nlags."""
+    """AGG-12: autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2, k = 1..nlags; NULL for a flat series."""
     d = df.filter(F.col(c).isNotNull())
     d = whole_series(d, {"_m": F.avg(c)})
     d = d.withColumn("_x", F.col(c) - F.col("_m"))
@@ -153,7 +156,7 @@ def acf(df: DataFrame, c: str, nlags: int = 10) -> DataFrame:
     d = rolling(d, {f"_l{k}": (lambda k: lambda w: lag("_x", k, w))(k) for k in range(1, nlags + 1)}, back=nlags)
     agg = d.groupBy("symbol").agg(F.sum(F.col("_x") * F.col("_x")).alias("_den"),
                                   *[F.sum(F.col("_x") * F.col(f"_l{k}")).alias(f"_n{k}") for k in range(1, nlags + 1)])
-    stack = ", ".join(f"{k}, `_n{k}` / _den" for k in range(1, nlags + 1))
+    stack = ", ".join(f"{k}, try_divide(`_n{k}`, _den)" for k in range(1, nlags + 1))
     return agg.selectExpr("symbol", f"stack({nlags}, {stack}) AS (lag, acf)")
 
 
@@ -181,6 +184,7 @@ def pacf(acf_df: DataFrame) -> DataFrame:
             for j in range(1, m):
                 phi[m, j] = phi[m - 1, j] - phi[m, m] * phi[m - 1, m - j]
             out.append(phi[m, m])
+        out = [None if v != v else v for v in out]  # undefined (a flat series): NULL
         return pd.DataFrame({"symbol": pdf["symbol"].iloc[0], "lag": pdf["lag"].to_numpy(), "pacf": out})
 
     return acf_df.groupBy("symbol").applyInPandas(dl, "symbol string, lag int, pacf double")
@@ -208,11 +212,11 @@ def confusion_matrix(df: DataFrame, pred: str, actual: str) -> DataFrame:
 
 
 def regression_scores(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """AGG-20: R^2, MAE, directional accuracy and the share of |residual| < 0.5."""
+    """AGG-20: R^2 (NULL for a constant target), MAE, directional accuracy and the share of |residual| < 0.5."""
     e = F.col(y) - F.col(yhat)
     d = whole_series(df.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull()), {"_ym": F.avg(y)})
     return d.groupBy("symbol").agg(
-        (1 - F.sum(e * e) / F.sum(F.pow(F.col(y) - F.col("_ym"), 2))).alias("r2"),
+        (1 - div(F.sum(e * e), F.sum(F.pow(F.col(y) - F.col("_ym"), 2)))).alias("r2"),
         F.avg(F.abs(e)).alias("mae"),
         F.avg((F.signum(y) == F.signum(yhat)).cast("double")).alias("direction_accuracy"),
         F.avg((F.abs(e) < 0.5).cast("double")).alias("share_resid_lt_half"))

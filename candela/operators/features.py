@@ -386,8 +386,8 @@ def base_features(df, sma_period=50, vol_period=30, hh_period=50, ll_period=50,
 def calendar_days(bars: DataFrame, ts: str = "bar_ts") -> DataFrame:
     """Calendar side table (one row per bar day) with a degree column 0..359 (day number mod 360);
     stands in for the per-day body-position table the reference computes (JON-2, PRJ-9)."""
-    days = bars.select(F.col(ts).alias("bar_ts")).distinct()
-    return days.withColumn("deg", (F.datediff(F.col("bar_ts"), F.lit("1970-01-01")) % 360).cast("long"))
+    days = bars.select(F.to_date(ts).alias("day")).distinct()
+    return days.withColumn("deg", (F.datediff(F.col("day"), F.lit("1970-01-01")) % 360).cast("long"))
 
 
 def seasonal_decompose(df: DataFrame, period: int = 30, c: str = "close", keys: Sequence[str] = KEYS) -> DataFrame:

@@ -1,8 +1,7 @@
 """Series joins (JON-1..10).
 
-Joins are equi-joins on (symbol, bar_ts) or bar_ts and left to the planner (AQE picks broadcast
-for sides under ``spark.sql.autoBroadcastJoinThreshold`` at runtime). The only explicit broadcast is
-the calendar, whose size is bounded by the number of days in the range.
+Joins are equi-joins on (symbol, bar_ts), bar_ts or the day and left to the planner (AQE picks
+broadcast for sides under ``spark.sql.autoBroadcastJoinThreshold`` at runtime); none is forced.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.functions.scalar import div
+from candela.functions.scalar import div, named
 from candela.operators.features import ensure_indexed
 from candela.operators.series import RN, running
 
@@ -29,12 +28,9 @@ def price_ratio(df: DataFrame, a: str = "close", b: str = "close_btc", out: str
 
 
 def join_calendar(bars: DataFrame, calendar: DataFrame, ts: str = "bar_ts") -> DataFrame:
-    """JON-2: calendar left-joined to bars on the day, rows without a bar dropped (inner in effect).
-    The calendar has one row per day, so it is broadcast."""
-    cal = calendar.withColumnRenamed("bar_ts", "_day") if "bar_ts" in calendar.columns else calendar
-    b = bars.withColumn("_day", F.to_date(F.col(ts)))
-    cal = cal.withColumn("_day", F.to_date("_day"))
-    return b.join(F.broadcast(cal), "_day", "inner").drop("_day")
+    """JON-2: ``calendar`` (one row per ``day``) left-joined to bars on the day, rows without a bar dropped
+    (inner in effect). The planner broadcasts the calendar if it is small enough."""
+    return bars.withColumn("_day", F.to_date(F.col(ts))).join(calendar.withColumnRenamed("day", "_day"), "_day").drop("_day")
 
 
 def basket_join(a: DataFrame, b: DataFrame, cols: Sequence[str], suffixes: tuple[str, str] = ("_a", "_b")) -> DataFrame:
@@ -55,23 +51,28 @@ def compare_runs(r: DataFrame, e: DataFrame, keys: Sequence[str] = ("symbol", "b
 def align_assets(df: DataFrame, symbols: Sequence[str], value: str = "close") -> DataFrame:
     """JON-6: one column per asset by bar time; bars where any asset is missing are dropped."""
     wide = df.filter(F.col("symbol").isin(list(symbols))).groupBy("bar_ts").pivot("symbol", list(symbols)).agg(F.first(value))
-    return wide.dropna(subset=list(symbols))
+    there = F.lit(True)
+    for s in symbols:
+        there = there & named(s).isNotNull()
+    return wide.filter(there)
 
 
 def bracket_exit(entries: DataFrame, bars: DataFrame, timeout: int, price: str = "close") -> DataFrame:
-    """JON-10: for each entry (symbol, entry_rn, upper, lower): the first bar after entry (within
-    ``timeout`` bars) whose price is strictly above ``upper`` or strictly below ``lower``; otherwise
+    """JON-10: for each entry (symbol, entry_ts, upper, lower): the first bar after the bar at ``entry_ts``
+    (within ``timeout`` bars) whose price is strictly above ``upper`` or strictly below ``lower``; otherwise
     the last bar of the time-out window (or of the series). Returns the *bar* price at exit (Q16) and
-    the bars held. The range join is bounded by the time-out: entries expand to offsets 0..timeout
-    and meet bars by an equi-join on (symbol, rn)."""
-    b = ensure_indexed(bars).select("symbol", F.col(RN).alias("_r"), F.col(price).alias("_px"))
+    the bars held; ``entry_rn`` is the entry's position among ``bars``. The range join is bounded by the
+    time-out: entries expand to offsets 0..timeout and meet bars by an equi-join on (symbol, rn)."""
+    b = ensure_indexed(bars)
+    entries = entries.join(b.select("symbol", F.col("bar_ts").alias("entry_ts"), F.col(RN).alias("entry_rn")), ["symbol", "entry_ts"])
+    b = b.select(F.col("symbol").alias("_s"), F.col(RN).alias("_r"), F.col(price).alias("_px"))
     e = entries.withColumn("_off", F.explode(F.sequence(F.lit(0), F.lit(int(timeout)))))
-    j = e.join(b, (e.symbol == b.symbol) & (b._r == e.entry_rn + e._off)).drop(b.symbol)
+    j = e.join(b, (F.col("symbol") == F.col("_s")) & (F.col("_r") == F.col("entry_rn") + F.col("_off"))).drop("_s")
     hit = (F.col("_off") > 0) & ((F.col("_px") > F.col("upper")) | (F.col("_px") < F.col("lower")))
-    agg = j.groupBy("symbol", "entry_rn", "upper", "lower").agg(
+    agg = j.groupBy("symbol", "entry_ts", "entry_rn", "upper", "lower").agg(
         F.min(F.when(hit, F.col("_off"))).alias("_first_hit"), F.min_by("_px", F.when(hit, F.col("_off"))).alias("_hit_px"),
         F.max("_off").alias("_last"), F.max_by("_px", "_off").alias("_last_px"))
-    return agg.select("symbol", "entry_rn", "upper", "lower", F.coalesce("_first_hit", "_last").alias("bars_held"),
+    return agg.select("symbol", "entry_ts", "entry_rn", "upper", "lower", F.coalesce("_first_hit", "_last").alias("bars_held"),
                       F.when(F.col("_first_hit").isNotNull(), F.col("_hit_px")).otherwise(F.col("_last_px")).alias("exit_price"))
 
 

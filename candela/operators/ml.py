@@ -38,8 +38,9 @@ def minmax_scale(df: DataFrame, c: str, train_col: str = "is_train", keys: Seque
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
+    """Feature vector; a row with a missing feature is an error, so callers decide what to drop."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
 
 
 def classifier_bakeoff(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train",
@@ -69,7 +70,7 @@ def classifier_bakeoff(df: DataFrame, cols: Sequence[str], label: str, train_col
 
 
 def linear_regression(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
-    """ML-4: least squares with intercept (normal equations); coefficients and train/test RMSE."""
+    """ML-4: least squares with intercept (normal equations); coefficients."""
     from pyspark.ml.regression import LinearRegression
     d = assemble(df, cols).withColumn("label", F.col(label).cast("double"))
     m = LinearRegression(solver="normal", regParam=0.0, fitIntercept=True).fit(d.filter(F.col(train_col)))
@@ -128,7 +129,8 @@ def ols_1d(df: DataFrame, x: str, y: str, train_col: str = "is_train", keys: Seq
 def discriminant_2d(df: DataFrame, x1: str, x2: str, label: str, train_col: str = "is_train",
                     quadratic: bool = False, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """ML-10: linear (pooled covariance) or quadratic (per-class covariance) discriminant analysis on
-    two features, fitted per symbol from per-class moments; adds ``pred``."""
+    two features, fitted per symbol from per-class moments; adds ``pred`` (NULL where the covariance is
+    singular, as with a flat feature or one row per class)."""
     keys = list(keys)
     tr = df.filter(F.col(train_col) & F.col(x1).isNotNull() & F.col(x2).isNotNull())
     cls = tr.groupBy(*keys, F.col(label).alias("_k")).agg(
@@ -143,17 +145,18 @@ def discriminant_2d(df: DataFrame, x1: str, x2: str, label: str, train_col: str
         a, b, c = F.col("_s11"), F.col("_s22"), F.col("_s12")
     else:
         den = F.col("_n") - F.col("_ncls")
-        a, b, c = F.col("_p11") / den, F.col("_p22") / den, F.col("_p12") / den
+        a, b, c = div("_p11", den), div("_p22", den), div("_p12", den)
     cls = cls.select(*keys, "_k", "_m1", "_m2", F.ln(F.col("_nk") / F.col("_n")).alias("_lp"),
                      a.alias("_a"), b.alias("_b"), c.alias("_c"))
     j = df.join(cls, keys)
     det = F.col("_a") * F.col("_b") - F.col("_c") * F.col("_c")
     d1, d2 = F.col(x1) - F.col("_m1"), F.col(x2) - F.col("_m2")
-    maha = (F.col("_b") * d1 * d1 - 2 * F.col("_c") * d1 * d2 + F.col("_a") * d2 * d2) / det
+    maha = div(F.col("_b") * d1 * d1 - 2 * F.col("_c") * d1 * d2 + F.col("_a") * d2 * d2, det)
     if quadratic:
         score = -0.5 * F.ln(det) - 0.5 * maha + F.col("_lp")
     else:
         score = -0.5 * maha + F.col("_lp")  # the shared x' S^-1 x term cancels between classes
     j = j.withColumn("_score", score)
-    best = j.groupBy(*keys, "bar_ts").agg(F.max_by("_k", F.struct(F.col("_score"), -F.col("_k"))).alias("pred"))
+    best = j.groupBy(*keys, "bar_ts").agg(
+        F.max_by("_k", F.when(F.col("_score").isNotNull(), F.struct(F.col("_score"), -F.col("_k")))).alias("pred"))
     return df.join(best, [*keys, "bar_ts"], "left")

@@ -283,8 +283,9 @@ def trade_log_balances(log: DataFrame, keys=("symbol",)) -> DataFrame:
 
 
 def order_size(balance: Column, price: Column, cfg: StrategyConfig, short: bool = False) -> Column:
-    """PNL-19: truncated balance * pct / price (or the fixed order size), capped by max_short."""
-    size = truncate(balance * F.lit(cfg.order_pct) / price, cfg.order_precision) if cfg.order_size == 0 \
+    """PNL-19: truncated balance * pct / price (or the fixed order size), capped by max_short; NULL at a
+    zero price."""
+    size = truncate(div(balance * F.lit(cfg.order_pct), price), cfg.order_precision) if cfg.order_size == 0 \
         else F.lit(float(cfg.order_size))
     if short and cfg.max_short > 0:
         size = F.least(size, F.lit(float(cfg.max_short)))

@@ -39,8 +39,15 @@ def signal_basket(signals: DataFrame, n_assets: int) -> DataFrame:
     return running(g, [("SR", "product", "CSR"), ("DR", "product", "CMR")], ["basket"]).drop("_n", "_sel")
 
 
-# Per-asset irrational multipliers for the low-discrepancy weight sequence.
-WEIGHT_ROOTS = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29)
+def weight_roots(n: int) -> list[int]:
+    """The first ``n`` primes: their square roots are the multipliers of the low-discrepancy weight sequence."""
+    out: list[int] = []
+    k = 2
+    while len(out) < n:
+        if all(k % p for p in out if p * p <= k):
+            out.append(k)
+        k += 1
+    return out
 
 
 def random_portfolios(monthly_returns: DataFrame, cov: DataFrame, assets: Sequence[str], n: int = 5000) -> DataFrame:
@@ -53,7 +60,8 @@ def random_portfolios(monthly_returns: DataFrame, cov: DataFrame, assets: Sequen
     m = monthly_returns.join(wide, "month")
     m = m.withColumn("portfolio", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     raw = [F.col("portfolio").cast("double") + 1 for _ in a]
-    fr = [(r * F.lit(math.sqrt(WEIGHT_ROOTS[i]))) - F.floor(r * F.lit(math.sqrt(WEIGHT_ROOTS[i]))) for i, r in enumerate(raw)]
+    roots = [math.sqrt(p) for p in weight_roots(len(a))]
+    fr = [(r * F.lit(x)) - F.floor(r * F.lit(x)) for r, x in zip(raw, roots)]
     tot = fr[0]
     for x in fr[1:]:
         tot = tot + x

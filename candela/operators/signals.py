@@ -132,7 +132,7 @@ def state_id(df: DataFrame, features: Sequence[str], bins: int = 3, train_col: s
     """SIG-12: each feature binned into ``bins`` equal-frequency bins whose edges are fitted on the
     training rows of each symbol (exact nearest-rank edges: the value at rank floor(i/bins*(n-1))+1,
     found by the distributed order statistic, no per-symbol sort); the state id is the base-``bins``
-    number of the bin digits (digit = number of edges below the value)."""
+    number of the bin digits (digit = number of edges below the value), NULL if a feature is missing."""
     from candela.operators.risk import kth_smallest
     fit = df if train_col is None else df.filter(F.col(train_col))
     stacked = fit.select("symbol", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
@@ -147,7 +147,7 @@ def state_id(df: DataFrame, features: Sequence[str], bins: int = 3, train_col: s
     out = df.join(wide.select("symbol", *[F.col(f"`{f}`").alias(f"_e_{f}") for f in features]), "symbol", "left")
     sid = F.lit(0)
     for f in features:
-        digit = F.size(F.filter(F.col(f"_e_{f}"), lambda e: e < F.col(f)))
+        digit = F.when(F.col(f).isNotNull(), F.size(F.filter(F.col(f"_e_{f}"), lambda e: e < F.col(f))))
         sid = sid * F.lit(bins) + digit
     return out.withColumn("state", sid.cast("long")).drop(*[f"_e_{f}" for f in features])
 

@@ -444,9 +444,11 @@ v0 AS (SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) AS
 dd AS (SELECT a.symbol, t.tau, abs(min(a.value / b.value - 1)) AS dd
        FROM v0 a, (SELECT unnest(range(0, {max(_TAUS) + 1})) AS tau) t, v0 b
        WHERE b.symbol = a.symbol AND b.p = a.p - t.tau GROUP BY 1, 2),
-ad AS (SELECT symbol, sum(dd) FILTER (WHERE rk <= 5) / 5.0 AS avg_dd, sum(dd * dd) FILTER (WHERE rk2 <= 5) / 5.0 AS avg_dd_sq FROM (
-         SELECT symbol, dd, row_number() OVER (PARTITION BY symbol ORDER BY dd, tau) AS rk,
-                row_number() OVER (PARTITION BY symbol ORDER BY dd * dd, tau) AS rk2 FROM dd) GROUP BY symbol),
+pk AS (SELECT symbol, value, greatest(max(value) OVER (PARTITION BY symbol ORDER BY p ROWS UNBOUNDED PRECEDING), 100.0) AS peak
+       FROM v0 WHERE p > 0),
+ep AS (SELECT symbol, peak, 1 - min(value) / peak AS depth FROM pk GROUP BY 1, 2 HAVING min(value) < peak),
+ad AS (SELECT symbol, sum(depth) / 5.0 AS avg_dd, sum(depth * depth) / 5.0 AS avg_dd_sq FROM (
+         SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY depth DESC) AS rk FROM ep) WHERE rk <= 5 GROUP BY symbol),
 md AS (SELECT symbol, greatest(1 - min(value / greatest(pk, 100.0)), 0.0) AS max_dd FROM (
          SELECT symbol, value, max(value) OVER (PARTITION BY symbol ORDER BY p ROWS UNBOUNDED PRECEDING) AS pk FROM v0 WHERE p > 0)
        GROUP BY symbol)"""
@@ -460,12 +462,10 @@ def q_rsk08(spark, sf):
 
 @register("rsk09_11_drawdowns", DD_SQL + """
 SELECT md.symbol, round(max_dd, 6) AS max_dd, round(avg_dd, 6) AS avg_dd, round(avg_dd_sq, 6) AS avg_dd_sq
-FROM md JOIN ad USING (symbol)""")
+FROM md LEFT JOIN ad USING (symbol)""")
 def q_rsk09(spark, sf):
     vals = RK.price_path(RK.bar_returns(bars_hourly(spark, sf)), "r")
-    dd = RK.drawdown_at(vals, _TAUS)
-    res = RK.max_drawdown(vals).join(RK.average_drawdown(dd, 5), "symbol").join(RK.average_drawdown(dd, 5, squared=True), "symbol")
-    return rounded(res)
+    return rounded(RK.max_drawdown(vals).join(RK.average_drawdown(vals, 5), "symbol", "left"))
 
 
 _RT = ["symbol", "treynor", "sharpe", "information", "modigliani", "excess_var", "conditional_sharpe", "omega", "sortino",
@@ -482,7 +482,7 @@ kq AS (SELECT symbol, max(CAST(floor(n * 0.05) AS BIGINT)) AS kk FROM o GROUP BY
 vc AS (SELECT o.symbol, abs(max(CASE WHEN rk = kk + 1 THEN r END)) AS var,
               CASE WHEN max(kk) > 0 THEN abs(sum(CASE WHEN rk <= kk THEN r END) / max(kk)) END AS cvar
        FROM o JOIN kq USING (symbol) GROUP BY o.symbol),
-t AS (SELECT * FROM mo JOIN vc USING (symbol) JOIN md USING (symbol) JOIN ad USING (symbol)),
+t AS (SELECT * FROM mo JOIN vc USING (symbol) JOIN md USING (symbol) LEFT JOIN ad USING (symbol)),
 z AS (SELECT symbol, (mean - 0.06) / nullif(beta, 0) AS treynor, (mean - 0.06) / (vol + 1e-15) AS sharpe,
              dmean / nullif(dvol, 0) AS information, (mean - 0.06) * (vol / nullif(mvol, 0)) + 0.06 AS modigliani,
              (mean - 0.06) / nullif(var, 0) AS excess_var, (mean - 0.06) / nullif(cvar, 0) AS conditional_sharpe,
@@ -492,7 +492,7 @@ z AS (SELECT symbol, (mean - 0.06) / nullif(beta, 0) AS treynor, (mean - 0.06) /
              (mean - 0.06) / nullif(avg_dd, 0) AS sterling, (mean - 0.06) / nullif(sqrt(avg_dd_sq), 0) AS burke FROM t)
 """ + rsql(_RT, _RT[1:], "z"))
 def q_rsk12(spark, sf):
-    return out(RK.risk_table(_returns(spark, sf), "r", "m", 0.06, 0.05, 5, _TAUS), _RT)
+    return out(RK.risk_table(_returns(spark, sf), "r", "m", 0.06, 0.05, 5), _RT)
 
 
 # --- JON ----------------------------------------------------------------------------------------
@@ -507,14 +507,25 @@ def q_jon01(spark, sf):
     return out(j, K + ["close_btc", "ratio"])
 
 
+_CALENDAR_SQL = """c AS (SELECT DISTINCT CAST(bar_ts AS DATE) AS day FROM bars),
+d AS (SELECT day, CAST(day - DATE '1970-01-01' AS BIGINT) % 360 AS deg FROM c)
+SELECT b.symbol, b.bar_ts, d.deg, round(sin(2 * pi() * d.deg / 359.0), 6) AS deg_sin FROM bars b JOIN d ON day = CAST(b.bar_ts AS DATE)"""
+
+
 @register("jon02_join_calendar", DAILY + """,
-c AS (SELECT DISTINCT bar_ts, CAST(CAST(bar_ts AS DATE) - DATE '1970-01-01' AS BIGINT) % 360 AS deg FROM bars
-      WHERE isodow(bar_ts) <> 3)
-SELECT b.symbol, b.bar_ts, c.deg, round(sin(2 * pi() * c.deg / 359.0), 6) AS deg_sin FROM bars b JOIN c ON CAST(c.bar_ts AS DATE) = CAST(b.bar_ts AS DATE)""")
+""" + _CALENDAR_SQL)
 def q_jon02(spark, sf):
     bars = bars_daily(spark, sf)
-    cal = FE.calendar_days(bars).filter(F.weekday("bar_ts") != 2)
-    j = JN.join_calendar(bars, cal)
+    j = JN.join_calendar(bars, FE.calendar_days(bars))
+    return out(FE.with_cyclical(j, "deg", 359), K + ["deg", "deg_sin"])
+
+
+@register("jon02_join_calendar_hourly", HOURLY + """,
+""" + _CALENDAR_SQL)
+def q_jon02_hourly(spark, sf):
+    """JON-2 on intraday bars: every bar meets its day once."""
+    bars = bars_hourly(spark, sf)
+    j = JN.join_calendar(bars, FE.calendar_days(bars))
     return out(FE.with_cyclical(j, "deg", 359), K + ["deg", "deg_sin"])
 
 
@@ -575,10 +586,9 @@ SELECT h.symbol, h.entry_rn, coalesce(fh, last) AS bars_held, round(j.px, 6) AS
 FROM h JOIN j ON j.symbol = h.symbol AND j.entry_rn = h.entry_rn AND j.off = coalesce(fh, last)""")
 def q_jon10(spark, sf):
     """JON-10: +/-20 % bracket with a 12-bar time-out on every new Buy of the ROC rule."""
-    from candela.operators.series import RN
     bars = FE.ensure_indexed(bars_hourly(spark, sf))
     td = FE.rolling(SG.roc_signal(bars, ROC), {"_nw": lambda w: ~F.col("signal").eqNullSafe(F.lag("signal").over(w))}, back=1)
     entries = td.filter(F.col("_nw") & (F.col("signal") == "Buy")).select(
-        "symbol", F.col(RN).alias("entry_rn"), (F.col("close") * 1.2).alias("upper"), (F.col("close") * 0.8).alias("lower"))
-    res = JN.bracket_exit(entries, bars, 12).drop("upper", "lower")
+        "symbol", F.col("bar_ts").alias("entry_ts"), (F.col("close") * 1.2).alias("upper"), (F.col("close") * 0.8).alias("lower"))
+    res = JN.bracket_exit(entries, bars, 12).drop("upper", "lower", "entry_ts")
     return rounded(res.withColumn("bars_held", F.col("bars_held").cast("bigint")))

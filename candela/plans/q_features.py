@@ -94,7 +94,7 @@ def q_prj08(spark, sf):
 c AS (SELECT DISTINCT bar_ts, CAST(CAST(bar_ts AS DATE) - DATE '1970-01-01' AS BIGINT) % 360 AS deg FROM bars)
 SELECT bar_ts, deg, round(sin(2 * pi() * deg / 359.0), 6) AS deg_sin, round(cos(2 * pi() * deg / 359.0), 6) AS deg_cos FROM c""")
 def q_prj09(spark, sf):
-    cal = FE.calendar_days(bars_daily(spark, sf))
+    cal = FE.calendar_days(bars_daily(spark, sf)).withColumn("bar_ts", F.col("day").cast("timestamp_ntz"))
     return out(FE.with_cyclical(cal, "deg", 359), ["bar_ts", "deg", "deg_sin", "deg_cos"])
 
 

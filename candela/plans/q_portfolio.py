@@ -54,7 +54,7 @@ def _mpt_sql() -> str:
                   ELSE CAST(date_trunc('month', {x}) AS DATE) END"""
     mw = ", ".join(f"max(CASE WHEN symbol = '{x}' THEN r END) AS m{i}" for i, x in enumerate(a))
     mnn = " AND ".join(f"m{i} IS NOT NULL" for i in range(len(a)))
-    fr = [f"((k + 1) * {S.f(math.sqrt(p))} - floor((k + 1) * {S.f(math.sqrt(p))}))" for p in PF.WEIGHT_ROOTS[:len(a)]]
+    fr = [f"((k + 1) * {S.f(math.sqrt(p))} - floor((k + 1) * {S.f(math.sqrt(p))}))" for p in PF.weight_roots(len(a))]
     tot = " + ".join(fr)
     ws = ", ".join(f"{fr[i]} / ({tot}) AS w_{i}" for i in range(len(a)))
     ret = "0.0 + " + " + ".join(f"w_{i} * m{i}" for i in range(len(a)))

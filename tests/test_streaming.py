@@ -46,3 +46,33 @@ def test_signal_stream_with_bounded_tail_matches_batch(spark):
     exp = {r.symbol: (r.l.bar_ts, r.l.signal) for r in
            td.groupBy("symbol").agg(F.max_by(F.struct("bar_ts", "signal"), RN).alias("l")).collect()}
     assert got == exp
+
+
+def test_signal_carried_over_ignored_buckets_in_the_stream(spark):
+    """Four micro-batches; bucket 0 (Sell) is ignored, so a Buy is held for longer than the tail."""
+    import datetime as dt
+
+    from candela.config import PRESETS
+    from candela.operators.signals import roc_signal
+    from candela.streaming.bars import EVENTS_SCHEMA
+    cfg = PRESETS["eth_usd_roc"].with_(roc_period=3, roc_threshold=5.0, ignore_signals=(0,))
+    root = tempfile.mkdtemp(prefix="candela-carry-")
+    start = dt.datetime(2024, 1, 1)
+    prices = [100.0 + (30.0 if 12 <= h < 15 else 0.0) for h in range(80)]
+    rows = [(h, start + dt.timedelta(hours=h), 1, "up", p, "") for h, p in enumerate(prices)] + [
+        (1000 + h, start + dt.timedelta(hours=h), 1, "flat", 50.0, "") for h in range(80)]
+    for i in range(4):
+        part = [r for r in rows if i * 20 <= (r[1] - start).total_seconds() / 3600 < (i + 1) * 20]
+        spark.createDataFrame(part, EVENTS_SCHEMA).coalesce(1).write.parquet(f"{root}/land/chunk={i}")
+    ticks = ST.tick_stream
+    ST.tick_stream = lambda s, path: ticks(s, path, max_files=1)
+    try:
+        ST.run_signal_stream(spark, f"{root}/land/*/*.parquet", f"{root}/bars", f"{root}/sig", f"{root}/state", cfg)
+    finally:
+        ST.tick_stream = ticks
+    assert spark.read.parquet(f"{root}/sig").select("batch_id").distinct().count() >= 4
+    bars = ST.latest_bars(spark, f"{root}/bars")
+    td = roc_signal(bars, cfg)
+    want = {r.symbol: (r.l.bar_ts, r.l.signal) for r in td.groupBy("symbol").agg(F.max_by(F.struct("bar_ts", "signal"), "bar_ts").alias("l")).collect()}
+    got = {r.symbol: (r.bar_ts, r.signal) for r in ST.latest_signals(spark, f"{root}/sig").collect()}
+    assert got == want and got["up"][1] == "Buy" and got["flat"][1] is None
