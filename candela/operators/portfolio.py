@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.config import StrategyConfig
-from candela.functions.scalar import div
+from candela.functions.scalar import div, full
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.pnl import run_pnl
 from candela.operators.series import BLK, RN, running
@@ -149,7 +149,8 @@ def _pick(col_for: dict, key: str):
     return out
 
 
-def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkpoint: bool = True) -> DataFrame:
+def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkpoint: bool = True,
+                      more: Sequence[str] = ()) -> DataFrame:
     """SWP-1 signal stage: for every (symbol, period, threshold, delay): ROC(period), score
     1{ROC > threshold} delayed by delay + 1 bars, then the signal frame with the usual warm-up drop.
 
@@ -170,7 +171,7 @@ def roc_sweep_signals(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig
     dl = {d: f"_s{d}" for d in delays}
     x = rolling(x, {c: (lambda d: lambda w: F.lag("_raw", d + 1).over(w))(d) for d, c in dl.items()}, back=max(delays) + 1)
     x = x.withColumn("y_pred_val", _pick(dl, "delay")).drop(*dl.values())
-    return gen_signal(x.drop("_prev", "_raw"), cfg, required=["DR", "ROC"]).select(*SWEEP_COLS)
+    return gen_signal(x.drop("_prev", "_raw"), cfg, required=["DR", "ROC"]).select(*SWEEP_COLS, *more)
 
 
 def sweep_results(pnl: DataFrame) -> DataFrame:
@@ -186,21 +187,31 @@ def roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkp
     return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
 
 
+def basket_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, n_assets: int, checkpoint: bool = True) -> DataFrame:
+    """SWP-1 with the basket's final return as the objective: per parameter set the signals of all assets
+    form an equal-share basket (as ``signal_basket``: bars where all assets have a return, 1 where none is
+    bought); CSR and the equal-weight CMR are products over its bars. Two hash aggregates, no running frame."""
+    s = roc_sweep_signals(bars, grid, cfg, checkpoint, more=["DR"]).filter(F.col("DR").isNotNull())
+    g = s.groupBy("param_id", "bar_ts").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("y_pred_val").alias("_buys"), F.avg("DR").alias("DR"),
+        F.sum(F.when(F.col("y_pred_val") == 1, F.col("DR"))).alias("_sel")).filter(F.col("_n") == n_assets)
+    sr = F.when(F.col("_buys") > 0, F.col("_sel") / F.col("_buys")).otherwise(F.lit(1.0))
+    r = g.groupBy("param_id").agg(F.product(sr).alias("CSR"), F.product("DR").alias("CMR"), F.count(F.lit(1)).alias("n_bars"))
+    return r.withColumn("loss", -F.col("CSR"))
+
+
 def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> DataFrame:
-    """SWP-2: averaging-period sweep. ADR(n) = mean of DR over the last n bars for a per-row n, from a
-    running sum and its value n rows back (one lag column per period, on the bars); signal =
+    """SWP-2: averaging-period sweep. ADR(n) = mean of DR over the last n bars, one windowed mean per
+    period on the bars (a difference of running sums would lose digits as the history grows); signal =
     1{ADR > 1} acting on the next bar."""
     bars = rolling(_indexed_once(bars, True), {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
-    bars = running(bars, [("DR", "sum", "_cs")])
-    lags = {int(p): f"_cs{int(p)}" for p in periods}
-    bars = rolling(bars, {c: (lambda p: lambda w: F.lag("_cs", p).over(w))(p) for p, c in lags.items()}, back=max(lags))
+    means = {int(p): f"_adr{int(p)}" for p in periods}
+    bars = rolling(bars, {c: (lambda p: lambda w: full(F.avg, "DR", w, p))(p) for p, c in means.items()}, back=max(means))
     x = explode_params(bars, [{"period": int(p)} for p in periods])
-    x = x.withColumn("_cs_prev", _pick(lags, "period")).drop(*lags.values())
-    x = x.withColumn("ADR", F.when(F.col(RN) >= F.col("period"),
-                                   (F.col("_cs") - F.coalesce(F.col("_cs_prev"), F.lit(0.0))) / F.col("period")))
+    x = x.withColumn("ADR", _pick(means, "period")).drop(*means.values())
     x = rolling(x, {"y_pred_val": lambda w: F.lag(F.when(F.col("ADR") > 1, F.lit(1.0)).otherwise(F.lit(0.0)), 1).over(w)},
                 back=1)
-    td = gen_signal(x.drop("_cs", "_cs_prev"), cfg, required=["DR", "ADR"]).select(*SWEEP_COLS)
+    td = gen_signal(x, cfg, required=["DR", "ADR"]).select(*SWEEP_COLS)
     return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
 
 

@@ -1,9 +1,9 @@
 """Risk and risk-adjusted return metrics per group (RSK-1..25).
 
 Moments are single-pass aggregates. Value at risk needs an exact order statistic; it is computed
-without sorting a whole group in one task: approximate splitters (a mergeable sketch) cut each
-group into buckets, bucket totals locate the rank, the search narrows to that bucket (twice), ties
-collapse in a partial ``groupBy(value)``, and only the small remainder is ordered. Drawdowns use the running peak (one pass) and
+without sorting a whole group in one task: ties collapse in a partial ``groupBy(value)``,
+approximate splitters (a mergeable sketch) cut each group into buckets, bucket totals locate the
+rank, the search narrows to that bucket until few values are left, and only those are ordered. Drawdowns use the running peak (one pass) and
 exact lag-tau minima through an equi-join on row number.
 """
 
@@ -43,35 +43,45 @@ def moments(df: DataFrame, r: str = "r", m: str | None = "m", threshold: float =
     return df.filter(x.isNotNull()).groupBy(*keys).agg(*aggs)
 
 
-def kth_smallest(df: DataFrame, value: str, k: DataFrame, keys: Sequence[str] = ("symbol",), levels: int = 2) -> DataFrame:
+MAX_ORDERED = 1 << 16
+
+
+def kth_smallest(df: DataFrame, value: str, k: DataFrame, keys: Sequence[str] = ("symbol",), max_ordered: int = MAX_ORDERED) -> DataFrame:
     """Exact k-th smallest value (1-based, ``k`` table: keys + ``k``) and the sum of the k smallest,
     per key, without sorting a key in one task. Output: keys, k, kth, sum_k.
 
-    Each level cuts the key's remaining values into ``spark.candela.rankSplits`` buckets with
-    approximate splitters (a mergeable sketch), counts and sums the buckets (partial aggregation,
-    ties included), keeps only the bucket that holds the rank and moves the rank into it. After
-    ``levels`` levels only about n / splits**levels values of a key are left; ties collapse in a
-    ``groupBy(value)`` and that small remainder is ordered to read off the exact value."""
+    Ties collapse first (a partial ``groupBy(value)``). While any key has more than ``max_ordered``
+    distinct values left, a level cuts every key's values into ``spark.candela.rankSplits`` buckets with
+    approximate splitters (a mergeable sketch), counts and sums the buckets, keeps the bucket that holds
+    the rank and moves the rank into it. The few values left are ordered to read off the exact value.
+    The bound decides how many levels run, never the answer; one number per level comes to the driver."""
     keys = list(keys)
     splits = max(2, setting(df.sparkSession, SPLITS_KEY, 64))
     qs = [i / splits for i in range(1, splits)]
-    v = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    v = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
+    v = materialize(v)
     state = k.select(*keys, F.col("k").alias("_k"), F.col("k"), F.lit(0.0).alias("_acc"))
-    for _ in range(levels):
+    left = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+    while left > max_ordered:
         cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", qs, 10000).alias("_cuts"))
         vb = v.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
         vb = materialize(vb)
-        buckets = vb.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.sum("_v").alias("_bs"))
+        buckets = vb.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bc"), F.sum(F.col("_v") * F.col("_cnt")).alias("_bs"),
+                                              F.count(F.lit(1)).alias("_d"))
         wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         buckets = (buckets.withColumn("_before", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
                    .withColumn("_before_sum", F.coalesce(F.sum("_bs").over(wb), F.lit(0.0))))
         target = (buckets.join(state, keys)
                   .filter((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_before") + F.col("_bc"))))
+        target = materialize(target)
         state = target.select(*keys, (F.col("_k") - F.col("_before")).alias("_k"), "k",
                               (F.col("_acc") + F.col("_before_sum")).alias("_acc"))
-        v = vb.join(target.select(*keys, "_b"), [*keys, "_b"]).select(*keys, "_v")
-    distinct = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    inside = distinct.join(state, keys)
+        v = vb.join(target.select(*keys, "_b"), [*keys, "_b"]).select(*keys, "_v", "_cnt")
+        now = target.agg(F.max("_d")).first()[0] or 0
+        if now >= left:
+            break  # the sketch cannot part values this close; the ordering below is still exact
+        left = now
+    inside = v.join(state, keys)
     wv = Window.partitionBy(*keys).orderBy("_v")
     inside = (inside.withColumn("_cum", F.sum("_cnt").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("_cum_prev", F.col("_cum") - F.col("_cnt"))

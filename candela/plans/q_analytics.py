@@ -262,9 +262,9 @@ fc AS (SELECT symbol, bar_ts, y, p.prior, yhat, yhat - p.prior * sd AS yhat_lowe
        FROM f0, (VALUES (1.0), (2.0), (3.0)) p(prior) WHERE yhat IS NOT NULL)"""
 
 
-def _fc(spark, sf):
+def _fc(spark, sf, ks=(2.0,)):
     bars = bars_daily(spark, sf)
-    f = FC.moving_average_forecast(bars, 10, (1.0, 2.0, 3.0))
+    f = FC.moving_average_forecast(bars, 10, ks)
     return FC.join_forecast(bars.select("symbol", "bar_ts", F.col("close").alias("y")), f)
 
 
@@ -282,7 +282,7 @@ c AS (SELECT a.*, b.train_mae FROM a LEFT JOIN b USING (symbol))
 {rsql(['symbol', 'increase_accuracy', 'decrease_accuracy', 'test_mae', 'in_range_pct', 'train_mae'],
       ['increase_accuracy', 'decrease_accuracy', 'test_mae', 'in_range_pct', 'train_mae'], 'c')}""")
 def q_agg16(spark, sf):
-    j = _fc(spark, sf).filter(F.col("prior") == 2.0)
+    j = _fc(spark, sf)
     return rounded(FC.forecast_eval(j, "2000-01-01", "2000-12-31", 3))
 
 
@@ -293,7 +293,7 @@ u AS (SELECT symbol, bar_ts, sum(CASE WHEN pred_diff > 0 THEN 10.0 * real_diff E
              10.0 * (y - first_value(y) OVER w) AS hold_profit FROM te {W})
 {rsql(['symbol', 'bar_ts', 'pred_profit', 'hold_profit'], ['pred_profit', 'hold_profit'], 'u')}""")
 def q_agg17(spark, sf):
-    j = _fc(spark, sf).filter(F.col("prior") == 2.0)
+    j = _fc(spark, sf)
     return out(FC.forecast_profit(j, "2000-01-01", "2000-12-31", 10.0), K + ["pred_profit", "hold_profit"])
 
 
@@ -307,7 +307,7 @@ a AS (SELECT symbol, prior,
 SELECT symbol, prior, round(train_err, 6) AS train_err, round(train_range, 6) AS train_range, round(test_err, 6) AS test_err,
        round(test_range, 6) AS test_range FROM a""")
 def q_agg18(spark, sf):
-    return rounded(FC.interval_validation(_fc(spark, sf), "2000-01-01", "2000-12-31", 3))
+    return rounded(FC.interval_validation(_fc(spark, sf, (1.0, 2.0, 3.0)), "2000-01-01", "2000-12-31", 3))
 
 
 @register("agg19_forecast_direction", FC_SQL + f""",
@@ -317,7 +317,7 @@ u AS (SELECT *, estimate - lag(estimate) OVER w AS change FROM t {W})
 SELECT symbol, bar_ts, round(estimate, 6) AS estimate, round(change, 6) AS change, CAST(change > 0 AS INT) AS direction
 FROM u WHERE change IS NOT NULL""")
 def q_agg19(spark, sf):
-    f = _fc(spark, sf).filter(F.col("prior") == 2.0)
+    f = _fc(spark, sf)
     return out(FC.forecast_direction(f, "2001-01-01"), K + ["estimate", "change", "direction"])
 
 
@@ -327,7 +327,7 @@ SELECT symbol, round(1 - sum((y - yhat) * (y - yhat)) / sum(pow(y - ym, 2)), 6)
        round(avg(CASE WHEN sign(y) = sign(yhat) THEN 1.0 ELSE 0.0 END), 6) AS direction_accuracy,
        round(avg(CASE WHEN abs(y - yhat) < 0.5 THEN 1.0 ELSE 0.0 END), 6) AS share_resid_lt_half FROM t GROUP BY symbol""")
 def q_agg20(spark, sf):
-    return rounded(AG.regression_scores(_fc(spark, sf).filter(F.col("prior") == 2.0), "y", "yhat"))
+    return rounded(AG.regression_scores(_fc(spark, sf), "y", "yhat"))
 
 
 @register("agg21_sign_penalty", FC_SQL + """,
@@ -336,7 +336,7 @@ t AS (SELECT symbol, y - lag(y) OVER (PARTITION BY symbol ORDER BY bar_ts) AS dy
 SELECT symbol, """ + S.sig_sql("avg(CASE WHEN dy * dhat < 0 THEN 100.0 * pow(dy - dhat, 2) ELSE pow(dy - dhat, 2) END)") + """ AS sign_penalty_loss
 FROM t WHERE dy IS NOT NULL AND dhat IS NOT NULL GROUP BY symbol""")
 def q_agg21(spark, sf):
-    j = FE.rolling(_fc(spark, sf).filter(F.col("prior") == 2.0), {
+    j = FE.rolling(_fc(spark, sf), {
         "dy": lambda w: F.col("y") - F.lag("y").over(w), "dhat": lambda w: F.col("yhat") - F.lag("y").over(w)}, back=1)
     return rounded(AG.sign_penalty(j.dropna(subset=["dy", "dhat"]), "dy", "dhat", 100.0))
 

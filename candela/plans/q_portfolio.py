@@ -191,6 +191,17 @@ def q_swp01(spark, sf):
     return rounded(_sweep(spark, sf))
 
 
+@register("swp01_basket_sweep", SWEEP_SQL.replace("res AS (SELECT split_part", """bk AS (
+  SELECT CAST(split_part(symbol, '|', 2) AS INT) AS param_id, bar_ts, count(*) AS n, sum(y_pred_val) AS buys, avg(DR) AS DR,
+         sum(CASE WHEN y_pred_val = 1 THEN DR END) AS sel FROM c WHERE DR IS NOT NULL GROUP BY 1, 2 HAVING count(*) = 5),
+bs AS (SELECT param_id, product(CASE WHEN buys > 0 THEN sel / buys ELSE 1.0 END) AS CSR, product(DR) AS CMR, count(*) AS n_bars FROM bk GROUP BY 1),
+basket AS (SELECT *, -CSR AS loss FROM bs),
+res AS (SELECT split_part""", 1) + "\n" + rsql(["param_id", "CSR", "CMR", "n_bars", "loss"], ["CSR", "CMR", "loss"], "basket"))
+def q_swp01_basket(spark, sf):
+    """SWP-1 maximising the return of the basket of all five symbols."""
+    return rounded(PF.basket_sweep(bars_hourly(spark, sf), SWEEP_GRID, ROC, 5))
+
+
 @register("top01_running_best", SWEEP_SQL + """,
 rb AS (SELECT *, min(loss) OVER (PARTITION BY symbol ORDER BY param_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best
        FROM sweep)

@@ -124,6 +124,23 @@ def test_single_bar_symbol_and_zero_price(spark):
     assert out.DR.isna().sum() == 3                         # first bars and the zero divisor give NULL
 
 
+def test_kth_smallest_over_many_levels(spark):
+    """One key holds most rows; at most four distinct values of a key are ordered in the end."""
+    rng = np.random.default_rng(6)
+    vals = np.concatenate([np.round(rng.normal(size=4000), 3), np.full(500, 0.125)])
+    ks = [1, 2, 57, 1500, 2249, 2300, len(vals)]
+    rows = [(k, float(v)) for k in ks for v in vals] + [(-1, 1.0), (-2, 5.0), (-2, 5.0)]
+    df = spark.createDataFrame(rows, "symbol long, r double")
+    kt = spark.createDataFrame([(k, k) for k in ks] + [(-1, 1), (-2, 2), (-3, 1)], "symbol long, k long")
+    spark.conf.set("spark.candela.rankSplits", "8")
+    got = {r.symbol: (r.kth, r.sum_k) for r in RK.kth_smallest(df, "r", kt, max_ordered=4).collect()}
+    spark.conf.unset("spark.candela.rankSplits")
+    v = np.sort(vals)
+    assert set(got) == {*ks, -1, -2} and got[-1] == (1.0, 1.0) and got[-2] == (5.0, 10.0)
+    for k in ks:
+        assert got[k][0] == v[k - 1] and got[k][1] == pytest.approx(v[:k].sum())
+
+
 def test_kth_smallest_matches_sort(spark):
     rng = np.random.default_rng(5)
     spark.conf.set("spark.candela.rankSplits", "4")
