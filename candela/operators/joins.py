@@ -61,18 +61,22 @@ def bracket_exit(entries: DataFrame, bars: DataFrame, timeout: int, price: str =
     """JON-10: for each entry (symbol, entry_ts, upper, lower): the first bar after the bar at ``entry_ts``
     (within ``timeout`` bars) whose price is strictly above ``upper`` or strictly below ``lower``; otherwise
     the last bar of the time-out window (or of the series). Returns the *bar* price at exit (Q16) and
-    the bars held; ``entry_rn`` is the entry's position among ``bars``. The range join is bounded by the
+    the bars held; ``entry_rn`` is the entry's position among ``bars``
+    (entries may also give it instead of ``entry_ts``; positions of another frame are not positions here). The range join is bounded by the
     time-out: entries expand to offsets 0..timeout and meet bars by an equi-join on (symbol, rn)."""
     b = ensure_indexed(bars)
-    entries = entries.join(b.select("symbol", F.col("bar_ts").alias("entry_ts"), F.col(RN).alias("entry_rn")), ["symbol", "entry_ts"])
+    by_time = "entry_ts" in entries.columns
+    if by_time:
+        entries = entries.join(b.select("symbol", F.col("bar_ts").alias("entry_ts"), F.col(RN).alias("entry_rn")), ["symbol", "entry_ts"])
+    ids = ["symbol", *["entry_ts"] * by_time, "entry_rn", "upper", "lower"]
     b = b.select(F.col("symbol").alias("_s"), F.col(RN).alias("_r"), F.col(price).alias("_px"))
     e = entries.withColumn("_off", F.explode(F.sequence(F.lit(0), F.lit(int(timeout)))))
     j = e.join(b, (F.col("symbol") == F.col("_s")) & (F.col("_r") == F.col("entry_rn") + F.col("_off"))).drop("_s")
     hit = (F.col("_off") > 0) & ((F.col("_px") > F.col("upper")) | (F.col("_px") < F.col("lower")))
-    agg = j.groupBy("symbol", "entry_ts", "entry_rn", "upper", "lower").agg(
+    agg = j.groupBy(*ids).agg(
         F.min(F.when(hit, F.col("_off"))).alias("_first_hit"), F.min_by("_px", F.when(hit, F.col("_off"))).alias("_hit_px"),
         F.max("_off").alias("_last"), F.max_by("_px", "_off").alias("_last_px"))
-    return agg.select("symbol", "entry_ts", "entry_rn", "upper", "lower", F.coalesce("_first_hit", "_last").alias("bars_held"),
+    return agg.select(*ids, F.coalesce("_first_hit", "_last").alias("bars_held"),
                       F.when(F.col("_first_hit").isNotNull(), F.col("_hit_px")).otherwise(F.col("_last_px")).alias("exit_price"))
 
 
