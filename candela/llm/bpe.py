@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import bucket_count, packer, pick, read_table, stored_by_block, table_bytes, texts_of
+from candela.llm.common import bucket_count, packer, pick, read_table, release, stored_by_block, table_bytes, texts_of
 
 BLOCK_BYTES = 16 << 20
 MAX_PIECES = 1 << 20
@@ -117,6 +117,7 @@ def _encoded(docs: DataFrame, tokenizer_text: str, id_col: str, text_col: str, b
             yield pa.RecordBatch.from_arrays(
                 [block.column("block"), pa.array([len(words)], pa.int64()), pa.array([record], pa.binary()), pa.array([_zip(b"\n".join(words))], pa.binary())],
                 names=["block", "n_distinct", "packed", "words"])
+            release()
 
     blocks = stored_by_block(docs.mapInArrow(split, WORDS), "words")
     buckets = bucket_count(spark, blocks.agg(F.sum("n_distinct")).first()[0] or 0)
@@ -152,7 +153,9 @@ def _encoded(docs: DataFrame, tokenizer_text: str, id_col: str, text_col: str, b
             out_sizes.append(_zip(size[use].astype(np.uint32).tobytes()))
             out_ids.append(_zip(_gathered(flat, at, size, use).tobytes()))
         bucket = table.column("bucket")[0].as_py()
-        return pa.table({"block": table.column("block").cast(pa.int64()), "bucket": pa.array([bucket] * len(lists), pa.int32()),
+        del lists, number, words, ids, got
+        release()
+        return pa.table({"block": table.column("block").cast(pa.int64()), "bucket": pa.array([bucket] * len(out_ids), pa.int32()),
                          "sizes": pa.array(out_sizes, pa.binary()), "ids": pa.array(out_ids, pa.binary())})
 
     def join_back(left: pa.Table, answers: pa.Table) -> pa.Table:
@@ -171,6 +174,7 @@ def _encoded(docs: DataFrame, tokenizer_text: str, id_col: str, text_col: str, b
                     yield _gathered(flat, at, size, codes[a:b])
 
             out.append(rows(table.column(id_col), documents()))
+        release()
         return pa.concat_tables(out)
 
     answers = blocks.select("block", "words").mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(encode_bucket, ANSWER)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from candela.session import ensure_checkpoint_dir
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "block long, n_bytes long, packed binary"
 BUCKET_KEYS = 1 << 20
 
@@ -115,6 +115,17 @@ def pack(df: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFr
     return df.mapInArrow(packer(text_col, block_bytes), BLOCK_SCHEMA)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks, beside the executor's JVM."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def texts_of(column) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

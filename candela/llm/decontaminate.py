@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import pack, packer, pick, read_table, replace_column, stored, stored_by_block, texts_of
+from candela.llm.common import pack, packer, pick, read_table, release, replace_column, stored, stored_by_block, texts_of
 from candela.llm.spans import WHITE, Spans, covered
 
 CHUNK_BYTES = 8 << 20
@@ -201,6 +201,8 @@ def _searched(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, ite
                 cls, _, word, size = shard.matches(tests)
                 out = rows(table, shard, [(tests.ids[c], w, n) for c, w, n in zip(cls.tolist(), word.tolist(), size.tolist())])
                 yield from out.to_batches()
+                del table, shard, out
+                release()
 
         return docs.mapInArrow(direct, schema)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import BLOCK_BYTES, bucket_count, pack, pick, read_table, replace_column, stored, stored_by_block, texts_of
+from candela.llm.common import BLOCK_BYTES, bucket_count, pack, pick, read_table, release, replace_column, stored, stored_by_block, texts_of
 from candela.llm.spans import Spans, covered, sequence_hashes
 
 MESSAGE = "bucket int, block long, keys binary, docs binary"
@@ -229,6 +229,7 @@ def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int,
                 rows_ = [(i, b, keys[x:y].tobytes(), _zip(many[x:y])) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
                 if rows_:
                     yield _batch(_MESSAGE, rows_)
+                release()
 
     def recurring(block: _Block, answers: pa.Table):
         keys, _, _ = block.anchors
@@ -241,10 +242,12 @@ def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int,
             _, _, keys, low, _ = block.windows(recurring(block, answers))
             cut = _cuts(keys["a"], buckets)
             out += [(i, b, _zip(keys[x:y]), _zip(low[x:y])) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+            del block, keys, low
+        release()
         return pa.Table.from_batches([_batch(_MESSAGE, out)])
 
     def finish(left: pa.Table, answers: pa.Table) -> pa.Table:
-        out = []
+        out, block = [], None
         for packed in left.column("packed").to_pylist():
             block = _Block(packed, id_col, text_col, window, anchor)
             step = answers.column("step").to_numpy()
@@ -253,6 +256,8 @@ def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int,
             at, text, _, low, inverse = block.windows(recurring(block, bits))
             first = (low + _in_order(back, np.int64))[inverse] if len(at) else low
             out.append(rows(block, _removed(block, at, text, first, shard_words)))
+        del block
+        release()
         return pa.concat_tables(out)
 
     def settle(messages: DataFrame, how) -> DataFrame:

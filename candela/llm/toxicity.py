@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import pick, replace_column, texts_of
+from candela.llm.common import pick, release, replace_column, texts_of
 from candela.llm.decontaminate import NORMAL
 from candela.llm.spans import WHITE, Spans, mix
 
@@ -334,6 +334,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         rows = [x for b in batches for x in zip(b.column("h").to_pylist(), b.column("y").to_pylist(), texts_of(b.column("text")))]
         rows.sort()
         weights = train([t for _, _, t in rows], np.array([y for _, y, _ in rows], np.int64), share=share)
+        del rows
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(weights)], pa.binary())], names=["weights"])
 
     got = sample.select("h", "y", "text").repartition(1).mapInArrow(run, "weights binary").collect()
@@ -362,6 +364,7 @@ def score(docs: DataFrame, weights: dict, id_col: str = "doc_id", text_col: str
             for a, b in _grouped(texts):
                 s = text_scores(shared.value, texts[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[id_col, "score", "predicted"])
+            release()
 
     return pick(docs, **{id_col: "long", text_col: "string"}).mapInArrow(run, f"{id_col} long, score double, predicted int")
 
@@ -378,5 +381,6 @@ def drop_toxic(docs: DataFrame, weights: dict, text_col: str = "text", threshold
             for a, b in _grouped(texts):
                 keep = text_scores(shared.value, texts[a:b]) < threshold
                 yield batch.slice(a, b - a).filter(pa.array(keep))
+            release()
 
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

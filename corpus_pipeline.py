@@ -43,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, their number, and digests of the ids and of the text decoded from them."""
-    return bpe.round_trip(docs, TOKENIZER, with_ids=True)
+    return bpe.round_trip(docs, TOKENIZER, with_ids=True, block_bytes=8 << 20)
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_duplicates), ("substring_dedup", cut_repeats),
