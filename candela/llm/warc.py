@@ -204,8 +204,12 @@ def records_in(file, start: int, end: int):
 def read_warc(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
     """``archives`` (path, length) -> one row per record. The digest of a response is that of the payload read, the
     digest and size of a revisit are those its headers state."""
+    spark = archives.sparkSession
+    total = archives.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 0
+    # an explicit number: by their few bytes the ranges would all be put into one task
+    tasks = max(1, min(int(total), 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     ranges = archives.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
-    ranges = ranges.select("path", "start", F.least("length", F.col("start") + range_bytes).alias("end")).repartition("path", "start")
+    ranges = ranges.select("path", "start", F.least("length", F.col("start") + range_bytes).alias("end")).repartition(tasks, "path", "start")
     names = [x.split()[0] for x in RECORDS.split(", ")]
     types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary())
 
