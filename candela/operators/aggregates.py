@@ -263,3 +263,10 @@ def run_vs_hold(df: DataFrame, total: str = "ntotal", pnl: str = "pnl", close: s
         F.avg(conf).alias("avg_confidence"))
     return g.withColumn("return_ratio", div("run_return", "hold_return")).withColumn(
         "sharpe_ratio_ratio", div("run_sharpe", "hold_sharpe"))
+
+
+def state_counts(table: DataFrame) -> DataFrame:
+    """AGG-22: of a state table (SIG-13): states, states with visits, confident states per symbol."""
+    return table.groupBy("symbol").agg(
+        F.count("state").alias("n_states"), F.count_if(F.col("state").isNotNull() & (F.col("visits") > 0)).alias("n_valid"),
+        F.count_if(F.col("state").isNotNull() & F.col("confident")).alias("n_confident"))

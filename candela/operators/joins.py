@@ -57,18 +57,78 @@ def align_assets(df: DataFrame, symbols: Sequence[str], value: str = "close") ->
     return wide.filter(there)
 
 
-def bracket_exit(entries: DataFrame, bars: DataFrame, timeout: int, price: str = "close") -> DataFrame:
+FAN_BITS = 6  # a node of the search tree over positions has 2**6 children
+
+
+def _price_tree(b: DataFrame, price: str, levels: int) -> list[DataFrame]:
+    """Highest and lowest price of runs of bars: level k has one row per (symbol, node) with its up to 64 children
+    in order, each a run of 64**k bars."""
+    rows, tree = b.select("symbol", F.col(RN).alias("i"), F.col(price).alias("hi"), F.col(price).alias("lo")), []
+    for _ in range(levels):
+        nodes = rows.groupBy("symbol", F.shiftright("i", FAN_BITS).alias("node")).agg(
+            F.sort_array(F.collect_list(F.struct("i", "hi", "lo"))).alias("kids"), F.max("hi").alias("hi"), F.min("lo").alias("lo"))
+        tree.append(nodes.select(F.col("symbol").alias("_s"), F.col("node").alias("_node"), "kids"))
+        rows = nodes.select("symbol", F.col("node").alias("i"), "hi", "lo")
+    return tree
+
+
+def _first_crossing(entries: DataFrame, b: DataFrame, price: str) -> DataFrame:
+    """Add ``_found``: position of the first bar after ``entry_rn`` beyond a bound, NULL if none is.
+
+    Climb: among the later siblings of the entry's bar, then of its run of 64 bars, then of 64**2, ... the first
+    that holds a crossing; then descend to the bar. Every step is an equi-join on (symbol, node), two per level,
+    so an entry meets O(64 log n) children however far its exit lies."""
+    last = b.agg(F.max(RN)).first()[0] or 0
+    levels = max(1, -(-int(last).bit_length() // FAN_BITS))
+    tree = _price_tree(b, price, levels)
+
+    def first(beyond):
+        def hit(x):
+            out = (x["hi"] > F.col("upper")) | (x["lo"] < F.col("lower"))
+            return out if beyond is None else (x["i"] > beyond) & out
+        return F.get(F.filter("kids", hit), 0)["i"]
+
+    e = entries.withColumn("_found", F.lit(None).cast("long")).withColumn("_level", F.lit(None).cast("int"))
+    keep = e.columns[:-2]
+    for k in range(levels):
+        own, up = F.shiftright("entry_rn", FAN_BITS * k), F.shiftright("entry_rn", FAN_BITS * (k + 1))
+        j = e.join(tree[k], (F.col("symbol") == F.col("_s")) & (F.col("_node") == up), "left").withColumn("_new", first(own))
+        e = j.select(*keep, F.coalesce("_found", "_new").alias("_found"),
+                     F.coalesce("_level", F.when(F.col("_new").isNotNull(), F.lit(k))).alias("_level"))
+    for k in range(levels - 1, 0, -1):
+        here = F.coalesce(F.col("_level") == k, F.lit(False))
+        # entries that are done meet their own run, so that no key gathers them
+        node = F.when(here, F.col("_found")).otherwise(F.shiftright("entry_rn", FAN_BITS * k))
+        j = e.join(tree[k - 1], (F.col("symbol") == F.col("_s")) & (F.col("_node") == node), "left")
+        e = j.select(*keep, F.when(here, first(None)).otherwise(F.col("_found")).alias("_found"),
+                     F.when(here, F.lit(k - 1)).otherwise(F.col("_level")).alias("_level"))
+    return e.drop("_level")
+
+
+def _open_bracket(entries: DataFrame, b: DataFrame, price: str, ids: list[str]) -> DataFrame:
+    e = _first_crossing(entries.select(*ids).distinct(), b, price)
+    e = e.join(b.groupBy("symbol").agg(F.max(RN).alias("_last")), "symbol").withColumn("_exit", F.coalesce("_found", "_last"))
+    at = b.select(F.col("symbol").alias("_s"), F.col(RN).alias("_r"), F.col(price).alias("exit_price"))
+    j = e.join(at, (F.col("symbol") == F.col("_s")) & (F.col("_exit") == F.col("_r")))
+    return j.select(*ids, (F.col("_exit") - F.col("entry_rn")).alias("bars_held"), "exit_price")
+
+
+def bracket_exit(entries: DataFrame, bars: DataFrame, timeout: int | None = None, price: str = "close") -> DataFrame:
     """JON-10: for each entry (symbol, entry_ts, upper, lower): the first bar after the bar at ``entry_ts``
     (within ``timeout`` bars) whose price is strictly above ``upper`` or strictly below ``lower``; otherwise
     the last bar of the time-out window (or of the series). Returns the *bar* price at exit (Q16) and
     the bars held; ``entry_rn`` is the entry's position among ``bars``
-    (entries may also give it instead of ``entry_ts``; positions of another frame are not positions here). The range join is bounded by the
-    time-out: entries expand to offsets 0..timeout and meet bars by an equi-join on (symbol, rn)."""
+    (entries may also give it instead of ``entry_ts``; positions of another frame are not positions here). A NULL bound is
+    never crossed; equal entries come out once. With a time-out the range join is bounded by it: entries expand to offsets
+    0..timeout and meet bars by an equi-join on (symbol, rn). Without one, the exit is searched in a tree of runs of bars
+    with their highest and lowest price (``_first_crossing``)."""
     b = ensure_indexed(bars)
     by_time = "entry_ts" in entries.columns
     if by_time:
         entries = entries.join(b.select("symbol", F.col("bar_ts").alias("entry_ts"), F.col(RN).alias("entry_rn")), ["symbol", "entry_ts"])
     ids = ["symbol", *["entry_ts"] * by_time, "entry_rn", "upper", "lower"]
+    if timeout is None:
+        return _open_bracket(entries, b, price, ids)
     b = b.select(F.col("symbol").alias("_s"), F.col(RN).alias("_r"), F.col(price).alias("_px"))
     e = entries.withColumn("_off", F.explode(F.sequence(F.lit(0), F.lit(int(timeout)))))
     j = e.join(b, (F.col("symbol") == F.col("_s")) & (F.col("_r") == F.col("entry_rn") + F.col("_off"))).drop("_s")

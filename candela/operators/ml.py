@@ -8,6 +8,7 @@ two features are closed-form from per-class moments (one aggregate).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from candela.functions.scalar import div
 from candela.operators.features import ensure_indexed, whole_series
 from candela.operators.series import RN
+from candela.session import materialize
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], train_col: str = "is_train", keys: Sequence[str] = ("symbol",),
@@ -69,33 +71,82 @@ def classifier_bakeoff(df: DataFrame, cols: Sequence[str], label: str, train_col
     return rows
 
 
-def linear_regression(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
-    """ML-4: least squares with intercept (normal equations); coefficients."""
-    from pyspark.ml.regression import LinearRegression
+def naive_bayes(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
+    """ML-3: test rows with the prediction of Gaussian naive Bayes fitted on the training rows."""
+    from pyspark.ml.classification import NaiveBayes
     d = assemble(df, cols).withColumn("label", F.col(label).cast("double"))
-    m = LinearRegression(solver="normal", regParam=0.0, fitIntercept=True).fit(d.filter(F.col(train_col)))
-    coef = [float(v) for v in m.coefficients]
-    spark = df.sparkSession
-    return spark.createDataFrame([(c, w) for c, w in zip(cols, coef)] + [("intercept", float(m.intercept))],
-                                 "term string, value double")
+    m = NaiveBayes(modelType="gaussian").fit(d.filter(F.col(train_col)))
+    return m.transform(d.filter(~F.col(train_col))).drop("features", "label", "rawPrediction", "probability")
+
+
+def fit_linear(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train"):
+    """ML-4: least squares with intercept on the training rows by the normal equations (one pass; the
+    driver gets one matrix of the features)."""
+    from pyspark.ml.regression import LinearRegression
+    d = assemble(df.filter(F.col(train_col)), cols).withColumn("label", F.col(label).cast("double"))
+    return LinearRegression(solver="normal", regParam=0.0, fitIntercept=True).fit(d)
 
 
-def regressor_grid(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", seed: int = 7) -> DataFrame:
-    """ML-5: decision tree depths, random-forest (trees x depth) grid and boosted trees; R^2 on test."""
+def linear_regression(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
+    """ML-4: coefficients and intercept of ``fit_linear``."""
+    m = fit_linear(df, cols, label, train_col)
+    return df.sparkSession.createDataFrame([(c, float(w)) for c, w in zip(cols, m.coefficients)] + [("intercept", float(m.intercept))],
+                                           "term string, value double")
+
+
+def linear_terms(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
+    """ML-4: per term the coefficient, its standard error, t value and two-sided p value. Features that
+    depend on one another linearly have no standard errors; MLlib raises then."""
+    m = fit_linear(df, cols, label, train_col)
+    s = m.summary
+    rows = zip([*cols, "intercept"], [*m.coefficients, m.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)
+    return df.sparkSession.createDataFrame([(t, *map(float, v)) for t, *v in rows],
+                                           "term string, value double, std_error double, t_value double, p_value double")
+
+
+def linear_predict(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", out: str = "pred") -> DataFrame:
+    """ML-4: ``df`` (training and test rows) with the fitted value."""
+    m = fit_linear(df, cols, label, train_col)
+    value = F.lit(float(m.intercept))
+    for c, w in zip(cols, m.coefficients):
+        value = value + F.lit(float(w)) * F.col(c)
+    return df.withColumn(out, value)
+
+
+def regression_fit(df: DataFrame, label: str, pred: str = "pred", by: str = "is_train") -> DataFrame:
+    """ML-4: rows, root mean squared error and R^2 of training and of test rows (R^2 NULL for a constant label)."""
+    sq = F.pow(F.col(label) - F.col(pred), 2)
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(sq)).alias("rmse"),
+                              (F.lit(1.0) - div(F.avg(sq), F.var_pop(label))).alias("r2"))
+
+
+def regressor_grid(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", seed: int = 42,
+                   depths: Sequence[int] = (3, 5, 10), trees: Sequence[int] = (50, 100, 200),
+                   forest_depths: Sequence[int] = (3, 4, 5), max_features: Sequence[int] = (2, 4, 8),
+                   parallelism: int = 4) -> DataFrame:
+    """ML-5: decision trees by depth, random forests by trees x depth x features tried at a split (at most all
+    of them), boosted trees; R^2 on training and test rows, and which forest has the best test score (the
+    first of the grid among equals). The rows are stored once, since every fit reads them many times."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-    d = assemble(df, cols).withColumn("label", F.col(label).cast("double"))
+    d = assemble(df, cols).select("features", F.col(label).cast("double").alias("label"), train_col)
+    d = materialize(d)
     train, test = d.filter(F.col(train_col)), d.filter(~F.col(train_col))
     ev = RegressionEvaluator(metricName="r2")
-    grid = [(f"DT_d{k}", DecisionTreeRegressor(maxDepth=k, seed=seed)) for k in (3, 5, 7)]
-    grid += [(f"RF_n{n}_d{k}", RandomForestRegressor(numTrees=n, maxDepth=k, seed=seed)) for n in (10, 30) for k in (3, 5)]
+    grid = [(f"DT_d{k}", DecisionTreeRegressor(maxDepth=k, seed=seed)) for k in depths]
+    grid += [(f"RF_n{n}_d{k}_f{f}", RandomForestRegressor(numTrees=n, maxDepth=k, featureSubsetStrategy=str(f), seed=seed))
+             for n in trees for k in forest_depths for f in max_features]
     grid += [("GBT", GBTRegressor(maxIter=20, maxDepth=3, seed=seed))]
-    spark = df.sparkSession
-    res = []
-    for name, est in grid:
-        m = est.fit(train)
-        res.append((name, float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))))
-    return spark.createDataFrame(res, "model string, r2_train double, r2_test double")
+
+    def fit(entry):
+        m = entry[1].fit(train)
+        return entry[0], float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))
+
+    with ThreadPool(parallelism) as pool:  # independent jobs, as MLlib's own cross-validation runs them
+        res = pool.map(fit, grid, chunksize=1)
+    best = max((r for r in res if r[0].startswith("RF_")), key=lambda r: r[2], default=(None,))[0]
+    return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in res],
+                                           "model string, r2_train double, r2_test double, best_forest boolean")
 
 
 def feature_importances(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", seed: int = 7) -> DataFrame:

@@ -215,6 +215,25 @@ def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> D
     return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
 
 
+def adr_roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, threshold: float = 0.0) -> DataFrame:
+    """SWP-2 over two axes (``adr_period``, ``roc_period``): signal = 1{ADR(n) > 1 and ROC(m) > ``threshold``}
+    acting on the next bar. Means and look-backs are made once per distinct period on the bars, before the grid."""
+    bars = rolling(_indexed_once(bars, True), {"DR": lambda w: div(F.col("close"), F.lag("close").over(w))}, back=1)
+    means = {n: f"_adr{n}" for n in sorted({int(p["adr_period"]) for p in grid})}
+    lags = {n: f"_c{n}" for n in sorted({int(p["roc_period"]) for p in grid})}
+    cols = {c: (lambda n: lambda w: full(F.avg, "DR", w, n))(n) for n, c in means.items()}
+    cols.update({c: (lambda n: lambda w: F.lag("close", n).over(w))(n) for n, c in lags.items()})
+    bars = rolling(bars, cols, back=max(*means, *lags))
+    x = explode_params(bars, [{k: int(p[k]) for k in ("adr_period", "roc_period")} for p in grid])
+    x = x.withColumn("ADR", _pick(means, "adr_period")).withColumn("_prev", _pick(lags, "roc_period")).drop(*means.values(), *lags.values())
+    x = x.withColumn("ROC", F.when(F.col("_prev").isNull(), F.lit(None).cast("double")).when(F.col("_prev") == 0, F.lit(0.0))
+                     .otherwise(F.lit(100.0) * (F.col("close") / F.col("_prev") - 1)))
+    raw = F.when((F.col("ADR") > 1) & (F.col("ROC") > threshold), F.lit(1.0)).otherwise(F.lit(0.0))
+    x = rolling(x, {"y_pred_val": lambda w: F.lag(raw, 1).over(w)}, back=1)
+    td = gen_signal(x, cfg, required=["DR", "ADR", "ROC"]).select(*SWEEP_COLS)
+    return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
+
+
 def param_grid(**axes: Sequence) -> list[dict]:
     """Cartesian grid of parameter values (the grid size is fixed by the caller)."""
     keys = list(axes)

@@ -573,22 +573,37 @@ def q_jon07(spark, sf):
     return out(SG.rotate_when(a, bars.filter(F.col("symbol") == "view")), K + ["close"])
 
 
-@register("jon10_bracket_exit", HOURLY + "," + S.roc_signal_ctes("bars", ROC) + """,
+def _jon10_sql(timeout: int | None) -> str:
+    reach = "b.rn >= e.entry_rn" if timeout is None else f"b.rn BETWEEN e.entry_rn AND e.entry_rn + {timeout}"
+    return HOURLY + "," + S.roc_signal_ctes("bars", ROC) + f""",
 b AS (SELECT symbol, bar_ts, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) - 1 AS rn, close FROM bars),
 s AS (SELECT symbol, bar_ts, signal IS DISTINCT FROM lag(signal) OVER (PARTITION BY symbol ORDER BY bar_ts) AS nw, signal FROM td),
 e AS (SELECT b.symbol, b.rn AS entry_rn, b.close * 1.2 AS upper, b.close * 0.8 AS lower FROM s JOIN b USING (symbol, bar_ts)
       WHERE s.nw AND s.signal = 'Buy'),
 j AS (SELECT e.symbol, e.entry_rn, b.rn - e.entry_rn AS off, b.close AS px, e.upper, e.lower
-      FROM e JOIN b ON b.symbol = e.symbol AND b.rn BETWEEN e.entry_rn AND e.entry_rn + 12),
+      FROM e JOIN b ON b.symbol = e.symbol AND {reach}),
 h AS (SELECT symbol, entry_rn, min(CASE WHEN off > 0 AND (px > upper OR px < lower) THEN off END) AS fh, max(off) AS last
       FROM j GROUP BY 1, 2)
 SELECT h.symbol, h.entry_rn, coalesce(fh, last) AS bars_held, round(j.px, 6) AS exit_price
-FROM h JOIN j ON j.symbol = h.symbol AND j.entry_rn = h.entry_rn AND j.off = coalesce(fh, last)""")
-def q_jon10(spark, sf):
-    """JON-10: +/-20 % bracket with a 12-bar time-out on every new Buy of the ROC rule."""
+FROM h JOIN j ON j.symbol = h.symbol AND j.entry_rn = h.entry_rn AND j.off = coalesce(fh, last)"""
+
+
+def _jon10(spark, sf, timeout):
     bars = FE.ensure_indexed(bars_hourly(spark, sf))
     td = FE.rolling(SG.roc_signal(bars, ROC), {"_nw": lambda w: ~F.col("signal").eqNullSafe(F.lag("signal").over(w))}, back=1)
     entries = td.filter(F.col("_nw") & (F.col("signal") == "Buy")).select(
         "symbol", F.col("bar_ts").alias("entry_ts"), (F.col("close") * 1.2).alias("upper"), (F.col("close") * 0.8).alias("lower"))
-    res = JN.bracket_exit(entries, bars, 12).drop("upper", "lower", "entry_ts")
+    res = JN.bracket_exit(entries, bars, timeout).drop("upper", "lower", "entry_ts")
     return rounded(res.withColumn("bars_held", F.col("bars_held").cast("bigint")))
+
+
+@register("jon10_bracket_exit", _jon10_sql(12))
+def q_jon10(spark, sf):
+    """JON-10: +/-20 % bracket with a 12-bar time-out on every new Buy of the ROC rule."""
+    return _jon10(spark, sf, 12)
+
+
+@register("jon10_bracket_exit_open", _jon10_sql(None))
+def q_jon10_open(spark, sf):
+    """JON-10: +/-20 % bracket without a time-out on every new Buy of the ROC rule."""
+    return _jon10(spark, sf, None)

@@ -83,9 +83,67 @@ def q_ml04(spark, sf):
     return rounded(ML.linear_regression(_lagged(spark, sf), ["Lag1"], "Today"))
 
 
+_OLS2 = LAG_SQL + """,
+o1 AS (SELECT count(*) AS n, avg(Today) AS my, avg(Lag1) AS m1, avg(Lag2) AS m2, var_pop(Lag1) AS s11, var_pop(Lag2) AS s22,
+              covar_pop(Lag1, Lag2) AS s12, covar_pop(Today, Lag1) AS s1y, covar_pop(Today, Lag2) AS s2y FROM v WHERE is_train),
+o2 AS (SELECT *, s11 * s22 - s12 * s12 AS det FROM o1),
+o3 AS (SELECT *, (s1y * s22 - s2y * s12) / det AS b1, (s2y * s11 - s1y * s12) / det AS b2 FROM o2),
+ols AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM o3),
+pr AS (SELECT v.symbol, v.bar_ts, v.is_train, v.Today, b0 + b1 * Lag1 + b2 * Lag2 AS pred FROM v, ols)"""
+
+
+# the two-sided p value is the tail of Student's density, by Simpson's rule over atan(t / sqrt(df))
+@register("ml04_regression_terms", _OLS2 + """,
+sg AS (SELECT sum(pow(Today - pred, 2)) / (count(*) - 3) AS s2 FROM pr WHERE is_train),
+tm AS (SELECT 'Lag1' AS term, b1 AS value, sqrt(s2 / n * s22 / det) AS std_error, n - 3 AS df FROM ols, sg
+       UNION ALL SELECT 'Lag2', b2, sqrt(s2 / n * s11 / det), n - 3 FROM ols, sg
+       UNION ALL SELECT 'intercept', b0, sqrt(s2 / n * (1 + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det)), n - 3 FROM ols, sg),
+tv AS (SELECT *, value / std_error AS t_value, atan(abs(value / std_error) / sqrt(df)) AS lo FROM tm),
+sm AS (SELECT term, sum((CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(greatest(cos(lo + i * (pi() / 2 - lo) / 20000), 0), df - 1))
+              * (pi() / 2 - lo) / 60000 AS area FROM tv, range(0, 20001) t(i) GROUP BY term, lo),
+tp AS (SELECT tv.*, 2 * exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0)) / sqrt(pi()) * area AS p_value FROM tv JOIN sm USING (term))
+""" + rsql(["term", "value", "std_error", "t_value", "p_value"], ["value", "std_error", "t_value", "p_value"], "tp"))
+def q_ml04_terms(spark, sf):
+    """ML-4: today's return on two lags: coefficients, standard errors, t and p values."""
+    return rounded(ML.linear_terms(_lagged(spark, sf), ["Lag1", "Lag2"], "Today"))
+
+
+def _fitted(spark, sf):
+    return ML.linear_predict(_lagged(spark, sf), ["Lag1", "Lag2"], "Today")
+
+
+@register("ml04_regression_predictions", _OLS2 + "\n" + rsql(K + ["is_train", "pred"], ["pred"], "pr"))
+def q_ml04_pred(spark, sf):
+    """ML-4: fitted values of the training rows, predictions of the test rows."""
+    return rounded(_fitted(spark, sf).select(*K, "is_train", "pred"))
+
+
+@register("ml04_regression_fit", _OLS2 + """,
+fi AS (SELECT is_train, count(*) AS n, sqrt(avg(pow(Today - pred, 2))) AS rmse, 1 - avg(pow(Today - pred, 2)) / nullif(var_pop(Today), 0) AS r2
+       FROM pr GROUP BY is_train)
+""" + rsql(["is_train", "n", "rmse", "r2"], ["rmse", "r2"], "fi"))
+def q_ml04_fit(spark, sf):
+    """ML-4: root mean squared error and R^2 on training and test rows."""
+    return rounded(ML.regression_fit(_fitted(spark, sf), "Today"))
+
+
+@register("ml03_naive_bayes", LAG_SQL + """,
+nb AS (SELECT CAST(Direction > 0 AS INT) AS up, * FROM v),
+nc AS (SELECT up AS k, ln(count(*) / (SELECT count(*) FROM nb WHERE is_train)) AS lp, avg(Lag1) AS m1, var_pop(Lag1) AS v1, avg(Lag2) AS m2, var_pop(Lag2) AS v2
+       FROM nb WHERE is_train GROUP BY up),
+ns AS (SELECT symbol, bar_ts, up, k, lp - 0.5 * (ln(v1) + pow(Lag1 - m1, 2) / v1 + ln(v2) + pow(Lag2 - m2, 2) / v2) AS score FROM nb, nc WHERE NOT is_train),
+np AS (SELECT symbol, bar_ts, up, arg_max(k, (score, -k)) AS pred FROM ns GROUP BY 1, 2, 3)
+SELECT symbol, count(*) AS n_test, CAST(sum(pred) AS BIGINT) AS n_up_predicted, CAST(sum(CAST(pred = up AS INT)) AS BIGINT) AS n_correct FROM np GROUP BY symbol""")
+def q_ml03_nb(spark, sf):
+    """ML-3: Gaussian naive Bayes of up / down on two lagged returns: test rows, predicted rises, hits."""
+    d = ML.naive_bayes(_lagged(spark, sf), ["Lag1", "Lag2"], "up")
+    return d.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_test"), F.sum(F.col("prediction").cast("bigint")).alias("n_up_predicted"),
+                                   F.sum((F.col("prediction") == F.col("up")).cast("bigint")).alias("n_correct"))
+
+
 @register("ml05_regressor_grid", None)
 def q_ml05(spark, sf):
-    """ML-5 (rows check): tree / forest / boosted regressors of Today on five lags, R^2."""
+    """ML-5 (rows check): trees by depth, the forest grid (27 settings) and boosted trees of Today on five lags, R^2."""
     return rounded(ML.regressor_grid(_lagged(spark, sf), ["Lag1", "Lag2", "Lag3", "Lag4", "Lag5"], "Today"))
 
 

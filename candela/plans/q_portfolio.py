@@ -210,27 +210,39 @@ def q_top01(spark, sf):
     return rounded(TS.running_best(_sweep(spark, sf), "loss", "param_id"))
 
 
-def _adr_sql() -> str:
+def _adr_sql(params: list[tuple[int, int | None]]) -> str:
+    """``params``: (averaging period, ROC period or None for the rule on the average alone)."""
     parts = []
-    for i, n in enumerate(ADR_PERIODS):
+    for i, (n, m) in enumerate(params):
+        roc = "1.0" if m is None else (f"CASE WHEN lag(close, {m}) OVER (w) IS NULL THEN NULL WHEN lag(close, {m}) OVER (w) = 0 THEN 0.0 "
+                                       f"ELSE 100.0 * (close / lag(close, {m}) OVER (w) - 1) END")
         parts.append(f"""SELECT symbol || '|' || '{i}' AS symbol, bar_ts, open, high, low, close, volume, DR, pos,
-               CASE WHEN pos >= {n} THEN {S.full_avg('DR', n)} END AS ADR FROM d""")
+               CASE WHEN pos >= {n} THEN {S.full_avg('DR', n)} END AS ADR, {roc.replace("OVER (w)", "OVER (w )")} AS ROC FROM d""")
     return HOURLY + f""",
 d AS (SELECT *, close / nullif(lag(close) OVER w, 0) AS DR, row_number() OVER w - 1 AS pos FROM bars
       WINDOW w AS (PARTITION BY symbol ORDER BY bar_ts)),
 e AS ({' UNION ALL '.join(p.replace('OVER (w ', 'OVER (PARTITION BY symbol ORDER BY bar_ts ') for p in parts)}),
-f AS (SELECT *, lag(CASE WHEN ADR > 1 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY symbol ORDER BY bar_ts) AS y_pred_val FROM e),
+f AS (SELECT *, lag(CASE WHEN ADR > 1 AND ROC > 0 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY symbol ORDER BY bar_ts) AS y_pred_val FROM e),
 c AS (SELECT symbol, bar_ts, open, high, low, close, volume, y_pred_val,
              coalesce(y_pred_val >= {S.f(ROC.signal_threshold)}, false) AS y_pred,
              CAST(trunc(y_pred_val * {S.f(ROC.signal_scale)}) AS BIGINT) AS y_pred_id,
              CASE WHEN coalesce(y_pred_val >= {S.f(ROC.signal_threshold)}, false) THEN 'Buy' ELSE 'Sell' END AS signal
-      FROM f WHERE y_pred_val IS NOT NULL AND DR IS NOT NULL AND ADR IS NOT NULL),
+      FROM f WHERE y_pred_val IS NOT NULL AND DR IS NOT NULL AND ADR IS NOT NULL AND ROC IS NOT NULL),
 {S.indexed("c", "td")},""" + S.pnl_ctes("td", ROC) + """,
 res AS (SELECT split_part(symbol, '|', 1) AS sym, CAST(split_part(symbol, '|', 2) AS INT) AS param_id,
                arg_max(CSR, pos) AS CSR FROM pnl GROUP BY pnl.symbol)
 SELECT sym AS symbol, param_id, """ + S.sig_sql("CSR") + " AS CSR, " + S.sig_sql("-CSR") + " AS loss FROM res"
 
 
-@register("swp02_adr_sweep", _adr_sql())
+ADR_ROC_GRID = PF.param_grid(adr_period=[2, 10, 30], roc_period=[3, 17])
+
+
+@register("swp02_adr_roc_sweep", _adr_sql([(p["adr_period"], p["roc_period"]) for p in ADR_ROC_GRID]))
+def q_swp02_adr_roc(spark, sf):
+    """SWP-2 over averaging period and ROC period: buy while both rules agree."""
+    return rounded(PF.adr_roc_sweep(bars_hourly(spark, sf), ADR_ROC_GRID, ROC))
+
+
+@register("swp02_adr_sweep", _adr_sql([(n, None) for n in ADR_PERIODS]))
 def q_swp02(spark, sf):
     return rounded(PF.adr_sweep(bars_hourly(spark, sf), ADR_PERIODS, ROC))

@@ -212,6 +212,15 @@ def q_sig13(spark, sf):
     return rounded(SG.state_reward_table(_state_frame(spark, sf), "next_ret", 10))
 
 
+@register("agg22_state_counts", _state_sql() + """,
+tb AS (SELECT symbol, state, count(*) AS visits FROM st WHERE state IS NOT NULL GROUP BY 1, 2)
+SELECT symbol, count(*) AS n_states, count(*) AS n_valid, CAST(sum(CAST(visits >= 10 AS INT)) AS BIGINT) AS n_confident FROM tb GROUP BY symbol""")
+def q_agg22_states(spark, sf):
+    """AGG-22: how many states occur, and how many of them often enough to trust."""
+    from candela.operators.aggregates import state_counts
+    return state_counts(SG.state_reward_table(_state_frame(spark, sf), "next_ret", 10))
+
+
 # --- PNL ----------------------------------------------------------------------------------------
 
 STOPS = PRESETS["eth_usd_roc"].with_(buy_sl=True, sell_sl=True, short=True, buy_tp=True, sell_tp=True, take_profit=0.05,

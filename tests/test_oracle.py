@@ -8,7 +8,8 @@ from tests.oracle_check import compare, duck
 
 SAMPLE = ["src10_bars_daily", "prj06_lagged_return_frame", "win01_09_base_features", "scn07_adx", "sig04_mask_signals",
           "pnl12_roc_hourly", "agg05_gen_trades", "rsk12_25_risk_table", "jon10_bracket_exit", "ts03_upsample_interpolate",
-          "swp02_adr_sweep", "ml10_qda", "str01_stream_bars"]
+          "swp02_adr_sweep", "ml10_qda", "str01_stream_bars", "jon10_bracket_exit_open", "ml03_naive_bayes", "ml04_regression_terms",
+          "swp02_adr_roc_sweep", "agg22_state_counts"]
 
 
 def test_entry_runs(spark):

@@ -1,6 +1,7 @@
 """Flat series, zero prices, odd names and gaps through the operators that divide, join or name columns."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,51 @@ def test_missing_feature_has_no_state(bars):
     d = bars.withColumn("x", F.when(F.hour("bar_ts") > 0, F.col("close"))).filter("symbol = 'move'")
     got = SG.state_id(d, ["x", "close"], 3)
     assert got.where("x is null and state is not null").count() == 0 and got.where("x is not null and state is null").count() == 0
+
+
+def test_open_bracket_searches_the_whole_series(spark, monkeypatch):
+    """Exits far away, none at all, open sides, the last bar and a missing price, in a tree of several levels."""
+    monkeypatch.setattr(JN, "FAN_BITS", 2)
+    r = random.Random(5)
+    price = {s: [None if r.random() < 0.05 else 100.0 + r.randrange(-40, 41) for _ in range(n)] for s, n in (("a", 300), ("b", 1), ("c", 65))}
+    rows = [(s, START + dt.timedelta(hours=i), p) for s, ps in price.items() for i, p in enumerate(ps)]
+    bars = spark.createDataFrame(rows, "symbol string, bar_ts timestamp_ntz, close double")
+    entries = [(s, START + dt.timedelta(hours=i), r.choice([None, 120.0, 139.0, 140.0, 200.0]), r.choice([None, 80.0, 61.0, 60.0, 0.0]))
+               for s, ps in price.items() for i in range(len(ps))]
+    got = JN.bracket_exit(spark.createDataFrame(entries + entries[:3], "symbol string, entry_ts timestamp_ntz, upper double, lower double"), bars).collect()
+    assert len(got) == len(entries)
+    want = {}
+    for s, ts, up, low in entries:
+        at, ps = int((ts - START).total_seconds()) // 3600, price[s]
+        hit = [i for i in range(at + 1, len(ps)) if ps[i] is not None and ((up is not None and ps[i] > up) or (low is not None and ps[i] < low))]
+        out = hit[0] if hit else len(ps) - 1
+        want[s, at] = (out - at, ps[out])
+    assert {(x.symbol, x.entry_rn): (x.bars_held, x.exit_price) for x in got} == want
+
+
+def test_open_bracket_equals_a_long_timeout(bars):
+    entries = bars.filter(F.hour("bar_ts") % 7 == 1).select("symbol", F.col("bar_ts").alias("entry_ts"), (F.col("close") + 9).alias("upper"), (F.col("close") - 9).alias("lower"))
+    rows = [sorted(map(tuple, JN.bracket_exit(entries, bars, t).collect())) for t in (None, 100)]
+    assert rows[0] == rows[1] and len(rows[0]) > 10
+
+
+def test_regression_terms_and_forest_grid(spark):
+    r = random.Random(3)
+    rows = []
+    for i in range(400):
+        x, z = r.gauss(0, 1), r.gauss(0, 1)
+        rows.append((x, z, 2.0 + 3.0 * x + r.gauss(0, 0.5), i < 300))
+    d = spark.createDataFrame(rows, "x double, z double, y double, is_train boolean")
+    terms = {t.term: t for t in ML.linear_terms(d, ["x", "z"], "y").collect()}
+    assert terms["x"].value == pytest.approx(3.0, abs=0.1) and terms["x"].p_value < 1e-9
+    assert terms["z"].p_value > 0.001 and terms["z"].t_value == pytest.approx(terms["z"].value / terms["z"].std_error)
+    fit = {f.is_train: f for f in ML.regression_fit(ML.linear_predict(d, ["x", "z"], "y"), "y").collect()}
+    assert fit[True].n == 300 and fit[False].rmse == pytest.approx(0.5, abs=0.1) and fit[False].r2 > 0.9
+    grid = ML.regressor_grid(d, ["x", "z"], "y", depths=(3,), trees=(3, 5), forest_depths=(2,), max_features=(1, 8)).collect()
+    forests = [g for g in grid if g.model.startswith("RF_")]
+    assert len(grid) == 6 and [g.model for g in grid if g.best_forest] == [max(forests, key=lambda g: g.r2_test).model]
+
+
+def test_state_counts(spark):
+    t = spark.createDataFrame([("a", 1, 12, True), ("a", 2, 3, False), ("a", 3, 0, False), ("a", None, 4, True)], "symbol string, state int, visits long, confident boolean")
+    assert tuple(AG.state_counts(t).first()) == ("a", 3, 2, 1)
