@@ -8,7 +8,6 @@ two features are closed-form from per-class moments (one aggregate).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,8 +121,7 @@ def regression_fit(df: DataFrame, label: str, pred: str = "pred", by: str = "is_
 
 def regressor_grid(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", seed: int = 42,
                    depths: Sequence[int] = (3, 5, 10), trees: Sequence[int] = (50, 100, 200),
-                   forest_depths: Sequence[int] = (3, 4, 5), max_features: Sequence[int] = (2, 4, 8),
-                   parallelism: int = 4) -> DataFrame:
+                   forest_depths: Sequence[int] = (3, 4, 5), max_features: Sequence[int] = (2, 4, 8)) -> DataFrame:
     """ML-5: decision trees by depth, random forests by trees x depth x features tried at a split (at most all
     of them), boosted trees; R^2 on training and test rows, and which forest has the best test score (the
     first of the grid among equals). The rows are stored once, since every fit reads them many times."""
@@ -137,13 +135,10 @@ def regressor_grid(df: DataFrame, cols: Sequence[str], label: str, train_col: st
     grid += [(f"RF_n{n}_d{k}_f{f}", RandomForestRegressor(numTrees=n, maxDepth=k, featureSubsetStrategy=str(f), seed=seed))
              for n in trees for k in forest_depths for f in max_features]
     grid += [("GBT", GBTRegressor(maxIter=20, maxDepth=3, seed=seed))]
-
-    def fit(entry):
-        m = entry[1].fit(train)
-        return entry[0], float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))
-
-    with ThreadPool(parallelism) as pool:  # independent jobs, as MLlib's own cross-validation runs them
-        res = pool.map(fit, grid, chunksize=1)
+    res = []
+    for name, est in grid:
+        m = est.fit(train)
+        res.append((name, float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))))
     best = max((r for r in res if r[0].startswith("RF_")), key=lambda r: r[2], default=(None,))[0]
     return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in res],
                                            "model string, r2_train double, r2_test double, best_forest boolean")
