@@ -2,12 +2,15 @@
 
 For each license template a text can hold, stretches of the text are aligned with it: words that occur once in both
 are anchors, the longest increasing subsequence of them is fixed, and the gaps between fixed anchors are aligned
-in the same way (a gap without common unique words matches its equal first and last words). Coverage is the share of
-the template's words that are aligned; a template is found where it reaches ``threshold``.
+in the same way (a gap without common unique words matches its equal first and last words). Coverage is the number of
+aligned words over the template's words and the text words left over between the first and the last aligned one, so
+that words a text adds count as much as words it lacks. A template is found where coverage reaches ``threshold``.
+Where stretches of two templates share half of the lesser one or more, the closest stays: the one with the most
+aligned words less those left over on both sides. A notice without a template of its own can still be near another.
 
-Whole texts are searched. A template can only be found where its words are: a stretch must hold enough of the
-template's word places, which is a necessary condition for the coverage, so no match is lost. Stretches are windows of
-three template lengths at steps of one, hence every occurrence no longer than two template lengths lies in one.
+Whole texts are searched. A stretch that reaches the threshold has at most (words of the template) / threshold words,
+so windows of that length (and of the template's) at every word of the template hold all of them. A window is passed
+over only if it lacks the words, or if it starts in a stretch that its words cannot beat; both lose no match.
 
 Words are runs of ASCII letters, digits and characters outside ASCII, A-Z lower-cased.
 
@@ -26,22 +29,7 @@ from pyspark.sql import DataFrame
 
 from candela.llm.common import pick, texts_of
 from candela.llm.decontaminate import NORMAL
-
-# fixed values: public license notices
-TEMPLATES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
-                         "the License. You may obtain a copy of the License at",
-    "bsd-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-                          "following conditions are met",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-                      "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "mit": "Released under the MIT License.",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-}
+from candela.llm.license_templates import TEMPLATES
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -96,53 +84,100 @@ def _once(words: list, start: int, stop: int) -> dict:
     return {w: i for w, i in place.items() if i >= 0}
 
 
+def closest_run(pairs: list[tuple[int, int]], n: int) -> tuple[float, int, int, int]:
+    """Coverage of a template of n words by the best run of aligned pairs, its first and last text place and number of pairs."""
+    at = np.array([i for i, _ in pairs], np.int64)
+    if at[-1] - at[0] + 1 == len(at):
+        return len(at) / n, int(at[0]), int(at[-1]), len(at)
+    k = np.arange(len(at))
+    aligned = k[None, :] - k[:, None] + 1
+    extra = at[None, :] - at[:, None] + 1 - aligned
+    share = np.where(aligned > 0, aligned / (n + np.maximum(extra, 0)), 0.0)
+    i, j = divmod(int(share.argmax()), len(at))
+    return float(share[i, j]), int(at[i]), int(at[j]), j - i + 1
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], threshold: float):
         self.templates = {n: t.encode().translate(NORMAL).split() for n, t in sorted(templates.items())}
         if not all(self.templates.values()) or not 0 < threshold <= 1:
             raise ValueError("templates need words, the threshold lies above 0 up to 1")
         self.threshold = threshold
-        self.known = {w for t in self.templates.values() for w in t}
+        self.known = {w: i for i, w in enumerate(sorted({w for t in self.templates.values() for w in t}))}
+        self.count = np.zeros((len(self.known), len(self.templates)), np.int64)
+        for k, t in enumerate(self.templates.values()):
+            for w in t:
+                self.count[self.known[w], k] += 1
+        self.need = np.array([threshold * len(t) - 1e-9 for t in self.templates.values()])
+
+    def _stretches(self, words: list, places: dict, k: int, template: list) -> list[tuple[float, int, int, int]]:
+        """(coverage, first and last word, aligned words) of stretches that reach the threshold, the closest first."""
+        n, wide = len(template), int(len(template) / self.threshold + 1e-9)
+        own = {w: places[i] for w in set(template) if (i := self.known[w]) in places}
+        starts = np.sort(np.concatenate(list(own.values())))
+        most = np.zeros(len(starts), np.int64)  # how many words of the template the window holds
+        for w, at in own.items():
+            most += np.minimum(np.searchsorted(at, starts + wide) - np.searchsorted(at, starts), self.count[self.known[w], k])
+        live = np.flatnonzero(most >= self.need[k])
+        found, best = set(), np.zeros(len(starts))  # best: coverage of the best stretch over each start
+        for s in live[np.argsort(-most[live], kind="stable")].tolist():
+            if best[s] >= most[s] / n:
+                continue
+            at = int(starts[s])
+            for size in sorted({n, wide}):
+                pairs = align(words[at : at + size], template)
+                if len(pairs) < self.need[k]:
+                    continue
+                share, first, last, aligned = closest_run(pairs, n)
+                if share >= self.threshold - 1e-9:
+                    found.add((share, at + first, at + last, aligned))
+                    a, b = np.searchsorted(starts, (at + first, at + last + 1))
+                    best[a:b] = np.maximum(best[a:b], share)
+        return sorted(found, key=lambda f: (-f[0], f[1], f[2]))
 
     def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first and last aligned word of the text) of the best stretch of each template found."""
+        """(template, coverage, first and last aligned word of the text) of the best stretch of each template found,
+        by template."""
+        return [f[1:] for f in sorted(self.found(text), key=lambda f: (f[1], f[3]))]
+
+    def found(self, text: bytes) -> list[tuple[int, str, float, int, int]]:
+        """As ``scan``, each with its closeness in front; the closest first."""
         words = text.translate(NORMAL).split()
-        at = [i for i, w in enumerate(words) if w in self.known]
-        here = [words[i] for i in at]
-        present, out = set(here), []
-        for name, template in self.templates.items():
-            n, need = len(template), self.threshold * len(template) - 1e-9
-            if sum(w in present for w in template) < need:
-                continue
-            own, places = set(template), np.array([i for i, w in zip(at, here) if w in set(template)], np.int64)
-            starts = np.unique(np.concatenate([np.maximum(places // n - k, 0) for k in range(3)])) * n
-            count = np.searchsorted(places, starts + 3 * n) - np.searchsorted(places, starts)
-            best = (0.0, 0, 0)
-            for s in starts[count >= need].tolist():
-                stretch = words[s : s + 3 * n]
-                held = own.intersection(stretch)
-                if sum(w in held for w in template) < need:
-                    continue
-                pairs = align(stretch, template)
-                if len(pairs) >= need and len(pairs) / n > best[0]:
-                    best = (len(pairs) / n, s + pairs[0][0], s + pairs[-1][0])
-            if best[0]:
-                out.append((name, *best))
+        places: dict = {}
+        for i, w in enumerate(words):
+            if w in self.known:
+                places.setdefault(self.known[w], []).append(i)
+        if not places:
+            return []
+        can = self.count[list(places)].sum(axis=0) >= self.need
+        if not can.any():
+            return []
+        places = {w: np.array(at, np.int64) for w, at in places.items()}
+        every = []
+        for k, (name, template) in enumerate(self.templates.items()):
+            if can[k]:
+                for share, first, last, aligned in self._stretches(words, places, k, template)[:1]:
+                    every.append((3 * aligned - len(template) - (last - first + 1), name, share, first, last))
+        every.sort(key=lambda f: (-f[0], f[1], f[3]))
+        out: list = []
+        for f in every:
+            if not any(g[1] != f[1] and 2 * (min(f[4], g[4]) - max(f[3], g[3]) + 1) >= f[4] - f[3] + 1 for g in out):
+                out.append(f)
         return out
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = 0.8) -> DataFrame:
-    """Per row: id, matches (array of template, coverage, first_word, last_word; by template), license (the template
-    with the most aligned words) and coverage (its own; 0 without a match)."""
+    """Per row: id, matches (array of template, coverage, first_word, last_word; by template), license (the closest
+    template) and coverage (its own; 0 without a match)."""
     templates = TEMPLATES if templates is None else templates
 
     def run(batches):
         scanner = Scanner(templates, threshold)
         kind = pa.list_(pa.struct([("template", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())]))
         for batch in batches:
-            found = [scanner.scan(t) for t in texts_of(batch.column(1))]
-            best = [max(f, key=lambda m: round(m[1] * len(scanner.templates[m[0]])), default=(None, 0.0)) for f in found]
-            rows = [[dict(zip(("template", "coverage", "first_word", "last_word"), m)) for m in f] for f in found]
+            found = [scanner.found(t) for t in texts_of(batch.column(1))]
+            best = [f[0][1:3] if f else (None, 0.0) for f in found]
+            rows = [[dict(zip(("template", "coverage", "first_word", "last_word"), m[1:])) for m in sorted(f, key=lambda m: (m[1], m[3]))] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64())],
                                              names=[id_col, "matches", "license", "coverage"])
 
