@@ -11,6 +11,7 @@ aligned words less those left over on both sides. A notice without a template of
 Whole texts are searched. A stretch that reaches the threshold has at most (words of the template) / threshold words,
 so windows of that length (and of the template's) at every word of the template hold all of them. A window is passed
 over only if it lacks the words, or if it starts in a stretch that its words cannot beat; both lose no match.
+Of each template all stretches that do not overlap are returned, chosen by coverage, then from the left.
 
 Words are runs of ASCII letters, digits and characters outside ASCII, A-Z lower-cased.
 
@@ -97,6 +98,17 @@ def closest_run(pairs: list[tuple[int, int]], n: int) -> tuple[float, int, int,
     return float(share[i, j]), int(at[i]), int(at[j]), j - i + 1
 
 
+def _apart(stretches: list) -> list:
+    """The stretches (coverage, first, last, ...) that overlap none before them."""
+    first, out = [], []  # sorted by place
+    for f in stretches:
+        k = bisect_left(first, f[1])
+        if (k == 0 or out[k - 1][2] < f[1]) and (k == len(out) or f[2] < out[k][1]):
+            first.insert(k, f[1])
+            out.insert(k, f)
+    return out
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], threshold: float):
         self.templates = {n: t.encode().translate(NORMAL).split() for n, t in sorted(templates.items())}
@@ -136,8 +148,7 @@ class Scanner:
         return sorted(found, key=lambda f: (-f[0], f[1], f[2]))
 
     def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first and last aligned word of the text) of the best stretch of each template found,
-        by template."""
+        """(template, coverage, first and last aligned word of the text) of every stretch found, by template and place."""
         return [f[1:] for f in sorted(self.found(text), key=lambda f: (f[1], f[3]))]
 
     def found(self, text: bytes) -> list[tuple[int, str, float, int, int]]:
@@ -156,18 +167,23 @@ class Scanner:
         every = []
         for k, (name, template) in enumerate(self.templates.items()):
             if can[k]:
-                for share, first, last, aligned in self._stretches(words, places, k, template)[:1]:
+                for share, first, last, aligned in _apart(self._stretches(words, places, k, template)):
                     every.append((3 * aligned - len(template) - (last - first + 1), name, share, first, last))
         every.sort(key=lambda f: (-f[0], f[1], f[3]))
-        out: list = []
+        longest = max((f[4] - f[3] + 1 for f in every), default=0)
+        first, kept, out = [], [], []  # kept: sorted by place
         for f in every:
-            if not any(g[1] != f[1] and 2 * (min(f[4], g[4]) - max(f[3], g[3]) + 1) >= f[4] - f[3] + 1 for g in out):
+            near = kept[bisect_left(first, f[3] - longest) : bisect_left(first, f[4] + 1)]
+            if not any(g[1] != f[1] and 2 * (min(f[4], g[4]) - max(f[3], g[3]) + 1) >= f[4] - f[3] + 1 for g in near):
+                k = bisect_left(first, f[3])
+                first.insert(k, f[3])
+                kept.insert(k, f)
                 out.append(f)
         return out
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = 0.8) -> DataFrame:
-    """Per row: id, matches (array of template, coverage, first_word, last_word; by template), license (the closest
+    """Per row: id, matches (array of template, coverage, first_word, last_word; every place, by template and place), license (the closest
     template) and coverage (its own; 0 without a match)."""
     templates = TEMPLATES if templates is None else templates
 
