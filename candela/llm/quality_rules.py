@@ -180,6 +180,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, h: np.ndarray, precision: f
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> list[Rule]:
     """Rules from the statistics of labelled rows (quality 0 is bad)."""
     labels = pick(labels, **{id_col: "long", label_col: "int"}).toDF("id", "y").dropna().groupBy("id").agg(F.min("y").alias("y"))
+    labels = labels.join(stats.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")  # labels without a document use up no place
     few = labels.orderBy(F.xxhash64("id", F.lit(17)), "id").limit(max_labelled)
     cols = [feature(n).alias(f"f_{n}") for n in FEATURES]
     # at most max_labelled ids: a proven bound for the broadcast; a repeated document teaches once

@@ -320,13 +320,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     labels = pick(labels, **{id_col: "long", label_col: "int"}).toDF("id", "y").dropna()
     labels = labels.where(learn(F.col("id"))) if learn else labels
     labels = labels.groupBy("id").agg(F.max((F.col("y") != 0).cast("int")).alias("y"))
+    docs = pick(docs, **{id_col: "long", text_col: "string"}).toDF("id", "text")
+    labels = labels.join(docs.select("id").distinct(), "id", "left_semi")  # labels without a document use up no place of the sample
     order = F.xxhash64(F.col("id"), F.lit(11))
     share = labels.agg(F.avg("y")).first()[0]
     few = None
     for y, most in ((0, max_clean), (1, max_toxic)):  # the smallest hashes of each class: a bounded sort, no shuffle of a whole class
         part = labels.where(F.col("y") == y).orderBy(order, "id").limit(most)
         few = part if few is None else few.unionByName(part)
-    docs = pick(docs, **{id_col: "long", text_col: "string"}).toDF("id", "text")
     # at most max_toxic + max_clean ids: a proven bound for the broadcast
     sample = docs.join(F.broadcast(few), "id").withColumn("h", F.xxhash64("id", "text")).dropDuplicates(["id", "h"])
 
