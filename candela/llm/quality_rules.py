@@ -1,7 +1,7 @@
 """Quality rules: decision lists learnt by sequential covering, applied as ordered Spark conditions.
 
 Statistics of whole texts come from one pass over the documents. Labelled statistics (a bounded sample:
-``MAX_LABELLED`` rows with the smallest hash of the id) teach the list: a rule for low quality grows by the threshold
+``MAX_LABELLED`` rows with the smallest hash of id and statistics) teach the list: a rule for low quality grows by the threshold
 with the largest information gain on two thirds of the rows, is pruned from its end on the last third, and is kept
 while it is right there; rows it covers leave, and the next rule grows. The list becomes one ``when`` chain, first
 fitting rule first; what no rule covers is kept.
@@ -180,12 +180,12 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, h: np.ndarray, precision: f
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> list[Rule]:
     """Rules from the statistics of labelled rows (quality 0 is bad)."""
     labels = pick(labels, **{id_col: "long", label_col: "int"}).toDF("id", "y").dropna().groupBy("id").agg(F.min("y").alias("y"))
-    labels = labels.join(stats.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")  # labels without a document use up no place
-    few = labels.orderBy(F.xxhash64("id", F.lit(17)), "id").limit(max_labelled)
     cols = [feature(n).alias(f"f_{n}") for n in FEATURES]
-    # at most max_labelled ids: a proven bound for the broadcast; a repeated document teaches once
-    rows = stats.join(F.broadcast(few), stats[id_col] == few["id"]).select(F.xxhash64("id", F.lit(29)).alias("h"), "y", *cols).distinct().toArrow()
-    rows = rows.sort_by([("h", "ascending")])
+    # a repeated document teaches once; of the rows the smallest hashes: at most max_labelled, however many an id has
+    rows = stats.join(labels, stats[id_col] == labels["id"]).select("id", "y", *cols).distinct()
+    few = rows.withColumn("_place", F.xxhash64("id", F.lit(17), *[c for c in rows.columns if c.startswith("f_")])).orderBy("_place", "id").limit(max_labelled)
+    rows = few.withColumn("h", F.xxhash64("id", F.lit(29))).drop("id", "_place").toArrow()
+    rows = rows.sort_by([(c, "ascending") for c in ("h", *rows.column_names[:-1])])
     if not rows.num_rows:
         return []
     x = {n: rows.column(f"f_{n}").to_numpy() for n in FEATURES}

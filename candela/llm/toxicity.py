@@ -8,8 +8,8 @@ logit is that of its most toxic window, mapped to a probability by a scale and s
 
 Training. Labels belong to documents, so the windows to learn from are found in turns: a positive document gives
 the window that scores highest so far (at first by the words' log odds in the sample), a negative one its hardest
-windows. The sample is bounded: ``max_toxic`` and ``max_clean`` labelled documents, those with the smallest hash of the
-id. Training runs in one task over that sample and returns the weights, a few hundred kB.
+windows. The sample is bounded: ``max_toxic`` and ``max_clean`` labelled documents, those with the smallest hash of id
+and text. Training runs in one task over that sample and returns the weights, a few hundred kB.
 
 Scoring goes through whole texts in tasks; weights are broadcast (their size is fixed by the constants here).
 
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import pick, release, replace_column, texts_of
+from candela.llm.common import pick, release, replace_column, stored, texts_of
 from candela.llm.decontaminate import NORMAL
 from candela.llm.spans import WHITE, Spans, mix
 
@@ -314,22 +314,27 @@ def text_scores(p: dict, texts: list[bytes]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(p["scale"] * best + p["shift"], -30, 30)))
 
 
+def sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[DataFrame, float | None]:
+    """Rows (h, y, text) to learn from, of documents (id, text) and labels (id, y), and the share of label 1 among all
+    distinct labelled rows."""
+    labels = labels.groupBy("id").agg(F.max((F.col("y") != 0).cast("int")).alias("y"))
+    hashed = docs.withColumn("h", F.xxhash64("id", "text"))
+    # hashes only: of each class the smallest, however many texts an id has; labels without a document use up no place
+    rows = stored(hashed.select("id", "h").distinct().join(labels, "id"), "labelled")
+    few = None
+    for y, most in ((0, max_clean), (1, max_toxic)):  # a bounded sort, no shuffle of a whole class
+        part = rows.where(F.col("y") == y).orderBy("h", "id").limit(most)
+        few = part if few is None else few.unionByName(part)
+    # at most max_toxic + max_clean rows: a proven bound for the broadcast
+    return hashed.join(F.broadcast(few), ["id", "h"]).dropDuplicates(["id", "h"]).select("h", "y", "text"), rows.agg(F.avg("y")).first()[0]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn=None,
         max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> dict:
     """Weights learnt from the labelled rows for whose id ``learn`` (id column -> condition) holds."""
     labels = pick(labels, **{id_col: "long", label_col: "int"}).toDF("id", "y").dropna()
     labels = labels.where(learn(F.col("id"))) if learn else labels
-    labels = labels.groupBy("id").agg(F.max((F.col("y") != 0).cast("int")).alias("y"))
-    docs = pick(docs, **{id_col: "long", text_col: "string"}).toDF("id", "text")
-    labels = labels.join(docs.select("id").distinct(), "id", "left_semi")  # labels without a document use up no place of the sample
-    order = F.xxhash64(F.col("id"), F.lit(11))
-    share = labels.agg(F.avg("y")).first()[0]
-    few = None
-    for y, most in ((0, max_clean), (1, max_toxic)):  # the smallest hashes of each class: a bounded sort, no shuffle of a whole class
-        part = labels.where(F.col("y") == y).orderBy(order, "id").limit(most)
-        few = part if few is None else few.unionByName(part)
-    # at most max_toxic + max_clean ids: a proven bound for the broadcast
-    sample = docs.join(F.broadcast(few), "id").withColumn("h", F.xxhash64("id", "text")).dropDuplicates(["id", "h"])
+    rows, share = sample(pick(docs, **{id_col: "long", text_col: "string"}).toDF("id", "text"), labels, max_toxic, max_clean)
 
     def run(batches):
         rows = [x for b in batches for x in zip(b.column("h").to_pylist(), b.column("y").to_pylist(), texts_of(b.column("text")))]
@@ -339,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         release()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(weights)], pa.binary())], names=["weights"])
 
-    got = sample.select("h", "y", "text").repartition(1).mapInArrow(run, "weights binary").collect()
+    got = rows.repartition(1).mapInArrow(run, "weights binary").collect()
     return pickle.loads(got[0].weights) if got else {"constant": 0.0}
 
 

@@ -23,3 +23,16 @@ def test_labels_without_a_document_use_up_no_place(spark, monkeypatch):
     monkeypatch.setattr(quality_rules, "learn", lambda x, bad, h: seen.append((len(bad), int(bad.sum()))) or [])
     quality_rules.fit(quality_rules.statistics(docs), labels.unionByName(more), max_labelled=200)
     assert seen == [(120, 40)]
+
+
+def test_rows_of_a_hot_id_are_bounded(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    hot = spark.range(3000).selectExpr("cast(id % 2 as long) as doc_id", "concat(repeat('word ', cast(id as int) % 97 + 1), 'text ', id) as text")
+    docs, labels = docs.where("doc_id > 1").unionByName(hot), labels.selectExpr("doc_id", "toxic", "quality", "doc_id as id", "toxic as y")
+    rows, share = toxicity.sample(docs.toDF("id", "text"), labels.select("id", "y"), 50, 70)
+    assert sorted(r["y"] for r in rows.select("y").collect()) == [0] * 70 + [1] * 50
+    assert abs(share - (1500 + 39) / 3118) < 1e-12
+    seen = []
+    monkeypatch.setattr(quality_rules, "learn", lambda x, bad, h: seen.append(len(bad)) or [])
+    quality_rules.fit(quality_rules.statistics(docs), labels, max_labelled=200)
+    assert seen == [200]
