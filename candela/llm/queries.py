@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.bpe import round_trip
 from candela.llm.decontaminate import find_contamination
-from candela.llm import langid, licenses, quality_rules, toxicity
+from candela.llm import conversations, langid, licenses, merkle, quality_rules, topk, toxicity
 from candela.llm.simhash import near_duplicates
 from candela.llm.substring_dedup import substring_dedup
 from candela.llm.url_rules import judge
@@ -150,6 +150,125 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 FROM f
 """
 
+# the byte-wise table of CRC-32, from its polynomial, and the checksum of the decimal text s
+CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS tab
+        FROM range(256) r(i))"""
+
+
+def crc32_sql(s: str) -> str:
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({s}, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+            "lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])))")
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that its tampered leaf leads to."""
+    rows = merkle.manifest(merkle.document_leaves(table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT doc_id, coalesce('+' || lang, '') AS g, {_leaf_sql("text")} AS leaf,
+             CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')")} END AS changed
+      FROM documents, crc),
+l AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+node(g, lvl, pos, n, h) AS (SELECT g, 0, pos, n, leaf FROM l
+  UNION ALL SELECT g, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY g, lvl, pos // 8, n),
+sub AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+top(lvl, pos, n, h) AS (SELECT 0, pos, n, subroot FROM sub
+  UNION ALL SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 8, n),
+inner_proof AS (SELECT rid, string_agg(h, '' ORDER BY lvl, node.pos) AS p FROM l JOIN node ON l.g = node.g AND node.n > 1
+                AND node.pos // 8 = l.pos >> (3 * lvl + 3) AND node.pos <> l.pos >> (3 * lvl) GROUP BY rid),
+outer_proof AS (SELECT sub.g, string_agg(h, '' ORDER BY lvl, top.pos) AS p FROM sub JOIN top ON top.n > 1
+                AND top.pos // 8 = sub.pos >> (3 * lvl + 3) AND top.pos <> sub.pos >> (3 * lvl) GROUP BY sub.g),
+fold(rid, g, i, lvl, h) AS (SELECT rid, g, pos, 0, coalesce(changed, leaf) FROM l
+  UNION ALL SELECT rid, fold.g, i // 8, fold.lvl + 1, sha256(string_agg(CASE WHEN node.pos = i THEN fold.h ELSE node.h END, '' ORDER BY node.pos))
+  FROM fold JOIN node ON fold.g = node.g AND fold.lvl = node.lvl AND node.n > 1 AND node.pos // 8 = i // 8 GROUP BY rid, fold.g, i, fold.lvl),
+mid AS (SELECT rid, g, arg_max(h, lvl) AS h FROM fold GROUP BY rid, g),
+fold2(rid, i, lvl, h) AS (SELECT rid, pos, 0, h FROM mid JOIN sub USING (g)
+  UNION ALL SELECT rid, i // 8, fold2.lvl + 1, sha256(string_agg(CASE WHEN top.pos = i THEN fold2.h ELSE top.h END, '' ORDER BY top.pos))
+  FROM fold2 JOIN top ON fold2.lvl = top.lvl AND top.n > 1 AND top.pos // 8 = i // 8 GROUP BY rid, i, fold2.lvl),
+folded AS (SELECT rid, arg_max(h, lvl) AS folded_root FROM fold2 GROUP BY rid)
+SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(coalesce(inner_proof.p, '') || coalesce(outer_proof.p, '')) AS proof_sha256,
+       folded_root, folded_root = (SELECT h FROM top WHERE n = 1) AS verified
+FROM l JOIN sub USING (g) JOIN folded USING (rid) LEFT JOIN inner_proof USING (rid) LEFT JOIN outer_proof ON outer_proof.g = l.g
+"""
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and the cheapest edits that give it a right order of roles."""
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")), present="present")
+
+
+_SOLID = r"[^\x20\x09-\x0D]"
+_STATES = "abcd"  # nothing yet, after s, after u, after a
+
+
+def _edits_sql(state: int) -> str:
+    """Cheapest way to use up the row in a state: (cost, letters), over the four ways to go on behind it."""
+    def way(cost: str, letter: str, to: int, when: str) -> str:
+        to = _STATES[to]
+        return f"CASE WHEN {when} THEN {{'c': {to}.c + {cost}, 's': '{letter}' || {to}.s}} ELSE {{'c': 1000000000000, 's': ''}} END"
+    stays = [way("4", "D", state, "true"), way("3 + 3 * cut", "R", conversations.INSERT[state], "must = 0")]
+    stays += [way("3 * cut", "K", to, f"must = 0 AND i = '{kind}'") for kind, to in conversations.KEEP[state].items()]
+    return f"least({', '.join(stays)})"
+
+
+def _inserts_sql(state: str, to: str, more: str = "") -> str:
+    return f"least({state}, {{'c': {to}.c + 3, 's': 'I' || {to}.s}}" + (f", {{'c': {more}.c + 6, 's': 'II' || {more}.s}})" if more else ")")
+
+
+OP12_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations, crc),
+hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+         FROM src, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) WHERE kind <> 0),
+put AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), '') AS g, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text)) AS rn,
+               count(*) OVER (PARTITION BY conv_id) AS n FROM hurt),
+seen AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY rn) > 1 AS again, NOT regexp_matches(text, '{_SOLID}') AS blank,
+                left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY rn) AS before FROM put),
+r AS (SELECT *, CASE WHEN blank OR again THEN 1 ELSE 0 END AS must,
+             CASE WHEN NOT blank AND NOT again AND NOT regexp_matches(regexp_extract(text, '({_SOLID})[\x20\x09-\x0D]*$', 1), '[.!?]') THEN 1 ELSE 0 END AS cut FROM seen),
+v(g, rn, a, b, c, d) AS (SELECT DISTINCT g, n + 1, {{'c': 0::BIGINT, 's': ''}}, {{'c': 6::BIGINT, 's': 'II'}}, {{'c': 3::BIGINT, 's': 'I'}}, {{'c': 0::BIGINT, 's': ''}} FROM r
+  UNION ALL SELECT g, rn, {_inserts_sql("wa", "wc", "wd")}, {_inserts_sql("wb", "wc", "wd")}, {_inserts_sql("wc", "wd")}, {_inserts_sql("wd", "wc")}
+  FROM (SELECT r.g, r.rn, {_edits_sql(0)} AS wa, {_edits_sql(1)} AS wb, {_edits_sql(2)} AS wc, {_edits_sql(3)} AS wd FROM v JOIN r ON r.g = v.g AND r.rn = v.rn - 1)),
+best AS (SELECT g, a.c AS cost, a.s AS audit FROM v WHERE rn = 1),
+edit AS (SELECT g, e, k, count(*) FILTER (e <> 'I') OVER (PARTITION BY g ORDER BY k) AS rn, count(*) FILTER (e <> 'D') OVER (PARTITION BY g ORDER BY k) AS p,
+                count(*) FILTER (e <> 'D') OVER (PARTITION BY g) % 2 AS odd
+         FROM (SELECT g, audit[k] AS e, k FROM best, unnest(range(1, length(audit) + 1)) t(k))),
+fixed AS (SELECT edit.g, string_agg(CASE WHEN e = 'K' THEN role WHEN (p - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS t
+          FROM edit LEFT JOIN r ON r.g = edit.g AND r.rn = edit.rn WHERE e <> 'D' GROUP BY edit.g),
+fig AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+               sum(cut) AS truncated, count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY g)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '') AS g FROM conversations) o LEFT JOIN fig USING (g) LEFT JOIN best USING (g) LEFT JOIN fixed USING (g)
+"""
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every vector whose id 100 divides, against all vectors."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM (SELECT * FROM v WHERE vec_id % 100 = 0) q JOIN v c ON c.vec_id IS DISTINCT FROM q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
+"""
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
@@ -161,4 +280,7 @@ QUERIES = {
     "op8_license_scan": (op8_license_scan, None),
     "op9_decontamination": (op9_decontamination, OP9_SQL),
     "op10_warc": (op10_warc, OP10_SQL),
+    "op11_merkle": (op11_merkle, OP11_SQL),
+    "op12_conversation_repair": (op12_conversation_repair, OP12_SQL),
+    "op13_top_k": (op13_top_k, OP13_SQL),
 }
