@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from candela.config import PRESETS
+from candela.functions.scalar import half_up
 from candela.operators import features as FE
+from candela.operators import knn as KNN
 from candela.operators import ml as ML
 from candela.plans import sqlparts as S
 from candela.plans.catalog import HOURLY, register, rounded, rsql
@@ -153,6 +155,45 @@ def q_top04(spark, sf):
     return rounded(ML.feature_importances(_lagged(spark, sf), ["Lag1", "Lag2", "Lag3", "Lag4", "Lag5"], "Today"))
 
 
+def _knn_sql() -> str:
+    z = ", ".join(f"round((g.{c} - m_{c}) / nullif(s_{c}, 0), 9) AS {c}_z" for c in _FEATS)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _FEATS)
+    d2 = " + ".join(f"(q.{c}_z - t.{c}_z) * (q.{c}_z - t.{c}_z)" for c in _FEATS)
+    return _feat_sql() + f""",
+st AS (SELECT symbol, {stats} FROM g WHERE is_train GROUP BY symbol),
+z AS (SELECT g.symbol, g.bar_ts, is_train, lead(DR) OVER (PARTITION BY g.symbol ORDER BY g.bar_ts) AS y, {z} FROM g JOIN st USING (symbol)),
+pt AS (SELECT * FROM z WHERE y IS NOT NULL),
+near AS (SELECT q.symbol, q.bar_ts, q.is_train, q.y, t.y AS ty, row_number() OVER (PARTITION BY q.symbol, q.bar_ts ORDER BY {d2}, t.bar_ts) AS r
+         FROM pt q JOIN pt t ON q.symbol = t.symbol AND t.is_train),
+pk AS (SELECT symbol, bar_ts, is_train, any_value(y) AS y, k, sum(ty) / k AS pred FROM near, range(2, 13) u(k) WHERE r <= k GROUP BY symbol, bar_ts, is_train, k)"""
+
+
+KNN_SQL = _knn_sql()
+
+
+def _knn_rows(spark, sf):
+    """Scaled features (9 decimals, so that both engines rank neighbours alike) and the next bar's return."""
+    d = ML.standard_scale(_features(spark, sf), _FEATS)
+    d = FE.next_bar_target(d.withColumns({f"{c}_z": half_up(f"{c}_z", 9) for c in _FEATS}))
+    return d.select(*K, "is_train", "target", *[f"{c}_z" for c in _FEATS])
+
+
+@register("ml07_knn_scores", KNN_SQL + """,
+sc AS (SELECT symbol, CAST(k AS INT) AS k, 1 - avg(CASE WHEN is_train THEN pow(y - pred, 2) END) / nullif(var_pop(CASE WHEN is_train THEN y END), 0) AS r2_train,
+              1 - avg(CASE WHEN NOT is_train THEN pow(y - pred, 2) END) / nullif(var_pop(CASE WHEN NOT is_train THEN y END), 0) AS r2_test FROM pk GROUP BY symbol, k)
+""" + rsql(["symbol", "k", "r2_train", "r2_test"], ["r2_train", "r2_test"], "sc"))
+def q_ml07(spark, sf):
+    """ML-7: R^2 of k-nearest-neighbour regression for k = 2..12 on training and test rows."""
+    return rounded(KNN.knn_scores(_knn_rows(spark, sf), [f"{c}_z" for c in _FEATS], "target", range(2, 13)))
+
+
+@register("ml07_knn_predictions", KNN_SQL + "\n" + rsql(K + ["is_train", "pred"], ["pred"], "pk") + " WHERE k = 12")
+def q_ml07_pred(spark, sf):
+    """ML-7: predictions with twelve neighbours for training and test rows."""
+    d = KNN.knn_regression(_knn_rows(spark, sf), [f"{c}_z" for c in _FEATS], "target", 12)
+    return rounded(d.select(*K, "is_train", "pred"))
+
+
 @register("ml08_ts_folds", HOURLY + """,
 b AS (SELECT symbol, bar_ts, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) - 1 AS p, count(*) OVER (PARTITION BY symbol) AS n FROM bars),
 f AS (SELECT b.*, fold, n - (3 - fold) * floor(n / 4) AS st, floor(n / 4) AS sz FROM b, range(0, 3) t(fold))
