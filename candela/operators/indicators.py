@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from candela.functions.scalar import col, div, lag
 from candela.operators.features import ensure_indexed, rolling
-from candela.operators.series import KEYS, affine_scan, at_pos, from_pos, running
+from candela.operators.series import KEYS, affine_map_scan, affine_scan, at_pos, from_pos, running
 
 
 def ffill(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
@@ -100,10 +100,16 @@ def adx(df: DataFrame, n: int = 14, out: str = "ADX", keys: Sequence[str] = KEYS
     +DM/-DM/TR are summed over bars 1..n-1 and then smoothed ``S = S - S/n + x``; DI = 100*DM/TR;
     DX = 100*|DI+ - DI-|/(DI+ + DI-). ADX at bar 2n-1 is the mean of DX over bars n..2n-1 (an
     undefined DX counts 0); later ADX = (ADX*(n-1) + DX)/n, and a bar with undefined DX (TR = 0 or
-    DI+ + DI- = 0) keeps the previous ADX.
+    DI+ + DI- = 0) keeps the previous ADX: the identity among the affine maps of the scan.
     """
+    return adx_many(df, {n: out}, keys)
+
+
+def adx_many(df: DataFrame, outs: dict[int, str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """SCN-7 for several periods (``outs``: period -> column): all share two halo stages and two scans that carry one
+    state per period."""
     keys = list(keys)
-    if n < 2:
+    if not outs or min(outs) < 2:
         raise ValueError("adx needs n >= 2")
     df = ensure_indexed(df, keys)
     cols = {
@@ -113,29 +119,42 @@ def adx(df: DataFrame, n: int = 14, out: str = "ADX", keys: Sequence[str] = KEYS
         "_pdm": lambda w: F.when((F.col("_mdm") == 0) & (F.col("_dp") > 0) & (F.col("_dp") > F.col("_dm")),
                                  F.col("_dp")).otherwise(F.lit(0.0)),
         "_tr": _true_range,
-        "_fdx": lambda w: from_pos(w, n),
     }
-    for src, dst in (("_pdm", "_SP"), ("_mdm", "_SM"), ("_tr", "_ST")):
-        cols.update(_seed_cols(src, dst, n - 1, n - 1, F.sum))
-    cols.update({f"_at_{out}": lambda w: at_pos(w, 2 * n - 1), f"_after_{out}": lambda w: from_pos(w, 2 * n)})
-    df = rolling(df, cols, back=2 * n + 1, keys=keys)
-    df = affine_scan(df, [_wilder_specs(s, n, d, 1.0) for s, d in (("_pdm", "_SP"), ("_mdm", "_SM"), ("_tr", "_ST"))],
-                     keys)
-    di_p = F.lit(100.0) * div(F.col("_SP"), F.col("_ST"))
-    di_m = F.lit(100.0) * div(F.col("_SM"), F.col("_ST"))
-    defined = (F.col("_ST") != 0) & ((di_p + di_m) != 0)
-    df = df.withColumn("_dx", F.when(F.col("_fdx"), F.when(defined, F.lit(100.0) * F.abs(di_p - di_m) / (di_p + di_m))
-                                     .otherwise(F.lit(0.0))))
-    df = df.withColumn("_def", F.coalesce(defined, F.lit(False)))
-    df = rolling(df, {f"_seed_{out}": lambda w: F.when(F.col(f"_at_{out}"), F.avg("_dx").over(w.rowsBetween(-(n - 1), 0)))},
-                 back=n - 1, keys=keys)
-    # scan position advances on every bar up to the seed, afterwards only on bars with a defined DX
-    df = df.withColumn("_adv", F.when(~F.col(f"_after_{out}") | F.col("_def"), F.lit(1)).otherwise(F.lit(0)))
-    df = running(df, [("_adv", "sum", "_apos")], keys)
-    df = affine_scan(df, [_wilder_specs("_dx", n, out, 1.0 / n)], keys, pos="_apos")
-    df = _mask(df, out)
-    return df.drop("_dp", "_dm", "_pdm", "_mdm", "_tr", "_SP", "_SM", "_ST", "_dx", "_def", "_adv", "_apos", "_fdx",
-                   *[f"_{k}_{d}" for k in ("at", "after", "seed") for d in ("_SP", "_SM", "_ST")])
+    sums = [("_pdm", "_SP"), ("_mdm", "_SM"), ("_tr", "_ST")]
+    for n, out in outs.items():
+        for src, dst in sums:
+            cols.update(_seed_cols(src, f"{dst}{n}", n - 1, n - 1, F.sum))
+        cols.update({f"_fdx{n}": _from(n), f"_at_{out}": _at(2 * n - 1), f"_after_{out}": _from(2 * n)})
+    far = max(outs)
+    df = rolling(df, cols, back=2 * far + 1, keys=keys)
+    df = affine_scan(df, [_wilder_specs(s, n, f"{d}{n}", 1.0) for n in outs for s, d in sums], keys)
+    for n in outs:
+        di_p, di_m = (F.lit(100.0) * div(F.col(f"{d}{n}"), F.col(f"_ST{n}")) for d in ("_SP", "_SM"))
+        defined = (F.col(f"_ST{n}") != 0) & ((di_p + di_m) != 0)
+        dx = F.when(defined, F.lit(100.0) * F.abs(di_p - di_m) / (di_p + di_m)).otherwise(F.lit(0.0))
+        df = df.withColumns({f"_dx{n}": F.when(F.col(f"_fdx{n}"), dx), f"_def{n}": F.coalesce(defined, F.lit(False))})
+    df = rolling(df, {f"_seed_{out}": _seed(f"_at_{out}", f"_dx{n}", n) for n, out in outs.items()}, back=far - 1, keys=keys)
+    specs = []
+    for n, out in outs.items():
+        contrib, a, _ = _wilder_specs(f"_dx{n}", n, out, 1.0 / n)
+        specs.append((F.when(F.col(f"_at_{out}") | F.col(f"_def{n}"), contrib), a, F.col(f"_after_{out}") & F.col(f"_def{n}"), out))
+    df = affine_map_scan(df, specs, keys)
+    for out in outs.values():
+        df = _mask(df, out)
+    return df.drop("_dp", "_dm", "_pdm", "_mdm", "_tr", *[f"{c}{n}" for n in outs for c in ("_SP", "_SM", "_ST", "_dx", "_def", "_fdx")],
+                   *[f"_{k}_{d}{n}" for n in outs for k in ("at", "after", "seed") for _, d in sums])
+
+
+def _from(k: int):
+    return lambda w: from_pos(w, k)
+
+
+def _at(k: int):
+    return lambda w: at_pos(w, k)
+
+
+def _seed(at: str, dx: str, n: int):
+    return lambda w: F.when(F.col(at), F.avg(dx).over(w.rowsBetween(-(n - 1), 0)))
 
 
 def ewma(df: DataFrame, c: str, span: float, out: str, keys: Sequence[str] = KEYS) -> DataFrame:

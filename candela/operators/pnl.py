@@ -113,8 +113,8 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
     """PNL-12: the bar-level P&L frame (columns of the reference's backtest frame plus rn).
 
     Input: a signal frame (symbol, bar_ts, open, high, low, close, signal[, size, y_pred, y_pred_val,
-    y_pred_id]) whose rows per symbol are contiguous in ``rn``. Phases:
-    ADX + warm-up drop -> stage 1 (pivots, stops, take-profit, new trade) -> forward fill of trade
+    y_pred_id, ADX]) whose rows per symbol are contiguous in ``rn``. Phases:
+    ADX (unless given) + warm-up drop -> stage 1 (pivots, stops, take-profit, new trade) -> forward fill of trade
     keys and stop price (after the flags, quirk Q7) -> stage 2 (returns, fees, risk-off, bar end)
     -> running products CSR/CMR.
 
@@ -133,7 +133,7 @@ def run_pnl(td: DataFrame, cfg: StrategyConfig, checkpoint: bool = True, keep_ad
     # like the reference's dropna over the frame: ADX warm-up rows and rows without a signal (an
     # ignored score bucket before any signal) leave; ADX itself is computed over all rows first
     if need_adx:
-        bt = dropna_dense(adx(td, cfg.adx_period, "ADX"), ["ADX", "signal", "open", "high", "low", "close"])
+        bt = dropna_dense(td if "ADX" in td.columns else adx(td, cfg.adx_period, "ADX"), ["ADX", "signal", "open", "high", "low", "close"])
     elif merged:
         bt = td  # the warm-up drop is folded into stage 1 below (signals are never missing here)
     else:

@@ -1,9 +1,9 @@
 """Baskets, random portfolios and parameter sweeps (PRT-1..5, SWP-1..3).
 
-Sweeps run every parameter set over every bar in one job: the parameter grid (a small, fixed-size
-table) is exploded onto the bars, each (symbol, parameter set) becomes its own series key, and a
-variable look-back (a period that differs per row) is an equi-join on ``rn - period``. All windows
-are then the ordinary blocked windows over that composite key.
+Sweeps of the ROC rule summarise blocks of bars per parameter set (``sweeps``). Sweeps that need the
+bar-level P&L (averaging and ADX periods, stops, risk-off) explode the parameter grid, a small,
+fixed-size table, onto the bars: each (symbol, parameter set) becomes its own series key, and all
+windows are the ordinary blocked windows over that composite key.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from candela.config import StrategyConfig
 from candela.functions.scalar import div, full
 from candela.operators.features import ensure_indexed, rolling
+from candela.operators.indicators import adx_many
 from candela.operators.pnl import run_pnl
 from candela.operators.series import BLK, RN, running
-from candela.operators.signals import gen_signal
+from candela.operators.signals import gen_signal, roc_signal
+from candela.operators.sweeps import basket_sweep, roc_sweep_by_blocks, summarisable  # noqa: F401  (basket_sweep is public here)
 
 SEP = "|"
 
@@ -182,22 +184,24 @@ def sweep_results(pnl: DataFrame) -> DataFrame:
 
 
 def roc_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, checkpoint: bool = True) -> DataFrame:
-    """SWP-1/SWP-3: the ROC rule over a parameter grid; one row per (symbol, parameter set)."""
+    """SWP-1/SWP-3: the ROC rule over a parameter grid; one row per (symbol, parameter set). Block summaries where the
+    configuration allows them (``sweeps.summarisable``), else the bar-level P&L of every set."""
+    if summarisable(cfg):
+        return roc_sweep_by_blocks(bars, grid, cfg)
     td = roc_sweep_signals(bars, grid, cfg, checkpoint)
     return sweep_results(run_pnl(td, cfg, keep_adx=False, lean=True))
 
 
-def basket_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, n_assets: int, checkpoint: bool = True) -> DataFrame:
-    """SWP-1 with the basket's final return as the objective: per parameter set the signals of all assets
-    form an equal-share basket (as ``signal_basket``: bars where all assets have a return, 1 where none is
-    bought); CSR and the equal-weight CMR are products over its bars. Two hash aggregates, no running frame."""
-    s = roc_sweep_signals(bars, grid, cfg, checkpoint, more=["DR"]).filter(F.col("DR").isNotNull())
-    g = s.groupBy("param_id", "bar_ts").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("y_pred_val").alias("_buys"), F.avg("DR").alias("DR"),
-        F.sum(F.when(F.col("y_pred_val") == 1, F.col("DR"))).alias("_sel")).filter(F.col("_n") == n_assets)
-    sr = F.when(F.col("_buys") > 0, F.col("_sel") / F.col("_buys")).otherwise(F.lit(1.0))
-    r = g.groupBy("param_id").agg(F.product(sr).alias("CSR"), F.product("DR").alias("CMR"), F.count(F.lit(1)).alias("n_bars"))
-    return r.withColumn("loss", -F.col("CSR"))
+def adx_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> DataFrame:
+    """SWP-2 over ``adx_period``: the ROC rule's signals with the risk-off band applied to ADX of each period (``cfg`` must
+    adjust signals). All periods' ADX come from one pass that carries a state per period."""
+    if not cfg.adjust_signal:
+        raise ValueError("adx_period acts through the risk-off adjustment")
+    outs = {int(n): f"_adx{int(n)}" for n in periods}
+    td = roc_signal(_indexed_once(bars, False), cfg).select("symbol", "bar_ts", RN, BLK, "open", "high", "low", "close", "signal", "y_pred", "y_pred_val", "y_pred_id")
+    td = adx_many(td, outs)
+    x = explode_params(td, [{"adx_period": n} for n in outs]).withColumn("ADX", _pick(outs, "adx_period")).drop(*outs.values())
+    return sweep_results(run_pnl(x, cfg, lean=True))
 
 
 def adr_sweep(bars: DataFrame, periods: Sequence[int], cfg: StrategyConfig) -> DataFrame:

@@ -10,7 +10,9 @@ Finite-frame windows run per ``(symbol, _blk)`` after copying the last ``back``
 block (and the first ``fwd`` rows of the next) into each block as halo rows (``halo_stage``).
 Unbounded running frames (cumulative sum/product, forward fill, running max) run per block and add a
 carry computed on a block-level table that is ``1/B`` of the data (``running``). Wilder/EWMA
-recurrences are a blocked affine scan whose carries travel by equi-join (``affine_scan``).
+recurrences are a blocked affine scan whose carries travel by equi-join (``affine_scan``); one that
+skips rows composes affine maps (``affine_map_scan``). Rows that leave a series are compacted by
+per-block counts (``compact``).
 Every step is a DataFrame window, aggregate or join, so Spark partitions and retries the work.
 """
 
@@ -67,20 +69,27 @@ def reindex(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "bar_ts") ->
 
 
 def dropna_dense(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
-    """Drop rows missing any of ``cols`` and keep positions dense. Scans need positions without gaps:
-    when a row after a symbol's first kept row is dropped (a gap, not a warm-up prefix), the rows are
-    renumbered. The test is one partial aggregate; clean data skips the renumbering."""
-    cols, keys = list(cols), list(keys)
+    """Drop rows missing any of ``cols`` and keep positions dense (``compact``)."""
     if RN not in df.columns:
-        return df.dropna(subset=cols)
+        return df.dropna(subset=list(cols))
     ok = F.lit(True)
     for c in cols:
         ok = ok & F.col(c).isNotNull()
-    chk = df.select(*keys, RN, ok.alias("_ok")).groupBy(*keys).agg(
-        F.min(F.when(F.col("_ok"), F.col(RN))).alias("_first"), F.max(F.when(~F.col("_ok"), F.col(RN))).alias("_last_drop"))
-    gaps = chk.filter(F.col("_last_drop") > F.col("_first")).limit(1).count() > 0
-    kept = df.dropna(subset=cols)
-    return reindex(kept, keys) if gaps else kept
+    return compact(df, ok, keys)
+
+
+def compact(df: DataFrame, keep: Column, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Rows where ``keep`` holds, renumbered in order: ``rn`` is 0 at the first kept row of a series and has no gaps,
+    whichever rows went. A row's new position is the number of kept rows in the blocks before (a table of one row per
+    block) plus its place among the kept rows of its block. Nothing runs while the plan is composed."""
+    keys, b = list(keys), block_rows(df)
+    marked = df.withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    counts = marked.filter("_keep").groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("_kept"))
+    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(_UNB, -1)
+    counts = counts.select(*keys, BLK, F.coalesce(F.sum("_kept").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*keys, BLK).orderBy(RN)) - 1
+    out = marked.filter("_keep").drop("_keep").join(counts, [*keys, BLK]).withColumn(RN, (F.col("_before") + place).cast("long"))
+    return out.withColumn(BLK, F.floor(F.col(RN) / F.lit(b)).cast("long")).drop("_before")
 
 
 def halo_stage(df: DataFrame, build: Callable[[DataFrame, Window], DataFrame], back: int, fwd: int = 0,
@@ -175,13 +184,8 @@ def _sub_block(a: float, b: int) -> int:
     return bs
 
 
-def affine_scan(df: DataFrame, specs: Sequence[tuple[str | Column, float, str]], keys: Sequence[str] = KEYS,
-                pos: str | None = None) -> DataFrame:
-    """For each ``(contrib, a, out)``: ``out_t = sum_{k<=t} a**(p_t - p_k) * contrib_k`` per key, along ``rn``.
-
-    ``p`` is ``rn`` by default. A custom ``pos`` must be a dense non-decreasing integer sequence along
-    ``rn``; rows that repeat the previous position (with contrib 0) then carry the previous value
-    unchanged, which is how a recurrence that skips some rows is expressed.
+def affine_scan(df: DataFrame, specs: Sequence[tuple[str | Column, float, str]], keys: Sequence[str] = KEYS) -> DataFrame:
+    """For each ``(contrib, a, out)``: ``out_t = sum_{k<=t} a**(t - k) * contrib_k`` per key, along ``rn``.
 
     Rows are split into sub-blocks of ``Bs`` positions (``Bs * ln(1/a) <= 300`` so ``a**-j`` cannot
     overflow). Inside a sub-block the sum is a running window sum of ``contrib * a**-j`` rescaled by
@@ -202,11 +206,9 @@ def affine_scan(df: DataFrame, specs: Sequence[tuple[str | Column, float, str]],
     hops = max(max(1, math.ceil(690.0 / (bs * -la))) for _, _, la, _ in items)
     x = df.withColumns({name: F.coalesce(c.cast("double"), F.lit(0.0)) for name, c, _, _ in items})
     x = materialize(x)
-    p = F.col(pos or RN)
-    x = x.withColumn("_sb", F.floor(p / F.lit(bs)).cast("long"))
-    x = x.withColumn("_j", (p - F.col("_sb") * F.lit(bs)).cast("double"))
-    part = [*keys, BLK, "_sb"] if pos is None else [*keys, "_sb"]
-    wsb = Window.partitionBy(*part).orderBy(RN).rowsBetween(_UNB, 0)
+    x = x.withColumn("_sb", F.floor(F.col(RN) / F.lit(bs)).cast("long"))
+    x = x.withColumn("_j", (F.col(RN) - F.col("_sb") * F.lit(bs)).cast("double"))
+    wsb = Window.partitionBy(*keys, BLK, "_sb").orderBy(RN).rowsBetween(_UNB, 0)
     # end value of each sub-block, as if the sub-block were alone
     ends = x.groupBy(*keys, "_sb").agg(
         *[F.sum(F.col(name) * F.exp(F.lit(la) * (F.lit(bs - 1) - F.col("_j")))).alias(f"{name}_e")
@@ -224,6 +226,69 @@ def affine_scan(df: DataFrame, specs: Sequence[tuple[str | Column, float, str]],
     return x.drop("_sb", "_j", *[n for n, *_ in items], *[f"{n}_k" for n, *_ in items])
 
 
+# --- recurrence of affine maps y_t = m_t * y_{t-1} + c_t, m_t = a or 1 ----------------------------
+
+FOLD = 4096
+
+
+def affine_map_scan(df: DataFrame, specs: Sequence[tuple[str | Column, float, str | Column, str]], keys: Sequence[str] = KEYS) -> DataFrame:
+    """For each ``(contrib, a, decays, out)``: ``out_t = m_t * out_{t-1} + contrib_t``, where the map's factor ``m_t`` is
+    ``a`` on rows where ``decays`` holds and 1 elsewhere, so with contrib 0 such a row is the identity.
+
+    A run of rows composes to one affine map (its decays' product, its own value from 0). Rows are split into sub-blocks by
+    position, whatever their maps are, so a series of identities is spread like any other. Inside a sub-block the number of
+    decays so far takes the place of the position of ``affine_scan``; the sub-blocks' maps are composed in order by folds
+    over arrays of at most ``FOLD`` maps, level by level, and give the value that enters each sub-block. All specs
+    (one per state, each with a decay of its own) share one windowed pass, one map table and one join.
+    """
+    keys, b = list(keys), block_rows(df)
+    items = []
+    for i, (contrib, a, decays, out) in enumerate(specs):
+        if not (0.0 < a < 1.0):
+            raise ValueError("affine_map_scan needs 0 < a < 1")
+        c, m = (F.col(v) if isinstance(v, str) else v for v in (contrib, decays))
+        items.append((i, F.coalesce(c.cast("double"), F.lit(0.0)), math.log(a), F.coalesce(m, F.lit(False)).cast("int"), out))
+    bs = min(_sub_block(math.exp(la), b) for _, _, la, _, _ in items)
+    x = df.withColumns({f"_c{i}": c for i, c, _, _, _ in items} | {f"_m{i}": m for i, _, _, m, _ in items})
+    x = x.withColumn("_sb", F.floor(F.col(RN) / F.lit(bs)).cast("long"))
+    w = Window.partitionBy(*keys, BLK, "_sb").orderBy(RN).rowsBetween(_UNB, 0)
+    x = x.withColumns({f"_m{i}": F.sum(f"_m{i}").over(w) for i, *_ in items})
+    x = x.withColumns({f"_c{i}": F.exp(F.lit(la) * F.col(f"_m{i}")) * F.sum(F.col(f"_c{i}") * F.exp(F.lit(-la) * F.col(f"_m{i}"))).over(w)
+                       for i, _, la, _, _ in items})
+    x = materialize(x)
+    states = F.array(*[F.struct(F.exp(F.lit(la) * F.col(f"_m{i}")).alias("f"), F.col(f"_c{i}").alias("v")) for i, _, la, _, _ in items])
+    maps = x.groupBy(*keys, "_sb").agg(F.max_by(states, F.col(RN)).alias("_map"))
+    entry = _entries(materialize(maps), keys, len(items))
+    x = x.join(entry, [*keys, "_sb"], "left")
+    y = {out: F.col(f"_c{i}") + F.exp(F.lit(la) * F.col(f"_m{i}")) * F.coalesce(F.get("_in", F.lit(i)), F.lit(0.0)) for i, _, la, _, out in items}
+    return x.withColumns(y).drop("_sb", "_in", *[f"_c{i}" for i, *_ in items], *[f"_m{i}" for i, *_ in items])
+
+
+def _entries(maps: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """maps (keys, ``_sb``, ``_map``: factor f and value v of n states) -> the n values that enter each sub-block."""
+    zero = F.array_repeat(F.lit(0.0), n)
+
+    def through(state: Column, m: Column) -> Column:
+        return F.zip_with(state, m["_map"], lambda y, z: z["f"] * y + z["v"])
+
+    def walk(start: Column) -> Column:
+        """(_sb, value entering it) of a group's maps."""
+        first = F.struct(start.alias("y"), F.array().cast(f"array<struct<_sb:bigint,_in:array<double>>>").alias("out"))
+        return F.aggregate("_maps", first, lambda s, m: F.struct(through(s["y"], m).alias("y"), F.concat(
+            s["out"], F.array(F.struct(m["_sb"].alias("_sb"), s["y"].alias("_in")))).alias("out")), lambda s: s["out"])
+
+    listed = F.array_sort(F.collect_list(F.struct("_sb", "_map"))).alias("_maps")
+    if (maps.agg(F.max("_sb")).first()[0] or 0) < FOLD:
+        return maps.groupBy(*keys).agg(listed).select(*keys, F.explode(walk(zero)).alias("_e")).select(*keys, "_e.*")
+    groups = materialize(maps.groupBy(*keys, F.floor(F.col("_sb") / FOLD).cast("long").alias("_g")).agg(listed))
+    ones = F.array_repeat(F.lit(1.0), n)
+    factors = F.aggregate("_maps", ones, lambda f, m: F.zip_with(f, m["_map"], lambda a, z: a * z["f"]))
+    whole = F.zip_with(factors, F.aggregate("_maps", zero, through), lambda f, v: F.struct(f.alias("f"), v.alias("v")))
+    above = _entries(materialize(groups.select(*keys, F.col("_g").alias("_sb"), whole.alias("_map"))), keys, n)
+    joined = groups.join(above.select(*keys, F.col("_sb").alias("_g"), "_in"), [*keys, "_g"])
+    return joined.select(*keys, F.explode(walk(F.col("_in"))).alias("_e")).select(*keys, "_e.*")
+
+
 def from_pos(w: Window, k: int) -> Column:
     """True when the row has at least ``k`` earlier rows in its series (0-based position >= k).
     Needs a halo of ``k`` rows."""

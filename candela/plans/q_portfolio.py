@@ -234,6 +234,23 @@ res AS (SELECT split_part(symbol, '|', 1) AS sym, CAST(split_part(symbol, '|', 2
 SELECT sym AS symbol, param_id, """ + S.sig_sql("CSR") + " AS CSR, " + S.sig_sql("-CSR") + " AS loss FROM res"
 
 
+ADX_PERIODS = list(range(2, 11))
+BAND = ROC.with_(adjust_signal=True, adx_lo_threshold=25.0, adx_hi_threshold=75.0, asr_threshold=0.99)
+
+
+def _adx_sql() -> str:
+    head = HOURLY + "," + S.roc_signal_ctes("bars", BAND)
+    parts = ", ".join(S.pnl_ctes("td", BAND.with_(adx_period=n), f"p{n}").strip() for n in ADX_PERIODS)
+    res = " UNION ALL ".join(f"SELECT symbol, {i} AS param_id, arg_max(CSR, pos) AS CSR FROM p{n} GROUP BY symbol" for i, n in enumerate(ADX_PERIODS))
+    return f"{head}, {parts}, res AS ({res}) SELECT symbol, param_id, " + S.sig_sql("CSR") + " AS CSR, " + S.sig_sql("-CSR") + " AS loss FROM res"
+
+
+@register("swp02_adx_sweep", _adx_sql())
+def q_swp02_adx(spark, sf):
+    """SWP-2 over the ADX period 2..10 with the risk-off band on ADX and on the average strategy return."""
+    return rounded(PF.adx_sweep(bars_hourly(spark, sf), ADX_PERIODS, BAND))
+
+
 ADR_ROC_GRID = PF.param_grid(adr_period=[2, 10, 30], roc_period=[3, 17])
 
 
