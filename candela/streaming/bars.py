@@ -5,7 +5,7 @@ Bars are an event-time tumbling-window aggregation with a watermark (late ticks
 watermark update their bar; state older than the watermark is dropped). The sink is a
 ``foreachBatch`` writer that overwrites the folder of its own batch id, so a retried batch after an
 executor or driver loss rewrites the same files (idempotent); readers take the newest version of
-each bar.
+each bar. Signals are a keyed stateful operator over the same ticks (``signal_state``).
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.config import StrategyConfig
-from candela.operators.series import RN
-from candela.operators.signals import roc_signal
-from candela.session import materialize
-from candela.sources.bars import tail_bars
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -68,63 +64,31 @@ def latest_bars(spark: SparkSession, out: str) -> DataFrame:
             .select("symbol", "bar_ts", "b.*"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def _read_tail(spark: SparkSession, tail_dir: str, batch_id: int) -> DataFrame | None:
-    """The tail written by the newest batch before ``batch_id`` (None for the first batch)."""
-    if batch_id == 0 or not _exists(spark, tail_dir):
-        return None
-    last = f"{tail_dir}/batch_id={batch_id - 1}"
-    if _exists(spark, f"{last}/_SUCCESS"):
-        return spark.read.parquet(last)
-    t = spark.read.parquet(tail_dir).filter(F.col("batch_id") < batch_id)  # a batch without data wrote no tail
-    newest = t.agg(F.max("batch_id").alias("_m"))
-    return t.join(newest, t.batch_id == newest._m).drop("_m", "batch_id")
-
-
-def run_signal_stream(spark: SparkSession, source: str, bars_out: str, signals_out: str, checkpoint: str,
+def run_signal_stream(spark: SparkSession, source: str, bars_out: str | None, signals_out: str, checkpoint: str,
                       cfg: StrategyConfig, period: str = "1 hour", watermark: str = "2 hours") -> None:
-    """STR-2: for each micro-batch, store its updated bars, merge them with a tail (the last
-    ``roc_period + signal_delay + 3`` bars per symbol, versioned by batch id), recompute the ROC signal
-    and store the latest signal row per symbol under the batch id. Each bar of the tail remembers the
-    signal held at it, so a signal carried over ignored buckets survives however long ago it began.
-    Per-batch work is bounded by symbols x look-back plus the batch; a retried batch rewrites its own folders."""
-    lookback = cfg.roc_period + cfg.signal_delay + 3
-    write_bars = _versioned_writer(bars_out)
-    tail_dir = f"{checkpoint}_tail"
-    cols = ["symbol", "bar_ts", "open", "high", "low", "close", "volume"]
-    carried = cfg.with_(hold_signals=None)  # a hold is not carried on
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        write_bars(batch, batch_id)
-        s = batch.sparkSession
-        new = s.read.parquet(f"{bars_out}/batch_id={batch_id}").select(*cols, F.lit(None).cast("string").alias("held"), F.lit(1).alias("_v"))
-        prev = _read_tail(s, tail_dir, batch_id)
-        if prev is not None:
-            start = prev.groupBy("symbol").agg(F.min("bar_ts").alias("_start"))  # an update of an older bar changes no signal to come
-            new = new.join(start, "symbol", "left").filter(F.col("_start").isNull() | (F.col("bar_ts") >= F.col("_start"))).drop("_start")
-            new = prev.select(*cols, "held", F.lit(0).alias("_v")).unionByName(new)
-        latest = new.groupBy("symbol", "bar_ts").agg(F.max_by(F.struct(*cols[2:]), "_v").alias("b"), F.max("held").alias("held")).select(
-            "symbol", "bar_ts", "b.*", "held")
-        latest = materialize(latest)
-        sig = materialize(roc_signal(latest, carried).drop("held"))
-        first = sig.groupBy("symbol").agg(F.min("bar_ts").alias("_first"))
-        carry = latest.join(first, "symbol").filter((F.col("bar_ts") < F.col("_first")) & F.col("held").isNotNull()).groupBy("symbol").agg(
-            F.max_by("held", "bar_ts").alias("_carry"))
-        sig = sig.join(carry, "symbol", "left").withColumn("signal", F.coalesce("signal", "_carry"))
-        tail = tail_bars(latest, lookback).join(sig.select("symbol", "bar_ts", F.col("signal").alias("_now")), ["symbol", "bar_ts"], "left")
-        (tail.select(*cols, F.coalesce("_now", "held").alias("held")).write.mode("overwrite").parquet(f"{tail_dir}/batch_id={batch_id}"))
-        if cfg.hold_signals:
-            sig = sig.withColumn("signal", F.when(F.col("y_pred_id").isin(list(cfg.hold_signals)), F.lit("Cash")).otherwise(F.col("signal")))
-        last = sig.groupBy("symbol").agg(F.max_by(F.struct("bar_ts", "y_pred_val", "signal"), RN).alias("l"))
-        (last.select("symbol", "l.*").withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{signals_out}/batch_id={batch_id}"))
-
-    q = (streaming_bars(tick_stream(spark, source), period, watermark).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint).foreachBatch(step).trigger(availableNow=True).start())
+    """STR-2: drain ``source`` into the latest ROC signal per symbol, one version per micro-batch and changed symbol.
+
+    Ticks are reduced to partial closes per symbol and bar inside each input partition, so that a hot symbol sends a few rows
+    per partition and bar to its state (``SignalState``). A retried batch rewrites its own folder. With ``bars_out`` the
+    bars are stored as well (``run_bar_stream``). Ticks more than ``watermark`` behind the newest bar of their symbol are
+    dropped."""
+    from candela.streaming.signal_state import PARTIAL, RESULT, SignalState, partial_closes
+
+    if bars_out is not None:
+        run_bar_stream(spark, source, bars_out, f"{checkpoint}_bars", period, watermark)
+    width, late = (int(spark.sql(f"SELECT CAST(INTERVAL '{x}' AS INTERVAL DAY TO SECOND) AS i").first().i.total_seconds()) for x in (period, watermark))
+    ticks = tick_stream(spark, source).select("symbol", F.unix_micros("ts").alias("at"), "price")
+    parts = ticks.mapInPandas(partial_closes(width * 1_000_000), PARTIAL)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        signals = parts.groupBy("symbol").transformWithStateInPandas(SignalState(cfg, width * 1_000_000, late * 1_000_000), RESULT, "Update", "None")
+        out = signals.select("symbol", F.timestamp_micros("bar").cast("timestamp_ntz").alias("bar_ts"), "y_pred_val", "signal")
+        q = (out.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(_versioned_writer(signals_out))
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
     q.awaitTermination()
 
 
