@@ -65,9 +65,11 @@ def _pnl_summary(spark, sf_dir):
 
 
 def _mpt(spark, sf_dir):
-    triple = ["Brand#1", "Brand#2", "Brand#3"]
-    _, monthly, cov = PF.aligned_monthly(bars_daily(spark, sf_dir), triple)
-    return PF.best_sharpe(PF.random_portfolios(monthly, cov, triple, 5000), 3).withColumn("x", F.lit(1))
+    """All brands."""
+    bars = bars_daily(spark, sf_dir)
+    names = PF.asset_names(bars)
+    _, monthly, cov = PF.aligned_monthly(bars, names)
+    return PF.best_sharpe(PF.random_portfolios(monthly, cov, len(names), 5000)).withColumn("x", F.lit(1))
 
 
 if __name__ == "__main__":

@@ -7,8 +7,10 @@ partial row per task); running totals over their (small) outputs use the block s
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,10 +123,52 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] =
     return _melted(df.groupBy(*keys), cols, F.corr, keys, ("feature_a", "feature_b", "corr"))
 
 
+ASSET_BLOCK = 32
+
+
 def monthly_covariance(returns_wide: DataFrame, assets: Sequence[str]) -> DataFrame:
     """AGG-10: per month, sample covariance of daily returns for every asset pair (long form)."""
-    return _melted(returns_wide.groupBy(F.date_format("bar_ts", "yyyy-MM").alias("month")), assets, F.covar_samp, ("month",),
-                   ("asset_i", "asset_j", "cov"))
+    rows = returns_wide.select("bar_ts", F.array(*[named(a) for a in assets]).alias("r"))
+    names = F.array(*[F.lit(a) for a in assets])
+    pairs = packed_covariance(rows, len(assets)).select("month", F.posexplode("tri").alias("_i", "_row")).select("month", "_i", F.posexplode("_row").alias("_j", "cov"))
+    both = pairs.unionByName(pairs.filter("_i <> _j").select("month", F.col("_j").alias("_i"), F.col("_i").alias("_j"), "cov"))
+    return both.select("month", F.get(names, F.col("_i")).alias("asset_i"), F.get(names, F.col("_j")).alias("asset_j"), "cov")
+
+
+def packed_covariance(returns: DataFrame, n: int, block: int = ASSET_BLOCK) -> DataFrame:
+    """returns (bar_ts, r: the returns of ``n`` assets) -> (month, tri): the lower triangle of the month's sample covariance,
+    row i with its i + 1 entries. A pair uses the bars where both have a return; NULL for fewer than two.
+
+    Assets are taken in blocks: one row per (month, block) holds the block's series in the month, one row per pair of blocks
+    computes their part, so the work of a month is spread and no aggregate has a term per pair of assets."""
+    last = (n - 1) // block
+    d = returns.select(F.date_format("bar_ts", "yyyy-MM").alias("month"), "bar_ts", F.posexplode(
+        F.transform(F.sequence(F.lit(0), F.lit(last)), lambda b: F.slice("r", b * block + 1, F.lit(block)))).alias("b", "r"))
+    held = d.groupBy("month", "b").agg(F.sort_array(F.collect_list(F.struct("bar_ts", "r"))).alias("t"))
+    held = held.select("month", "b", F.transform("t", lambda t: t["r"]).alias("t"))
+    pairs = held.join(held.select("month", F.col("b").alias("c"), F.col("t").alias("u")), "month").filter("c <= b")
+    part = pairs.mapInArrow(_block_covariance(block), "month string, i int, c int, row array<double>")
+    rows = part.groupBy("month", "i").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "row"))), lambda p: p["row"])).alias("row"))
+    rows = rows.withColumn("row", F.slice("row", F.lit(1), F.col("i") + 1))
+    return rows.groupBy("month").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "row"))), lambda p: p["row"]).alias("tri"))
+
+
+def _block_covariance(block: int):
+    """For mapInArrow over (month, b, t, c, u), t and u being the bars of two blocks of assets: the rows of their part of
+    the covariance matrix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for month, b, t, c, u in zip(*(batch.column(n).to_pylist() for n in ("month", "b", "t", "c", "u"))):
+                x, y = np.array(t, float), np.array(u, float)  # bars x assets, missing: not a number
+                hx, hy = ~np.isnan(x), ~np.isnan(y)
+                x, y = (np.where(h, v - np.where(h, v, 0.0).sum(0) / np.maximum(h.sum(0), 1), 0.0) for v, h in ((x, hx), (y, hy)))
+                both = hx.T.astype(float) @ hy
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cov = (x.T @ y - (x.T @ hy) * (hx.T.astype(float) @ y) / both) / (both - 1)
+                rows = [[v if m > 1 else None for v, m in zip(line, many)] for line, many in zip(cov.tolist(), both.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array([month] * len(rows)), pa.array(range(b * block, b * block + len(rows)), pa.int32()),
+                                                  pa.array([c] * len(rows), pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["month", "i", "c", "row"])
+    return run
 
 
 def _melted(groups, cols: Sequence[str], measure, keys: Sequence[str], names: tuple[str, str, str]) -> DataFrame:

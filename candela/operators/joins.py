@@ -57,6 +57,14 @@ def align_assets(df: DataFrame, symbols: Sequence[str], value: str = "close") ->
     return wide.filter(there)
 
 
+def aligned_vectors(df: DataFrame, symbols: Sequence[str], value: str = "close", out: str = "c") -> DataFrame:
+    """JON-6 as one array per bar time, in the order of ``symbols``; bars where any asset is missing are dropped."""
+    names = F.array(*[F.lit(s) for s in symbols])
+    rows = df.filter(F.col("symbol").isin(list(symbols)) & F.col(value).isNotNull()).groupBy("bar_ts").agg(
+        F.map_from_entries(F.collect_list(F.struct("symbol", value))).alias("_m")).filter(F.size("_m") == len(symbols))
+    return rows.select("bar_ts", F.transform(names, lambda s: F.element_at("_m", s)).alias(out))
+
+
 FAN_BITS = 6  # a node of the search tree over positions has 2**6 children
 
 

@@ -8,10 +8,11 @@ windows are the ordinary blocked windows over that composite key.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.config import StrategyConfig
@@ -52,39 +53,46 @@ def weight_roots(n: int) -> list[int]:
     return out
 
 
-def random_portfolios(monthly_returns: DataFrame, cov: DataFrame, assets: Sequence[str], n: int = 5000) -> DataFrame:
+PORTFOLIO_CHUNK = 1024
+
+
+def random_portfolios(monthly: DataFrame, cov: DataFrame, assets: int, n: int = 5000) -> DataFrame:
     """PRT-2: ``n`` long-only portfolios per month with weights frac((k+1)*sqrt(p_i)) normalised to 1;
-    return = w . r_month, volatility = sqrt(w' C w) with C the month's daily-return covariance.
-    ``monthly_returns``: (month, <asset>...); ``cov``: long (month, asset_i, asset_j, cov)."""
-    a = list(assets)
-    wide = cov.select("month", F.concat_ws(SEP, "asset_i", "asset_j").alias("_p"), "cov").groupBy("month").pivot(
-        "_p", [f"{x}{SEP}{y}" for x in a for y in a]).agg(F.first("cov"))
-    m = monthly_returns.join(wide, "month")
-    m = m.withColumn("portfolio", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    raw = [F.col("portfolio").cast("double") + 1 for _ in a]
-    roots = [math.sqrt(p) for p in weight_roots(len(a))]
-    fr = [(r * F.lit(x)) - F.floor(r * F.lit(x)) for r, x in zip(raw, roots)]
-    tot = fr[0]
-    for x in fr[1:]:
-        tot = tot + x
-    for i, x in enumerate(a):
-        m = m.withColumn(f"w_{i}", fr[i] / tot)
-    ret = F.lit(0.0)
-    for i, x in enumerate(a):
-        ret = ret + F.col(f"w_{i}") * F.col(f"`{x}`")
-    var = F.lit(0.0)
-    for i, x in enumerate(a):
-        for j, y in enumerate(a):
-            var = var + F.col(f"w_{i}") * F.col(f"w_{j}") * F.col(f"`{x}{SEP}{y}`")
-    m = m.withColumn("ret", ret).withColumn("vol", F.sqrt(var))
-    return m.select("month", "portfolio", *[f"w_{i}" for i in range(len(a))], "ret", "vol")
-
-
-def best_sharpe(portfolios: DataFrame, n_assets: int) -> DataFrame:
+    return = w . r_month, volatility = sqrt(w' C w) with C the month's covariance of bar returns.
+
+    ``monthly``: (month, r: one return per asset); ``cov``: (month, tri) of ``aggregates.packed_covariance``. A row carries the
+    packed triangle and makes ``PORTFOLIO_CHUNK`` portfolios as one quadratic form over arrays, so neither plan nor row
+    count grows with the square of the assets; rows are spread over the tasks."""
+    m = monthly.join(cov, "month").select("month", "r", "tri", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // PORTFOLIO_CHUNK))).alias("chunk"))
+    roots = np.sqrt(np.array(weight_roots(assets), float))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                k = np.arange(row["chunk"] * PORTFOLIO_CHUNK, min((row["chunk"] + 1) * PORTFOLIO_CHUNK, n))
+                raw = (k[:, None] + 1.0) * roots
+                raw -= np.floor(raw)
+                w = raw / raw.sum(1, keepdims=True)
+                c = np.full((assets, assets), np.nan)
+                low = np.tril_indices(assets)
+                c[low] = [np.nan if x is None else x for part in row["tri"] for x in part]
+                c.T[low] = c[low]
+                vol = np.sqrt(np.maximum(((w @ c) * w).sum(1), 0.0))
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(k) + 1) * assets, pa.int32()), pa.array(w.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array([row["month"]] * len(k)), pa.array(k, pa.int32()), flat, pa.array(w @ np.array(row["r"], float)),
+                                                  pa.array(vol, mask=np.isnan(vol))], names=["month", "portfolio", "weights", "ret", "vol"])
+
+    return m.repartition("month", "chunk").mapInArrow(build, "month string, portfolio int, weights array<double>, ret double, vol double")
+
+
+def _total(values) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def best_sharpe(portfolios: DataFrame) -> DataFrame:
     """PRT-3: per month the portfolio with the highest return / volatility (ties: lowest id)."""
     key = F.struct(div(F.col("ret"), F.col("vol")).alias("s"), (-F.col("portfolio")).alias("p"))
-    best = portfolios.groupBy("month").agg(
-        F.max_by(F.struct("portfolio", *[f"w_{i}" for i in range(n_assets)], "ret", "vol"), key).alias("b"))
+    best = portfolios.groupBy("month").agg(F.max_by(F.struct("portfolio", "weights", "ret", "vol"), key).alias("b"))
     return best.select("month", "b.*").withColumn("sharpe", div(F.col("ret"), F.col("vol")))
 
 
@@ -93,17 +101,11 @@ def features_targets(ewma_monthly: DataFrame, best: DataFrame) -> DataFrame:
     return ewma_monthly.join(best, "month")
 
 
-def realised_vs_benchmark(monthly_returns: DataFrame, weights: DataFrame, assets: Sequence[str],
-                          cash: float = 1000.0) -> DataFrame:
-    """PRT-5: return of the predicted weights (w . r) and of equal weights, compounded from ``cash``."""
-    a = list(assets)
-    m = monthly_returns.join(weights, "month")
-    real = F.lit(0.0)
-    bench = F.lit(0.0)
-    for i, x in enumerate(a):
-        real = real + F.col(f"w_{i}") * F.col(f"`{x}`")
-        bench = bench + F.col(f"`{x}`") / len(a)
-    m = m.withColumn("realised", real).withColumn("bench_r", bench).withColumn("book", F.lit("book"))
+def realised_vs_benchmark(monthly: DataFrame, weights: DataFrame, cash: float = 1000.0) -> DataFrame:
+    """PRT-5: return of the predicted weights (w . r) and of equal weights, compounded from ``cash``.
+    ``monthly``: (month, r), ``weights``: (month, weights)."""
+    m = monthly.join(weights.select("month", "weights"), "month")
+    m = m.withColumns({"realised": _total(F.zip_with("weights", "r", lambda w, r: w * r)), "bench_r": _total("r") / F.size("r"), "book": F.lit("book")})
     m = ensure_indexed(m.withColumn("_ts", F.to_timestamp("month", "yyyy-MM").cast("timestamp_ntz")), ["book"], "_ts")
     m = running(m, [(F.lit(1.0) + F.col("realised"), "product", "_g"), (F.lit(1.0) + F.col("bench_r"), "product", "_b")],
                 ["book"])
@@ -248,26 +250,28 @@ def param_grid(**axes: Sequence) -> list[dict]:
 
 
 def aligned_monthly(bars: DataFrame, assets: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inputs of the MPT study for a few assets: (daily returns wide, monthly returns wide, covariance).
-
-    Days where every asset has a bar are kept; daily returns are changes between consecutive kept
-    days; monthly prices are the first kept close of each business-month bin; monthly returns are
-    their changes (first month dropped); covariance is per calendar month of the daily returns."""
-    from candela.operators.aggregates import monthly_covariance
-    from candela.operators.joins import align_assets
+    """Inputs of the MPT study: (bar returns: bar_ts, r; monthly returns: month, r; covariance: month, tri), the returns
+    being arrays in the order of ``assets``.
+
+    Bar times where every asset has a bar are kept; returns are changes between consecutive kept
+    bars; monthly prices are the first kept close of each business-month bin; monthly returns are
+    their changes (first month dropped); covariance is per calendar month of the bar returns."""
+    from candela.operators.aggregates import packed_covariance
+    from candela.operators.joins import aligned_vectors
     from candela.operators.timeseries import month_bins_first
-    a = list(assets)
-    wide = align_assets(bars, a, "close").withColumn("book", F.lit("book"))
-    wide = ensure_indexed(wide, ["book"])
-    daily = rolling(wide, {x: (lambda x: lambda w: div(F.col(f"`{x}`"), F.lag(F.col(f"`{x}`")).over(w)) - 1)(x) for x in a},
-                    back=1, keys=["book"])
-    daily = daily.dropna(subset=a).drop("book", RN, BLK)
-    long = wide.select("bar_ts", F.explode(F.array(*[F.struct(F.lit(x).alias("symbol"), F.col(f"`{x}`").alias("close"))
-                                                      for x in a])).alias("_r")).select("bar_ts", "_r.*")
-    mp = month_bins_first(long, "close")
-    mp = ensure_indexed(mp.withColumn("_ts", F.col("month_start").cast("timestamp")), ["symbol"], "_ts")
-    mr = rolling(mp, {"r": lambda w: div(F.col("close"), F.lag("close").over(w)) - 1}, back=1).filter(F.col("r").isNotNull())
-    monthly = mr.groupBy(F.date_format("month_start", "yyyy-MM").alias("month")).pivot("symbol", a).agg(F.first("r"))
-    monthly = monthly.dropna(subset=a)
-    cov = monthly_covariance(daily, a)
-    return daily, monthly, cov
+
+    def change(w):
+        return F.zip_with("c", F.lag("c").over(w), lambda now, then: div(now, then) - 1)
+
+    whole = F.col("r").isNotNull() & ~F.exists("r", lambda x: x.isNull())
+    book = ensure_indexed(aligned_vectors(bars, assets).withColumn("book", F.lit("book")), ["book"])
+    daily = rolling(book, {"r": change}, back=1, keys=["book"]).filter(whole).select("bar_ts", "r")
+    prices = month_bins_first(book.select("book", "bar_ts", "c"), "c", ["book"])
+    prices = ensure_indexed(prices.withColumn("_ts", F.col("month_start").cast("timestamp")), ["book"], "_ts")
+    monthly = rolling(prices, {"r": change}, back=1, keys=["book"]).filter(whole).select(F.date_format("month_start", "yyyy-MM").alias("month"), "r")
+    return daily, monthly, packed_covariance(daily, len(assets))
+
+
+def asset_names(bars: DataFrame) -> list[str]:
+    """The symbols of the bars, sorted: the assets of a portfolio are a list the caller holds."""
+    return sorted(r.symbol for r in bars.select("symbol").distinct().collect())

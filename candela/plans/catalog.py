@@ -15,7 +15,7 @@ from candela.config import PRESETS
 from candela.functions.scalar import publish_frame
 from candela.plans import sqlparts as S
 from candela.plans.strategies import final_returns, roc_backtest
-from candela.sources.fixtures import BARS_DAILY_SQL, BARS_HOURLY_SQL, bars_daily, bars_hourly
+from candela.sources.fixtures import BARS_DAILY_SQL, BARS_HOURLY_SQL, BARS_WEEKLY_SQL, bars_daily, bars_hourly
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -35,23 +35,31 @@ COMPOUNDED = {"CSR", "CMR", "strategy_return", "market_return", "mr", "sr", "SRT
               "CSR_r", "CSR_e", "ret", "basket_CSR", "bench_CMR", "realised", "benchmark",
               "sign_penalty_loss", "loss"}
 
+# ratios to a volatility that may be all but 0 (the covariance of 25 assets over four weeks is singular), whose last digits
+# are what cancellation leaves
+CANCELLED = {"best_sharpe"}
+
+
+def _digits(name: str) -> int:
+    return 6 if name in CANCELLED else 8 if name in COMPOUNDED else 10
+
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Publish every DOUBLE column (the oracle SQL publishes the same columns the same way)."""
-    specs = {f.name: (digits, 8 if f.name in COMPOUNDED else 10) for f in df.schema.fields
+    specs = {f.name: (digits, _digits(f.name)) for f in df.schema.fields
              if isinstance(f.dataType, T.DoubleType)}
     return publish_frame(df, specs) if specs else df
 
 
 def rsql(cols: list[str], dbl: list[str], src: str, digits: int = 6) -> str:
     """SELECT list with the DOUBLE columns rounded."""
-    parts = [(f"{S.publish_sql(c, 6, 8)} AS {c}" if c in COMPOUNDED else f"{S.publish_sql(c)} AS {c}") if c in dbl else c
-             for c in cols]
+    parts = [f"{S.publish_sql(c, 6, _digits(c))} AS {c}" if c in dbl else c for c in cols]
     return f"SELECT {', '.join(parts)} FROM {src}"
 
 
 HOURLY = "WITH RECURSIVE " + BARS_HOURLY_SQL
 DAILY = "WITH RECURSIVE " + BARS_DAILY_SQL
+WEEKLY = "WITH RECURSIVE " + BARS_WEEKLY_SQL
 
 ROC = PRESETS["eth_usd_roc"]
 

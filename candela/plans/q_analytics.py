@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candela.config import PRESETS
+from candela.functions.scalar import named
 from candela.operators import aggregates as AG
 from candela.operators import features as FE
 from candela.operators import forecast as FC
 from candela.operators import joins as JN
+from candela.operators import portfolio as PF
 from candela.operators import risk as RK
 from candela.operators import signals as SG
 from candela.plans import sqlparts as S
-from candela.plans.catalog import DAILY, HOURLY, register, rounded, rsql
+from candela.plans.catalog import DAILY, HOURLY, WEEKLY, register, rounded, rsql
 from candela.plans.strategies import roc_backtest
-from candela.sources.fixtures import bars_daily, bars_hourly
+from candela.sources.fixtures import bars_daily, bars_hourly, bars_weekly
 
 W = "WINDOW w AS (PARTITION BY symbol ORDER BY bar_ts)"
 K = ["symbol", "bar_ts"]
@@ -163,22 +165,17 @@ def q_agg09(spark, sf):
     return rounded(AG.correlation_matrix(d, _CF))
 
 
-_TRIPLE = ["Brand#1", "Brand#2", "Brand#3"]
-
-
-def _triple_sql():
-    joins = " ".join(f"JOIN d{i} USING (bar_ts)" for i in range(1, 3))
-    ds = ",\n".join(f"d{i} AS (SELECT bar_ts, DR AS a{i} FROM d WHERE symbol = '{s}' AND DR IS NOT NULL)" for i, s in enumerate(_TRIPLE))
-    return _DRB + ",\n" + ds + f",\nwide AS (SELECT * FROM d0 {joins})"
-
-
-@register("agg10_monthly_covariance", _triple_sql() + "\n" + "\nUNION ALL\n".join(
-    f"SELECT strftime(bar_ts, '%Y-%m') AS month, '{a}' AS asset_i, '{b}' AS asset_j, round(covar_samp(a{i}, a{j}), 6) AS cov "
-    f"FROM wide GROUP BY 1" for i, a in enumerate(_TRIPLE) for j, b in enumerate(_TRIPLE)))
+@register("agg10_monthly_covariance", WEEKLY + """,
+d AS (SELECT symbol, bar_ts, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY bar_ts), 0) AS DR FROM bars),
+w AS (SELECT bar_ts FROM d WHERE DR IS NOT NULL GROUP BY bar_ts HAVING count(*) = (SELECT count(DISTINCT symbol) FROM bars)),
+k AS (SELECT d.*, strftime(bar_ts, '%Y-%m') AS month FROM d JOIN w USING (bar_ts)),
+c AS (SELECT a.month, a.symbol AS asset_i, b.symbol AS asset_j, covar_samp(a.DR, b.DR) AS cov FROM k a JOIN k b USING (bar_ts) GROUP BY 1, 2, 3)
+SELECT month, asset_i, asset_j, round(cov, 6) AS cov FROM c""")
 def q_agg10(spark, sf):
-    d = FE.gross_return(bars_daily(spark, sf))
-    wide = JN.align_assets(d, _TRIPLE, "DR")
-    return rounded(AG.monthly_covariance(wide, _TRIPLE))
+    """AGG-10 over all brands, weekly bars (at the small scale no day has a bar of every brand)."""
+    d = FE.gross_return(bars_weekly(spark, sf))
+    names = PF.asset_names(d)
+    return rounded(AG.monthly_covariance(JN.align_assets(d, names, "DR"), names))
 
 
 @register("agg11_return_histogram", HOURLY + f""",
@@ -554,14 +551,16 @@ def q_jon05(spark, sf):
                K + ["CSR_r", "CSR_e", "CMR"])
 
 
-@register("jon06_align_assets", DAILY + """,
-a AS (SELECT bar_ts, max(CASE WHEN symbol = 'Brand#1' THEN close END) AS "Brand#1",
-             max(CASE WHEN symbol = 'Brand#2' THEN close END) AS "Brand#2", max(CASE WHEN symbol = 'Brand#3' THEN close END) AS "Brand#3"
-      FROM bars WHERE symbol IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY bar_ts)
-SELECT bar_ts, round("Brand#1", 6) AS "Brand#1", round("Brand#2", 6) AS "Brand#2", round("Brand#3", 6) AS "Brand#3" FROM a
-WHERE "Brand#1" IS NOT NULL AND "Brand#2" IS NOT NULL AND "Brand#3" IS NOT NULL""")
+@register("jon06_align_assets", WEEKLY + """,
+a AS (SELECT bar_ts FROM bars WHERE close IS NOT NULL GROUP BY bar_ts HAVING count(*) = (SELECT count(DISTINCT symbol) FROM bars))
+SELECT bar_ts, symbol, round(close, 6) AS close FROM bars JOIN a USING (bar_ts)""")
 def q_jon06(spark, sf):
-    return rounded(JN.align_assets(bars_daily(spark, sf), _TRIPLE, "close"))
+    """JON-6 over all brands, weekly bars; the columns of the aligned table as rows."""
+    bars = bars_weekly(spark, sf)
+    names = PF.asset_names(bars)
+    wide = JN.align_assets(bars, names, "close")
+    cells = F.array(*[F.struct(F.lit(n).alias("symbol"), named(n).alias("close")) for n in names])
+    return rounded(wide.select("bar_ts", F.explode(cells).alias("_c")).select("bar_ts", "_c.*"))
 
 
 @register("jon07_rotate_when", HOURLY + "," + S.roc_signal_ctes("bars", ROC) + """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from candela.config import PRESETS
@@ -12,11 +10,10 @@ from candela.operators import portfolio as PF
 from candela.operators import signals as SG
 from candela.operators import timeseries as TS
 from candela.plans import sqlparts as S
-from candela.plans.catalog import DAILY, HOURLY, register, rounded, rsql
-from candela.sources.fixtures import bars_daily, bars_hourly
+from candela.plans.catalog import HOURLY, WEEKLY, register, rounded, rsql
+from candela.sources.fixtures import bars_hourly, bars_weekly
 
 ROC = PRESETS["eth_usd_roc"]
-TRIPLE = ["Brand#1", "Brand#2", "Brand#3"]
 N_PORTFOLIOS = 5000
 SWEEP_GRID = PF.param_grid(period=[5, 10, 17, 30], threshold=[-5.0, 0.0, 5.0], delay=[0, 1, 2])
 ADR_PERIODS = [5, 10, 20, 40]
@@ -39,119 +36,102 @@ def q_prt01(spark, sf):
     return rounded(PF.signal_basket(td, 5).select(*_BASKET))
 
 
-# --- PRT-2/3/5 ------------------------------------------------------------------------------------
-
-def _mpt_sql() -> str:
-    a = TRIPLE
-    sel = ", ".join(f"max(CASE WHEN symbol = '{x}' THEN close END) AS a{i}" for i, x in enumerate(a))
-    nn = " AND ".join(f"a{i} IS NOT NULL" for i in range(len(a)))
-    rets = ", ".join(f"a{i} / nullif(lag(a{i}) OVER (ORDER BY bar_ts), 0) - 1 AS r{i}" for i in range(len(a)))
-    rnn = " AND ".join(f"r{i} IS NOT NULL" for i in range(len(a)))
-    covs = ", ".join(f"covar_samp(r{i}, r{j}) AS c{i}{j}" for i in range(len(a)) for j in range(len(a)))
-    unp = " UNION ALL ".join(f"SELECT bar_ts, '{x}' AS symbol, a{i} AS close FROM al" for i, x in enumerate(a))
-    bms = """CASE WHEN isodow(date_trunc('month', {x})) = 6 THEN CAST(date_trunc('month', {x}) AS DATE) + 2
-                  WHEN isodow(date_trunc('month', {x})) = 7 THEN CAST(date_trunc('month', {x}) AS DATE) + 1
-                  ELSE CAST(date_trunc('month', {x}) AS DATE) END"""
-    mw = ", ".join(f"max(CASE WHEN symbol = '{x}' THEN r END) AS m{i}" for i, x in enumerate(a))
-    mnn = " AND ".join(f"m{i} IS NOT NULL" for i in range(len(a)))
-    fr = [f"((k + 1) * {S.f(math.sqrt(p))} - floor((k + 1) * {S.f(math.sqrt(p))}))" for p in PF.weight_roots(len(a))]
-    tot = " + ".join(fr)
-    ws = ", ".join(f"{fr[i]} / ({tot}) AS w_{i}" for i in range(len(a)))
-    ret = "0.0 + " + " + ".join(f"w_{i} * m{i}" for i in range(len(a)))
-    var = "0.0 + " + " + ".join(f"w_{i} * w_{j} * c{i}{j}" for i in range(len(a)) for j in range(len(a)))
-    return DAILY + f""",
-al AS (SELECT bar_ts, {sel} FROM bars WHERE symbol IN ({', '.join(f"'{x}'" for x in a)}) GROUP BY bar_ts),
-al2 AS (SELECT * FROM al WHERE {nn}),
-daily AS (SELECT bar_ts, {rets} FROM al2),
-cov AS (SELECT strftime(bar_ts, '%Y-%m') AS month, {covs} FROM daily WHERE {rnn} GROUP BY 1),
-lng AS ({unp.replace('FROM al', 'FROM al2')}),
-bins AS (SELECT symbol, CASE WHEN CAST(bar_ts AS DATE) < {bms.format(x='bar_ts')} THEN {bms.format(x="(bar_ts - INTERVAL 1 MONTH)")}
-                             ELSE {bms.format(x='bar_ts')} END AS month_start, close, bar_ts FROM lng),
-mp AS (SELECT symbol, month_start, arg_min(close, bar_ts) AS close FROM bins GROUP BY 1, 2),
-mr AS (SELECT symbol, month_start, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY month_start), 0) - 1 AS r FROM mp),
-mw AS (SELECT strftime(month_start, '%Y-%m') AS month, {mw} FROM mr WHERE r IS NOT NULL GROUP BY 1),
-mw2 AS (SELECT * FROM mw WHERE {mnn}),
-pf0 AS (SELECT mw2.*, cov.* EXCLUDE (month), t.k FROM mw2 JOIN cov USING (month), range(0, {N_PORTFOLIOS}) t(k)),
-pf1 AS (SELECT month, k AS portfolio, m0, m1, m2, c00, c01, c02, c10, c11, c12, c20, c21, c22, {ws} FROM pf0),
-pf AS (SELECT month, portfolio, w_0, w_1, w_2, {ret} AS ret, sqrt({var}) AS vol FROM pf1),
+# --- PRT-2..5: all brands, weekly bars ------------------------------------------------------------
+
+_BMS = """CASE WHEN isodow(date_trunc('month', {x})) = 6 THEN CAST(date_trunc('month', {x}) AS DATE) + 2
+               WHEN isodow(date_trunc('month', {x})) = 7 THEN CAST(date_trunc('month', {x}) AS DATE) + 1
+               ELSE CAST(date_trunc('month', {x}) AS DATE) END"""
+_MONTH_START = f"CASE WHEN CAST(bar_ts AS DATE) < {_BMS.format(x='bar_ts')} THEN {_BMS.format(x='(bar_ts - INTERVAL 1 MONTH)')} ELSE {_BMS.format(x='bar_ts')} END"
+_CHANGE = "list_transform(range(1, len(c) + 1), lambda i: c[i] / nullif(p[i], 0) - 1)"
+_WHOLE = "r IS NOT NULL AND len(list_filter(r, lambda x: x IS NULL)) = 0"
+# the multipliers of the weights: square roots of the first primes, as many as there are brands
+_ROOTS = """roots AS (SELECT list(sqrt(x) ORDER BY x)[1:(SELECT count(DISTINCT symbol) FROM bars)] AS q FROM range(2, 2000) t(x)
+           WHERE NOT EXISTS (SELECT 1 FROM range(2, 45) u(y) WHERE y < x AND x % y = 0))"""
+MPT_SQL = WEEKLY + f""",
+al AS (SELECT bar_ts, list(close ORDER BY symbol) AS c FROM bars GROUP BY bar_ts HAVING count(*) = (SELECT count(DISTINCT symbol) FROM bars)),
+daily AS (SELECT bar_ts, r FROM (SELECT bar_ts, {_CHANGE} AS r FROM (SELECT *, lag(c) OVER (ORDER BY bar_ts) AS p FROM al) WHERE p IS NOT NULL) WHERE {_WHOLE}),
+pt AS (SELECT strftime(bar_ts, '%Y-%m') AS month, bar_ts, i, r[i] AS x FROM daily, range(1, (SELECT count(DISTINCT symbol) FROM bars) + 1) t(i)),
+cl AS (SELECT a.month, a.i, b.i AS j, covar_samp(a.x, b.x) AS cov FROM pt a JOIN pt b USING (month, bar_ts) GROUP BY 1, 2, 3),
+cov AS (SELECT month, list(row ORDER BY i) AS m FROM (SELECT month, i, list(cov ORDER BY j) AS row FROM cl GROUP BY 1, 2) GROUP BY month),
+mp AS (SELECT {_MONTH_START} AS month_start, arg_min(c, bar_ts) AS c FROM al GROUP BY 1),
+mw AS (SELECT strftime(month_start, '%Y-%m') AS month, r FROM (SELECT month_start, {_CHANGE} AS r FROM
+       (SELECT *, lag(c) OVER (ORDER BY month_start) AS p FROM mp) WHERE p IS NOT NULL) WHERE {_WHOLE}),
+{_ROOTS},
+pf0 AS (SELECT mw.month, r, m, k, list_transform(q, lambda x: (k + 1) * x - floor((k + 1) * x)) AS f
+        FROM mw JOIN cov USING (month), roots, range(0, {N_PORTFOLIOS}) t(k) WHERE m[1][1] IS NOT NULL),
+pf1 AS (SELECT month, r, m, k AS portfolio, list_transform(f, lambda x: x / list_sum(f)) AS w FROM pf0),
+pf AS (SELECT month, portfolio, w, list_dot_product(w, r) AS ret,
+              sqrt(greatest(list_dot_product(w, list_transform(m, lambda row: list_dot_product(row, w))), 0)) AS vol FROM pf1),
 best AS (SELECT month, arg_max(portfolio, (ret / nullif(vol, 0), -portfolio)) AS portfolio FROM pf GROUP BY month),
-bestw AS (SELECT pf.*, ret / nullif(vol, 0) AS sharpe FROM pf JOIN best USING (month, portfolio))"""
+bestw AS (SELECT pf.*, ret / nullif(vol, 0) AS best_sharpe FROM pf JOIN best USING (month, portfolio))"""
+_PF = ["month", "portfolio", "w_first", "w_last", "w_mean_rank", "ret", "vol"]
+_W_SQL = "SELECT *, w[1] AS w_first, w[-1] AS w_last, list_dot_product(w, list_transform(range(1, len(w) + 1), lambda i: CAST(i AS DOUBLE))) AS w_mean_rank FROM"
 
 
-MPT_SQL = _mpt_sql()
-_PF = ["month", "portfolio", "w_0", "w_1", "w_2", "ret", "vol"]
+def _mpt(spark, sf):
+    bars = bars_weekly(spark, sf)
+    names = PF.asset_names(bars)
+    daily, monthly, cov = PF.aligned_monthly(bars, names)
+    cov = cov.filter(F.get(F.get("tri", F.lit(0)), F.lit(0)).isNotNull())
+    return daily, monthly, PF.random_portfolios(monthly, cov, len(names), N_PORTFOLIOS), names
 
 
-def _mpt(spark, sf):
-    daily, monthly, cov = PF.aligned_monthly(bars_daily(spark, sf), TRIPLE)
-    pf = PF.random_portfolios(monthly, cov, TRIPLE, N_PORTFOLIOS)
-    return daily, monthly, cov, pf
+def _weights(df):
+    """Three figures that depend on all weights stand for the list."""
+    rank = F.aggregate(F.transform("weights", lambda w, i: w * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return df.withColumns({"portfolio": F.col("portfolio").cast("bigint"), "w_first": F.element_at("weights", 1), "w_last": F.element_at("weights", -1), "w_mean_rank": rank})
 
 
-@register("prt02_random_portfolios", MPT_SQL + "\n" + rsql(_PF, _PF[2:], "pf"))
+@register("prt02_random_portfolios", MPT_SQL + f",\npw AS ({_W_SQL} pf)\n" + rsql(_PF, _PF[2:], "pw"))
 def q_prt02(spark, sf):
-    return rounded(_mpt(spark, sf)[3].withColumn("portfolio", F.col("portfolio").cast("bigint")))
+    """PRT-2 over all brands."""
+    return rounded(_weights(_mpt(spark, sf)[2]).select(*_PF))
 
 
-@register("prt03_best_sharpe", MPT_SQL + "\n" + rsql(_PF + ["sharpe"], _PF[2:] + ["sharpe"], "bestw"))
+@register("prt03_best_sharpe", MPT_SQL + f",\npw AS ({_W_SQL} bestw)\n" + rsql(_PF + ["best_sharpe"], _PF[2:] + ["best_sharpe"], "pw"))
 def q_prt03(spark, sf):
-    best = PF.best_sharpe(_mpt(spark, sf)[3], 3)
-    return rounded(best.withColumn("portfolio", F.col("portfolio").cast("bigint")).select(*_PF, "sharpe"))
+    """PRT-3 over all brands."""
+    return rounded(_weights(PF.best_sharpe(_mpt(spark, sf)[2])).select(*_PF, F.col("sharpe").alias("best_sharpe")))
 
 
 @register("prt05_realised_vs_benchmark", MPT_SQL + """,
-pw AS (SELECT month, lag(w_0) OVER (ORDER BY month) AS w_0, lag(w_1) OVER (ORDER BY month) AS w_1,
-              lag(w_2) OVER (ORDER BY month) AS w_2 FROM bestw),
-rv AS (SELECT mw2.month, 0.0 + pw.w_0 * m0 + pw.w_1 * m1 + pw.w_2 * m2 AS realised, 0.0 + m0 / 3 + m1 / 3 + m2 / 3 AS bench_r
-       FROM mw2 JOIN pw USING (month) WHERE pw.w_0 IS NOT NULL),
+pw AS (SELECT month, lag(w) OVER (ORDER BY month) AS w FROM bestw),
+rv AS (SELECT mw.month, list_dot_product(pw.w, r) AS realised, list_sum(r) / len(r) AS bench_r FROM mw JOIN pw USING (month) WHERE pw.w IS NOT NULL),
 acc AS (SELECT month, realised, bench_r, 1000.0 * product(1 + realised) OVER (ORDER BY month ROWS UNBOUNDED PRECEDING) AS account,
                1000.0 * product(1 + bench_r) OVER (ORDER BY month ROWS UNBOUNDED PRECEDING) AS benchmark FROM rv)
 """ + rsql(["month", "realised", "bench_r", "account", "benchmark"], ["realised", "bench_r", "account", "benchmark"], "acc"))
 def q_prt05(spark, sf):
-    _, monthly, _, pf = _mpt(spark, sf)
-    best = PF.best_sharpe(pf, 3)
-    prev = TS.shift_monthly(best.withColumn("_m", F.to_date(F.concat(F.col("month"), F.lit("-01")))).withColumn("book", F.lit("b")),
-                            ["w_0", "w_1", "w_2"], ["book"], "_m")
-    w = prev.select("month", *[F.col(f"w_{i}_prev").alias(f"w_{i}") for i in range(3)]).dropna()
-    return rounded(PF.realised_vs_benchmark(monthly, w, TRIPLE, 1000.0))
-
-
-def _prt04_sql() -> str:
-    bms = """CASE WHEN isodow(date_trunc('month', {x})) = 6 THEN CAST(date_trunc('month', {x}) AS DATE) + 2
-                  WHEN isodow(date_trunc('month', {x})) = 7 THEN CAST(date_trunc('month', {x}) AS DATE) + 1
-                  ELSE CAST(date_trunc('month', {x}) AS DATE) END"""
-    lng = " UNION ALL ".join(f"SELECT bar_ts, '{x}' AS symbol, r{i} AS r FROM d2" for i, x in enumerate(TRIPLE))
-    piv = ", ".join(f"max(CASE WHEN symbol = '{x}' THEN ewma_prev END) AS \"{x}\"" for x in TRIPLE)
-    cols = ["month"] + [f'"{x}"' for x in TRIPLE] + ["portfolio", "w_0", "w_1", "w_2", "ret", "vol", "sharpe"]
-    rounded_cols = ", ".join(f"round({c}, 6) AS {c}" if c not in ("month", "portfolio") else c for c in cols)
-    return MPT_SQL + f""",
-d2 AS (SELECT * FROM daily WHERE r0 IS NOT NULL AND r1 IS NOT NULL AND r2 IS NOT NULL),
-lg AS ({lng}),
-lp AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) - 1 AS pos FROM lg),
-ew AS (SELECT a.symbol, a.bar_ts, sum(pow(1 - 2 / 31.0, a.pos - b.pos) * b.r) / sum(pow(1 - 2 / 31.0, a.pos - b.pos)) AS ewma
-       FROM lp a JOIN lp b ON a.symbol = b.symbol AND b.pos <= a.pos GROUP BY 1, 2),
-eb AS (SELECT symbol, CASE WHEN CAST(bar_ts AS DATE) < {bms.format(x='bar_ts')} THEN {bms.format(x="(bar_ts - INTERVAL 1 MONTH)")}
-                           ELSE {bms.format(x='bar_ts')} END AS month_start, ewma, bar_ts FROM ew),
-mb AS (SELECT symbol, month_start, arg_min(ewma, bar_ts) AS ewma FROM eb GROUP BY 1, 2),
-sh AS (SELECT symbol, month_start, lag(ewma) OVER (PARTITION BY symbol ORDER BY month_start) AS ewma_prev FROM mb),
-fe AS (SELECT strftime(month_start, '%Y-%m') AS month, {piv} FROM sh WHERE ewma_prev IS NOT NULL GROUP BY 1),
-ft AS (SELECT fe.*, bestw.* EXCLUDE (month) FROM fe JOIN bestw USING (month))
-SELECT {rounded_cols} FROM ft"""
-
-
-@register("prt04_features_targets", _prt04_sql())
+    """PRT-5: last month's best weights held this month, over all brands."""
+    _, monthly, pf, _ = _mpt(spark, sf)
+    best = PF.best_sharpe(pf).withColumn("_m", F.to_date(F.concat(F.col("month"), F.lit("-01")))).withColumn("book", F.lit("b"))
+    prev = TS.shift_monthly(best, ["weights"], ["book"], "_m").select("month", F.col("weights_prev").alias("weights"))
+    return rounded(PF.realised_vs_benchmark(monthly, prev.filter(F.col("weights").isNotNull()), 1000.0))
+
+
+_FT = ["month", "portfolio", "ret", "vol", "best_sharpe", "symbol", "ewma_prev", "weight"]
+
+
+@register("prt04_features_targets", MPT_SQL + f""",
+lp AS (SELECT i, x AS r, bar_ts, row_number() OVER (PARTITION BY i ORDER BY bar_ts) - 1 AS pos FROM pt),
+ew AS (SELECT a.i, a.bar_ts, sum(pow(1 - 2 / 31.0, a.pos - b.pos) * b.r) / sum(pow(1 - 2 / 31.0, a.pos - b.pos)) AS ewma
+       FROM lp a JOIN lp b ON a.i = b.i AND b.pos <= a.pos GROUP BY 1, 2),
+mb AS (SELECT i, {_MONTH_START} AS month_start, arg_min(ewma, bar_ts) AS ewma FROM ew GROUP BY 1, 2),
+sh AS (SELECT i, month_start, lag(ewma) OVER (PARTITION BY i ORDER BY month_start) AS ewma_prev FROM mb),
+nm AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS i FROM (SELECT DISTINCT symbol FROM bars)),
+ft AS (SELECT month, portfolio, ret, vol, best_sharpe, symbol, ewma_prev, w[i] AS weight FROM sh JOIN nm USING (i) JOIN bestw ON bestw.month = strftime(month_start, '%Y-%m')
+       WHERE ewma_prev IS NOT NULL)
+""" + rsql(_FT, [c for c in _FT if c not in ("month", "portfolio", "symbol")], "ft"))
 def q_prt04(spark, sf):
-    """PRT-4: EWMA(30) of daily returns, first value per business-month bin, shifted one month,
-    joined with that month's best-Sharpe weights."""
-    daily, _, _, pf = _mpt(spark, sf)
-    best = PF.best_sharpe(pf, 3)
-    lng = daily.select("bar_ts", F.explode(F.array(*[F.struct(F.lit(x).alias("symbol"), F.col(f"`{x}`").alias("r"))
-                                                      for x in TRIPLE])).alias("_r")).select("bar_ts", "_r.*")
-    ew = IN.ewma(lng, "r", 30, "ewma")
-    mb = TS.month_bins_first(ew, "ewma")
-    sh = TS.shift_monthly(mb, ["ewma"]).filter(F.col("ewma_prev").isNotNull())
-    feats = sh.groupBy(F.date_format("month_start", "yyyy-MM").alias("month")).pivot("symbol", TRIPLE).agg(F.first("ewma_prev"))
-    return rounded(PF.features_targets(feats, best))
+    """PRT-4: EWMA(30) of the bar returns, first value per business-month bin, shifted one month, joined with that month's
+    best-Sharpe weights; one row per month and brand."""
+    daily, _, pf, names = _mpt(spark, sf)
+    labels = F.array(*[F.lit(x) for x in names])
+    lng = daily.select("bar_ts", F.posexplode("r").alias("_i", "r")).withColumn("symbol", F.get(labels, F.col("_i")))
+    mb = TS.month_bins_first(IN.ewma(lng.select("symbol", "bar_ts", "r"), "r", 30, "ewma"), "ewma")
+    feats = TS.shift_monthly(mb, ["ewma"]).filter(F.col("ewma_prev").isNotNull()).select(F.date_format("month_start", "yyyy-MM").alias("month"), "symbol", "ewma_prev")
+    best = PF.best_sharpe(pf).withColumn("portfolio", F.col("portfolio").cast("bigint")).withColumnRenamed("sharpe", "best_sharpe")
+    weight = F.element_at("weights", F.array_position(labels, F.col("symbol")).cast("int"))
+    return rounded(PF.features_targets(feats, best).withColumn("weight", weight).select(*_FT))
 
 
 # --- SWP-1 / TOP-1 ------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 BAR_COLS = ["symbol", "bar_ts", "open", "high", "low", "close", "volume"]
 
-PERIOD_UNITS = {"day": "day", "hour": "hour", "minute": "minute"}
+PERIOD_UNITS = {"week": "week", "day": "day", "hour": "hour", "minute": "minute"}
 
 
 def ticks_to_bars(ticks: DataFrame, period: str = "hour", symbol: str = "symbol", ts: str = "ts",

@@ -25,13 +25,23 @@ def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem join part -> daily bars: symbol = brand, price = extendedprice / quantity,
     volume = quantity; ticks of a day ordered by (orderkey, price)."""
+    return _brand_bars(spark, sf_dir, "day", ["l_orderkey", "price"])
+
+
+def bars_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``bars_daily`` by week, ticks ordered by (day, orderkey, price): also at small scales most weeks have a bar of
+    every brand."""
+    return _brand_bars(spark, sf_dir, "week", ["ts", "l_orderkey", "price"])
+
+
+def _brand_bars(spark: SparkSession, sf_dir: str, period: str, order: list[str]) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_quantity", "l_extendedprice",
                                                  "l_shipdate")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     ticks = li.join(pt, li.l_partkey == pt.p_partkey).select(
         F.col("p_brand").alias("symbol"), F.col("l_shipdate").alias("ts"), "l_orderkey",
         F.try_divide("l_extendedprice", "l_quantity").alias("price"), F.col("l_quantity").alias("volume"))
-    return ticks_to_bars(ticks, "day", order=["l_orderkey", "price"])
+    return ticks_to_bars(ticks, period, order=order)
 
 
 # DuckDB forms of the same fixtures, used as CTEs by the oracle SQL.
@@ -52,3 +62,7 @@ bars AS (
          first(price ORDER BY l_orderkey, price) AS open, max(price) AS high, min(price) AS low,
          first(price ORDER BY l_orderkey DESC, price DESC) AS close, CAST(sum(volume) AS DOUBLE) AS volume
   FROM ticks GROUP BY 1, 2)"""
+
+
+BARS_WEEKLY_SQL = BARS_DAILY_SQL.replace("date_trunc('day', ts)", "date_trunc('week', ts)").replace(
+    "ORDER BY l_orderkey, price", "ORDER BY ts, l_orderkey, price").replace("ORDER BY l_orderkey DESC", "ORDER BY ts DESC, l_orderkey DESC")

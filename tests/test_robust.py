@@ -81,16 +81,41 @@ def test_odd_names(spark):
 
 
 def test_many_assets(spark):
-    n = 25
-    names = [f"A{i}" for i in range(n)]
-    monthly = spark.createDataFrame([("2024-01", *[0.01 * i for i in range(n)])], ["month", *names])
-    cov = spark.createDataFrame([("2024-01", a, b, 0.02 if a == b else 0.0) for a in names for b in names], "month string, asset_i string, asset_j string, cov double")
-    got = PF.random_portfolios(monthly, cov, names, 20)
-    total = got.select(sum(F.col(f"w_{i}") for i in range(n)).alias("t"))
-    assert got.count() == 20 and all(abs(r.t - 1) < 1e-9 for r in total.collect())
+    """200 assets, every output column read: figures against NumPy."""
+    import numpy as np
+    n, days = 200, 40
+    r = np.random.default_rng(3).normal(0, 0.02, (days, n))
+    bars_ = [(START + dt.timedelta(days=d), [float(x) for x in r[d]]) for d in range(days)]
+    daily = spark.createDataFrame(bars_, "bar_ts timestamp_ntz, r array<double>")
+    cov = AG.packed_covariance(daily, n)
+    months = sorted({b[0].strftime("%Y-%m") for b in bars_})
+    monthly = spark.createDataFrame([(m, [0.001 * i for i in range(n)]) for m in months], "month string, r array<double>")
+    rows = PF.random_portfolios(monthly, cov, n, 300).collect()
+    assert len(rows) == 300 * len(months)
+    roots = np.sqrt(PF.weight_roots(n))
+    for x in rows[:40] + rows[-40:]:
+        f = (x.portfolio + 1) * roots
+        w = (f - np.floor(f)) / (f - np.floor(f)).sum()
+        c = np.cov(np.array([v for t, v in bars_ if t.strftime("%Y-%m") == x.month]).T)
+        np.testing.assert_allclose(x.weights, w, rtol=1e-9)
+        assert x.vol == pytest.approx(float(np.sqrt(w @ c @ w)), rel=1e-8) and x.ret == pytest.approx(float(w @ (0.001 * np.arange(n))))
+    best = {b.month: b for b in PF.best_sharpe(spark.createDataFrame(rows)).collect()}
+    for m in months:
+        assert best[m].sharpe == pytest.approx(max(x.ret / x.vol for x in rows if x.month == m))
     assert PF.weight_roots(10) == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29]
 
 
+def test_covariance_of_gappy_series(spark):
+    """Pairs use the bars both have; fewer than two give NULL; asset blocks of any size agree."""
+    rows = [(START + dt.timedelta(days=d), [float(d * d % 5), None if d % 3 == 0 else float(d % 4), 1.0 if d == 0 else None, float(d)]) for d in range(12)]
+    df = spark.createDataFrame(rows, "bar_ts timestamp_ntz, r array<double>")
+    got = [AG.packed_covariance(df, 4, block=b).first().tri for b in (32, 3, 1)]
+    assert got[0] == got[1] == got[2]
+    wide = df.select("bar_ts", *[F.get("r", F.lit(i)).alias(f"c{i}") for i in range(4)])
+    want = wide.agg(*[F.covar_samp(f"c{i}", f"c{j}") for i in range(4) for j in range(i + 1)]).first()
+    assert [x for row in got[0] for x in row] == [None if w is None else pytest.approx(w) for w in want]
+
+
 def test_calendar_joins_every_intraday_bar_once(bars):
     j = JN.join_calendar(bars, FE.calendar_days(bars))
     assert j.count() == bars.count() and j.select("bar_ts", "deg").distinct().count() == 60
