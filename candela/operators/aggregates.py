@@ -210,28 +210,25 @@ def reindex_if_needed(d: DataFrame) -> DataFrame:
 
 
 def pacf(acf_df: DataFrame) -> DataFrame:
-    """AGG-13: partial autocorrelation by Durbin-Levinson from the ACF table. Each group is one
-    symbol's ``nlags`` ACF values (bounded, tiny), handled by ``applyInPandas``."""
-    import numpy as np
-    import pandas as pd
-
-    def dl(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = np.concatenate([[1.0], pdf["acf"].to_numpy(dtype=float)])
-        k = len(r) - 1
-        phi = np.zeros((k + 1, k + 1))
-        out = []
-        for m in range(1, k + 1):
-            num = r[m] - sum(phi[m - 1, j] * r[m - j] for j in range(1, m))
-            den = 1.0 - sum(phi[m - 1, j] * r[j] for j in range(1, m))
-            phi[m, m] = num / den if den != 0 else float("nan")
-            for j in range(1, m):
-                phi[m, j] = phi[m - 1, j] - phi[m, m] * phi[m - 1, m - j]
-            out.append(phi[m, m])
-        out = [None if v != v else v for v in out]  # undefined (a flat series): NULL
-        return pd.DataFrame({"symbol": pdf["symbol"].iloc[0], "lag": pdf["lag"].to_numpy(), "pacf": out})
-
-    return acf_df.groupBy("symbol").applyInPandas(dl, "symbol string, lag int, pacf double")
+    """AGG-13: partial autocorrelation from the ACF table (lags 1..k) by the Levinson-Durbin recursion, as a fold over the
+    symbol's array of ACF values whose state is (coefficients of the current order, partial autocorrelations so far).
+    NULL from the first order that is undefined (a flat series, or a prediction without error)."""
+    listed = acf_df.groupBy("symbol").agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda e: e["acf"]).alias("_r"))
+
+    def dot(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+
+    def step(s, m):
+        known = F.slice("_r", F.lit(1), m - 1)
+        new = div(F.get("_r", m - 1) - dot(s["phi"], F.reverse(known)), F.lit(1.0) - dot(s["phi"], known))
+        grown = F.transform(F.array(new), lambda p: F.struct(
+            F.concat(F.zip_with(s["phi"], F.reverse(s["phi"]), lambda a, b: a - p * b), F.array(p)).alias("phi"), F.concat(s["out"], F.array(p)).alias("out")))
+        return F.get(grown, F.lit(0))
+
+    none = F.array().cast("array<double>")
+    orders = F.sequence(F.lit(1), F.size("_r"))
+    folded = F.aggregate(orders, F.struct(none.alias("phi"), none.alias("out")), step, lambda s: s["out"])
+    return listed.select("symbol", F.posexplode(folded).alias("_i", "pacf")).select("symbol", (F.col("_i") + 1).alias("lag"), "pacf")
 
 
 def perf_diff(pnl: DataFrame, model_start: str) -> DataFrame:

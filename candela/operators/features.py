@@ -337,20 +337,81 @@ def bar_end(df, interval_minutes: int = 1440, out="date_to"):
         back=0, fwd=1)
 
 
+# --- long frames by doubling ----------------------------------------------------------------------
+
+# parts of a summary by aggregate; a part is NULL as soon as one of its rows has no value, which is what a full frame asks
+_PARTS = {"avg": ("mean",), "stddev_samp": ("mean", "m2"), "max": ("max",), "min": ("min",)}
+
+
+def _both(part: str, a: dict[str, Column], b: dict[str, Column], na: int, nb: int) -> Column:
+    """A part of the summary of two adjacent stretches of ``na`` and ``nb`` rows. Squared deviations merge about the means,
+    so nothing cancels."""
+    x, y = a[part], b[part]
+    if part == "mean":
+        return x + (y - x) * (nb / (na + nb))
+    if part == "m2":
+        d = b["mean"] - a["mean"]
+        return x + y + d * d * (na * nb / (na + nb))
+    return F.when(x.isNotNull() & y.isNotNull(), F.greatest(x, y) if part == "max" else F.least(x, y))
+
+
+def doubling(x: DataFrame, w: Window, wants: Sequence[tuple[str, str, int, str]]) -> DataFrame:
+    """Rolling aggregates ``(agg, column, n, out)`` over the last n rows (NULL unless all n values are there), with work per row
+    that grows with log2 of the frames.
+
+    Level k holds, at each row, the summary of the 2**k rows that end there: level k - 1 joined with itself 2**(k-1) rows
+    back, one ``lag`` a part. A frame of n rows is put together from the levels of the bits of n, each lagged by the rows
+    taken before. Each level is one window operator over the same partition and order. A halo of max(n) rows is needed.
+    """
+    parts: dict[tuple[str, int], set[str]] = {}
+    for agg, c, n, _ in wants:
+        parts.setdefault((c, n), set()).update(_PARTS[agg])
+    tables = {(c, p): max(n for (k, n), q in parts.items() if k == c and p in q) for (c, _), ps in parts.items() for p in ps}
+    start = {"mean": lambda c: c, "m2": lambda c: F.when(c.isNotNull(), 0.0), "max": lambda c: c, "min": lambda c: c}
+    x = x.withColumns({f"_t_{c}_{p}": start[p](F.col(c).cast("double")) for c, p in tables})
+    taken, size = dict.fromkeys(parts, 0), 1
+    while size <= max(tables.values()):
+        lags: dict[str, Column] = {}
+        level: dict[str, Column] = {}
+
+        def back(c: str, p: str, k: int, lags=lags) -> Column:
+            if not k:
+                return F.col(f"_t_{c}_{p}")
+            lags[f"_l_{c}_{p}_{k}"] = F.lag(f"_t_{c}_{p}", k).over(w)
+            return F.col(f"_l_{c}_{p}_{k}")
+
+        for (c, n), ps in parts.items():
+            if n & size:
+                at = taken[c, n]
+                old = {p: F.col(f"_f_{c}_{n}_{p}") for p in ps}
+                new = {p: back(c, p, at) for p in ps}
+                level.update({f"_f_{c}_{n}_{p}": _both(p, old, new, at, size) if at else new[p] for p in ps})
+                taken[c, n] += size
+        grow = [(c, p) for (c, p), n in tables.items() if n >= 2 * size]
+        for c in {c for c, _ in grow}:
+            ps = [p for k, p in grow if k == c]
+            now, then = ({p: back(c, p, k) for p in ps} for k in (0, size))
+            level.update({f"_t_{c}_{p}": _both(p, now, then, size, size) for p in ps})
+        x = x.withColumns(lags).withColumns(level).drop(*lags)
+        size *= 2
+    read = {"avg": "mean", "max": "max", "min": "min"}
+    x = x.withColumns({out: F.sqrt(F.col(f"_f_{c}_{n}_m2") / (n - 1)) if agg == "stddev_samp" and n > 1 else F.lit(None).cast("double")
+                       if agg == "stddev_samp" else F.col(f"_f_{c}_{n}_{read[agg]}") for agg, c, n, out in wants})
+    return x.drop(*[f"_t_{c}_{p}" for c, p in tables], *[f"_f_{c}_{n}_{p}" for (c, n), ps in parts.items() for p in ps])
+
+
 def feature_bank(df, periods: Sequence[int] = (14, 30, 50, 100, 200)) -> DataFrame:
     """WIN-11: for each period n: ma (SMA/close), vol, hh, ll, std, wr - one halo stage for all
-    finite-frame columns (RSI per period is added by ``indicators.rsi``). Each rolling aggregate is
-    computed once per period (hh, ll and wr share the rolling max/min) and the features are plain
+    finite-frame columns (RSI per period is added by ``indicators.rsi``). The rolling aggregates of all periods come
+    from one set of doubling tables (hh, ll and wr share the rolling max/min) and the features are plain
     projections of those."""
-    cols: dict[str, ColumnFn] = {"pct_1d": lambda w: div(F.col("close"), lag("close", 1, w)) - 1}
-    for n in periods:
-        cols[f"_sma{n}"] = (lambda n: lambda w: full(F.avg, "close", w, n))(n)
-        cols[f"_vma{n}"] = (lambda n: lambda w: full(F.avg, "volume", w, n))(n)
-        cols[f"_hhv{n}"] = (lambda n: lambda w: full(F.max, "high", w, n))(n)
-        cols[f"_llv{n}"] = (lambda n: lambda w: full(F.min, "low", w, n))(n)
-        cols[f"_sd{n}"] = (lambda n: lambda w: full(F.stddev_samp, "close", w, n))(n)
-    out = rolling(df, cols, back=max(periods))
-    helpers = []
+    wants = [w for n in periods for w in (("avg", "close", n, f"_sma{n}"), ("avg", "volume", n, f"_vma{n}"), ("max", "high", n, f"_hhv{n}"),
+                                          ("min", "low", n, f"_llv{n}"), ("stddev_samp", "close", n, f"_sd{n}"))]
+
+    def build(x, w):
+        return doubling(x.withColumn("pct_1d", div(F.col("close"), lag("close", 1, w)) - 1), w, wants)
+
+    out = halo_stage(ensure_indexed(df), build, max(periods))
     for n in periods:
         hh, ll = F.col(f"_hhv{n}"), F.col(f"_llv{n}")
         out = out.withColumns({
@@ -362,25 +423,24 @@ def feature_bank(df, periods: Sequence[int] = (14, 30, 50, 100, 200)) -> DataFra
             f"wr{n}": F.when(hh.isNull() | ll.isNull(), F.lit(None).cast("double")).when(hh == ll, F.lit(0.0))
             .otherwise(F.lit(-100.0) * (hh - F.col("close")) / (hh - ll)),
         })
-        helpers += [f"_sma{n}", f"_vma{n}", f"_hhv{n}", f"_llv{n}", f"_sd{n}"]
-    return out.drop(*helpers)
+    return out.drop(*[w[3] for w in wants])
 
 
 def base_features(df, sma_period=50, vol_period=30, hh_period=50, ll_period=50, std_period=7, wil_period=7):
-    """The finite-frame part of the model feature frame: VOL HH LL DR MA MA2 STD WR DMA MAR."""
+    """The finite-frame part of the model feature frame: VOL HH LL DR MA MA2 STD WR DMA MAR. The long frames come from
+    doubling tables."""
     back = max(2 * sma_period, vol_period, hh_period, ll_period, std_period, wil_period)
-    return rolling(df, {
-        "VOL": e_ratio_to("volume", F.avg, "volume", vol_period),
-        "HH": e_ratio_to("high", F.max, "high", hh_period),
-        "LL": e_ratio_to("low", F.min, "low", ll_period),
-        "DR": e_gross_return(),
-        "MA": e_ratio_to("close", F.avg, "close", sma_period),
-        "MA2": e_ratio_to("close", F.avg, "close", 2 * sma_period),
-        "STD": lambda w: div(full(F.stddev_samp, "close", w, std_period), F.col("close")),
-        "WR": e_williams_r(wil_period),
-        "DMA": lambda w: div(F.col("MA"), F.lag("MA", 1).over(w)),
-        "MAR": lambda w: div(F.col("MA"), F.col("MA2")),
-    }, back=back)
+    wants = [("avg", "volume", vol_period, "_vma"), ("max", "high", hh_period, "_hhv"), ("min", "low", ll_period, "_llv"),
+             ("avg", "close", sma_period, "_sma"), ("avg", "close", 2 * sma_period, "_sma2")]
+
+    def build(x, w):
+        x = doubling(x, w, wants).withColumns({
+            "VOL": div(F.col("volume"), F.col("_vma")), "HH": div(F.col("high"), F.col("_hhv")), "LL": div(F.col("low"), F.col("_llv")),
+            "DR": e_gross_return()(w), "MA": div(F.col("close"), F.col("_sma")), "MA2": div(F.col("close"), F.col("_sma2")),
+            "STD": div(full(F.stddev_samp, "close", w, std_period), F.col("close")), "WR": e_williams_r(wil_period)(w)})
+        return x.withColumns({"DMA": div(F.col("MA"), F.lag("MA", 1).over(w)), "MAR": div(F.col("MA"), F.col("MA2"))}).drop(*[v[3] for v in wants])
+
+    return halo_stage(ensure_indexed(df), build, back + 1)
 
 
 def calendar_days(bars: DataFrame, ts: str = "bar_ts") -> DataFrame:
