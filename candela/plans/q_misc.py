@@ -15,6 +15,7 @@ from candela.plans import sqlparts as S
 from candela.plans.catalog import DAILY, HOURLY, register, rounded, rsql
 from candela.plans.strategies import roc_backtest
 from candela.session import ensure_checkpoint_dir
+from candela.sources import bar_store as ST
 from candela.sources import bars as SB
 from candela.sources.fixtures import bars_daily, bars_hourly
 
@@ -112,6 +113,28 @@ def q_src07(spark, sf):
     return out(SB.load_bars(spark, path, ["click", "view"]), BARS7)
 
 
+@register("src07_amended_bars", HOURLY + """,
+c AS (SELECT *, symbol = 'click' AND CAST(bar_ts AS DATE) = DATE '2024-01-10' AS first,
+             symbol IN ('click', 'view') AND CAST(bar_ts AS DATE) IN (DATE '2024-01-10', DATE '2024-01-20') AS second FROM bars),
+n AS (SELECT symbol, bar_ts, open, CASE WHEN first THEN high * 1.1 ELSE high END AS high, low, CASE WHEN first THEN close * 1.1 ELSE close END AS close,
+             CASE WHEN second THEN volume + 1 ELSE volume END AS volume FROM c WHERE NOT (second AND hour(bar_ts) = 5)
+      UNION ALL SELECT 'new', TIMESTAMP '2024-01-10 00:00:00', 1.0, 3.0, 0.5, 2.0, 10.0)
+""" + rsql(BARS7, ["open", "high", "low", "close", "volume"], "n"))
+def q_src07_amended(spark, sf):
+    """SRC-7 after two amendments: a corrected day, then added, removed and corrected bars on top of it."""
+    path = scratch(spark, "store")
+    bars = bars_hourly(spark, sf)
+    ST.create(bars, path, "day")
+    day = F.to_date("bar_ts")
+    ST.amend(bars.filter((F.col("symbol") == "click") & (day == F.lit("2024-01-10").cast("date"))).withColumns({"high": F.col("high") * 1.1, "close": F.col("close") * 1.1}), path, "day")
+    again = ST.load(spark, path).filter(F.col("symbol").isin("click", "view") & day.isin(F.lit("2024-01-10").cast("date"), F.lit("2024-01-20").cast("date")))
+    again = again.withColumns({"volume": F.col("volume") + 1, "close": F.when(F.hour("bar_ts") != 5, F.col("close"))})
+    new = spark.range(1).select(F.lit("new").alias("symbol"), F.lit("2024-01-10").cast("timestamp_ntz").alias("bar_ts"),
+                                *[F.lit(v).alias(c) for c, v in (("open", 1.0), ("high", 3.0), ("low", 0.5), ("close", 2.0), ("volume", 10.0))])
+    ST.amend(again.unionByName(new), path, "day")
+    return out(ST.load(spark, path), BARS7)
+
+
 def _src09_sql() -> str:
     from candela.plans.q_analytics import _TR, TRADES_SQL
     return (HOURLY + "," + S.roc_signal_ctes("bars", ROC) + "," + S.pnl_ctes("td", ROC) + TRADES_SQL + "\n"
