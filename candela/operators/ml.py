@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from candela.functions.scalar import div
 from candela.operators.features import ensure_indexed, whole_series
 from candela.operators.series import RN
-from candela.session import materialize
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], train_col: str = "is_train", keys: Sequence[str] = ("symbol",),
@@ -119,40 +118,6 @@ def regression_fit(df: DataFrame, label: str, pred: str = "pred", by: str = "is_
                               (F.lit(1.0) - div(F.avg(sq), F.var_pop(label))).alias("r2"))
 
 
-def regressor_grid(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", seed: int = 42,
-                   depths: Sequence[int] = (3, 5, 10), trees: Sequence[int] = (50, 100, 200),
-                   forest_depths: Sequence[int] = (3, 4, 5), max_features: Sequence[int] = (2, 4, 8)) -> DataFrame:
-    """ML-5: decision trees by depth, random forests by trees x depth x features tried at a split (at most all
-    of them), boosted trees; R^2 on training and test rows, and which forest has the best test score (the
-    first of the grid among equals). The rows are stored once, since every fit reads them many times."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-    d = assemble(df, cols).select("features", F.col(label).cast("double").alias("label"), train_col)
-    d = materialize(d)
-    train, test = d.filter(F.col(train_col)), d.filter(~F.col(train_col))
-    ev = RegressionEvaluator(metricName="r2")
-    grid = [(f"DT_d{k}", DecisionTreeRegressor(maxDepth=k, seed=seed)) for k in depths]
-    grid += [(f"RF_n{n}_d{k}_f{f}", RandomForestRegressor(numTrees=n, maxDepth=k, featureSubsetStrategy=str(f), seed=seed))
-             for n in trees for k in forest_depths for f in max_features]
-    grid += [("GBT", GBTRegressor(maxIter=20, maxDepth=3, seed=seed))]
-    res = []
-    for name, est in grid:
-        m = est.fit(train)
-        res.append((name, float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))))
-    best = max((r for r in res if r[0].startswith("RF_")), key=lambda r: r[2], default=(None,))[0]
-    return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in res],
-                                           "model string, r2_train double, r2_test double, best_forest boolean")
-
-
-def feature_importances(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train", seed: int = 7) -> DataFrame:
-    """TOP-4: random-forest feature importances, sorted."""
-    from pyspark.ml.regression import RandomForestRegressor
-    d = assemble(df, cols).withColumn("label", F.col(label).cast("double"))
-    m = RandomForestRegressor(numTrees=30, maxDepth=5, seed=seed).fit(d.filter(F.col(train_col)))
-    imp = [float(v) for v in m.featureImportances.toArray()]
-    return df.sparkSession.createDataFrame(list(zip(cols, imp)), "feature string, importance double").orderBy(F.col("importance").desc())
-
-
 def ts_folds(df: DataFrame, n_splits: int = 3, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """ML-8: expanding-window folds per symbol: test size = n // (splits + 1); fold i tests the rows
     [n - (splits - i) * size, n - (splits - i - 1) * size) and trains on every earlier row."""
@@ -194,15 +159,17 @@ def discriminant_2d(df: DataFrame, x1: str, x2: str, label: str, train_col: str
         a, b, c = div("_p11", den), div("_p22", den), div("_p12", den)
     cls = cls.select(*keys, "_k", "_m1", "_m2", F.ln(F.col("_nk") / F.col("_n")).alias("_lp"),
                      a.alias("_a"), b.alias("_b"), c.alias("_c"))
-    j = df.join(cls, keys)
-    det = F.col("_a") * F.col("_b") - F.col("_c") * F.col("_c")
-    d1, d2 = F.col(x1) - F.col("_m1"), F.col(x2) - F.col("_m2")
-    maha = div(F.col("_b") * d1 * d1 - 2 * F.col("_c") * d1 * d2 + F.col("_a") * d2 * d2, det)
-    if quadratic:
-        score = -0.5 * F.ln(det) - 0.5 * maha + F.col("_lp")
-    else:
-        score = -0.5 * maha + F.col("_lp")  # the shared x' S^-1 x term cancels between classes
-    j = j.withColumn("_score", score)
-    best = j.groupBy(*keys, "bar_ts").agg(
-        F.max_by("_k", F.when(F.col("_score").isNotNull(), F.struct(F.col("_score"), -F.col("_k")))).alias("pred"))
-    return df.join(best, [*keys, "bar_ts"], "left")
+    # one row per key holds the classes' moments; a row is scored against them in place
+    held = cls.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_m1", "_m2", "_lp", "_a", "_b", "_c")).alias("_cls"))
+
+    def score(c):
+        det = c["_a"] * c["_b"] - c["_c"] * c["_c"]
+        d1, d2 = F.col(x1) - c["_m1"], F.col(x2) - c["_m2"]
+        maha = div(c["_b"] * d1 * d1 - 2 * c["_c"] * d1 * d2 + c["_a"] * d2 * d2, det)
+        s = -0.5 * maha + c["_lp"]  # linear: the shared x' S^-1 x term cancels between classes
+        if quadratic:
+            s = -0.5 * F.ln(det) - 0.5 * maha + c["_lp"]
+        return F.struct(s.alias("s"), (-c["_k"]).alias("n"), c["_k"].alias("k"))
+
+    best = F.array_max(F.filter(F.transform("_cls", score), lambda z: z["s"].isNotNull()))
+    return df.join(held, keys, "left").withColumn("pred", best["k"]).drop("_cls")

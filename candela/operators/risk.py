@@ -4,7 +4,7 @@ Moments are single-pass aggregates. Value at risk needs an exact order statistic
 without sorting a whole group in one task: ties collapse in a partial ``groupBy(value)``,
 approximate splitters (a mergeable sketch) cut each group into buckets, bucket totals locate the
 rank, the search narrows to that bucket until few values are left, and only those are ordered. Drawdowns use the running peak (one pass) and
-exact lag-tau minima through an equi-join on row number.
+exact lag-tau minima over lags made in one halo stage.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from candela.functions.scalar import div
 from candela.operators.features import ensure_indexed, rolling
-from candela.operators.series import RN, running
+from candela.operators.series import BLK, RN, at_pos, running
 from candela.session import SPLITS_KEY, materialize, setting
 
 EPS = 1e-15
@@ -92,6 +92,51 @@ def kth_smallest(df: DataFrame, value: str, k: DataFrame, keys: Sequence[str] =
                        + (F.col("_k") - F.col("_cum_prev")) * F.col("_v")).alias("sum_k"))
 
 
+def order_statistics(df: DataFrame, value: str, ranks: DataFrame, keys: Sequence[str] = ("symbol",), rank: str = "rank",
+                     max_ordered: int = MAX_ORDERED) -> DataFrame:
+    """Exact values at many ranks per key: ``ranks`` is (keys, ``rank`` an id, ``k`` 1-based); output (keys, ``rank``, k, kth).
+
+    As ``kth_smallest``, with one table of distinct values for all ranks of a key: a level cuts the values of every node
+    (a bucket of the level before) by a mergeable sketch, each rank moves on to the bucket that holds it, and
+    only buckets that hold a rank are cut again. Values are never copied per rank."""
+    keys = list(keys)
+    splits = max(2, setting(df.sparkSession, SPLITS_KEY, 64))
+    v = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
+    v = materialize(v.withColumn("_node", F.lit("")))
+    state = ranks.select(*keys, rank, "k", F.col("k").alias("_k"), F.lit("").alias("_node"))
+    left = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+    while left > max_ordered:
+        cuts = v.groupBy(*keys, "_node").agg(F.percentile_approx("_v", [i / splits for i in range(1, splits)], 10000).alias("_cuts"))
+        vb = materialize(v.join(cuts, [*keys, "_node"]).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts"))
+        buckets = vb.groupBy(*keys, "_node", "_b").agg(F.sum("_cnt").alias("_bc"), F.count(F.lit(1)).alias("_d"))
+        before = F.sum("_bc").over(Window.partitionBy(*keys, "_node").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+        buckets = buckets.withColumn("_before", F.coalesce(before, F.lit(0)))
+        child = F.concat_ws(".", "_node", F.col("_b").cast("string"))
+        target = materialize(buckets.join(state, [*keys, "_node"]).filter((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_before") + F.col("_bc"))))
+        state = target.select(*keys, rank, "k", (F.col("_k") - F.col("_before")).alias("_k"), child.alias("_node"))
+        v = vb.join(target.select(*keys, "_node", "_b").distinct(), [*keys, "_node", "_b"]).select(*keys, "_v", "_cnt", child.alias("_node"))
+        now = target.agg(F.max("_d")).first()[0] or 0
+        if now >= left:
+            break  # the sketch cannot part values this close; the ordering below is still exact
+        left = now
+    upto = F.sum("_cnt").over(Window.partitionBy(*keys, "_node").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    inside = v.withColumn("_cum", upto).join(state, [*keys, "_node"])
+    return inside.filter((F.col("_cum") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))).select(*keys, rank, "k", F.col("_v").alias("kth"))
+
+
+def equal_frequency_edges(df: DataFrame, features: Sequence[str], bins: int, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Per key and feature the inner edges of ``bins`` equal-frequency bins as a sorted array: the exact values at ranks
+    floor(i / bins * (n - 1)) + 1, i = 1 .. bins - 1. Output: keys, feature, edges."""
+    keys = list(keys)
+    stacked = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("v")) for f in features])).alias("_x"))
+    stacked = stacked.select(*keys, "_x.*").filter(F.col("v").isNotNull())
+    n = stacked.groupBy(*keys, "feature").agg(F.count(F.lit(1)).alias("_n"))
+    ks = n.withColumn("edge", F.explode(F.sequence(F.lit(1), F.lit(bins - 1)))).select(
+        *keys, "feature", "edge", (F.floor(F.col("edge") / F.lit(bins) * (F.col("_n") - 1)) + 1).cast("long").alias("k"))
+    found = order_statistics(stacked, "v", ks, [*keys, "feature"], "edge")
+    return found.groupBy(*keys, "feature").agg(F.sort_array(F.collect_list("kth")).alias("edges"))
+
+
 def var_cvar(df: DataFrame, r: str = "r", alpha: float = 0.05, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """RSK-5/6: VaR = |sorted[int(alpha*n)]|, CVaR = |mean of the int(alpha*n) smallest| (NULL when
     int(alpha*n) = 0, Q12)."""
@@ -116,17 +161,17 @@ def price_path(df: DataFrame, r: str = "r", base: float = 100.0, compound: bool
 
 def drawdown_at(values: DataFrame, taus: Sequence[int], keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """RSK-8: dd(tau) = |min over t of v_t / v_{t-tau} - 1| for each tau (v includes the base value
-    100 before the first return; pairs after a value of zero have no ratio). Exact; an equi-join on row number per tau (no pair enumeration)."""
-    keys = list(keys)
-    v = values.select(*keys, F.col(RN).alias("_p"), "value")
-    base = v.groupBy(*keys).agg(F.min("_p").alias("_p0"))
-    vb = v.join(base, keys).select(*keys, (F.col("_p") - F.col("_p0") + 1).alias("_p"), "value")
-    start = base.select(*keys, F.lit(0).cast("long").alias("_p"), F.lit(100.0).alias("value"))
-    full = vb.unionByName(start)
-    a = full.withColumn("tau", F.explode(F.array(*[F.lit(int(t)) for t in taus]))).withColumn("_q", F.col("_p") - F.col("tau"))
-    b = full.select(*keys, F.col("_p").alias("_q"), F.col("value").alias("_prev"))
-    j = a.join(b, [*keys, "_q"])
-    return j.groupBy(*keys, "tau").agg(F.abs(F.min(div("value", "_prev") - 1)).alias("dd"))
+    100 before the first return; pairs after a value of zero have no ratio; a lag no pair has is left out). One halo
+    stage brings every lag, one aggregate takes the minima."""
+    keys, taus = list(keys), [int(t) for t in taus]
+    v = ensure_indexed(values, keys)
+
+    def before(t: int):
+        return lambda w: F.when(at_pos(w, t - 1), F.lit(100.0)).otherwise(F.lag("value", t).over(w)) if t else F.col("value")
+
+    x = rolling(v.select(*keys, RN, BLK, "value"), {f"_l{t}": before(t) for t in taus}, back=max(taus) + 1, keys=keys)
+    g = x.groupBy(*keys).agg(*[F.struct(F.lit(t).alias("tau"), F.abs(F.min(div("value", f"_l{t}") - 1)).alias("dd"), F.count(f"_l{t}").alias("n")).alias(f"_d{t}") for t in taus])
+    return g.select(*keys, F.explode(F.array(*[F.col(f"_d{t}") for t in taus])).alias("_d")).select(*keys, "_d.*").filter("n > 0").drop("n")
 
 
 def max_drawdown(values: DataFrame, keys: Sequence[str] = ("symbol",), base: float = 100.0) -> DataFrame:

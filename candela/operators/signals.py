@@ -133,17 +133,10 @@ def state_id(df: DataFrame, features: Sequence[str], bins: int = 3, train_col: s
     training rows of each symbol (exact nearest-rank edges: the value at rank floor(i/bins*(n-1))+1,
     found by the distributed order statistic, no per-symbol sort); the state id is the base-``bins``
     number of the bin digits (digit = number of edges below the value), NULL if a feature is missing."""
-    from candela.operators.risk import kth_smallest
+    from candela.operators.risk import equal_frequency_edges
     fit = df if train_col is None else df.filter(F.col(train_col))
-    stacked = fit.select("symbol", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
-                                                       for f in features])).alias("_x")).select("symbol", "_x.*")
-    stacked = stacked.filter(F.col("v").isNotNull())
-    per_edge = stacked.withColumn("edge", F.explode(F.sequence(F.lit(1), F.lit(bins - 1))))
-    n = stacked.groupBy("symbol", "feature").agg(F.count(F.lit(1)).alias("_n"))
-    ks = n.withColumn("edge", F.explode(F.sequence(F.lit(1), F.lit(bins - 1)))).select(
-        "symbol", "feature", "edge", (F.floor(F.col("edge") / F.lit(bins) * (F.col("_n") - 1)) + 1).cast("long").alias("k"))
-    edges = kth_smallest(per_edge, "v", ks, ["symbol", "feature", "edge"])
-    wide = edges.groupBy("symbol").pivot("feature", list(features)).agg(F.collect_list("kth"))
+    edges = equal_frequency_edges(fit, features, bins)
+    wide = edges.groupBy("symbol").pivot("feature", list(features)).agg(F.first("edges"))
     out = df.join(wide.select("symbol", *[F.col(f"`{f}`").alias(f"_e_{f}") for f in features]), "symbol", "left")
     sid = F.lit(0)
     for f in features:

@@ -7,6 +7,7 @@ from candela.plans import q_analytics  # noqa: F401
 from candela.plans import q_misc  # noqa: F401
 from candela.plans import q_portfolio  # noqa: F401
 from candela.plans import q_ml_stream  # noqa: F401
+from candela.plans import q_trees  # noqa: F401
 
 REGISTRY = catalog.REGISTRY
 flagship = catalog.flagship

@@ -143,18 +143,6 @@ def q_ml03_nb(spark, sf):
                                    F.sum((F.col("prediction") == F.col("up")).cast("bigint")).alias("n_correct"))
 
 
-@register("ml05_regressor_grid", None)
-def q_ml05(spark, sf):
-    """ML-5 (rows check): trees by depth, the forest grid (27 settings) and boosted trees of Today on five lags, R^2."""
-    return rounded(ML.regressor_grid(_lagged(spark, sf), ["Lag1", "Lag2", "Lag3", "Lag4", "Lag5"], "Today"))
-
-
-@register("top04_feature_importances", None)
-def q_top04(spark, sf):
-    """TOP-4 (rows check): random-forest importances of the lag features, sorted."""
-    return rounded(ML.feature_importances(_lagged(spark, sf), ["Lag1", "Lag2", "Lag3", "Lag4", "Lag5"], "Today"))
-
-
 def _knn_sql() -> str:
     z = ", ".join(f"round((g.{c} - m_{c}) / nullif(s_{c}, 0), 9) AS {c}_z" for c in _FEATS)
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _FEATS)
