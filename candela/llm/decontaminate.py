@@ -6,6 +6,11 @@ Sorting is by prefix doubling up to the longest item. Every test suffix is binar
 its first ``window`` words (all of them for shorter items); neighbouring hits on one diagonal join into the
 longest verbatim match with its place. Documents with a match are contaminated.
 
+Which words are hit and which items occur is found per *distinct* window: a window that a thousand items share is
+searched once, and an occurrence is one entry. Windows that occur in the same items form one owner set, so a document's
+items are the union of a few sets. Longest matches per item, which do grow with items x occurrences, are made only by
+``verbatim_matches``.
+
 Normal form: A-Z lower-cased, words are runs of digits, letters and characters outside ASCII.
 
 The test items travel to the tasks as Arrow chunks of at most ``CHUNK_BYTES`` of text (one longer item makes a
@@ -57,6 +62,24 @@ class Tests:
         self.cls = np.repeat(np.arange(len(sizes)), n)
         offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         self.offset, self.at, self.width = offset, spans.first[:-1][self.cls] + offset, width[self.cls]
+        self._distinct()
+
+    def _distinct(self) -> None:
+        """``one``: a window of each distinct content; ``owner``: its owner set; ``owners``: the sets' item ids, sorted."""
+        reach = int(self.width.max(initial=1))
+        inside = np.arange(reach)[None] < self.width[:, None]
+        words = np.where(inside, self.code[self.at[:, None] + np.arange(reach)[None] * inside], 0)
+        _, self.one, group = np.unique(words, axis=0, return_index=True, return_inverse=True)
+        order = np.argsort(group.ravel(), kind="stable")
+        edge = np.searchsorted(group.ravel()[order], np.arange(len(self.one) + 1))
+        sets: dict[bytes, int] = {}
+        self.owner, self.owners = np.zeros(len(self.one), np.int64), []
+        for g in range(len(self.one)):
+            classes = np.unique(self.cls[order[edge[g] : edge[g + 1]]])
+            place = sets.setdefault(classes.tobytes(), len(sets))
+            if place == len(self.owners):
+                self.owners.append(sorted({i for c in classes.tolist() for i in self.ids[c]}))
+            self.owner[g] = place
 
 
 def suffix_array(code: np.ndarray, depth: int) -> np.ndarray:
@@ -75,9 +98,9 @@ def suffix_array(code: np.ndarray, depth: int) -> np.ndarray:
     return place[np.argsort(rank[place], kind="stable")]
 
 
-def _bounds(suffixes: np.ndarray, code: np.ndarray, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
-    """For every test window the range of the suffixes that start with it, by binary search."""
-    m = len(tests.at)
+def _bounds(suffixes: np.ndarray, code: np.ndarray, tests: Tests, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the test windows ``which`` the range of the suffixes that start with them, by binary search."""
+    m, starts, widths = len(which), tests.at[which], tests.width[which]
 
     def search(upper: bool) -> np.ndarray:
         low, high = np.zeros(m, np.int64), np.full(m, len(suffixes))
@@ -89,10 +112,10 @@ def _bounds(suffixes: np.ndarray, code: np.ndarray, tests: Tests) -> tuple[np.nd
             after = np.full(len(live), not upper)  # equal: go on to the right for the upper bound only
             undecided = np.arange(len(live))
             for d in range(tests.longest):
-                undecided = undecided[tests.width[live[undecided]] > d]
+                undecided = undecided[widths[live[undecided]] > d]
                 if not len(undecided):
                     break
-                x, y = code[suffixes[mid[undecided]] + d], tests.code[tests.at[live[undecided]] + d]
+                x, y = code[suffixes[mid[undecided]] + d], tests.code[starts[live[undecided]] + d]
                 after[undecided[x > y]] = True
                 after[undecided[x < y]] = False
                 undecided = undecided[x == y]
@@ -110,10 +133,10 @@ class Shard:
         self.hash = self.spans.hashes()
         self.row = self.spans.text_of_word()
 
-    def matches(self, tests: Tests):
-        """Longest verbatim matches: class, place in the item, place in the shard (word), length."""
-        none = (np.empty(0, np.int64),) * 4
-        if not len(tests.at) or not len(self.hash):
+    def _found(self, tests: Tests, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences of the windows ``which``: (place in ``which``, word)."""
+        none = np.empty(0, np.int64), np.empty(0, np.int64)
+        if not len(which) or not len(self.hash):
             return none
         known = np.searchsorted(tests.vocabulary, self.hash)
         known[known == len(tests.vocabulary)] = 0
@@ -128,13 +151,29 @@ class Shard:
         suffixes = suffix_array(spread, tests.longest)
         if not len(suffixes):
             return none
-        low, high = _bounds(suffixes, spread, tests)
+        low, high = _bounds(suffixes, spread, tests, which)
         n = high - low
         test = np.repeat(np.arange(len(n)), n)
-        if not len(test):
-            return none
         where = suffixes[np.repeat(low, n) + np.arange(len(test)) - np.repeat(np.cumsum(n) - n, n)]
-        word = np.searchsorted(home, where)
+        return test, np.searchsorted(home, where)
+
+    def hits(self, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Occurrences of the distinct windows: owner set, word, width."""
+        test, word = self._found(tests, tests.one)
+        true = np.ones(len(test), bool)
+        texts: dict[int, list[bytes]] = {}
+        for i, (t, w) in enumerate(zip(test.tolist(), word.tolist())):
+            if t not in texts:
+                j = tests.one[t]
+                texts[t] = tests.text[tests.cls[j]].split(b" ")[tests.offset[j] : tests.offset[j] + tests.width[j]]
+            true[i] = [self.spans.word(k) for k in range(w, w + len(texts[t]))] == texts[t]  # the words behind the hashes
+        return tests.owner[test[true]], word[true], tests.width[tests.one[test[true]]]
+
+    def matches(self, tests: Tests):
+        """Longest verbatim matches per item text: class, place in the item, place in the shard (word), length."""
+        test, word = self._found(tests, np.arange(len(tests.at)))
+        if not len(test):
+            return (np.empty(0, np.int64),) * 4
         cls, offset = tests.cls[test], tests.offset[test]
         order = np.lexsort((word, word - offset, cls))
         cls, offset, word, width = cls[order], offset[order], word[order], tests.width[test][order]
@@ -165,25 +204,69 @@ def _chunks(items: DataFrame, item_id: str, item_text: str, chunk_bytes: int):
         yield part.where(F.col("_part") == i).drop("_part").toArrow()
 
 
-def _summary(table: pa.Table, shard: Shard, found: list[tuple], id_col: str) -> pa.Table:
-    """found: (ids of the class, word, size)."""
+class Found:
+    """Occurrences in a shard: the owner set, word and width of each, and the owner sets' item ids."""
+
+    def __init__(self, owner, word, size, owners: list[list[str]]):
+        self.owner, self.word, self.size, self.owners = owner, word, size, owners
+
+    def packed(self, block: int) -> pa.RecordBatch:
+        """One row; only the owner sets that occur travel."""
+        used, owner = np.unique(self.owner, return_inverse=True)
+        lists = [pa.array([list(v)], pa.list_(pa.int64())) for v in (owner.ravel().tolist(), self.word.tolist(), self.size.tolist())]
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists, pa.array([[self.owners[o] for o in used.tolist()]], pa.list_(pa.list_(pa.string())))],
+                                          names=["block", "owner", "word", "size", "owners"])
+
+    @classmethod
+    def joined(cls, rows: list[dict]) -> "Found":
+        parts, owners = [[], [], []], []
+        for r in rows:
+            parts[0] += [len(owners) + o for o in r["owner"]]
+            parts[1] += r["word"]
+            parts[2] += r["size"]
+            owners += r["owners"]
+        return cls(*(np.array(p, np.int64) for p in parts), owners)
+
+
+FOUND = "block long, owner array<long>, word array<long>, size array<long>, owners array<array<string>>"
+
+
+def _summary(table: pa.Table, shard: Shard, found: Found, id_col: str, with_ids: bool) -> pa.Table:
     sp = shard.spans
-    word = np.array([f[1] for f in found], np.int64)
-    hit = covered(len(sp), word, word + np.array([f[2] for f in found], np.int64))
+    hit = covered(len(sp), found.word, found.word + found.size)
     total = np.concatenate(([0], np.cumsum(hit)))
-    names: dict[int, set] = {}
-    for ids, w, _ in found:
-        names.setdefault(int(shard.row[w]), set()).update(ids)
-    lists = [sorted(names.get(t, ())) for t in range(table.num_rows)]
+    sets: dict[int, set] = {}
+    for text, o in set(zip(shard.row[found.word].tolist(), found.owner.tolist())):
+        sets.setdefault(text, set()).add(o)
+    unions: dict[frozenset, tuple] = {}  # documents with the same owner sets share their list and its digest
+
+    def union(text: int) -> tuple:
+        key = frozenset(sets.get(text, ()))
+        if key not in unions:
+            ids = sorted({i for o in key for i in found.owners[o]})
+            unions[key] = ids, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()
+        return unions[key]
+
+    lists = [union(t) for t in range(table.num_rows)]
     n_hit = total[sp.first[1:]] - total[sp.first[:-1]]
-    return pa.table({
+    columns = {
         id_col: table.column(id_col), "n_words": pa.array(np.diff(sp.first), pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
-        "n_items": pa.array([len(x) for x in lists], pa.int64()), "item_ids": pa.array(lists, pa.list_(pa.string())),
-        "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists], pa.string()),
-        "contaminated": pa.array(n_hit > 0, pa.bool_())})
+        "n_items": pa.array([x[1] for x in lists], pa.int64()), "items_sha256": pa.array([x[2] for x in lists], pa.string()), "contaminated": pa.array(n_hit > 0, pa.bool_())}
+    if with_ids:
+        columns["item_ids"] = pa.array([x[0] for x in lists], pa.list_(pa.string()))
+    return pa.table(columns)
+
+
+def _hits(shard: Shard, tests: Tests) -> Found:
+    return Found(*shard.hits(tests), tests.owners)
+
+
+def _longest(shard: Shard, tests: Tests) -> Found:
+    cls, _, word, size = shard.matches(tests)
+    return Found(cls, word, size, tests.ids)
 
 
-def _searched(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, window: int, chunk_bytes: int, rows, schema) -> DataFrame:
+def _searched(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, chunk_bytes: int, rows, schema, find=_hits) -> DataFrame:
     if window < 1:
         raise ValueError("window must be positive")
     spark = docs.sparkSession
@@ -198,8 +281,7 @@ def _searched(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, ite
             for block in gather(batches):
                 table = read_table(block.column("packed")[0].as_py())
                 shard = Shard(texts_of(table.column(text_col)))
-                cls, _, word, size = shard.matches(tests)
-                out = rows(table, shard, [(tests.ids[c], w, n) for c, w, n in zip(cls.tolist(), word.tolist(), size.tolist())])
+                out = rows(table, shard, find(shard, tests))
                 yield from out.to_batches()
                 del table, shard, out
                 release()
@@ -215,28 +297,25 @@ def _searched(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, ite
             tests = Tests(shared.value, window)
             for batch in batches:
                 for b, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist()):
-                    cls, _, word, size = Shard(texts_of(read_table(packed).column(text_col))).matches(tests)
-                    yield pa.RecordBatch.from_arrays([pa.array([b] * len(cls), pa.int64()), pa.array([tests.ids[c] for c in cls], pa.list_(pa.string())),
-                                                      pa.array(word, pa.int64()), pa.array(size, pa.int64())], names=["block", "ids", "word", "size"])
+                    yield find(Shard(texts_of(read_table(packed).column(text_col))), tests).packed(b)
 
-        part = stored(blocks.select("block", "packed").mapInArrow(search, "block long, ids array<string>, word long, size long"), "matches")
+        part = stored(blocks.select("block", "packed").mapInArrow(search, FOUND), "matches")
         shared.unpersist()
         found = part if found is None else found.unionByName(part)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        matches = list(zip(right.column("ids").to_pylist(), right.column("word").to_pylist(), right.column("size").to_pylist()))
-        tables = [read_table(x) for x in left.column("packed").to_pylist()]
-        return pa.concat_tables([rows(t, Shard(texts_of(t.column(text_col))), matches) for t in tables])
+        table = read_table(left.column("packed")[0].as_py())
+        return rows(table, Shard(texts_of(table.column(text_col))), Found.joined(right.to_pylist()))
 
     return blocks.select("block", "packed").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, schema)
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-                       item_text: str = "text", window: int = 10, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Per row: id, n_words, n_hit, n_items, item_ids (sorted as strings), items_sha256, contaminated."""
+                       item_text: str = "text", window: int = 10, chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
+    """Per row: id, n_words, n_hit, n_items, items_sha256, contaminated, and (``with_ids``) item_ids, sorted as strings."""
     docs = pick(docs, **{id_col: "long", text_col: "string"})
-    return _searched(docs, items, id_col, text_col, item_id, item_text, window, chunk_bytes, lambda t, s, f: _summary(t, s, f, id_col),
-                     f"{id_col} long, n_words long, n_hit long, n_items long, item_ids array<string>, items_sha256 string, contaminated boolean")
+    schema = f"{id_col} long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + ", item_ids array<string>" * with_ids
+    return _searched(docs, items, text_col, item_id, item_text, window, chunk_bytes, lambda t, s, f: _summary(t, s, f, id_col, with_ids), schema)
 
 
 def verbatim_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -245,12 +324,11 @@ def verbatim_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     docs = pick(docs, **{id_col: "long", text_col: "string"})
 
     def rows(table, shard, found) -> pa.Table:
-        ids, first = table.column(id_col).to_pylist(), shard.spans.first
-        row = [int(shard.row[w]) for _, w, _ in found]
-        return pa.table({id_col: pa.array([ids[r] for r in row], pa.int64()), "item_ids": pa.array([f[0] for f in found], pa.list_(pa.string())),
-                         "doc_word": pa.array([int(f[1] - first[r]) for f, r in zip(found, row)], pa.int64()), "n_words": pa.array([int(f[2]) for f in found], pa.int64())})
+        ids, row = table.column(id_col).to_pylist(), shard.row[found.word]
+        return pa.table({id_col: pa.array([ids[r] for r in row.tolist()], pa.int64()), "item_ids": pa.array([found.owners[o] for o in found.owner.tolist()], pa.list_(pa.string())),
+                         "doc_word": pa.array(found.word - shard.spans.first[row], pa.int64()), "n_words": pa.array(found.size, pa.int64())})
 
-    return _searched(docs, items, id_col, text_col, item_id, item_text, window, chunk_bytes, rows, f"{id_col} long, item_ids array<string>, doc_word long, n_words long")
+    return _searched(docs, items, text_col, item_id, item_text, window, chunk_bytes, rows, f"{id_col} long, item_ids array<string>, doc_word long, n_words long", _longest)
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -260,7 +338,7 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def rows(table, shard, found) -> pa.Table:
-        bad = {int(shard.row[w]) for _, w, _ in found}
+        bad = set(shard.row[found.word].tolist())
         return table.filter(pa.array([t not in bad for t in range(table.num_rows)], pa.bool_()))
 
-    return _searched(plain, items, place, place, item_id, item_text, window, chunk_bytes, rows, plain.schema).toDF(*docs.columns)
+    return _searched(plain, items, place, item_id, item_text, window, chunk_bytes, rows, plain.schema).toDF(*docs.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from candela.llm.substring_dedup import substring_dedup
 from candela.llm.url_rules import judge
 from candela.llm.warc import page_of, read_warc, write_warc
 
-TOKENIZER = os.environ.get("CANDELA_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
+TOKENIZER = os.environ.get("CANDELA_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
 
 WORD = r"[^ \t\n\x0B\f\r]+"
 
@@ -112,8 +113,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document words inside any occurrence of a 10-word window of a benchmark item."""
-    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("item_ids")
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), with_ids=False)
 
 
 OP9_SQL = """

@@ -52,7 +52,31 @@ def plain(corpus, items, k):
 @pytest.mark.parametrize(("window", "chunk"), [(10, 1 << 20), (10, 600), (2, 1 << 20)])
 def test_equals_brute_force(spark, docs, corpus, items, window, chunk):
     table = spark.createDataFrame(items, "item_id long, text string")
-    assert rows_of(find_contamination(docs, table, window=window, chunk_bytes=chunk)) == plain(corpus, items, window)
+    found = find_contamination(docs, table, window=window, chunk_bytes=chunk)
+    assert rows_of(found.select("doc_id", "n_words", "n_hit", "n_items", "item_ids", "items_sha256", "contaminated")) == plain(corpus, items, window)
+
+
+def test_shared_item_text_costs_no_product():
+    """A sentence that 3,000 items share against 1,500 documents that hold it: an occurrence is one entry, however many
+    items own it, and the documents share one list of items."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from candela.llm.decontaminate import Shard, Tests, _hits, _summary
+    shared = " ".join(f"common{i}" for i in range(16))
+    items_ = pa.table({"item_id": pa.array([str(k) for k in range(3000)]), "text": pa.array([f"{shared} question number {k}" for k in range(3000)])})
+    texts = [f"intro {i} {shared} end" for i in range(1500)]
+    tests = Tests(items_, 10)
+    tracemalloc.start()
+    shard = Shard([t.encode() for t in texts])
+    found = _hits(shard, tests)
+    out = _summary(pa.table({"doc_id": pa.array(range(1500), pa.int64())}), shard, found, "doc_id", False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found.word) == 1500 * 7 and set(out["n_items"].to_pylist()) == {3000} and set(out["n_hit"].to_pylist()) == {16}
+    assert out["items_sha256"][0].as_py() == hashlib.sha256(",".join(sorted(str(k) for k in range(3000))).encode()).hexdigest()
+    assert peak < 60 << 20, peak
 
 
 def test_longest_matches(spark, docs, corpus, items):
