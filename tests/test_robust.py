@@ -14,6 +14,7 @@ from candela.operators import ml as ML
 from candela.operators import pnl as PN
 from candela.operators import portfolio as PF
 from candela.operators import risk as RK
+from candela.operators import trees as TR
 from candela.operators import signals as SG
 
 START = dt.datetime(2024, 1, 1)
@@ -176,9 +177,10 @@ def test_regression_terms_and_forest_grid(spark):
     assert terms["z"].p_value > 0.001 and terms["z"].t_value == pytest.approx(terms["z"].value / terms["z"].std_error)
     fit = {f.is_train: f for f in ML.regression_fit(ML.linear_predict(d, ["x", "z"], "y"), "y").collect()}
     assert fit[True].n == 300 and fit[False].rmse == pytest.approx(0.5, abs=0.1) and fit[False].r2 > 0.9
-    grid = ML.regressor_grid(d, ["x", "z"], "y", depths=(3,), trees=(3, 5), forest_depths=(2,), max_features=(1, 8)).collect()
+    keyed = d.withColumn("key", F.monotonically_increasing_id())
+    grid = TR.tree_and_forest_grid(keyed, ["x", "z"], "y", "key", depths=(3,), trees=(3, 5), forest_depths=(2,), max_features=(1, 8)).collect()
     forests = [g for g in grid if g.model.startswith("RF_")]
-    assert len(grid) == 6 and [g.model for g in grid if g.best_forest] == [max(forests, key=lambda g: g.r2_test).model]
+    assert len(grid) == 5 and [g.model for g in grid if g.best_forest] == [max(forests, key=lambda g: g.r2_test).model]
 
 
 def test_state_counts(spark):
