@@ -69,6 +69,22 @@ def classifier_bakeoff(df: DataFrame, cols: Sequence[str], label: str, train_col
     return rows
 
 
+def logistic_facts(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
+    """ML-3: what must hold at the maximum of the likelihood, whichever solver found it: over the training rows the fitted
+    probabilities sum to the number of rises, and the gradient of every coefficient is zero. One row: n, n_up, expected_up,
+    steepest (the largest mean gradient)."""
+    from pyspark.ml.classification import LogisticRegression
+    train = df.filter(F.col(train_col)).withColumn("_y", F.col(label).cast("double"))
+    m = LogisticRegression(labelCol="_y", maxIter=500, tol=1e-12).fit(assemble(train, cols))
+    z = F.lit(float(m.intercept))
+    for c, w in zip(cols, m.coefficients):
+        z = z + F.lit(float(w)) * F.col(c)
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    slopes = [F.abs(F.avg((p - F.col("_y")) * F.col(c))) for c in cols]
+    return train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_y").cast("long")).alias("n_up"), F.sum(p).alias("expected_up"),
+                     F.array_max(F.array(*slopes)).alias("steepest"))
+
+
 def naive_bayes(df: DataFrame, cols: Sequence[str], label: str, train_col: str = "is_train") -> DataFrame:
     """ML-3: test rows with the prediction of Gaussian naive Bayes fitted on the training rows."""
     from pyspark.ml.classification import NaiveBayes

@@ -78,6 +78,15 @@ def q_ml03(spark, sf):
     return rounded(ML.classifier_bakeoff(_lagged(spark, sf), ["Lag1", "Lag2", "Lag3", "Lag4", "Lag5"], "up"))
 
 
+@register("ml03_logistic_optimum", LAG_SQL + """,
+o AS (SELECT count(*) AS n, CAST(sum(CAST(Direction > 0 AS INT)) AS BIGINT) AS n_up FROM v WHERE is_train)
+SELECT n, n_up, CAST(n_up AS DOUBLE) AS expected_up, 0.0::DOUBLE AS steepest FROM o""")
+def q_ml03_optimum(spark, sf):
+    """ML-3: logistic regression of rises on five lags is at the maximum of its likelihood (to 2 and 3 decimals)."""
+    d = ML.logistic_facts(_lagged(spark, sf), ["Lag1", "Lag2", "Lag3", "Lag4", "Lag5"], "up")
+    return d.withColumns({"expected_up": F.round("expected_up", 2), "steepest": F.round("steepest", 3)})
+
+
 @register("ml04_linear_regression", LAG_SQL + """,
 r AS (SELECT regr_slope(Today, Lag1) AS b, regr_intercept(Today, Lag1) AS a FROM v WHERE is_train)
 SELECT 'Lag1' AS term, round(b, 6) AS value FROM r UNION ALL SELECT 'intercept' AS term, round(a, 6) AS value FROM r""")

@@ -183,6 +183,14 @@ def test_regression_terms_and_forest_grid(spark):
     assert len(grid) == 5 and [g.model for g in grid if g.best_forest] == [max(forests, key=lambda g: g.r2_test).model]
 
 
+def test_logistic_facts(spark):
+    r = random.Random(4)
+    rows = [(x, z, 1 if r.random() < 1 / (1 + 2.718281828 ** (-(0.5 + 2 * x))) else 0, i < 500) for i in range(700) for x, z in [(r.gauss(0, 1), r.gauss(0, 5))]]
+    f = ML.logistic_facts(spark.createDataFrame(rows, "x double, z double, up int, is_train boolean"), ["x", "z"], "up").first()
+    assert f.n == 500 and f.n_up == sum(u for _, _, u, t in rows if t)
+    assert f.expected_up == pytest.approx(f.n_up, abs=0.01) and f.steepest < 1e-3
+
+
 def test_state_counts(spark):
     t = spark.createDataFrame([("a", 1, 12, True), ("a", 2, 3, False), ("a", 3, 0, False), ("a", None, 4, True)], "symbol string, state int, visits long, confident boolean")
     assert tuple(AG.state_counts(t).first()) == ("a", 3, 2, 1)
