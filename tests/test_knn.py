@@ -9,6 +9,10 @@ SCHEMA = "symbol string, bar_ts long, a double, b double, c double, y double, is
 COLS = ["a", "b", "c"]
 
 
+def square(x):
+    return x * x  # not x ** 2, nor sum(), which round differently
+
+
 def plain(rows, k):
     out = {}
     points = [r for r in rows if r[6] and r[5] is not None and all(v is not None and v == v for v in r[2:5])]
@@ -16,7 +20,7 @@ def plain(rows, k):
         if any(v is None or v != v for v in r[2:5]):
             out[r[0], r[1]] = None
             continue
-        near = sorted((sum((r[i] - p[i]) * (r[i] - p[i]) for i in (2, 3, 4)), p[1], p[5]) for p in points if p[0] == r[0])[:k]
+        near = sorted((square(r[2] - p[2]) + square(r[3] - p[3]) + square(r[4] - p[4]), p[1], p[5]) for p in points if p[0] == r[0])[:k]
         out[r[0], r[1]] = near or None
     return out
 
