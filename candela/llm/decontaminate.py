@@ -13,9 +13,10 @@ items are the union of a few sets. Longest matches per item, which do grow with
 
 Normal form: A-Z lower-cased, words are runs of digits, letters and characters outside ASCII.
 
-The test items travel to the tasks as Arrow chunks of at most ``CHUNK_BYTES`` of text (one longer item makes a
-chunk of its own). One chunk: one pass without a shuffle. More: documents are stored as blocks, searched chunk
-by chunk, and the matches of a block meet again at the block.
+Test items of at most ``CHUNK_BYTES`` of text in all are broadcast: one pass without a shuffle. More are packed into
+chunks of about that size (one longer item makes a larger chunk), and documents into blocks, both in the shared folder;
+one job searches every (chunk, block) pair, and the matches of a block meet again at the block. Nothing of these
+chunks passes through the driver.
 
 Defined cases. Null document text: no words. Null item text: no window. Null item id: it hits words and
 contaminates, but is in no list of ids and not counted. Items of equal id count once, however often repeated.
@@ -190,18 +191,9 @@ class Shard:
         return [self.spans.word(i) for i in range(word, word + size)] == text.split(b" ")[offset : offset + size]
 
 
-def _chunks(items: DataFrame, item_id: str, item_text: str, chunk_bytes: int):
-    """The test items as tables of bounded size."""
-    items = pick(items, **{item_id: "string", item_text: "string"}).dropna(subset=[item_text]).distinct()
-    size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    n = -(-size // chunk_bytes)
-    if n <= 1:
-        yield items.toArrow()
-        return
-    part = items.withColumn("_part", F.pmod(F.xxhash64(item_id, item_text), F.lit(n)))
-    part = stored(part, "items")
-    for i in range(n):
-        yield part.where(F.col("_part") == i).drop("_part").toArrow()
+def _texts_of_items(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """The distinct test items that have a text."""
+    return pick(items, **{item_id: "string", item_text: "string"}).dropna(subset=[item_text]).distinct()
 
 
 class Found:
@@ -270,10 +262,10 @@ def _searched(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, it
     if window < 1:
         raise ValueError("window must be positive")
     spark = docs.sparkSession
-    chunks = _chunks(items, item_id, item_text, chunk_bytes)
-    first, second = next(chunks), next(chunks, None)
-    if second is None:
-        shared = spark.sparkContext.broadcast(first)
+    items = stored(_texts_of_items(items, item_id, item_text), "items")
+    size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
+    if size <= chunk_bytes:  # the bound of the broadcast
+        shared = spark.sparkContext.broadcast(items.toArrow())
         gather = packer(text_col, SHARD_BYTES)
 
         def direct(batches):
@@ -289,19 +281,20 @@ def _searched(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, it
         return docs.mapInArrow(direct, schema)
 
     blocks = stored_by_block(pack(docs, text_col, SHARD_BYTES), "train")
-    found = None
-    for chunk in (c for part in ([first, second], chunks) for c in part):
-        shared = spark.sparkContext.broadcast(chunk)
-
-        def search(batches, shared=shared):
-            tests = Tests(shared.value, window)
-            for batch in batches:
-                for b, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist()):
-                    yield find(Shard(texts_of(read_table(packed).column(text_col))), tests).packed(b)
+    chunks = stored(pack(items, item_text, chunk_bytes), "chunks")
+
+    def search(batches):
+        held, tests = None, None
+        for batch in batches:
+            for chunk, tested, block, packed in zip(*(batch.column(c).to_pylist() for c in ("chunk", "tested", "block", "packed"))):
+                if chunk != held:  # pairs come chunk by chunk, so a task prepares a chunk once
+                    held, tests = chunk, Tests(read_table(tested), window)
+                yield find(Shard(texts_of(read_table(packed).column(text_col))), tests).packed(block)
+                release()
 
-        part = stored(blocks.select("block", "packed").mapInArrow(search, FOUND), "matches")
-        shared.unpersist()
-        found = part if found is None else found.unionByName(part)
+    # every chunk against every block, not item against document: tasks read both from the shared folder, in one job
+    pairs = chunks.select(F.col("block").alias("chunk"), F.col("packed").alias("tested")).hint("shuffle_replicate_nl").crossJoin(blocks.select("block", "packed"))
+    found = stored(pairs.mapInArrow(search, FOUND), "matches")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         table = read_table(left.column("packed")[0].as_py())

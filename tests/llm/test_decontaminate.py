@@ -79,6 +79,30 @@ def test_shared_item_text_costs_no_product():
     assert peak < 60 << 20, peak
 
 
+def test_many_chunks_stay_off_the_driver(spark, docs, corpus, items, monkeypatch):
+    """Beyond the bound of the broadcast, one of the items long: chunks reach the tasks as rows of one product of chunks
+    and blocks; the driver collects no item, and no plan broadcasts."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from candela.llm import decontaminate
+    plans, keep = [], decontaminate.stored
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df, name)
+
+    def refused(self):
+        raise AssertionError("items collected")
+
+    monkeypatch.setattr(decontaminate, "stored", watched)
+    monkeypatch.setattr(DataFrame, "toArrow", refused)
+    more = items + [(900, " ".join(f"long{i}" for i in range(3000))), (901, corpus[3][1])]
+    found = find_contamination(docs, spark.createDataFrame(more, "item_id long, text string"), chunk_bytes=600)
+    assert rows_of(found.select("doc_id", "n_words", "n_hit", "n_items", "item_ids", "items_sha256", "contaminated")) == plain(corpus, more, 10)
+    assert [n for n, _ in plans] == ["items", "chunks", "matches"]
+    assert "CartesianProduct" in dict(plans)["matches"] and not any("Broadcast" in x for _, x in plans)
+
+
 def test_longest_matches(spark, docs, corpus, items):
     table = spark.createDataFrame(items, "item_id long, text string")
     by_id = {}
