@@ -4,12 +4,13 @@ Features: hashed character 1- to 3-grams of the lower-cased text with every run
 feature's weight is its relative frequency in the text times its inverse document frequency. Document frequencies
 count all learnable documents, in Spark. Weights are trained with follow-the-regularised-leader (per-coordinate
 rates) and elastic-net penalties, which leave most of them zero, on a bounded sample: ``PER_LANGUAGE`` documents
-of each language, those with the smallest hash of the id, whole texts. A fifth of the sample is kept back to
-calibrate the probabilities with one temperature.
+of each language, fewer (one at least) where that would pass ``SAMPLE_ROWS`` in all; those with the smallest hash of
+id and text, whole texts. A fifth of the sample is kept back to calibrate the probabilities with one temperature.
+Every language is learnt, however many there are: training holds half a MB for each, and a scored text is multiplied
+by its distinct buckets, a bounded slice at a time.
 
-Defined cases. Null text, or one without a letter: ``und`` with score 0. Null languages teach nothing. Languages
-beyond the ``MAX_LANGUAGES`` most frequent are not learnt. Nothing to learn from: ``und`` with score 0. Ties go
-to the language that sorts first. Null ids and repeated rows stay rows. Further columns are ignored.
+Defined cases. Null text, or one without a letter: ``und`` with score 0. Null languages teach nothing. Nothing to
+learn from: ``und`` with score 0. Ties go to the language that sorts first. Null ids and repeated rows stay rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.llm.common import pick
+from candela.llm.common import pick, stored
 from candela.llm.spans import mix
 
 BUCKETS = 1 << 15
 ORDERS = 3
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 200
+SAMPLE_ROWS = 20_000
+SLICE = 1 << 20
 PIECE = 1 << 18
 SCALE = 20.0
 _SPACE = 32
@@ -136,7 +138,11 @@ def train(samples: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes:
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - sigma * w
             n[at] += g * g
-    return weights(np.arange(BUCKETS))
+    out = np.empty((BUCKETS, classes), np.float32)
+    step = max(1, SLICE // max(1, classes))
+    for i in range(0, BUCKETS, step):
+        out[i : i + step] = weights(slice(i, i + step))
+    return out
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -159,26 +165,28 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learn=None, per_language: int = PER_LANGUAGE) -> dict:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learn=None, per_language: int = PER_LANGUAGE,
+        sample_rows: int = SAMPLE_ROWS) -> dict:
     """Model from the rows for whose id ``learn`` (id column -> condition) holds."""
     docs = pick(docs, **{id_col: "long", text_col: "string", lang_col: "string"}).toDF("id", "text", "lang")
     docs = docs.where("lang is not null")
     docs = docs.where(learn(F.col("id"))) if learn else docs
-    sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    names = sorted(r["lang"] for r in sizes)
+    sizes = stored(docs.groupBy("lang").count(), "languages")
+    names = sorted(r["lang"] for r in sizes.collect())  # one for each class of the model
     if not names:
         return {"names": []}
+    per_language = max(1, min(per_language, sample_rows // len(names)))
     df, n_docs = document_frequencies(docs, "text")
-    # of each language the smallest hashes of the id: a share that holds per_language rows with a margin, cut to them
+    # of each language the smallest hashes: a share that holds per_language rows with a margin, cut to them
     hashed = docs.withColumn("h", F.xxhash64("id", "text"))
-    few = F.lit(False)
-    for r in sizes:
-        edge = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, (2 * per_language + 50) / r["count"]) * (1 << 64)))
-        few = few | ((F.col("lang") == r["lang"]) & (F.col("h") <= F.lit(edge)))
+    wanted = 2 * per_language + 50
+    edges = sizes.select("lang", F.when(F.col("count") > wanted, (wanted / F.col("count") * 2.0**64 - 2.0**63).cast("long")).otherwise(F.lit((1 << 63) - 1)).alias("edge"))
+    few = hashed.select("lang", "h").join(edges, "lang").where("h <= edge")
     own = Window.partitionBy("lang").orderBy("h")
-    first = hashed.where(few).select("lang", "h").distinct().withColumn("k", F.row_number().over(own)).where(F.col("k") <= per_language)
-    # at most per_language rows for each of MAX_LANGUAGES: a proven bound for the broadcast
-    chosen = hashed.join(F.broadcast(first.drop("k")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "h", "text")
+    first = few.select("lang", "h").distinct().withColumn("k", F.row_number().over(own)).where(F.col("k") <= per_language).drop("k")
+    if len(names) <= sample_rows:  # then sample_rows bounds the broadcast
+        first = F.broadcast(first)
+    chosen = hashed.join(first, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "h", "text")
 
     def run(batches):
         grams, rows = Grams(), []
@@ -197,11 +205,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         got = sorted(x for b in batches for x in zip(*(c.to_pylist() for c in b.columns)))
         data = [(np.frombuffer(a, np.int32), np.frombuffer(t, np.float32).astype(np.float64)) for _, _, a, t in got]
         data = [(a, _scaled(t * idf[a])) for a, t in data]
-        y = np.array([names.index(lang) for _, lang, _, _ in got], np.int64)
+        place = {lang: i for i, lang in enumerate(names)}
+        y = np.array([place[lang] for _, lang, _, _ in got], np.int64)
         kept = np.array([h % 5 == 0 for h, *_ in got], bool)
         w = train([data[i] for i in np.flatnonzero(~kept)], y[~kept], len(names))
         logit = np.array([x @ w[a] for (a, x), k in zip(data, kept) if k]).reshape(-1, len(names))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((w.astype(np.float32), temperature(logit, y[kept])))], pa.binary())], names=["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((w, temperature(logit, y[kept])))], pa.binary())], names=["model"])
 
     w, t = pickle.loads(rows.repartition(1).mapInArrow(learn_all, "model binary").collect()[0].model)
     return {"names": names, "idf": idf.astype(np.float32), "weights": w, "temperature": t}
@@ -212,6 +221,14 @@ def _scaled(x: np.ndarray) -> np.ndarray:
     return SCALE * x / max(float(x.sum()), 1e-12)
 
 
+def _weighted(table: np.ndarray, at: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Sum of the rows ``at`` of the table times ``share``; at most ``SLICE`` values are gathered at a time."""
+    out, step = np.zeros(table.shape[1]), max(1, SLICE // table.shape[1])
+    for i in range(0, len(at), step):
+        out += share[i : i + step] @ table[at[i : i + step]].astype(np.float64)
+    return out
+
+
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, lang_pred, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -223,14 +240,12 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
         for batch in batches:
             names, scores = [], []
             for text in batch.column(1).to_pylist():
-                total = 0.0
-                if m["names"]:
-                    for f in grams.pieces(text):
-                        total = total + table[f].sum(axis=0, dtype=np.float64)
-                if isinstance(total, float):
+                at, share = _counts(grams, text) if m["names"] else ((), ())
+                if not len(at):
                     names.append("und")
                     scores.append(0.0)
                     continue
+                total = _weighted(table, at, share)
                 p = _softmax(SCALE * total[:-1] / max(float(total[-1]), 1e-12) / m["temperature"])
                 names.append(m["names"][int(p.argmax())])
                 scores.append(float(min(1.0, p.max())))

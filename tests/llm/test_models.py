@@ -82,6 +82,38 @@ def test_language_odd_cases(spark, corpus, no_docs):
     assert langid.predict(no_docs, nothing).collect() == []
 
 
+def test_every_language_is_learnt(spark):
+    """300 languages, the rarest with eight documents: more classes than any fixed number, all of them predicted."""
+    r = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = []
+    for k in range(300):
+        own = r.choice(letters, 6, replace=False)
+        words = ["".join(r.choice(own, r.integers(2, 6))) for _ in range(12)]
+        rows += [(10_000 * k + d, " ".join(r.choice(words, 40)), f"x{k:03d}") for d in range(8 if k else 900)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(table, learn=lambda i: i % 4 != 0)
+    assert len(model["names"]) == 300
+    got = langid.predict(table, model).join(table, "doc_id").where("doc_id % 4 = 0").toPandas()
+    assert got.lang_pred.nunique() > 290 and (got.lang_pred == got.lang).mean() > 0.9
+    few = langid.fit(table, learn=lambda i: i % 4 != 0, sample_rows=600)
+    assert len(few["names"]) == 300
+
+
+def test_long_texts_are_scored_in_slices():
+    import tracemalloc
+
+    r = np.random.default_rng(2)
+    table = r.random((langid.BUCKETS, 500)).astype(np.float32)
+    at, share = np.arange(langid.BUCKETS), r.random(langid.BUCKETS)
+    whole = share @ table.astype(np.float64)
+    tracemalloc.start()
+    got = langid._weighted(table, at, share)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, whole) and peak < 20 << 20, peak
+
+
 def test_language_features_are_the_same_in_pieces(monkeypatch):
     grams, text = langid.Grams(), "Añb c--d 12 éf " * 50
     whole = np.sort(np.concatenate(list(grams.pieces(text))))
