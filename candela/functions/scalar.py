@@ -89,19 +89,55 @@ def _pow10(idx: Column) -> Column:
     return F.concat(F.lit("1e"), idx.cast("int").cast("string")).cast("double")
 
 
+def finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+
+
+def factor_parts(x: Column) -> tuple[Column, Column]:
+    """A factor as (m, e), x = m * 2**e with |m| about 1: the product of many m stays in the range of doubles where that of
+    the factors leaves it on the way. Factors that have no such form (0, infinities, NaN) are their own m."""
+    e = F.when(finite(x) & (x != 0), F.greatest(F.least(F.round(F.log2(F.abs(x))), F.lit(1000.0)), F.lit(-1000.0)))
+    e = F.when(x.isNotNull(), F.coalesce(e, F.lit(0.0)))
+    return x * F.pow(F.lit(2.0), -e), e
+
+
+def product_of_parts(m: Column, e: Column, direct: Column) -> Column:
+    """The product from the product ``m`` and the sum ``e`` of its factors' parts: infinite or 0 only where the product
+    itself is beyond doubles, and else the same double as ``direct``, the product of the factors where that has kept in
+    range. ``direct`` is taken where m has left the range."""
+    third = F.greatest(F.least(e, F.lit(2100.0)), F.lit(-2100.0))
+    steps = [F.floor(third / 3), F.floor(third / 3), third - 2 * F.floor(third / 3)]
+    out = m
+    for k in steps:
+        out = out * F.pow(F.lit(2.0), k.cast("double"))
+    return F.when(finite(m) & (m != 0), out).otherwise(F.nanvl(direct, m))
+
+
+def _decade(a: Column) -> Column:
+    """First guess of the decade of ``a`` >= 0, held within the handled range before it is narrowed to INT: that of
+    an infinity is beyond any INT."""
+    return F.least(F.greatest(F.floor(F.log10(a)), F.lit(-30)), F.lit(POW10_HI - 1)).cast("int")
+
+
+def _as_is(x: Column) -> Column:
+    """Values without digits to round."""
+    return x.isNull() | (x == 0) | ~finite(x)
+
+
 def publish(c: str | Column, decimals: int = 6, digits: int = 10) -> Column:
     """Publication rounding: ``decimals`` decimal places but at most ``digits`` significant digits.
     The decade k comes from log10 and is corrected against exact powers of ten; the value is snapped
     to 3 finer places and then rounded half up, all as plain double arithmetic, so engines that
-    compute the same value up to last-bit noise publish the same digits."""
+    compute the same value up to last-bit noise publish the same digits. Infinities and NaN, which
+    compounding reaches on long series, are published as they are."""
     x = col(c)
     a = F.abs(x)
-    k0 = F.least(F.greatest(F.floor(F.log10(a)).cast("int"), F.lit(-30)), F.lit(POW10_HI - 1))
+    k0 = _decade(a)
     k = (F.when(a < _pow10(k0), k0 - 1).when(a >= _pow10(k0 + 1), k0 + 1).otherwise(k0))
     d = F.least(F.lit(decimals), F.lit(digits - 1) - k)
     fine, scale = _pow10(d + 3), _pow10(d)
     snapped = F.floor(x * fine + F.lit(0.5)).cast("double") / fine
-    return F.when(x.isNull() | (x == 0), x).otherwise(F.floor(snapped * scale + F.lit(0.5)).cast("double") / scale)
+    return F.when(_as_is(x), x).otherwise(F.floor(snapped * scale + F.lit(0.5)).cast("double") / scale)
 
 
 def publish_frame(df, specs: dict[str, tuple[int, int]]):
@@ -110,8 +146,7 @@ def publish_frame(df, specs: dict[str, tuple[int, int]]):
     names = list(specs)
     tmp = {c: f"__p{i}" for i, c in enumerate(names)}
     x = df.select("*", *[F.abs(F.col(c)).alias(f"{tmp[c]}_a") for c in names])
-    x = x.select("*", *[F.least(F.greatest(F.floor(F.log10(f"{tmp[c]}_a")).cast("int"), F.lit(-30)),
-                                F.lit(POW10_HI - 1)).alias(f"{tmp[c]}_k0") for c in names])
+    x = x.select("*", *[_decade(F.col(f"{tmp[c]}_a")).alias(f"{tmp[c]}_k0") for c in names])
     x = x.select("*", *[(lambda a, k0: F.when(a < _pow10(k0), k0 - 1).when(a >= _pow10(k0 + 1), k0 + 1)
                          .otherwise(k0))(F.col(f"{tmp[c]}_a"), F.col(f"{tmp[c]}_k0")).alias(f"{tmp[c]}_k") for c in names])
     x = x.select("*", *[F.least(F.lit(specs[c][0]), F.lit(specs[c][1] - 1) - F.col(f"{tmp[c]}_k")).alias(f"{tmp[c]}_d")
@@ -125,7 +160,7 @@ def publish_frame(df, specs: dict[str, tuple[int, int]]):
         if col_name in specs:
             t = tmp[col_name]
             v = F.col(col_name)
-            out.append(F.when(v.isNull() | (v == 0), v).otherwise(
+            out.append(F.when(_as_is(v), v).otherwise(
                 F.floor(F.col(f"{t}_n") * F.col(f"{t}_s") + F.lit(0.5)).cast("double") / F.col(f"{t}_s")).alias(col_name))
         else:
             out.append(F.col(col_name))

@@ -24,6 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candela.functions.scalar import factor_parts, product_of_parts
 from candela.session import BLOCK_ROWS_KEY, BUCKET_SECONDS_KEY, materialize, setting
 
 RN = "rn"
@@ -145,15 +146,22 @@ def running(df: DataFrame, specs: Sequence[tuple[str | Column, str, str]], keys:
 
     ``specs`` is a list of ``(input, op, output)``. Several columns share one block table and one join.
     NULL inputs are skipped; an output is NULL until the first non-NULL input (pandas ``cum*`` and
-    ``ffill`` semantics for leading gaps).
+    ``ffill`` semantics for leading gaps). A product that leaves the range of doubles comes back when it does
+    (``scalar.product_of_parts``).
     """
     keys = list(keys)
-    cols = []
+    cols, parts, products = [], {}, []
     for i, (src, op, out) in enumerate(specs):
         c = F.col(src) if isinstance(src, str) else src
-        cols.append((f"_rin{i}", c, op, out))
+        cols.append((f"_rin{i}", c, op, f"_rout{i}" if op == "product" else out))
+        if op == "product":
+            parts[f"_rin{i}m"], parts[f"_rin{i}e"] = factor_parts(F.col(f"_rin{i}").cast("double"))
+            products.append((f"_rout{i}", out))
     x = df.withColumns({name: c for name, c, _, _ in cols})
     x = materialize(x)
+    if products:
+        x = x.withColumns(parts)
+        cols += [(f"_rin{r[5:]}{k}", None, op, f"{r}{k}") for r, _ in products for k, op in (("m", "product"), ("e", "sum"))]
     wloc = Window.partitionBy(*keys, BLK).orderBy(RN).rowsBetween(_UNB, 0)
     block_aggs = []
     for name, _, op, _ in cols:
@@ -168,7 +176,9 @@ def running(df: DataFrame, specs: Sequence[tuple[str | Column, str, str]], keys:
     x = x.join(blocks, on=[*keys, BLK], how="left")
     for name, _, op, out in cols:
         x = x.withColumn(out, _combine(op, _LOCAL[op](F.col(name)).over(wloc), F.col(f"{name}_c")))
-    return x.drop(*[n for n, *_ in cols], *[f"{n}_c" for n, *_ in cols])
+    for r, out in products:
+        x = x.withColumn(out, product_of_parts(F.col(f"{r}m"), F.col(f"{r}e"), F.col(r)))
+    return x.drop(*[n for n, *_ in cols], *[f"{n}_c" for n, *_ in cols], *[f"{r}{k}" for r, _ in products for k in ("", "m", "e")])
 
 
 # --- affine recurrence y_t = a * y_{t-1} + c_t --------------------------------------------------
