@@ -46,6 +46,22 @@ def test_products_that_leave_the_range_come_back(small_blocks):
     assert got[198:202] == [pytest.approx(-3.0)] * 2 + [pytest.approx(-6.0), 0.0] and got[202:] == [0.0, 0.0]
 
 
+@pytest.fixture(scope="module")
+def swings(tmp_path_factory):
+    """Five event types whose values swing by 10,000, each in its own hours."""
+    path = tmp_path_factory.mktemp("swings")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + HOUR * h, f"e{s}", 1e4 if (h + s) % 2 else 1.0 + s) for h in range(240) for s in range(5)]
+    pq.write_table(pa.table({"event_id": pa.array(range(len(rows)), pa.int64()), "ts": pa.array([r[0] for r in rows], pa.timestamp("us")),
+                             "event_type": [r[1] for r in rows], "value": [r[2] for r in rows]}), path / "events.parquet")
+    return path
+
+
+def test_signal_basket_beyond_the_range(spark, swings):
+    got = same_as_sql(spark, swings, "prt01_signal_basket")
+    assert (got.CMR == math.inf).any() and (got.CMR < math.inf).any()
+
+
 def test_stops_and_shorts_beyond_the_range(spark, tmp_path):
     """Every other day a short trade loses a thousand times its stake: CSR grows in turns of sign."""
     t0, rows = dt.datetime(1995, 1, 1), []
