@@ -113,6 +113,12 @@ def product_of_parts(m: Column, e: Column, direct: Column) -> Column:
     return F.when(finite(m) & (m != 0), out).otherwise(F.nanvl(direct, m))
 
 
+def product(x: Column) -> Column:
+    """Aggregate: the product of ``x``, whatever the order of the rows (``product_of_parts``)."""
+    m, e = factor_parts(x)
+    return product_of_parts(F.product(m), F.sum(e), F.product(x))
+
+
 def _decade(a: Column) -> Column:
     """First guess of the decade of ``a`` >= 0, held within the handled range before it is narrowed to INT: that of
     an infinity is beyond any INT."""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.config import StrategyConfig
-from candela.functions.scalar import div
+from candela.functions.scalar import div, product
 from candela.operators.features import ensure_indexed, rolling
 from candela.operators.series import BLK, RN, block_rows, running
 from candela.session import materialize
@@ -214,5 +214,5 @@ def basket_sweep(bars: DataFrame, grid: Sequence[dict], cfg: StrategyConfig, n_a
     picked = F.aggregate("_s", F.lit(0.0), lambda t, s: t + F.when(s["buy"], s["DR"]).otherwise(0.0))
     buys = F.size(F.filter("_s", lambda s: s["buy"]))
     x = x.select("param_id", F.when(buys > 0, picked / buys).otherwise(F.lit(1.0)).alias("_sr"), (total / n_assets).alias("_dr"))
-    r = x.groupBy("param_id").agg(F.product("_sr").alias("CSR"), F.product("_dr").alias("CMR"), F.count(F.lit(1)).alias("n_bars"))
+    r = x.groupBy("param_id").agg(product(F.col("_sr")).alias("CSR"), product(F.col("_dr")).alias("CMR"), F.count(F.lit(1)).alias("n_bars"))
     return r.withColumn("loss", -F.col("CSR"))

@@ -7,9 +7,10 @@ import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from candela.functions.scalar import publish, publish_frame
+from candela.functions.scalar import product, publish, publish_frame
 from candela.operators.series import running
 from candela.plans.sqlparts import publish_sql
 from tests.oracle_check import compare, duck
@@ -44,6 +45,8 @@ def test_products_that_leave_the_range_come_back(small_blocks):
         log += 8 if x > 1 else -8
         assert p == (math.inf if log > 308 else 0.0 if log < -323 else pytest.approx(float(f"1e{log}"), rel=1e-10)), i
     assert got[198:202] == [pytest.approx(-3.0)] * 2 + [pytest.approx(-6.0), 0.0] and got[202:] == [0.0, 0.0]
+    whole = df.filter("rn < 200").repartition(3).agg(product(F.col("x")).alias("p")).first().p
+    assert whole == pytest.approx(-3.0)
 
 
 @pytest.fixture(scope="module")
@@ -62,6 +65,11 @@ def test_signal_basket_beyond_the_range(spark, swings):
     assert (got.CMR == math.inf).any() and (got.CMR < math.inf).any()
 
 
+def test_basket_sweep_beyond_the_range(spark, swings):
+    got = same_as_sql(spark, swings, "swp01_basket_sweep")
+    assert len(got) == 36 and (got.CMR == math.inf).all()
+
+
 def test_stops_and_shorts_beyond_the_range(spark, tmp_path):
     """Every other day a short trade loses a thousand times its stake: CSR grows in turns of sign."""
     t0, rows = dt.datetime(1995, 1, 1), []
